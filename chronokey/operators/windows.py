@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us, window_floor
 from chronokey.operators._common import as_list, order_value
@@ -23,7 +24,8 @@ def tumbling_mean(
     input partition before the exchange. Works unchanged on a streaming
     DataFrame that has a watermark on ``ts`` (append mode).
     """
-    w = F.window(F.col(ts).cast("timestamp"), f"{duration_us(width)} microseconds")
+    t = F.col(ts) if isinstance(df.schema[ts].dataType, T.TimestampType) else F.col(ts).cast("timestamp")
+    w = F.window(t, f"{duration_us(width)} microseconds")
     return (
         df.groupBy(F.col(key), w.alias("w"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean"))

@@ -53,7 +53,7 @@ def with_arrival(ev: DataFrame) -> DataFrame:
     return ev.withColumn("arrival_us", epoch_us("ts") + shift)
 
 
-def _means(r: DataFrame) -> DataFrame:
+def project_means(r: DataFrame) -> DataFrame:
     return r.select(
         KEY,
         _us("window_start").alias("window_start_us"),
@@ -65,17 +65,20 @@ def _means(r: DataFrame) -> DataFrame:
 
 def q_tumbling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, "ts", "value"])
-    return _means(tumbling_mean(ev, KEY, "ts", "value", DAY))
+    return project_means(tumbling_mean(ev, KEY, "ts", "value", DAY))
 
 
 def q_arrival_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts", "value"]))
-    return _means(arrival_window_mean(ev, KEY, "ts", "value", ARRIVAL, DAY))
+    return project_means(arrival_window_mean(ev, KEY, "ts", "value", ARRIVAL, DAY))
 
 
 def _alerts(spark: SparkSession, sf_dir: str, include_open: bool) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
-    r = inactivity_alerts(ev, KEY, "ts", SEQ, IDLE, include_open)
+    return project_alerts(inactivity_alerts(ev, KEY, "ts", SEQ, IDLE, include_open))
+
+
+def project_alerts(r: DataFrame) -> DataFrame:
     return r.select(
         KEY,
         _us("last_seen").alias("last_seen_us"),
@@ -101,7 +104,10 @@ def q_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _capped(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
-    r = capped_sessions(ev, KEY, "ts", SEQ, GAP, MAX_LEN, mode)
+    return project_capped(capped_sessions(ev, KEY, "ts", SEQ, GAP, MAX_LEN, mode))
+
+
+def project_capped(r: DataFrame) -> DataFrame:
     return r.select(
         KEY,
         _us("session_start").alias("session_start_us"),
@@ -122,7 +128,10 @@ def q_capped_sessions_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _early(spark: SparkSession, sf_dir: str, include_final: bool) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
-    r = early_count(ev, KEY, "ts", SEQ, WEEK, EARLY_N, include_final)
+    return project_early(early_count(ev, KEY, "ts", SEQ, WEEK, EARLY_N, include_final))
+
+
+def project_early(r: DataFrame) -> DataFrame:
     return r.select(KEY, _us("window_start").alias("window_start_us"), _us("window_end").alias("window_end_us"), "count", "pane")
 
 
@@ -144,7 +153,10 @@ def q_late_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_terminated_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts", "event_type"])
-    r = terminated_sessions(ev, KEY, "ts", SEQ, "event_type", GAP, EVENT_TERMINATORS)
+    return project_terminated(terminated_sessions(ev, KEY, "ts", SEQ, "event_type", GAP, EVENT_TERMINATORS))
+
+
+def project_terminated(r: DataFrame) -> DataFrame:
     return r.select(
         KEY,
         _us("session_start").alias("session_start_us"),
@@ -157,7 +169,10 @@ def q_terminated_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
-    r = gap_sessions(ev, KEY, "ts", SEQ, GAP)
+    return project_gap(gap_sessions(ev, KEY, "ts", SEQ, GAP))
+
+
+def project_gap(r: DataFrame) -> DataFrame:
     return r.select(KEY, _us("session_start").alias("session_start_us"), _us("session_end").alias("session_end_us"), "n")
 
 

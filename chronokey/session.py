@@ -7,13 +7,16 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every chronokey job needs: epoch arithmetic is done in UTC and AQE
+# Settings every chronokey job needs: epoch arithmetic is done in UTC, AQE
 # re-plans joins/partition counts from runtime sizes.
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Streaming state (transformWithState needs it; large keyed state stays off-heap).
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

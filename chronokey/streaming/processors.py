@@ -1,0 +1,270 @@
+"""``StatefulProcessor``s for ``groupBy(...).transformWithState``.
+
+One processor per operator whose emission rule is not a built-in streaming
+aggregate. Rows of a key inside one micro-batch come in no fixed order, so
+every handler sorts them first (by arrival order or by ``(ts, seq)``). Times
+in state are epoch microseconds; timers are epoch milliseconds.
+
+Timers are set so that a session or window is only closed once no row that
+could still join it can arrive without being late. Rows behind the watermark
+are dropped by Spark before they reach a handler.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import Row
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+
+
+def _ceil_ms(us: int) -> int:
+    return -(-us // 1000)
+
+
+def _after_ms(us: int) -> int:
+    """First millisecond strictly after ``us``."""
+    return us // 1000 + 1
+
+
+class _Base(StatefulProcessor):
+    def close(self) -> None:
+        pass
+
+    def _retime(self, old_ms, new_ms) -> None:
+        if old_ms is not None and old_ms != new_ms:
+            self.handle.deleteTimer(old_ms)
+        if new_ms is not None and old_ms != new_ms:
+            self.handle.registerTimer(new_ms)
+
+
+class EarlyCountProcessor(_Base):
+    """Keyed by (key, window_start_us). Counts rows in arrival order and fires
+    an ``early`` pane from the n-th row on; the timer at the window end fires
+    the ``final`` pane and clears the counter."""
+
+    def __init__(self, width_us: int, n: int, include_final: bool, once: bool, order: list[str]):
+        self.width_us, self.n, self.include_final, self.once, self.order = width_us, n, include_final, once, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.count = handle.getValueState("count", "count long")
+
+    def _row(self, key, c: int, pane: str) -> Row:
+        k, ws = key
+        return Row(key=k, window_start_us=ws, window_end_us=ws + self.width_us, count=c, pane=pane)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        ordered = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
+        c = self.count.get()[0] if self.count.exists() else 0
+        if c == 0:
+            self.handle.registerTimer(_ceil_ms(key[1] + self.width_us))
+        for _ in ordered:
+            c += 1
+            if c == self.n or (c > self.n and not self.once):
+                yield self._row(key, c, "early")
+        self.count.update((c,))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.include_final and self.count.exists():
+            yield self._row(key, self.count.get()[0], "final")
+        self.count.clear()
+
+
+class ArrivalMeanProcessor(_Base):
+    """The sensor job's mean: add a row to the open window while its time is
+    before the window end, else emit the open window and open the row's own.
+    The timer at the open window's end emits it."""
+
+    def __init__(self, width_us: int, order: list[str]):
+        self.width_us, self.order = width_us, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.win = handle.getValueState("win", "end_us long, total double, n long, timer_ms long")
+
+    def _row(self, key, end_us: int, total: float, n: int) -> Row:
+        return Row(key=key[0], window_start_us=end_us - self.width_us, window_end_us=end_us, n=n, mean=total / n)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        st = self.win.get() if self.win.exists() else None
+        end, total, n, timer = st if st else (None, 0.0, 0, None)
+        for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
+            t = r["__us"]
+            if end is not None and t < end:
+                total, n = total + r["__value"], n + 1
+                continue
+            if end is not None:
+                yield self._row(key, end, total, n)
+            end, total, n = t - t % self.width_us + self.width_us, r["__value"], 1
+        new_timer = _ceil_ms(end)
+        self._retime(timer, new_timer)
+        self.win.update((end, total, n, new_timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.win.exists():
+            end, total, n, _ = self.win.get()
+            if n > 0:
+                yield self._row(key, end, total, n)
+        self.win.clear()
+
+
+class InactivityProcessor(_Base):
+    """Alert when a key stays silent for ``threshold``.
+
+    ``domain="event"``: the silence is measured in event time (timer at
+    last + threshold; a row that arrives that late or later raises the alert
+    for the previous one). ``domain="processing"``: as in a live monitor, the
+    timer is wall clock now + threshold and each row re-arms it.
+    """
+
+    def __init__(self, threshold_us: int, domain: str = "event"):
+        self.threshold_us, self.domain = threshold_us, domain
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "last_us long, timer_ms long")
+
+    def _row(self, key, last_us: int, alert_us: int, next_us) -> Row:
+        return Row(
+            key=key[0],
+            last_seen_us=last_us,
+            alert_time_us=alert_us,
+            idle_seconds=self.threshold_us // 1_000_000,
+            next_seen_us=next_us,
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        st = self.last.get() if self.last.exists() else None
+        last, timer = st if st else (None, None)
+        for r in sorted(rows, key=lambda r: (r["__us"], r["__seq"])):
+            t = r["__us"]
+            if self.domain == "event" and last is not None and t - last >= self.threshold_us:
+                yield self._row(key, last, last + self.threshold_us, t)
+            last = t if last is None else max(last, t)
+        if self.domain == "event":
+            new_timer = _ceil_ms(last + self.threshold_us)
+        else:
+            new_timer = timerValues.getCurrentProcessingTimeInMs() + self.threshold_us // 1000
+        self._retime(timer, new_timer)
+        self.last.update((last, new_timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.last.exists():
+            last, _ = self.last.get()
+            alert = last + self.threshold_us if self.domain == "event" else expiredTimerInfo.getExpiryTimeInMs() * 1000
+            yield self._row(key, last, alert, None)
+        self.last.clear()
+
+
+class TerminatedSessionProcessor(_Base):
+    """Gap sessions that emit at once on a terminating event.
+
+    State: session bounds, segment number and the rows of the open segment.
+    A terminator emits the segment (itself included) and empties it without
+    ending the session; a gap larger than ``gap`` or the timer at
+    ``last + gap`` ends the session and emits a non-empty open segment.
+    """
+
+    def __init__(self, gap_us: int, terminators):
+        self.gap_us, self.terminators = gap_us, set(terminators)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sess = handle.getValueState("sess", "start_us long, last_us long, segment long, timer_ms long")
+        self.buf = handle.getListState("buf", "ts_us long, seq long, event_type string")
+
+    def _row(self, key, start, end, segment, buf, closed_by) -> Row:
+        types = [b[2] for b in sorted(buf, key=lambda b: (b[0], b[1]))]
+        return Row(
+            key=key[0], session_start_us=start, session_end_us=end, segment=segment, event_types=types, closed_by=closed_by
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        st = self.sess.get() if self.sess.exists() else None
+        buf = list(self.buf.get()) if st else []
+        start, last, seg, timer = st if st else (None, None, 0, None)
+        for r in sorted(rows, key=lambda r: (r["__us"], r["__seq"])):
+            t = r["__us"]
+            if start is not None and t - last > self.gap_us:
+                if buf:
+                    yield self._row(key, start, last + self.gap_us, seg, buf, "timeout")
+                start, buf, seg = None, [], 0
+            if start is None:
+                start, last = t, t
+            buf.append((t, r["__seq"], r["__type"]))
+            last = max(last, t)
+            if r["__type"] in self.terminators:
+                yield self._row(key, start, t + self.gap_us, seg, buf, "terminator")
+                buf, seg = [], seg + 1
+        new_timer = _after_ms(last + self.gap_us)
+        self._retime(timer, new_timer)
+        self.sess.update((start, last, seg, new_timer))
+        self.buf.put(buf) if buf else self.buf.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.sess.exists():
+            start, last, seg, _ = self.sess.get()
+            buf = list(self.buf.get())
+            if buf:
+                yield self._row(key, start, last + self.gap_us, seg, buf, "timeout")
+        self.sess.clear()
+        self.buf.clear()
+
+
+class CappedSessionProcessor(_Base):
+    """Sessions closed by inactivity or maximum length, one timer at the
+    earlier deadline. ``mode="event_time"`` attributes every close to the
+    earlier deadline (what the timers decide when the watermark moves on);
+    ``mode="arrival"`` lets the breaking row decide, like the batch mode."""
+
+    def __init__(self, gap_us: int, max_us: int, mode: str = "event_time"):
+        self.gap_us, self.max_us, self.mode = gap_us, max_us, mode
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.sess = handle.getValueState("sess", "start_us long, last_us long, timer_ms long")
+        self.buf = handle.getListState("buf", "ts_us long")
+
+    def _row(self, key, start, last, ts_list, inactivity: bool) -> Row:
+        end = last + self.gap_us if inactivity else start + self.max_us
+        return Row(
+            key=key[0],
+            session_start_us=start,
+            session_end_us=end,
+            n=len(ts_list),
+            timestamps=sorted(ts_list),
+            reason="Inactivity" if inactivity else "Max",
+        )
+
+    def _by_deadline(self, start, last) -> bool:
+        return last + self.gap_us <= start + self.max_us
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        st = self.sess.get() if self.sess.exists() else None
+        buf = [b[0] for b in self.buf.get()] if st else []
+        start, last, timer = st if st else (None, None, None)
+        for r in sorted(rows, key=lambda r: (r["__us"], r["__seq"])):
+            t = r["__us"]
+            if start is not None:
+                gap_break = t >= last + self.gap_us
+                if gap_break or t > start + self.max_us:
+                    inactivity = gap_break if self.mode == "arrival" else self._by_deadline(start, last)
+                    yield self._row(key, start, last, buf, inactivity)
+                    start, buf = None, []
+            if start is None:
+                start, last = t, t
+            buf.append(t)
+            last = max(last, t)
+        new_timer = min(_ceil_ms(last + self.gap_us), _after_ms(start + self.max_us))
+        self._retime(timer, new_timer)
+        self.sess.update((start, last, new_timer))
+        self.buf.put([(b,) for b in buf])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.sess.exists():
+            start, last, _ = self.sess.get()
+            buf = [b[0] for b in self.buf.get()]
+            yield self._row(key, start, last, buf, self._by_deadline(start, last))
+        self.sess.clear()
+        self.buf.clear()

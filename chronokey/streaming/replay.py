@@ -1,5 +1,124 @@
-"""Replays of the events table through streaming queries (filled in below)."""
+"""Replay the events table through the streaming operators.
+
+A bounded replay reads ``events.parquet`` as a file stream
+(``trigger(availableNow=True)``). An ``availableNow`` run never moves the
+watermark past ``max(ts) - delay``, so open windows and sessions would never
+close; a one-row *flush* file under a reserved key with a far-future time is
+read alongside, which moves the watermark past every timer in the final
+no-data batch. The reserved key's own output is dropped.
+
+Results go to a parquet sink in the shared checkpoint folder
+(``spark.checkpoint.dir``), with the stream checkpoint next to it, and are
+read back as a batch DataFrame, so nothing passes through the driver and a
+restarted replay resumes from its checkpoint.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES: dict = {}
+import datetime as dt
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chronokey import queries as Q
+from chronokey.session import checkpoint_dir
+from chronokey.sources.tables import EVENT_SCHEMA
+from chronokey.streaming import operators as S
+
+FLUSH_KEY = -(2**63)  # reserved user_id of the flush row
+FLUSH_TS = dt.datetime(3000, 1, 1)
+REPLAY_DELAY = "1 hour"
+
+
+def events_stream(spark: SparkSession, sf_dir: str, columns: list[str], flush_dir: str | None = None) -> DataFrame:
+    """``events`` as a streaming DataFrame (``ts`` as UTC TIMESTAMP), plus the
+    flush row when ``flush_dir`` is given."""
+    src = (
+        spark.readStream.schema(EVENT_SCHEMA)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(sf_dir.rstrip("/"))
+    )
+    if flush_dir is not None:
+        spark.createDataFrame([(-1, FLUSH_TS, FLUSH_KEY, None, None, None)], EVENT_SCHEMA).coalesce(1).write.parquet(flush_dir)
+        src = src.unionByName(spark.readStream.schema(EVENT_SCHEMA).parquet(flush_dir))
+    return src.select(*columns).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def run_to_completion(spark: SparkSession, sdf: DataFrame, folder: str) -> DataFrame:
+    """Run an append-mode streaming DataFrame until the input is drained."""
+    query = (
+        sdf.writeStream.format("parquet")
+        .option("path", f"{folder}/out")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(sdf.schema).parquet(f"{folder}/out")
+
+
+def replay(
+    spark: SparkSession, sf_dir: str, name: str, columns: list[str], build: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/replays/{name}-{uuid.uuid4().hex}"
+    sdf = build(events_stream(spark, sf_dir, columns, flush_dir=f"{folder}/flush"))
+    out = run_to_completion(spark, sdf, folder)
+    return out.filter(F.col(Q.KEY) != F.lit(FLUSH_KEY))
+
+
+def q_stream_tumbling_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = replay(spark, sf_dir, "tumbling_mean", [Q.KEY, "ts", "value"],
+               lambda s: S.stream_tumbling_mean(s, Q.KEY, "ts", "value", Q.DAY, REPLAY_DELAY))
+    return Q.project_means(r)
+
+
+def q_stream_arrival_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build(s: DataFrame) -> DataFrame:
+        return S.stream_arrival_window_mean(Q.with_arrival(s), Q.KEY, "ts", "value", Q.ARRIVAL, Q.DAY, REPLAY_DELAY)
+
+    return Q.project_means(replay(spark, sf_dir, "arrival_window_mean", [Q.KEY, Q.SEQ, "ts", "value"], build))
+
+
+def q_stream_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = replay(spark, sf_dir, "inactivity_alerts", [Q.KEY, Q.SEQ, "ts"],
+               lambda s: S.stream_inactivity_alerts(s, Q.KEY, "ts", Q.SEQ, Q.IDLE, "event", REPLAY_DELAY))
+    return Q.project_alerts(r)
+
+
+def q_stream_capped_sessions_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = replay(spark, sf_dir, "capped_sessions", [Q.KEY, Q.SEQ, "ts"],
+               lambda s: S.stream_capped_sessions(s, Q.KEY, "ts", Q.SEQ, Q.GAP, Q.MAX_LEN, "event_time", REPLAY_DELAY))
+    return Q.project_capped(r)
+
+
+def q_stream_early_count_final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = replay(spark, sf_dir, "early_count", [Q.KEY, Q.SEQ, "ts"],
+               lambda s: S.stream_early_count(s, Q.KEY, "ts", Q.SEQ, Q.WEEK, Q.EARLY_N, True, False, REPLAY_DELAY))
+    return Q.project_early(r)
+
+
+def q_stream_terminated_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = replay(spark, sf_dir, "terminated_sessions", [Q.KEY, Q.SEQ, "ts", "event_type"],
+               lambda s: S.stream_terminated_sessions(s, Q.KEY, "ts", Q.SEQ, "event_type", Q.GAP, Q.EVENT_TERMINATORS,
+                                                      REPLAY_DELAY))
+    return Q.project_terminated(r)
+
+
+def q_stream_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = replay(spark, sf_dir, "gap_sessions", [Q.KEY, "ts"],
+               lambda s: S.stream_gap_sessions(s, Q.KEY, "ts", Q.GAP, REPLAY_DELAY))
+    return Q.project_gap(r)
+
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_tumbling_mean": q_stream_tumbling_mean,
+    "stream_arrival_window_mean": q_stream_arrival_window_mean,
+    "stream_inactivity_alerts_open": q_stream_inactivity_alerts_open,
+    "stream_capped_sessions_event_time": q_stream_capped_sessions_event_time,
+    "stream_early_count_final": q_stream_early_count_final,
+    "stream_terminated_sessions": q_stream_terminated_sessions,
+    "stream_gap_sessions": q_stream_gap_sessions,
+}
