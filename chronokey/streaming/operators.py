@@ -68,9 +68,15 @@ def stream_early_count(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", width=EARLY_WIDTH, n=EARLY_N, include_final=True, once=False,
     delay=DEFAULT_DELAY,
 ):
+    """Keyed by (key, window): the window struct carries the watermark, so a
+    row is late only once its window end is behind the watermark (as with a
+    windowed aggregate), not as soon as its own time is."""
     width_us = duration_us(width)
     order = as_list(seq)
-    d = sdf.withWatermark(ts, delay).select(key, *order, ts, window_floor(epoch_us(ts), width_us).alias("__ws"))
+    w = F.window(F.col(ts), f"{width_us} microseconds")
+    d = sdf.withWatermark(ts, delay).select(
+        key, *order, w.alias("__w"), window_floor(epoch_us(ts), width_us).alias("__ws")
+    )
     schema = _schema(sdf.schema[key].dataType, [("window_start_us", _L), ("window_end_us", _L), ("count", _L), ("pane", T.StringType())])
     out = d.groupBy(key, "__ws").transformWithState(
         EarlyCountProcessor(width_us, n, include_final, once, order), schema, "Append", "EventTime"

@@ -39,7 +39,7 @@ class _Base(StatefulProcessor):
 
 
 class EarlyCountProcessor(_Base):
-    """Keyed by (key, window_start_us). Counts rows in arrival order and fires
+    """Keyed by (key, window). Counts rows in arrival order and fires
     an ``early`` pane from the n-th row on; the timer at the window end fires
     the ``final`` pane and clears the counter."""
 
@@ -48,26 +48,26 @@ class EarlyCountProcessor(_Base):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.count = handle.getValueState("count", "count long")
+        self.count = handle.getValueState("count", "count long, window_start_us long")
 
-    def _row(self, key, c: int, pane: str) -> Row:
-        k, ws = key
-        return Row(key=k, window_start_us=ws, window_end_us=ws + self.width_us, count=c, pane=pane)
+    def _row(self, key, ws: int, c: int, pane: str) -> Row:
+        return Row(key=key[0], window_start_us=ws, window_end_us=ws + self.width_us, count=c, pane=pane)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         ordered = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
-        c = self.count.get()[0] if self.count.exists() else 0
+        c, ws = self.count.get() if self.count.exists() else (0, ordered[0]["__ws"])
         if c == 0:
-            self.handle.registerTimer(_ceil_ms(key[1] + self.width_us))
+            self.handle.registerTimer(_ceil_ms(ws + self.width_us))
         for _ in ordered:
             c += 1
             if c == self.n or (c > self.n and not self.once):
-                yield self._row(key, c, "early")
-        self.count.update((c,))
+                yield self._row(key, ws, c, "early")
+        self.count.update((c, ws))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.include_final and self.count.exists():
-            yield self._row(key, self.count.get()[0], "final")
+            c, ws = self.count.get()
+            yield self._row(key, ws, c, "final")
         self.count.clear()
 
 
