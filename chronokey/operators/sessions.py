@@ -3,13 +3,13 @@ events (J8) and sessions with a maximum length and a close reason (J5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
 from chronokey.operators._common import sorted_by
 from chronokey.plans.chain import chain_starts
-from chronokey.plans.scan import DEFAULT_TARGET_ROWS, resolve_bucket, sessionize
+from chronokey.plans.scan import DEFAULT_TARGET_ROWS, key_stats, resolve_bucket, sessionize
 
 # ---- fixed values: defaults of the original session jobs ----
 TERMINATORS = ("LOGOUT", "CHECKOUT_COMPLETE")
@@ -21,9 +21,9 @@ CAPPED_MAX = "7 seconds"
 _US = "__ts_us"
 
 
-def _prepare(df: DataFrame, key: str, ts: str, seq: str, cols: list[str], bucket, target_rows: int):
+def _prepare(df: DataFrame, key: str, ts: str, seq: str, cols: list[str], bucket, target_rows: int, stats=None):
     d = df.select(key, seq, *cols, epoch_us(ts).alias(_US))
-    return d, resolve_bucket(d, [key], F.col(_US), bucket, target_rows)
+    return d, resolve_bucket(d, [key], F.col(_US), bucket, target_rows, stats=stats)
 
 
 def gap_sessions(
@@ -90,24 +90,23 @@ def terminated_sessions(
         inclusive_break=False,
         bucket=b,
         extra={"__terms_before": ("sum_before", is_term.cast("long"))},
-        carry={"terms": F.col("__terms_before")},
     )
-    seg = (F.col("__terms_before") - F.col("start_terms")).alias("segment")
-    return (
-        d.groupBy(key, "session_start_us", seg)
-        .agg(
-            F.max(_US).alias("__last"),
-            F.max_by(is_term, F.struct(F.col(_US), F.col(seq))).alias("__closed"),
-            sorted_by(F.col(event_type), F.col(_US), F.col(seq)).alias("event_types"),
-        )
-        .select(
-            key,
-            from_epoch_us("session_start_us").alias("session_start"),
-            from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
-            "segment",
-            "event_types",
-            F.when(F.col("__closed"), F.lit("terminator")).otherwise(F.lit("timeout")).alias("closed_by"),
-        )
+    # Rows with the same count of earlier terminators inside a session form
+    # one segment; its number is that count minus the count at the session
+    # start (a window over the segment table, one row per segment).
+    segments = d.groupBy(key, "session_start_us", "__terms_before").agg(
+        F.max(_US).alias("__last"),
+        F.max_by(is_term, F.struct(F.col(_US), F.col(seq))).alias("__closed"),
+        sorted_by(F.col(event_type), F.col(_US), F.col(seq)).alias("event_types"),
+    )
+    first = F.min("__terms_before").over(Window.partitionBy(key, "session_start_us"))
+    return segments.select(
+        key,
+        from_epoch_us("session_start_us").alias("session_start"),
+        from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
+        (F.col("__terms_before") - first).alias("segment"),
+        "event_types",
+        F.when(F.col("__closed"), F.lit("terminator")).otherwise(F.lit("timeout")).alias("closed_by"),
     )
 
 
@@ -138,13 +137,19 @@ def capped_sessions(
     if mode not in ("arrival", "event_time"):
         raise ValueError("mode must be 'arrival' or 'event_time'")
     gap_us, max_us = duration_us(gap), duration_us(max_len)
-    d, b = _prepare(df, key, ts, seq, [], bucket, target_rows)
+    # One stats job sizes the buckets and bounds the largest island (an
+    # island never has more rows than its key).
+    stats = key_stats(df.select(key, epoch_us(ts).alias(_US)), [key], F.col(_US))
+    d, b = _prepare(df, key, ts, seq, [], bucket, target_rows, stats)
     # Islands: the gap test only looks at the previous row, so cap splits
     # never change them. next_us feeds the arrival-mode reason.
     d = sessionize(
         d, [key], _US, seq, gap_us, inclusive_break=True, bucket=b, extra={"next_us": ("next", F.col(_US))}
     ).withColumnRenamed("session_start_us", "island_us")
-    sessions = chain_starts(d, key, _US, seq, "island_us", max_us, bucket=b, fold_limit=fold_limit)
+    sessions = chain_starts(
+        d, key, _US, seq, "island_us", max_us, bucket=b, fold_limit=fold_limit,
+        max_island_rows=stats["n"] if stats else 0,
+    )
     return _close(sessions, key, gap_us, max_us, mode)
 
 

@@ -42,11 +42,17 @@ def chain_starts(
     max_us: int,
     bucket: Column | None = None,
     fold_limit: int | None = None,
+    max_island_rows: int | None = None,
 ) -> DataFrame:
     """``d`` has one row per event with ``key, seq, ts_us, island, is_start,
-    next_us``; returns one row per capped session (see module doc)."""
+    next_us``; returns one row per capped session (see module doc).
+    ``max_island_rows`` is an upper bound on island size if known (rows of
+    the largest key): when it is within ``fold_limit`` the plan stays a
+    single lazy fold with no sizing join and no extra job."""
     limit = DEFAULT_FOLD_LIMIT if fold_limit is None else fold_limit
     rows = d.select(key, seq, ts_us, island, "is_start", "next_us")
+    if max_island_rows is not None and 0 < max_island_rows <= limit:
+        return _fold_small(rows, key, ts_us, seq, island, max_us)
     sizes = rows.groupBy(key, island).agg(F.count(F.lit(1)).alias("__island_n"))
     sized = rows.join(sizes, [key, island])
     small = _fold_small(sized.filter(F.col("__island_n") <= limit), key, ts_us, seq, island, max_us)
@@ -104,6 +110,9 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 def _double_large(
     rows: DataFrame, key: str, ts_us: str, seq: str, island: str, max_us: int, bucket: Column | None
 ) -> DataFrame:
+    # The rows of large islands are read four times below: materialise them
+    # once in the shared checkpoint folder instead of recomputing the islands.
+    rows = _checkpointed(rows)
     # nxt(r): first row (by ts, seq) with ts > ts_r + max, as an as-of lookup.
     # Targets and probes are merged and scanned backwards (descending order),
     # where "first target after the probe" is the running max of the marker

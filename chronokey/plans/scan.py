@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 DEFAULT_TARGET_ROWS = 4_000_000
 
 _B = "__ck_bucket"
+_K = "__ck_key"
 _FIRST = "__ck_first"
 _LAST = "__ck_last"
 
@@ -46,19 +47,10 @@ def _key_window(keys: list[str]):
     return Window.partitionBy(*keys) if keys else Window.partitionBy()
 
 
-def auto_bucket(
-    df: DataFrame, keys: list[str], value, target_rows: int = DEFAULT_TARGET_ROWS, min_buckets: int = 1
-) -> Column | None:
-    """Bucket expression ``floor(value / width)`` sized from the data, or None.
-
-    ``value`` must be numeric and non-decreasing along the scan order (epoch
-    micros of the leading time column, or a dense sequence number). One
-    aggregation job over ``(keys, value)``, partially aggregated map-side, finds
-    the highest rows-per-unit density of any key; ``width`` is chosen so that
-    key gets ``target_rows`` rows per bucket on average. ``min_buckets > 1``
-    forces at least that many buckets over the widest key (used for keyless
-    scans, which must never become one un-partitioned window).
-    """
+def key_stats(df: DataFrame, keys: list[str], value) -> dict | None:
+    """Rows of the largest key, highest rows-per-unit density of any key and
+    the widest key span of ``value``. One aggregation job, partially
+    aggregated map-side; the result is a single row."""
     v = _as_col(value)
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), (F.max(v) - F.min(v) + F.lit(1)).alias("span")
@@ -66,24 +58,52 @@ def auto_bucket(
     top = per_key.agg(
         F.max("n").alias("n"), F.max(F.col("n") / F.col("span")).alias("density"), F.max("span").alias("span")
     ).first()
-    if top is None or top["n"] is None:
+    return None if top is None or top["n"] is None else top.asDict()
+
+
+def auto_bucket(
+    df: DataFrame,
+    keys: list[str],
+    value,
+    target_rows: int = DEFAULT_TARGET_ROWS,
+    min_buckets: int = 1,
+    stats: dict | None = None,
+) -> Column | None:
+    """Bucket expression ``floor(value / width)`` sized from the data, or None.
+
+    ``value`` must be numeric and non-decreasing along the scan order (epoch
+    micros of the leading time column, or a dense sequence number). ``width``
+    is chosen so that the densest key gets ``target_rows`` rows per bucket on
+    average; None when no key has more than ``target_rows`` rows.
+    ``min_buckets > 1`` forces at least that many buckets over the widest key
+    (used for keyless scans, which must never become one un-partitioned
+    window).
+    """
+    top = stats if stats is not None else key_stats(df, keys, value)
+    if top is None:
         return None
     if min_buckets <= 1 and top["n"] <= target_rows:
         return None
     width = target_rows / top["density"]
     if min_buckets > 1:
         width = min(width, top["span"] / min_buckets)
-    return F.floor(v / F.lit(max(1, math.floor(width)))).cast("long")
+    return F.floor(_as_col(value) / F.lit(max(1, math.floor(width)))).cast("long")
 
 
 def resolve_bucket(
-    df: DataFrame, keys: list[str], value, bucket, target_rows: int = DEFAULT_TARGET_ROWS, min_buckets: int = 1
+    df: DataFrame,
+    keys: list[str],
+    value,
+    bucket,
+    target_rows: int = DEFAULT_TARGET_ROWS,
+    min_buckets: int = 1,
+    stats: dict | None = None,
 ):
     """``bucket`` may be None, "auto", an int width in units of ``value``, or a Column."""
     if bucket is None or isinstance(bucket, Column):
         return bucket
     if bucket == "auto":
-        return auto_bucket(df, keys, value, target_rows, min_buckets)
+        return auto_bucket(df, keys, value, target_rows, min_buckets, stats)
     if isinstance(bucket, int):
         return F.floor(_as_col(value) / F.lit(bucket)).cast("long")
     raise ValueError(f"bucket must be None, 'auto', an int width or a Column, not {bucket!r}")
@@ -102,6 +122,11 @@ def ordered_scan(
     ``max`` / ``sum`` (running, including the row), ``max_before`` /
     ``sum_before`` (over strictly earlier rows). ``order`` must be a total
     order within a key; ``bucket`` must be non-decreasing along it.
+
+    The bucketed form also returns its helper columns ``__ck_key`` (the keys
+    as one struct, so null keys join exactly with a plain equi-join) and
+    ``__ck_bucket``; a following scan over the same keys and buckets reuses
+    them and with them the hash partitioning, so it adds no exchange.
     """
     order = [_as_col(o) for o in order]
     for name, (kind, _) in specs.items():
@@ -119,8 +144,10 @@ def ordered_scan(
             ],
         )
 
-    d = df.withColumn(_B, bucket)
-    pk = [*keys, _B]
+    d = df if _B in df.columns else df.withColumn(_B, bucket)
+    if keys and _K not in d.columns:
+        d = d.withColumn(_K, F.struct(*keys))
+    pk = [_K, _B] if keys else [_B]
     w = Window.partitionBy(*pk).orderBy(*order)
     kinds = {k for k, _ in specs.values()}
     extra = []
@@ -132,17 +159,18 @@ def ordered_scan(
         "*", *extra, *[_in_partition(kind, _as_col(c), w).alias(f"__in_{n}") for n, (kind, c) in specs.items()]
     )
 
-    # Per-bucket summary: partial aggregation before the (small) exchange.
-    last_first = {"prev": lambda c: F.max_by(c, F.struct(*order)), "next": lambda c: F.min_by(c, F.struct(*order))}
-    summary = d.groupBy(*pk).agg(
-        *[
-            (last_first[kind](_as_col(c)) if kind in last_first else (F.max if kind.startswith("max") else F.sum)(_as_col(c))).alias(
-                f"__s_{n}"
-            )
-            for n, (kind, c) in specs.items()
-        ]
-    )
-    ws = _key_window(keys).orderBy(_B)
+    # Per-bucket summary, partially aggregated before its (small) exchange.
+    # Fixed-width buffers keep it a hash aggregate (no sort of the input).
+    def summarise(kind: str, c) -> Column:
+        col = _as_col(c)
+        if kind in ("prev", "next"):
+            if isinstance(c, str) and order and str(order[0]) == str(F.col(c)):
+                return (F.max if kind == "prev" else F.min)(col)  # value is the leading order column
+            return (F.max_by if kind == "prev" else F.min_by)(col, F.struct(*order))
+        return (F.max if kind.startswith("max") else F.sum)(col)
+
+    summary = d.groupBy(*pk).agg(*[summarise(kind, c).alias(f"__s_{n}") for n, (kind, c) in specs.items()])
+    ws = (Window.partitionBy(_K) if keys else Window.partitionBy()).orderBy(_B)
     earlier = ws.rowsBetween(Window.unboundedPreceding, -1)
     carry_expr = {
         "prev": lambda s: F.lag(s).over(ws),
@@ -152,12 +180,10 @@ def ordered_scan(
         "sum": lambda s: F.sum(s).over(earlier),
         "sum_before": lambda s: F.sum(s).over(earlier),
     }
-    carry = summary.select(
-        *[F.col(k).alias(f"__k_{i}") for i, k in enumerate(pk)],
-        *[carry_expr[kind](F.col(f"__s_{n}")).alias(f"__c_{n}") for n, (kind, _) in specs.items()],
-    )
-    cond = [rows[k].eqNullSafe(carry[f"__k_{i}"]) for i, k in enumerate(pk)]
-    joined = rows.join(carry, cond, "inner")
+    carry = summary.select(*pk, *[carry_expr[kind](F.col(f"__s_{n}")).alias(f"__c_{n}") for n, (kind, _) in specs.items()])
+    # Equi-join on exactly the window's partition columns: the row side is
+    # already hash-partitioned by them, only the summary side moves.
+    joined = rows.join(carry, pk, "inner")
 
     def combine(n: str, kind: str) -> Column:
         inner, outer = F.col(f"__in_{n}"), F.col(f"__c_{n}")
@@ -169,7 +195,8 @@ def ordered_scan(
             return F.greatest(inner, outer)
         return F.coalesce(inner, F.lit(0)) + F.coalesce(outer, F.lit(0))
 
-    return joined.select(*df.columns, *[combine(n, kind).alias(n) for n, (kind, _) in specs.items()])
+    keep = [c for c in d.columns]
+    return joined.select(*keep, *[combine(n, kind).alias(n) for n, (kind, _) in specs.items()])
 
 
 def _in_partition(kind: str, c: Column, w) -> Column:
@@ -193,7 +220,6 @@ def sessionize(
     gap_us: int,
     inclusive_break: bool,
     bucket: Column | None = None,
-    carry: dict[str, object] | None = None,
     extra: dict[str, tuple[str, object]] | None = None,
 ) -> DataFrame:
     """Gap sessions per key in ``(ts, seq)`` order.
@@ -201,23 +227,14 @@ def sessionize(
     Adds ``prev_us`` (previous row's time), ``is_start`` and
     ``session_start_us``. A row starts a session when it is the key's first
     row or when ``ts - prev > gap`` (``>=`` if ``inclusive_break``).
-    ``carry`` names extra per-row values whose value *at the session's first
-    row* is wanted on every row (returned as ``start_<name>``). ``extra`` are
-    further :func:`ordered_scan` specs computed in the same first pass.
+    ``extra`` are further :func:`ordered_scan` specs computed in the same
+    first pass. Two scans; the second reuses the first one's partitioning.
     """
-    carry = carry or {}
     order = [ts_us, seq]
     d = ordered_scan(df, keys, order, {"prev_us": ("prev", ts_us), **(extra or {})}, bucket)
     diff = F.col(ts_us) - F.col("prev_us")
     brk = diff >= F.lit(gap_us) if inclusive_break else diff > F.lit(gap_us)
     d = d.withColumn("is_start", F.col("prev_us").isNull() | brk)
     # Session starts rise strictly with ts, so "latest start so far" is a running max.
-    marker = F.when(
-        F.col("is_start"), F.struct(F.col(ts_us).alias("t"), *[_as_col(c).alias(n) for n, c in carry.items()])
-    )
-    d = ordered_scan(d, keys, order, {"__ck_mark": ("max", marker)}, bucket)
-    return d.select(
-        *[c for c in d.columns if c != "__ck_mark"],
-        F.col("__ck_mark.t").alias("session_start_us"),
-        *[F.col(f"__ck_mark.{n}").alias(f"start_{n}") for n in carry],
-    )
+    marker = F.when(F.col("is_start"), F.col(ts_us))
+    return ordered_scan(d, keys, order, {"session_start_us": ("max", marker)}, bucket)
