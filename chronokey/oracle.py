@@ -65,6 +65,9 @@ SELECT user_id, 'alert', t + {IDLE}, CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)
 """
 )
 
+# A flushed stream also fires each key's final silence (open alert).
+STREAM_SENSOR_MONITOR = SENSOR_MONITOR + " OR nxt IS NULL\n"
+
 # Step through each key's rows in (t, event_id) order with the close rules:
 # t >= last + gap -> new session; else t > start + max -> new session.
 _CAPPED = f"""
@@ -183,4 +186,5 @@ ORACLE_SQL: dict[str, str] = {
     "late_audit": LATE_AUDIT,
     "terminated_sessions": TERMINATED_SESSIONS,
     "gap_sessions": GAP_SESSIONS,
+    "stream_sensor_monitor": STREAM_SENSOR_MONITOR,
 }

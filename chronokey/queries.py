@@ -98,7 +98,10 @@ def q_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts", "value"]))
-    r = sensor_monitor(ev, KEY, "ts", "value", ARRIVAL, DAY, IDLE)
+    return project_monitor(sensor_monitor(ev, KEY, "ts", "value", ARRIVAL, DAY, IDLE))
+
+
+def project_monitor(r: DataFrame) -> DataFrame:
     return r.select(KEY, "kind", _us("at").alias("at_us"), F.round("value", 6).alias("value"), "n")
 
 

@@ -149,3 +149,22 @@ def stream_capped_sessions(
     )
     out = out.withColumn("timestamps", F.transform("timestamps", lambda x: from_epoch_us(x)))
     return _times(out, key, [])
+
+
+def stream_sensor_monitor(
+    sdf: DataFrame, key="sensor_id", ts="ts", value="temperature", seq="seq", width=DEFAULT_WIDTH,
+    threshold="10 seconds", domain="event", delay=DEFAULT_DELAY,
+):
+    """J4 as one streaming query: the arrival-order means and the inactivity
+    alerts of the same source, two stateful operators whose outputs are
+    unioned (kind, at, value, n). With ``domain="event"`` alerts fire in event
+    time, so a flushed replay also reports the keys' final silences."""
+    seq_col = seq if isinstance(seq, str) else seq[-1]
+    means = stream_arrival_window_mean(sdf, key, ts, value, seq, width, delay).select(
+        key, F.lit("mean").alias("kind"), F.col("window_end").alias("at"), F.col("mean").alias("value"), "n"
+    )
+    alerts = stream_inactivity_alerts(sdf, key, ts, seq_col, threshold, domain, delay).select(
+        key, F.lit("alert").alias("kind"), F.col("alert_time").alias("at"),
+        F.lit(None).cast("double").alias("value"), F.lit(None).cast("long").alias("n"),
+    )
+    return means.unionByName(alerts)

@@ -88,6 +88,14 @@ def q_stream_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFra
     return Q.project_alerts(r)
 
 
+def q_stream_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def build(s: DataFrame) -> DataFrame:
+        return S.stream_sensor_monitor(Q.with_arrival(s), Q.KEY, "ts", "value", Q.ARRIVAL, Q.DAY, Q.IDLE, "event", REPLAY_DELAY)
+
+    r = replay(spark, sf_dir, "sensor_monitor", [Q.KEY, Q.SEQ, "ts", "value"], build)
+    return Q.project_monitor(r)
+
+
 def q_stream_capped_sessions_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = replay(spark, sf_dir, "capped_sessions", [Q.KEY, Q.SEQ, "ts"],
                lambda s: S.stream_capped_sessions(s, Q.KEY, "ts", Q.SEQ, Q.GAP, Q.MAX_LEN, "event_time", REPLAY_DELAY))
@@ -117,6 +125,7 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_tumbling_mean": q_stream_tumbling_mean,
     "stream_arrival_window_mean": q_stream_arrival_window_mean,
     "stream_inactivity_alerts_open": q_stream_inactivity_alerts_open,
+    "stream_sensor_monitor": q_stream_sensor_monitor,
     "stream_capped_sessions_event_time": q_stream_capped_sessions_event_time,
     "stream_early_count_final": q_stream_early_count_final,
     "stream_terminated_sessions": q_stream_terminated_sessions,
