@@ -14,9 +14,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# Ship these classes inside the pickled task: executors then need no install
+# of this package (nothing else of it runs in Python workers).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _ceil_ms(us: int) -> int:
     return -(-us // 1000)
@@ -55,7 +62,7 @@ class EarlyCountProcessor(_Base):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         ordered = sorted(rows, key=lambda r: tuple(r[c] for c in self.order))
-        c, ws = self.count.get() if self.count.exists() else (0, ordered[0]["__ws"])
+        c, ws = self.count.get() or (0, ordered[0]["__ws"])
         if c == 0:
             self.handle.registerTimer(_ceil_ms(ws + self.width_us))
         for _ in ordered:
@@ -65,9 +72,9 @@ class EarlyCountProcessor(_Base):
         self.count.update((c, ws))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.include_final and self.count.exists():
-            c, ws = self.count.get()
-            yield self._row(key, ws, c, "final")
+        st = self.count.get() if self.include_final else None
+        if st:
+            yield self._row(key, st[1], st[0], "final")
         self.count.clear()
 
 
@@ -87,8 +94,7 @@ class ArrivalMeanProcessor(_Base):
         return Row(key=key[0], window_start_us=end_us - self.width_us, window_end_us=end_us, n=n, mean=total / n)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        st = self.win.get() if self.win.exists() else None
-        end, total, n, timer = st if st else (None, 0.0, 0, None)
+        end, total, n, timer = self.win.get() or (None, 0.0, 0, None)
         for r in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             t = r["__us"]
             if end is not None and t < end:
@@ -102,10 +108,9 @@ class ArrivalMeanProcessor(_Base):
         self.win.update((end, total, n, new_timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.win.exists():
-            end, total, n, _ = self.win.get()
-            if n > 0:
-                yield self._row(key, end, total, n)
+        st = self.win.get()
+        if st and st[2] > 0:
+            yield self._row(key, st[0], st[1], st[2])
         self.win.clear()
 
 
@@ -135,8 +140,7 @@ class InactivityProcessor(_Base):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        st = self.last.get() if self.last.exists() else None
-        last, timer = st if st else (None, None)
+        last, timer = self.last.get() or (None, None)
         for r in sorted(rows, key=lambda r: (r["__us"], r["__seq"])):
             t = r["__us"]
             if self.domain == "event" and last is not None and t - last >= self.threshold_us:
@@ -150,8 +154,9 @@ class InactivityProcessor(_Base):
         self.last.update((last, new_timer))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.last.exists():
-            last, _ = self.last.get()
+        st = self.last.get()
+        if st:
+            last = st[0]
             alert = last + self.threshold_us if self.domain == "event" else expiredTimerInfo.getExpiryTimeInMs() * 1000
             yield self._row(key, last, alert, None)
         self.last.clear()
@@ -181,9 +186,9 @@ class TerminatedSessionProcessor(_Base):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        st = self.sess.get() if self.sess.exists() else None
+        st = self.sess.get()
         buf = list(self.buf.get()) if st else []
-        start, last, seg, timer = st if st else (None, None, 0, None)
+        start, last, seg, timer = st or (None, None, 0, None)
         for r in sorted(rows, key=lambda r: (r["__us"], r["__seq"])):
             t = r["__us"]
             if start is not None and t - last > self.gap_us:
@@ -203,8 +208,9 @@ class TerminatedSessionProcessor(_Base):
         self.buf.put(buf) if buf else self.buf.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.sess.exists():
-            start, last, seg, _ = self.sess.get()
+        st = self.sess.get()
+        if st:
+            start, last, seg, _ = st
             buf = list(self.buf.get())
             if buf:
                 yield self._row(key, start, last + self.gap_us, seg, buf, "timeout")
@@ -241,9 +247,9 @@ class CappedSessionProcessor(_Base):
         return last + self.gap_us <= start + self.max_us
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        st = self.sess.get() if self.sess.exists() else None
+        st = self.sess.get()
         buf = [b[0] for b in self.buf.get()] if st else []
-        start, last, timer = st if st else (None, None, None)
+        start, last, timer = st or (None, None, None)
         for r in sorted(rows, key=lambda r: (r["__us"], r["__seq"])):
             t = r["__us"]
             if start is not None:
@@ -262,8 +268,9 @@ class CappedSessionProcessor(_Base):
         self.buf.put([(b,) for b in buf])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.sess.exists():
-            start, last, _ = self.sess.get()
+        st = self.sess.get()
+        if st:
+            start, last, _ = st
             buf = [b[0] for b in self.buf.get()]
             yield self._row(key, start, last, buf, self._by_deadline(start, last))
         self.sess.clear()

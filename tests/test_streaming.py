@@ -114,3 +114,21 @@ def test_processing_time_alerts(spark):
     finally:
         q.stop()
     assert got == ["sensor_1", "sensor_2"]
+
+
+def test_stateful_stream_runs_outside_repo(tmp_path):
+    """Python workers must not need this package importable (cwd elsewhere)."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    repo = Path(__file__).resolve().parents[1]
+    code = (
+        f"import sys; sys.path.insert(0, {str(repo)!r})\n"
+        "from chronokey.session import get_spark\n"
+        f"spark = get_spark('local[2]', **{{'spark.checkpoint.dir': {str(tmp_path / 'ckpt')!r}}})\n"
+        "from __spark_entry__ import queries\n"
+        "print('ROWS', queries()['stream_early_count_final'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
+    assert "ROWS 776" in out.stdout, out.stderr[-2000:]
