@@ -3,9 +3,9 @@
 ``ts`` must be a ``TIMESTAMP`` column; each function sets the watermark
 (``delay`` of allowed disorder) itself. Outputs have the same columns and
 types as the batch operators and are meant for ``outputMode("append")``.
-J1 and J9 are plain streaming aggregates; the others run a
-``StatefulProcessor`` under ``transformWithState`` with event-time timers
-(processing-time for live inactivity alerts).
+J1 and J9 are plain streaming aggregates; the others run a per-key state
+function under ``applyInPandasWithState`` with an event-time timeout
+(processing-time for live inactivity alerts), see ``stateful.py``.
 """
 
 from __future__ import annotations
@@ -13,19 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us, window_floor
 from chronokey.operators._common import as_list
 from chronokey.operators.sessions import CAPPED_GAP, CAPPED_MAX, TERMINATED_GAP, TERMINATORS
 from chronokey.operators.triggers import EARLY_N, EARLY_WIDTH
 from chronokey.operators.windows import DEFAULT_WIDTH, tumbling_mean
-from chronokey.streaming.processors import (
-    ArrivalMeanProcessor,
-    CappedSessionProcessor,
-    EarlyCountProcessor,
-    InactivityProcessor,
-    TerminatedSessionProcessor,
-)
+from chronokey.streaming import stateful as ST
 
 DEFAULT_DELAY = "5 seconds"
 _L = T.LongType()
@@ -64,12 +59,18 @@ def stream_gap_sessions(sdf: DataFrame, key="user_id", ts="ts", gap=TERMINATED_G
     )
 
 
+def _stateful(d: DataFrame, key: str, fn, key_type: T.DataType, columns, out_fields, state_schema: str, timeout: str):
+    schema = _schema(key_type, out_fields)
+    assert [f.name for f in schema.fields] == columns
+    return d.groupBy(key).applyInPandasWithState(fn, schema, state_schema, "append", timeout)
+
+
 def stream_early_count(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", width=EARLY_WIDTH, n=EARLY_N, include_final=True, once=False,
     delay=DEFAULT_DELAY,
 ):
-    """Keyed by (key, window): the window struct carries the watermark, so a
-    row is late only once its window end is behind the watermark (as with a
+    """The input carries the ``window`` struct, which holds the watermark, so
+    a row is late only once its window end is behind the watermark (as with a
     windowed aggregate), not as soon as its own time is."""
     width_us = duration_us(width)
     order = as_list(seq)
@@ -77,9 +78,10 @@ def stream_early_count(
     d = sdf.withWatermark(ts, delay).select(
         key, *order, w.alias("__w"), window_floor(epoch_us(ts), width_us).alias("__ws")
     )
-    schema = _schema(sdf.schema[key].dataType, [("window_start_us", _L), ("window_end_us", _L), ("count", _L), ("pane", T.StringType())])
-    out = d.groupBy(key, "__ws").transformWithState(
-        EarlyCountProcessor(width_us, n, include_final, once, order), schema, "Append", "EventTime"
+    out = _stateful(
+        d, key, ST.early_count_fn(width_us, n, include_final, once, order), sdf.schema[key].dataType, ST.EARLY_COLUMNS,
+        [("window_start_us", _L), ("window_end_us", _L), ("count", _L), ("pane", T.StringType())], ST.EARLY_STATE,
+        GroupStateTimeout.EventTimeTimeout,
     )
     return _times(out, key, [])
 
@@ -92,8 +94,11 @@ def stream_arrival_window_mean(
     d = sdf.withWatermark(ts, delay).select(
         key, *order, ts, epoch_us(ts).alias("__us"), F.col(value).cast("double").alias("__value")
     )
-    schema = _schema(sdf.schema[key].dataType, [("window_start_us", _L), ("window_end_us", _L), ("n", _L), ("mean", T.DoubleType())])
-    out = d.groupBy(key).transformWithState(ArrivalMeanProcessor(width_us, order), schema, "Append", "EventTime")
+    out = _stateful(
+        d, key, ST.arrival_mean_fn(width_us, order), sdf.schema[key].dataType, ST.MEAN_COLUMNS,
+        [("window_start_us", _L), ("window_end_us", _L), ("n", _L), ("mean", T.DoubleType())], ST.MEAN_STATE,
+        GroupStateTimeout.EventTimeTimeout,
+    )
     return _times(out, key, [])
 
 
@@ -102,18 +107,18 @@ def stream_inactivity_alerts(
 ):
     """``domain="event"``: event-time silence, equal to the batch operator with
     ``include_open=True`` once the stream is flushed. ``domain="processing"``:
-    wall-clock timers, as in a live monitor (not reproducible)."""
+    wall-clock timeouts, as in a live monitor (not reproducible)."""
     d = sdf.select(key, ts, F.col(seq).alias("__seq"), epoch_us(ts).alias("__us"))
-    mode = "EventTime"
+    timeout = GroupStateTimeout.EventTimeTimeout
     if domain == "event":
         d = d.withWatermark(ts, delay)
     else:
-        mode = "ProcessingTime"
-    schema = _schema(
-        sdf.schema[key].dataType,
-        [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L), ("next_seen_us", _L)],
+        timeout = GroupStateTimeout.ProcessingTimeTimeout
+    out = _stateful(
+        d, key, ST.inactivity_fn(duration_us(threshold), domain), sdf.schema[key].dataType, ST.ALERT_COLUMNS,
+        [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L), ("next_seen_us", _L)], ST.ALERT_STATE,
+        timeout,
     )
-    out = d.groupBy(key).transformWithState(InactivityProcessor(duration_us(threshold), domain), schema, "Append", mode)
     return _times(out, key, ["idle_seconds"])
 
 
@@ -124,13 +129,12 @@ def stream_terminated_sessions(
     d = sdf.withWatermark(ts, delay).select(
         key, ts, F.col(seq).alias("__seq"), F.col(event_type).alias("__type"), epoch_us(ts).alias("__us")
     )
-    schema = _schema(
-        sdf.schema[key].dataType,
+    out = _stateful(
+        d, key, ST.terminated_session_fn(duration_us(gap), tuple(terminators)), sdf.schema[key].dataType,
+        ST.TERMINATED_COLUMNS,
         [("session_start_us", _L), ("session_end_us", _L), ("segment", _L), ("event_types", T.ArrayType(T.StringType())),
          ("closed_by", T.StringType())],
-    )
-    out = d.groupBy(key).transformWithState(
-        TerminatedSessionProcessor(duration_us(gap), terminators), schema, "Append", "EventTime"
+        ST.TERMINATED_STATE, GroupStateTimeout.EventTimeTimeout,
     )
     return _times(out, key, [])
 
@@ -140,12 +144,11 @@ def stream_capped_sessions(
     delay="0 seconds",
 ):
     d = sdf.withWatermark(ts, delay).select(key, ts, F.col(seq).alias("__seq"), epoch_us(ts).alias("__us"))
-    schema = _schema(
-        sdf.schema[key].dataType,
+    out = _stateful(
+        d, key, ST.capped_session_fn(duration_us(gap), duration_us(max_len), mode), sdf.schema[key].dataType,
+        ST.CAPPED_COLUMNS,
         [("session_start_us", _L), ("session_end_us", _L), ("n", _L), ("timestamps", T.ArrayType(_L)), ("reason", T.StringType())],
-    )
-    out = d.groupBy(key).transformWithState(
-        CappedSessionProcessor(duration_us(gap), duration_us(max_len), mode), schema, "Append", "EventTime"
+        ST.CAPPED_STATE, GroupStateTimeout.EventTimeTimeout,
     )
     out = out.withColumn("timestamps", F.transform("timestamps", lambda x: from_epoch_us(x)))
     return _times(out, key, [])
@@ -153,18 +156,21 @@ def stream_capped_sessions(
 
 def stream_sensor_monitor(
     sdf: DataFrame, key="sensor_id", ts="ts", value="temperature", seq="seq", width=DEFAULT_WIDTH,
-    threshold="10 seconds", domain="event", delay=DEFAULT_DELAY,
+    threshold="10 seconds", delay=DEFAULT_DELAY,
 ):
-    """J4 as one streaming query: the arrival-order means and the inactivity
-    alerts of the same source, two stateful operators whose outputs are
-    unioned (kind, at, value, n). With ``domain="event"`` alerts fire in event
-    time, so a flushed replay also reports the keys' final silences."""
-    seq_col = seq if isinstance(seq, str) else seq[-1]
-    means = stream_arrival_window_mean(sdf, key, ts, value, seq, width, delay).select(
-        key, F.lit("mean").alias("kind"), F.col("window_end").alias("at"), F.col("mean").alias("value"), "n"
+    """J4 as one streaming query: one state function per key computes both the
+    arrival-order means and the event-time silences (kind, at, value, n), as
+    the original job did in a single keyed function. A flushed replay also
+    reports each key's final silence."""
+    order = as_list(seq)
+    d = sdf.withWatermark(ts, delay).select(
+        key, *[c for c in order if c != key], ts, F.col(order[-1]).alias("__seq"), epoch_us(ts).alias("__us"),
+        F.col(value).cast("double").alias("__value"),
     )
-    alerts = stream_inactivity_alerts(sdf, key, ts, seq_col, threshold, domain, delay).select(
-        key, F.lit("alert").alias("kind"), F.col("alert_time").alias("at"),
-        F.lit(None).cast("double").alias("value"), F.lit(None).cast("long").alias("n"),
+    out = _stateful(
+        d, key, ST.sensor_monitor_fn(duration_us(width), duration_us(threshold), order), sdf.schema[key].dataType,
+        ST.MONITOR_COLUMNS,
+        [("kind", T.StringType()), ("at_us", _L), ("value", T.DoubleType()), ("n", _L)], ST.MONITOR_STATE,
+        GroupStateTimeout.EventTimeTimeout,
     )
-    return means.unionByName(alerts)
+    return _times(out, key, [])

@@ -28,7 +28,7 @@ from chronokey.sources.tables import EVENT_SCHEMA
 from chronokey.streaming import operators as S
 
 FLUSH_KEY = -(2**63)  # reserved user_id of the flush row
-FLUSH_TS = dt.datetime(3000, 1, 1)
+FLUSH_TS = dt.datetime(2200, 1, 1)
 REPLAY_DELAY = "1 hour"
 
 
@@ -90,7 +90,7 @@ def q_stream_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFra
 
 def q_stream_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(s: DataFrame) -> DataFrame:
-        return S.stream_sensor_monitor(Q.with_arrival(s), Q.KEY, "ts", "value", Q.ARRIVAL, Q.DAY, Q.IDLE, "event", REPLAY_DELAY)
+        return S.stream_sensor_monitor(Q.with_arrival(s), Q.KEY, "ts", "value", Q.ARRIVAL, Q.DAY, Q.IDLE, REPLAY_DELAY)
 
     r = replay(spark, sf_dir, "sensor_monitor", [Q.KEY, Q.SEQ, "ts", "value"], build)
     return Q.project_monitor(r)

@@ -15,7 +15,7 @@ from chronokey.sources import samples as S
 from chronokey.streaming import operators as SO
 from chronokey.streaming.replay import run_to_completion
 
-FLUSH = 32503680000000  # 3000-01-01 in ms
+FLUSH = 7258118400000  # 2200-01-01 in ms
 
 
 def _files(spark, rows, parts):
