@@ -173,6 +173,43 @@ FROM c GROUP BY user_id, ss
 """
 )
 
+# Timestamp text: 'yyyy-MM-dd HH:mm:ss.' + fraction without trailing zeros (at least one digit).
+def _ts_text(us: str) -> str:
+    t = f"make_timestamp({us})"
+    frac = f"rtrim(strftime({t}, '%f'), '0')"
+    return f"(strftime({t}, '%Y-%m-%d %H:%M:%S') || '.' || CASE WHEN {frac} = '' THEN '0' ELSE {frac} END)"
+
+
+TERMINATED_SESSION_MESSAGES = (
+    _SESSIONS
+    + f""", g AS (
+  SELECT user_id, ss, seg, max(t) + {GAP} AS se, string_agg(event_type, ', ' ORDER BY t, event_id) AS types
+  FROM c GROUP BY user_id, ss, seg
+)
+SELECT user_id, ss AS session_start_us, seg AS segment,
+       'Session for user ' || CAST(user_id AS VARCHAR) || ' [' || {_ts_text("ss")} || ',' || {_ts_text("se")}
+       || ') -> Events: [' || types || ']' AS message
+FROM g
+"""
+)
+
+CAPPED_SESSION_MESSAGES = (
+    _CAPPED
+    + f""", c AS (
+  SELECT *, CASE WHEN next_t IS NULL THEN last + {GAP} <= start + {MAX_LEN}
+                 ELSE next_t >= last + {GAP} END AS inactivity FROM r
+), m AS (
+  SELECT s.user_id, s.start, string_agg(CAST(s.t // 1000 AS VARCHAR), ', ' ORDER BY s.t, e.event_id) AS ms
+  FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn GROUP BY ALL
+)
+SELECT c.user_id, c.start AS session_start_us,
+       'Window([' || m.ms || ']) // closed by ' || CASE WHEN inactivity THEN 'Inactivity' ELSE 'Max' END
+       || ' (start=' || CAST(c.start // 1000 AS VARCHAR) || ', end='
+       || CAST((CASE WHEN inactivity THEN last + {GAP} ELSE c.start + {MAX_LEN} END) // 1000 AS VARCHAR) || ')' AS message
+FROM c JOIN m ON m.user_id = c.user_id AND m.start = c.start
+"""
+)
+
 ORACLE_SQL: dict[str, str] = {
     "tumbling_mean": TUMBLING_MEAN,
     "arrival_window_mean": ARRIVAL_WINDOW_MEAN,
@@ -186,5 +223,7 @@ ORACLE_SQL: dict[str, str] = {
     "late_audit": LATE_AUDIT,
     "terminated_sessions": TERMINATED_SESSIONS,
     "gap_sessions": GAP_SESSIONS,
+    "terminated_session_messages": TERMINATED_SESSION_MESSAGES,
+    "capped_session_messages": CAPPED_SESSION_MESSAGES,
     "stream_sensor_monitor": STREAM_SENSOR_MONITOR,
 }

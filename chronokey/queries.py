@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from chronokey.functions.time import epoch_us
 from chronokey.operators.alerts import inactivity_alerts, sensor_monitor
 from chronokey.operators.late import late_audit
+from chronokey.operators.render import render
 from chronokey.operators.sessions import capped_sessions, gap_sessions, terminated_sessions
 from chronokey.operators.triggers import early_count
 from chronokey.operators.windows import arrival_window_mean, tumbling_mean
@@ -179,6 +180,18 @@ def project_gap(r: DataFrame) -> DataFrame:
     return r.select(KEY, _us("session_start").alias("session_start_us"), _us("session_end").alias("session_end_us"), "n")
 
 
+def q_terminated_session_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_events(spark, sf_dir, [KEY, SEQ, "ts", "event_type"])
+    r = render(terminated_sessions(ev, KEY, "ts", SEQ, "event_type", GAP, EVENT_TERMINATORS), "terminated_sessions", KEY)
+    return r.select(KEY, _us("session_start").alias("session_start_us"), "segment", "message")
+
+
+def q_capped_session_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
+    r = render(capped_sessions(ev, KEY, "ts", SEQ, GAP, MAX_LEN, "arrival"), "capped_sessions", KEY)
+    return r.select(KEY, _us("session_start").alias("session_start_us"), "message")
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_mean": q_tumbling_mean,
     "arrival_window_mean": q_arrival_window_mean,
@@ -192,4 +205,6 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_audit": q_late_audit,
     "terminated_sessions": q_terminated_sessions,
     "gap_sessions": q_gap_sessions,
+    "terminated_session_messages": q_terminated_session_messages,
+    "capped_session_messages": q_capped_session_messages,
 }
