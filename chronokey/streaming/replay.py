@@ -46,8 +46,9 @@ def events_stream(spark: SparkSession, sf_dir: str, columns: list[str], flush_di
     return src.select(*columns).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def run_to_completion(spark: SparkSession, sdf: DataFrame, folder: str) -> DataFrame:
-    """Run an append-mode streaming DataFrame until the input is drained."""
+def run_to_completion(spark: SparkSession, sdf: DataFrame, folder: str, progress: list | None = None) -> DataFrame:
+    """Run an append-mode streaming DataFrame until the input is drained.
+    ``progress`` (a list) receives the finished query for inspection."""
     query = (
         sdf.writeStream.format("parquet")
         .option("path", f"{folder}/out")
@@ -57,9 +58,20 @@ def run_to_completion(spark: SparkSession, sdf: DataFrame, folder: str) -> DataF
         .start()
     )
     query.awaitTermination()
+    if progress is not None:
+        progress.append(query)
     return spark.read.schema(sdf.schema).parquet(f"{folder}/out")
 
 
+def dropped_by_watermark(query) -> int:
+    """Rows the stateful operators of a finished query dropped as late, from
+    its progress reports (``numRowsDroppedByWatermark``): the streaming
+    counterpart of :func:`chronokey.operators.late.late_audit`."""
+    return sum(
+        op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p.get("stateOperators", [])
+    )
+
+
 def replay(
     spark: SparkSession, sf_dir: str, name: str, columns: list[str], build: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:

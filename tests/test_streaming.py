@@ -132,3 +132,23 @@ def test_stateful_stream_runs_outside_repo(tmp_path):
     )
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
     assert "ROWS 776" in out.stdout, out.stderr[-2000:]
+
+
+def test_late_rows_dropped_match_audit(spark):
+    """A row whose window closed before it arrives: the windowed stream drops
+    it (numRowsDroppedByWatermark) and the batch audit flags the same row.
+    Spark filters late rows with the previous batch's watermark, so the late
+    row comes two batches after the row that moves the watermark."""
+    from chronokey import late_audit, tumbling_mean
+    from chronokey.streaming.replay import dropped_by_watermark
+
+    t0 = 1738360800000  # 22:00 UTC
+    rows = [("u", "a", t0 + 1000), ("v", "a", t0 + 3_700_000), ("w", "a", t0 + 3_700_001), ("u", "late", t0 + 3000)]
+    src = _stream(spark, _files(spark, rows, 4))
+    sdf = tumbling_mean(src.withWatermark("ts", "5 seconds"), "user_id", "ts", "seq", "1 hour")
+    queries = []
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/late-{uuid.uuid4().hex}"
+    run_to_completion(spark, sdf, folder, queries)
+    batch = late_audit(S.user_events(spark, rows), "user_id", "ts", "seq", "5 seconds", "1 hour")
+    assert [r.seq for r in batch.filter("is_late").collect()] == [3]
+    assert dropped_by_watermark(queries[0]) == 1
