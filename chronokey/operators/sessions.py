@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
 from chronokey.operators._common import sorted_by
 from chronokey.plans.chain import chain_starts
-from chronokey.plans.scan import DEFAULT_TARGET_ROWS, key_stats, resolve_bucket, sessionize
+from chronokey.plans.scan import DEFAULT_TARGET_ROWS, key_stats, resolve_width, session_summary, sessionize
 
 # ---- fixed values: defaults of the original session jobs ----
 TERMINATORS = ("LOGOUT", "CHECKOUT_COMPLETE")
@@ -22,8 +22,13 @@ _US = "__ts_us"
 
 
 def _prepare(df: DataFrame, key: str, ts: str, seq: str, cols: list[str], bucket, target_rows: int, stats=None):
+    """Project the needed columns; resolve the bucket width (None = plain windows)."""
     d = df.select(key, seq, *cols, epoch_us(ts).alias(_US))
-    return d, resolve_bucket(d, [key], F.col(_US), bucket, target_rows, stats=stats)
+    return d, resolve_width(d, [key], F.col(_US), bucket, target_rows, stats=stats)
+
+
+def _key_cols(key: str) -> Column:
+    return F.col(f"__ck_key.{key}").alias(key)
 
 
 def gap_sessions(
@@ -38,19 +43,31 @@ def gap_sessions(
     """Event-time session windows: a row joins the session if it is at most
     ``gap`` after the previous row (two rows exactly ``gap`` apart merge, like
     ``session_window``). Output: key, session_start, session_end (last + gap), n.
+
+    Aggregate-only: rows are partially aggregated per ``(key, floor(ts/gap))``
+    on the map side, sessions are found over those bucket rows (at most
+    span/gap per key, however hot the key) and summed. No raw row is
+    shuffled. ``bucket=None`` uses plain windows over the key instead (for
+    comparison); an int narrows the buckets.
     """
     gap_us = duration_us(gap)
-    d, b = _prepare(df, key, ts, seq, [], bucket, target_rows)
-    d = sessionize(d, [key], _US, seq, gap_us, inclusive_break=False, bucket=b)
-    return (
-        d.groupBy(key, "session_start_us")
-        .agg(F.count(F.lit(1)).alias("n"), F.max(_US).alias("__last"))
-        .select(
-            key,
-            from_epoch_us("session_start_us").alias("session_start"),
-            from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
-            "n",
+    d = df.select(key, seq, epoch_us(ts).alias(_US))
+    if bucket is None:
+        d = sessionize(d, [key], _US, seq, gap_us, inclusive_break=False)
+        agg = d.groupBy(key, "session_start_us").agg(F.count(F.lit(1)).alias("n"), F.max(_US).alias("__last"))
+    else:
+        width = min(bucket, gap_us) if isinstance(bucket, int) else gap_us
+        agg = (
+            session_summary(d, [key], _US, gap_us, False, width)
+            .groupBy("__ck_key", "session_start_us")
+            .agg(F.sum("__n").alias("n"), F.max("__last").alias("__last"))
+            .select(_key_cols(key), "session_start_us", "n", "__last")
         )
+    return agg.select(
+        key,
+        from_epoch_us("session_start_us").alias("session_start"),
+        from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
+        "n",
     )
 
 
@@ -79,7 +96,7 @@ def terminated_sessions(
     timeout.
     """
     gap_us = duration_us(gap)
-    d, b = _prepare(df, key, ts, seq, [event_type], bucket, target_rows)
+    d, width = _prepare(df, key, ts, seq, [event_type], bucket, target_rows)
     is_term = F.col(event_type).isin(*terminators)
     d = sessionize(
         d,
@@ -88,7 +105,7 @@ def terminated_sessions(
         seq,
         gap_us,
         inclusive_break=False,
-        bucket=b,
+        width_us=width,
         extra={"__terms_before": ("sum_before", is_term.cast("long"))},
     )
     # Rows with the same count of earlier terminators inside a session form
@@ -140,12 +157,13 @@ def capped_sessions(
     # One stats job sizes the buckets and bounds the largest island (an
     # island never has more rows than its key).
     stats = key_stats(df.select(key, epoch_us(ts).alias(_US)), [key], F.col(_US))
-    d, b = _prepare(df, key, ts, seq, [], bucket, target_rows, stats)
+    d, width = _prepare(df, key, ts, seq, [], bucket, target_rows, stats)
     # Islands: the gap test only looks at the previous row, so cap splits
     # never change them. next_us feeds the arrival-mode reason.
     d = sessionize(
-        d, [key], _US, seq, gap_us, inclusive_break=True, bucket=b, extra={"next_us": ("next", F.col(_US))}
+        d, [key], _US, seq, gap_us, inclusive_break=True, width_us=width, extra={"next_us": ("next", F.col(_US))}
     ).withColumnRenamed("session_start_us", "island_us")
+    b = None if width is None else F.floor(F.col(_US) / F.lit(min(width, gap_us))).cast("long")
     sessions = chain_starts(
         d, key, _US, seq, "island_us", max_us, bucket=b, fold_limit=fold_limit,
         max_island_rows=stats["n"] if stats else 0,

@@ -150,10 +150,12 @@ def _double_large(
 
     # Expand the orbit of every island head: after level k the set holds
     # nxt^j(head) for all j < 2^(levels-k).
+    # Heads: every row at the island's first time (equal times share nxt, so
+    # their orbits coincide after one step; duplicates are dropped).
     starts = rows.filter("is_start").select(key, F.col(seq).alias("src"))
     for lvl in reversed(levels[:-1]):
         hop = starts.join(lvl, [key, "src"]).filter(F.col("dst").isNotNull()).select(key, F.col("dst").alias("src"))
-        starts = _checkpointed(starts.unionByName(hop))
+        starts = _checkpointed(starts.unionByName(hop).dropDuplicates([key, "src"]))
 
     marked = rows.join(starts.withColumn("__start", F.lit(True)), (rows[key] == starts[key]) & (rows[seq] == starts["src"]), "left")
     marked = marked.select(rows[key], rows[seq], rows[ts_us], rows["next_us"], F.col("__start"))

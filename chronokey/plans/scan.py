@@ -90,6 +90,28 @@ def auto_bucket(
     return F.floor(_as_col(value) / F.lit(max(1, math.floor(width)))).cast("long")
 
 
+def auto_width(
+    df: DataFrame, keys: list[str], value, target_rows: int = DEFAULT_TARGET_ROWS, stats: dict | None = None
+) -> int | None:
+    """Bucket width (in units of ``value``) giving the densest key about
+    ``target_rows`` rows per bucket; None when no key has that many rows."""
+    top = stats if stats is not None else key_stats(df, keys, value)
+    if top is None or top["n"] <= target_rows:
+        return None
+    return max(1, math.floor(target_rows / top["density"]))
+
+
+def resolve_width(
+    df: DataFrame, keys: list[str], value, bucket, target_rows: int = DEFAULT_TARGET_ROWS, stats: dict | None = None
+) -> int | None:
+    """Like :func:`resolve_bucket` but returns the width: None, "auto" or an int."""
+    if bucket is None or isinstance(bucket, int):
+        return bucket
+    if bucket == "auto":
+        return auto_width(df, keys, value, target_rows, stats)
+    raise ValueError(f"bucket must be None, 'auto' or an int width here, not {bucket!r}")
+
+
 def resolve_bucket(
     df: DataFrame,
     keys: list[str],
@@ -212,6 +234,39 @@ def _in_partition(kind: str, c: Column, w) -> Column:
     return (F.max if kind.startswith("max") else F.sum)(c).over(frame)
 
 
+def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    d = df if _B in df.columns else df.withColumn(_B, bucket)
+    return d if not keys or _K in d.columns else d.withColumn(_K, F.struct(*keys))
+
+
+def session_summary(
+    df: DataFrame, keys: list[str], ts_us: str, gap_us: int, inclusive_break: bool, width_us: int
+) -> DataFrame:
+    """Gap sessions at bucket level, from a map-side partial aggregate.
+
+    With buckets ``floor(ts / width)`` and ``width <= gap``, consecutive rows
+    inside a bucket are less than ``gap`` apart, so a session can only start
+    at a bucket's first row: it does when the previous non-empty bucket of
+    the key ended more than ``gap`` earlier (``>=`` if ``inclusive_break``).
+    Returns one row per ``(__ck_key, __ck_bucket)`` with ``__first``,
+    ``__last``, ``__n`` and ``session_start_us``. The window over buckets
+    holds at most ``span / width`` rows per key, however hot the key.
+    """
+    if width_us > gap_us:
+        raise ValueError("session buckets must not be wider than the gap")
+    d = _with_bucket(df, keys, F.floor(F.col(ts_us) / F.lit(width_us)).cast("long"))
+    pk = [_K, _B] if keys else [_B]
+    s = d.groupBy(*pk).agg(
+        F.min(ts_us).alias("__first"), F.max(ts_us).alias("__last"), F.count(F.lit(1)).alias("__n")
+    )
+    w = (Window.partitionBy(_K) if keys else Window.partitionBy()).orderBy(_B)
+    diff = F.col("__first") - F.lag("__last").over(w)
+    brk = diff >= F.lit(gap_us) if inclusive_break else diff > F.lit(gap_us)
+    s = s.withColumn("__starts", F.coalesce(brk, F.lit(True)))
+    start = F.max(F.when(F.col("__starts"), F.col("__first"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return s.withColumn("session_start_us", start).drop("__starts")
+
+
 def sessionize(
     df: DataFrame,
     keys: list[str],
@@ -219,22 +274,33 @@ def sessionize(
     seq: str,
     gap_us: int,
     inclusive_break: bool,
-    bucket: Column | None = None,
+    width_us: int | None = None,
     extra: dict[str, tuple[str, object]] | None = None,
 ) -> DataFrame:
     """Gap sessions per key in ``(ts, seq)`` order.
 
-    Adds ``prev_us`` (previous row's time), ``is_start`` and
-    ``session_start_us``. A row starts a session when it is the key's first
-    row or when ``ts - prev > gap`` (``>=`` if ``inclusive_break``).
-    ``extra`` are further :func:`ordered_scan` specs computed in the same
-    first pass. Two scans; the second reuses the first one's partitioning.
+    Adds ``session_start_us`` and ``is_start`` (the row's time is its
+    session's start). A row starts a session when it is the key's first row
+    or when ``ts - prev > gap`` (``>=`` if ``inclusive_break``). ``extra``
+    are further :func:`ordered_scan` specs over the same order.
+
+    ``width_us=None``: plain windows over the key. Otherwise buckets of
+    ``min(width_us, gap)``: sessions come from :func:`session_summary` and
+    are joined back on ``(key, bucket)``; the only pass over the rows is the
+    one the ``extra`` specs need (same partitioning, no second exchange).
     """
     order = [ts_us, seq]
-    d = ordered_scan(df, keys, order, {"prev_us": ("prev", ts_us), **(extra or {})}, bucket)
-    diff = F.col(ts_us) - F.col("prev_us")
-    brk = diff >= F.lit(gap_us) if inclusive_break else diff > F.lit(gap_us)
-    d = d.withColumn("is_start", F.col("prev_us").isNull() | brk)
-    # Session starts rise strictly with ts, so "latest start so far" is a running max.
-    marker = F.when(F.col("is_start"), F.col(ts_us))
-    return ordered_scan(d, keys, order, {"session_start_us": ("max", marker)}, bucket)
+    if width_us is None:
+        d = ordered_scan(df, keys, order, {"__prev": ("prev", ts_us), **(extra or {})})
+        diff = F.col(ts_us) - F.col("__prev")
+        brk = diff >= F.lit(gap_us) if inclusive_break else diff > F.lit(gap_us)
+        marker = F.when(F.col("__prev").isNull() | brk, F.col(ts_us))
+        d = ordered_scan(d, keys, order, {"session_start_us": ("max", marker)}).drop("__prev")
+    else:
+        width = min(width_us, gap_us)
+        bucket = F.floor(F.col(ts_us) / F.lit(width)).cast("long")
+        d = ordered_scan(df, keys, order, extra, bucket) if extra else _with_bucket(df, keys, bucket)
+        summary = session_summary(df, keys, ts_us, gap_us, inclusive_break, width)
+        pk = [_K, _B] if keys else [_B]
+        d = d.join(summary.select(*pk, "session_start_us"), pk, "inner")
+    return d.withColumn("is_start", F.col(ts_us) == F.col("session_start_us"))
