@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
 from chronokey.operators.windows import DEFAULT_WIDTH, arrival_window_mean
-from chronokey.plans.scan import DEFAULT_TARGET_ROWS, ordered_scan, resolve_bucket
+from chronokey.plans.scan import DEFAULT_TARGET_ROWS, ordered_scan
 
 # ---- fixed values: default inactivity threshold of the original sensor job ----
 DEFAULT_THRESHOLD = "10 seconds"
@@ -32,12 +32,30 @@ def inactivity_alerts(
     key's last row raises one only with ``include_open`` (a live stream would
     fire it; a finished bounded run does not).
 
+    Default (``bucket="auto"`` or an int): aggregate-only over buckets no
+    wider than the threshold (partial aggregation, a window over at most
+    span/threshold buckets per key). ``bucket=None``: a plain ``lead`` window.
+
     Output: key, last_seen, alert_time, idle_seconds, next_seen.
     """
     thr = duration_us(threshold)
     d = df.select(key, seq, epoch_us(time_col).alias("__t"))
-    b = resolve_bucket(d, [key], F.col("__t"), bucket, target_rows)
-    d = ordered_scan(d, [key], ["__t", seq], {"__next": ("next", "__t")}, b)
+    if bucket is None:
+        d = ordered_scan(d, [key], ["__t", seq], {"__next": ("next", "__t")})
+    else:
+        # Buckets no wider than the threshold: rows inside a bucket are less
+        # than the threshold apart, so a long enough silence can only follow
+        # a bucket's last row. Aggregate-only: no raw row is shuffled.
+        width = min(bucket, thr) if isinstance(bucket, int) else thr
+        d = (
+            d.groupBy(F.struct(key).alias("__k"), F.floor(F.col("__t") / F.lit(width)).alias("__b"))
+            .agg(F.min("__t").alias("__first"), F.max("__t").alias("__t"))
+            .select(
+                F.col(f"__k.{key}").alias(key),
+                "__t",
+                F.lead("__first").over(Window.partitionBy("__k").orderBy("__b")).alias("__next"),
+            )
+        )
     late_next = F.col("__next") - F.col("__t") >= F.lit(thr)
     cond = late_next | F.col("__next").isNull() if include_open else late_next
     return d.filter(cond).select(
