@@ -39,7 +39,7 @@ def inactivity_alerts(
     Output: key, last_seen, alert_time, idle_seconds, next_seen.
     """
     thr = duration_us(threshold)
-    d = df.select(key, seq, epoch_us(time_col).alias("__t"))
+    d = df.select(key, seq, epoch_us(time_col).alias("__t")).filter(F.col("__t").isNotNull())
     if bucket is None:
         d = ordered_scan(d, [key], ["__t", seq], {"__next": ("next", "__t")})
     else:

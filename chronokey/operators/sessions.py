@@ -23,7 +23,7 @@ _US = "__ts_us"
 
 def _prepare(df: DataFrame, key: str, ts: str, seq: str, cols: list[str], bucket, target_rows: int, stats=None):
     """Project the needed columns; resolve the bucket width (None = plain windows)."""
-    d = df.select(key, seq, *cols, epoch_us(ts).alias(_US))
+    d = df.select(key, seq, *cols, epoch_us(ts).alias(_US)).filter(F.col(_US).isNotNull())
     return d, resolve_width(d, [key], F.col(_US), bucket, target_rows, stats=stats)
 
 
@@ -51,7 +51,7 @@ def gap_sessions(
     comparison); an int narrows the buckets.
     """
     gap_us = duration_us(gap)
-    d = df.select(key, seq, epoch_us(ts).alias(_US))
+    d = df.select(key, seq, epoch_us(ts).alias(_US)).filter(F.col(_US).isNotNull())
     if bucket is None:
         d = sessionize(d, [key], _US, seq, gap_us, inclusive_break=False)
         agg = d.groupBy(key, "session_start_us").agg(F.count(F.lit(1)).alias("n"), F.max(_US).alias("__last"))
