@@ -32,12 +32,23 @@ FLUSH_TS = dt.datetime(2200, 1, 1)
 REPLAY_DELAY = "1 hour"
 
 
-def events_stream(spark: SparkSession, sf_dir: str, columns: list[str], flush_dir: str | None = None) -> DataFrame:
+MAX_FILES_PER_TRIGGER = 1000
+
+
+def events_stream(
+    spark: SparkSession,
+    sf_dir: str,
+    columns: list[str],
+    flush_dir: str | None = None,
+    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+) -> DataFrame:
     """``events`` as a streaming DataFrame (``ts`` as UTC TIMESTAMP), plus the
-    flush row when ``flush_dir`` is given."""
+    flush row when ``flush_dir`` is given. ``max_files_per_trigger`` bounds
+    each micro-batch, so a large table replays as many bounded batches."""
     src = (
         spark.readStream.schema(EVENT_SCHEMA)
         .option("pathGlobFilter", "events.parquet")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(sf_dir.rstrip("/"))
     )
     if flush_dir is not None:

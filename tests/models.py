@@ -115,3 +115,18 @@ def late(rows, delay, width):
         out[s] = (wm, wm is not None and t - t % width + width <= wm)
         mx = t if mx is None else max(mx, t)
     return out
+
+
+def gap_sessions(rows, gap):
+    """rows: (key, seq, ts). -> set of (key, start, end, n); breaks when ts - prev > gap."""
+    out = set()
+    for k, rs in by_key(rows).items():
+        ts = sorted(r[2] for r in rs)
+        start, last, n = ts[0], ts[0], 0
+        for t in ts:
+            if t - last > gap:
+                out.add((k, start, last + gap, n))
+                start, n = t, 0
+            last, n = t, n + 1
+        out.add((k, start, last + gap, n))
+    return out

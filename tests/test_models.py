@@ -15,6 +15,7 @@ from chronokey import (
     arrival_window_mean,
     capped_sessions,
     early_count,
+    gap_sessions,
     inactivity_alerts,
     late_audit,
     terminated_sessions,
@@ -88,6 +89,20 @@ def test_terminated(table, b):
     assert got == want
 
 
+@pytest.mark.parametrize("b", BUCKETS)
+def test_gap_sessions(table, b):
+    rows, df = table
+    want = models.gap_sessions([(k, s, t) for k, s, t, _, _ in rows], GAP)
+    out = gap_sessions(df, gap=GAP, bucket=_bucket(b, 1000))
+    got = {
+        (r.user_id, r.s, r.e, r.n)
+        for r in out.select(
+            "user_id", F.unix_millis("session_start").alias("s"), F.unix_millis("session_end").alias("e"), "n"
+        ).collect()
+    }
+    assert got == want
+
+
 @pytest.mark.parametrize("b", BUCKETS)
 def test_arrival_mean(table, b):
     rows, df = table
