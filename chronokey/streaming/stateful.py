@@ -18,6 +18,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 
@@ -72,11 +73,15 @@ def early_count_fn(width_us: int, n: int, include_final: bool, once: bool, order
                         out.append((key[0], ws, ws + width_us, counts[ws], "final"))
                     del counts[ws]
         else:
-            for ws in _rows(pdfs, order)["__ws"].tolist():
-                c = counts.get(ws, 0) + 1
-                counts[ws] = c
-                if c == n or (c > n and not once):
-                    out.append((key[0], ws, ws + width_us, c, "early"))
+            rows = _rows(pdfs, order)
+            ws = rows["__ws"].to_numpy(dtype="int64")
+            # running count per window in arrival order, on top of earlier batches
+            c = rows.groupby("__ws", sort=False).cumcount().to_numpy() + 1
+            c = c + rows["__ws"].map(counts).fillna(0).to_numpy(dtype="int64")
+            fire = (c == n) if once else (c >= n)
+            out = [(key[0], int(w), int(w) + width_us, int(k), "early") for w, k in zip(ws[fire], c[fire])]
+            for w, k in zip(ws, c):
+                counts[int(w)] = max(counts.get(int(w), 0), int(k))
         if counts:
             starts = sorted(counts)
             state.update((starts, [counts[w] for w in starts]))
@@ -93,26 +98,43 @@ MEAN_STATE = "end_us long, total double, n long"
 
 
 def _mean_fold(ts, values, end, total, cnt, width_us):
-    """Arrival-order window rule; returns closed windows (end, n, mean) and the open one."""
-    closed = []
-    for t, v in zip(ts, values):
-        if end is not None and t < end:
-            total, cnt = total + v, cnt + 1
-            continue
-        if end is not None:
-            closed.append((end, cnt, total / cnt))
-        end, total, cnt = t - t % width_us + width_us, v, 1
-    return closed, end, total, cnt
+    """Arrival-order window rule; returns closed windows (end, n, mean) and the open one.
+
+    The window end of each row is the running maximum of the natural window
+    ends, starting from the open window's end; each change of it closes a
+    window."""
+    ts = np.asarray(ts, dtype="int64")
+    if not len(ts):
+        return [], end, total, cnt
+    values = np.asarray(values, dtype="float64")
+    natural = ts - np.mod(ts, width_us) + width_us
+    if end is not None:
+        natural = np.concatenate([[end], natural])
+        values = np.concatenate([[total], values])
+        counts = np.concatenate([[cnt], np.ones(len(ts), dtype="int64")])
+    else:
+        counts = np.ones(len(ts), dtype="int64")
+    ends = np.maximum.accumulate(natural)
+    bounds = np.flatnonzero(np.diff(ends)) + 1
+    starts = np.concatenate([[0], bounds])
+    sums, ns = np.add.reduceat(values, starts), np.add.reduceat(counts, starts)
+    groups = [(int(ends[i]), int(k), float(v)) for i, k, v in zip(starts, ns, sums)]
+    closed = [(e, k, v / k) for e, k, v in groups[:-1]]
+    e, k, v = groups[-1]
+    return closed, e, v, k
 
 
 def _alert_fold(ts_sorted, last, threshold_us):
     """Silences of at least ``threshold`` between consecutive rows: (last, next)."""
-    alerts = []
-    for t in ts_sorted:
-        if last is not None and t - last >= threshold_us:
-            alerts.append((last, t))
-        last = t if last is None else max(last, t)
-    return alerts, last
+    ts = np.asarray(ts_sorted, dtype="int64")
+    if not len(ts):
+        return [], last
+    prev = np.concatenate([[ts[0] if last is None else last], ts[:-1]])
+    if last is not None:
+        prev = np.maximum.accumulate(prev)
+    hit = ts - prev >= threshold_us
+    alerts = [(int(a), int(b)) for a, b in zip(prev[hit], ts[hit])]
+    return alerts, int(ts[-1]) if last is None else max(last, int(ts[-1]))
 
 
 def arrival_mean_fn(width_us: int, order: list[str]):
@@ -155,11 +177,11 @@ def inactivity_fn(threshold_us: int, domain: str = "event"):
             yield from _out([(key[0], last, alert, idle_s, None)], ALERT_COLUMNS)
             return
         last = state.get[0] if state.exists else None
-        ts = _rows(pdfs, ["__us", "__seq"])["__us"].tolist()
+        ts = _rows(pdfs, ["__us", "__seq"])["__us"].to_numpy(dtype="int64")
         if domain == "event":
             alerts, last = _alert_fold(ts, last, threshold_us)
         else:
-            alerts, last = [], max([last, *ts] if last is not None else ts)
+            alerts, last = [], int(max(ts.max(), last if last is not None else ts.max()))
         state.update((last,))
         if domain == "event":
             _arm(state, last + threshold_us)
@@ -196,7 +218,7 @@ def sensor_monitor_fn(width_us: int, threshold_us: int, order: list[str]):
             rows = _rows(pdfs, order)
             closed, end, total, cnt = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, width_us)
             out += [(key[0], "mean", e, m, c) for e, c, m in closed]
-            by_time = [t for t, _ in sorted(zip(rows["__us"].tolist(), rows["__seq"].tolist()))]
+            by_time = rows.sort_values(["__us", "__seq"], kind="stable")["__us"].to_numpy(dtype="int64")
             alerts, last = _alert_fold(by_time, last, threshold_us)
             out += [(key[0], "alert", a + threshold_us, None, None) for a, _ in alerts]
         if end is None and last is None:
