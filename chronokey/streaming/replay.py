@@ -32,7 +32,7 @@ FLUSH_TS = dt.datetime(2200, 1, 1)
 REPLAY_DELAY = "1 hour"
 
 
-MAX_FILES_PER_TRIGGER = 1000
+MAX_FILES_PER_TRIGGER = None
 
 
 def events_stream(
@@ -40,15 +40,16 @@ def events_stream(
     sf_dir: str,
     columns: list[str],
     flush_dir: str | None = None,
-    max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
     """``events`` as a streaming DataFrame (``ts`` as UTC TIMESTAMP), plus the
     flush row when ``flush_dir`` is given. ``max_files_per_trigger`` bounds
     each micro-batch, so a large table replays as many bounded batches."""
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = (
-        spark.readStream.schema(EVENT_SCHEMA)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        reader
         .parquet(sf_dir.rstrip("/"))
     )
     if flush_dir is not None:
