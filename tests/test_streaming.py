@@ -18,25 +18,33 @@ from chronokey.streaming.replay import run_to_completion
 FLUSH = 7258118400000  # 2200-01-01 in ms
 
 
-def _files(spark, rows, parts):
-    """Write rows (user_id, event_type, ts_ms) in arrival order as several
-    parquet files with increasing modification times, plus a flush row."""
-    folder = f"{checkpoint_dir(spark).removeprefix('file:')}/src-{uuid.uuid4().hex}"
-    os.makedirs(folder)
-    rows = [(i, k, e, t) for i, (k, e, t) in enumerate(rows)] + [(10**6, "~flush", "x", FLUSH)]
-    chunks = [rows[i::1] for i in range(1)]
-    step = max(1, len(rows) // parts)
-    chunks = [rows[i : i + step] for i in range(0, len(rows) - 1, step)]
-    chunks[-1] = chunks[-1] + [rows[-1]] if rows[-1] not in chunks[-1] else chunks[-1]
-    now = time.time() - 100
-    for i, ch in enumerate(chunks):
+def _chunks(rows, parts):
+    """Rows (user_id, event_type, ts_ms) with arrival seq, split into ``parts``
+    chunks in arrival order; the flush row goes with the last chunk."""
+    rows = [(i, k, e, t) for i, (k, e, t) in enumerate(rows)]
+    step = max(1, -(-len(rows) // parts))
+    chunks = [rows[i : i + step] for i in range(0, len(rows), step)]
+    chunks[-1] = chunks[-1] + [(10**6, "~flush", "x", FLUSH)]
+    return chunks
+
+
+def _write(folder, chunks, first_index=0):
+    """Each chunk as one parquet file, modification times in chunk order."""
+    os.makedirs(folder, exist_ok=True)
+    now = time.time() - 100 + first_index
+    for i, ch in enumerate(chunks, start=first_index):
         table = pa.table({
             "seq": [r[0] for r in ch], "user_id": [r[1] for r in ch],
             "event_type": [r[2] for r in ch], "ts_ms": [r[3] for r in ch],
         })
         path = f"{folder}/part-{i:03d}.parquet"
         pq.write_table(table, path)
-        os.utime(path, (now + i, now + i))
+        os.utime(path, (now + i - first_index, now + i - first_index))
+
+
+def _files(spark, rows, parts):
+    folder = f"{checkpoint_dir(spark).removeprefix('file:')}/src-{uuid.uuid4().hex}"
+    _write(folder, _chunks(rows, parts))
     return folder
 
 
@@ -152,3 +160,33 @@ def test_late_rows_dropped_match_audit(spark):
     batch = late_audit(S.user_events(spark, rows), "user_id", "ts", "seq", "5 seconds", "1 hour")
     assert [r.seq for r in batch.filter("is_late").collect()] == [3]
     assert dropped_by_watermark(queries[0]) == 1
+
+
+@pytest.mark.parametrize("which", ["terminated", "early"])
+def test_restart_from_checkpoint(spark, which):
+    """Stop after part of the input, add the rest, restart on the same
+    checkpoint: state carries over and the total output equals batch."""
+    sample = S.TERMINATED_SESSION_SAMPLE if which == "terminated" else S.EARLY_COUNT_SAMPLE
+    chunks = _chunks(sample, 4)
+    folder = f"{checkpoint_dir(spark).removeprefix('file:')}/src-{uuid.uuid4().hex}"
+    _write(folder, chunks[:2])  # first run sees half of the input, no flush
+
+    def build():
+        src = _stream(spark, folder)
+        if which == "terminated":
+            return SO.stream_terminated_sessions(src, delay="5 seconds")
+        return SO.stream_early_count(src, delay="5 seconds")
+
+    out = f"{checkpoint_dir(spark).rstrip('/')}/restart-{uuid.uuid4().hex}"
+    run_to_completion(spark, build(), out)
+    _write(folder, chunks[2:], first_index=2)  # the rest arrives while the query is down
+    result = run_to_completion(spark, build(), out).filter(F.col("user_id") != "~flush")
+
+    batch_in = S.user_events(spark, sample)
+    if which == "terminated":
+        batch = terminated_sessions(batch_in)
+        cols = ["user_id", "session_start", "segment", F.array_join("event_types", ","), "closed_by"]
+    else:
+        batch = early_count(batch_in)
+        cols = ["user_id", "window_start", "count", "pane"]
+    assert _rows(result, cols) == _rows(batch, cols)
