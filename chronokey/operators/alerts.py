@@ -22,7 +22,7 @@ def inactivity_alerts(
     threshold=DEFAULT_THRESHOLD,
     include_open: bool = False,
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """One alert per silence of at least ``threshold`` after a row of a key.
 

@@ -25,7 +25,7 @@ def late_audit(
     delay=DEFAULT_DELAY,
     width=DEFAULT_WIDTH,
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Flag rows that arrive after the watermark passed their window.
 

@@ -38,7 +38,7 @@ def gap_sessions(
     seq: str = "seq",
     gap=TERMINATED_GAP,
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Event-time session windows: a row joins the session if it is at most
     ``gap`` after the previous row (two rows exactly ``gap`` apart merge, like
@@ -80,7 +80,7 @@ def terminated_sessions(
     gap=TERMINATED_GAP,
     terminators=TERMINATORS,
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Gap sessions that also emit immediately at a terminating event.
 
@@ -136,7 +136,7 @@ def capped_sessions(
     max_len=CAPPED_MAX,
     mode: str = "arrival",
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
     fold_limit: int | None = None,
 ) -> DataFrame:
     """Sessions closed by inactivity (``ts >= last + gap``) or by length

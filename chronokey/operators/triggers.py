@@ -25,7 +25,7 @@ def early_count(
     include_final: bool = True,
     once: bool = False,
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """Per-key tumbling windows that fire early.
 

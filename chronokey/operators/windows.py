@@ -41,7 +41,7 @@ def arrival_window_mean(
     seq="seq",
     width=DEFAULT_WIDTH,
     bucket="auto",
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
 ) -> DataFrame:
     """The sensor job's mean, including its handling of out-of-order rows.
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_TARGET_ROWS = 4_000_000
+TARGET_ROWS_CONF = "spark.chronokey.bucketTargetRows"
 
 _B = "__ck_bucket"
 _K = "__ck_key"
@@ -47,6 +48,15 @@ def _key_window(keys: list[str]):
     return Window.partitionBy(*keys) if keys else Window.partitionBy()
 
 
+def target_rows_for(df: DataFrame, target_rows: int | None) -> int:
+    """Explicit value, else the session setting ``spark.chronokey.bucketTargetRows``,
+    else 4M rows per bucket."""
+    if target_rows is not None:
+        return target_rows
+    conf = df.sparkSession.conf.get(TARGET_ROWS_CONF, None)
+    return int(conf) if conf else DEFAULT_TARGET_ROWS
+
+
 def key_stats(df: DataFrame, keys: list[str], value) -> dict | None:
     """Rows of the largest key, highest rows-per-unit density of any key and
     the widest key span of ``value``. One aggregation job, partially
@@ -65,7 +75,7 @@ def auto_bucket(
     df: DataFrame,
     keys: list[str],
     value,
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
     min_buckets: int = 1,
     stats: dict | None = None,
 ) -> Column | None:
@@ -79,6 +89,7 @@ def auto_bucket(
     (used for keyless scans, which must never become one un-partitioned
     window).
     """
+    target_rows = target_rows_for(df, target_rows)
     top = stats if stats is not None else key_stats(df, keys, value)
     if top is None:
         return None
@@ -91,10 +102,11 @@ def auto_bucket(
 
 
 def auto_width(
-    df: DataFrame, keys: list[str], value, target_rows: int = DEFAULT_TARGET_ROWS, stats: dict | None = None
+    df: DataFrame, keys: list[str], value, target_rows: int | None = None, stats: dict | None = None
 ) -> int | None:
     """Bucket width (in units of ``value``) giving the densest key about
     ``target_rows`` rows per bucket; None when no key has that many rows."""
+    target_rows = target_rows_for(df, target_rows)
     top = stats if stats is not None else key_stats(df, keys, value)
     if top is None or top["n"] <= target_rows:
         return None
@@ -102,7 +114,7 @@ def auto_width(
 
 
 def resolve_width(
-    df: DataFrame, keys: list[str], value, bucket, target_rows: int = DEFAULT_TARGET_ROWS, stats: dict | None = None
+    df: DataFrame, keys: list[str], value, bucket, target_rows: int | None = None, stats: dict | None = None
 ) -> int | None:
     """Like :func:`resolve_bucket` but returns the width: None, "auto" or an int."""
     if bucket is None or isinstance(bucket, int):
@@ -117,7 +129,7 @@ def resolve_bucket(
     keys: list[str],
     value,
     bucket,
-    target_rows: int = DEFAULT_TARGET_ROWS,
+    target_rows: int | None = None,
     min_buckets: int = 1,
     stats: dict | None = None,
 ):
