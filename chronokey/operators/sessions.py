@@ -81,6 +81,7 @@ def terminated_sessions(
     terminators=TERMINATORS,
     bucket="auto",
     target_rows: int | None = None,
+    lists: bool = True,
 ) -> DataFrame:
     """Gap sessions that also emit immediately at a terminating event.
 
@@ -93,7 +94,8 @@ def terminated_sessions(
     event_types (in (ts, seq) order), closed_by ('terminator' | 'timeout').
     ``session_end`` is the segment's last time + gap: for a terminator segment
     the window end at the moment it fires, for the last segment the session's
-    timeout.
+    timeout. ``lists=False`` returns the number of events ``n`` instead of
+    the list (a segment of a busy key can be arbitrarily long).
     """
     gap_us = duration_us(gap)
     d, width = _prepare(df, key, ts, seq, [event_type], bucket, target_rows)
@@ -114,7 +116,9 @@ def terminated_sessions(
     segments = d.groupBy(key, "session_start_us", "__terms_before").agg(
         F.max(_US).alias("__last"),
         F.max_by(is_term, F.struct(F.col(_US), F.col(seq))).alias("__closed"),
-        sorted_by(F.col(event_type), F.col(_US), F.col(seq)).alias("event_types"),
+        (sorted_by(F.col(event_type), F.col(_US), F.col(seq)) if lists else F.count(F.lit(1))).alias(
+            "event_types" if lists else "n"
+        ),
     )
     first = F.min("__terms_before").over(Window.partitionBy(key, "session_start_us"))
     return segments.select(
@@ -122,7 +126,7 @@ def terminated_sessions(
         from_epoch_us("session_start_us").alias("session_start"),
         from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
         (F.col("__terms_before") - first).alias("segment"),
-        "event_types",
+        "event_types" if lists else "n",
         F.when(F.col("__closed"), F.lit("terminator")).otherwise(F.lit("timeout")).alias("closed_by"),
     )
 
@@ -138,6 +142,7 @@ def capped_sessions(
     bucket="auto",
     target_rows: int | None = None,
     fold_limit: int | None = None,
+    lists: bool = True,
 ) -> DataFrame:
     """Sessions closed by inactivity (``ts >= last + gap``) or by length
     (``ts > start + max_len``), with the reason.
@@ -150,6 +155,8 @@ def capped_sessions(
     Membership is the same in both modes.
 
     Output: key, session_start, session_end, n, timestamps (sorted), reason.
+    ``lists=False`` leaves out ``timestamps`` (a session of a busy key can
+    hold up to ``max_len`` worth of rows).
     """
     if mode not in ("arrival", "event_time"):
         raise ValueError("mode must be 'arrival' or 'event_time'")
@@ -166,12 +173,12 @@ def capped_sessions(
     b = None if width is None else F.floor(F.col(_US) / F.lit(min(width, gap_us))).cast("long")
     sessions = chain_starts(
         d, key, _US, seq, "island_us", max_us, bucket=b, fold_limit=fold_limit,
-        max_island_rows=stats["n"] if stats else 0,
+        max_island_rows=stats["n"] if stats else 0, lists=lists,
     )
-    return _close(sessions, key, gap_us, max_us, mode)
+    return _close(sessions, key, gap_us, max_us, mode, lists)
 
 
-def _close(s: DataFrame, key: str, gap_us: int, max_us: int, mode: str) -> DataFrame:
+def _close(s: DataFrame, key: str, gap_us: int, max_us: int, mode: str, lists: bool = True) -> DataFrame:
     """sessions(key, start_us, last_us, n, ts_list, next_us) -> typed output."""
     start, last, nxt = F.col("start_us"), F.col("last_us"), F.col("next_us")
     by_deadline = last + F.lit(gap_us) <= start + F.lit(max_us)
@@ -185,6 +192,6 @@ def _close(s: DataFrame, key: str, gap_us: int, max_us: int, mode: str) -> DataF
         from_epoch_us(start).alias("session_start"),
         from_epoch_us(end).alias("session_end"),
         "n",
-        F.transform("ts_list", lambda x: from_epoch_us(x)).alias("timestamps"),
+        *([F.transform("ts_list", lambda x: from_epoch_us(x)).alias("timestamps")] if lists else []),
         F.when(inactivity, F.lit("Inactivity")).otherwise(F.lit("Max")).alias("reason"),
     )

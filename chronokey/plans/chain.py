@@ -17,8 +17,9 @@ expression. Two exact ways, picked per island by its row count:
   the join keys are unique so no key is hot. Every level is checkpointed to
   the shared ``spark.checkpoint.dir`` to cut lineage.
 
-Result columns: key, start_us, last_us, n, ts_list (sorted), next_us (time of
-the row after the session, null for the key's last session).
+Result columns: key, start_us, last_us, n, ts_list (sorted; null for large
+islands when ``lists=False``), next_us (time of the row after the session,
+null for the key's last session).
 """
 
 from __future__ import annotations
@@ -43,6 +44,7 @@ def chain_starts(
     bucket: Column | None = None,
     fold_limit: int | None = None,
     max_island_rows: int | None = None,
+    lists: bool = True,
 ) -> DataFrame:
     """``d`` has one row per event with ``key, seq, ts_us, island, is_start,
     next_us``; returns one row per capped session (see module doc).
@@ -58,7 +60,9 @@ def chain_starts(
     small = _fold_small(sized.filter(F.col("__island_n") <= limit), key, ts_us, seq, island, max_us)
     if limit > 0 and sizes.filter(F.col("__island_n") > limit).isEmpty():
         return small
-    big = _double_large(sized.filter(F.col("__island_n") > limit).drop("__island_n"), key, ts_us, seq, island, max_us, bucket)
+    big = _double_large(
+        sized.filter(F.col("__island_n") > limit).drop("__island_n"), key, ts_us, seq, island, max_us, bucket, lists
+    )
     return small.unionByName(big)
 
 
@@ -108,7 +112,8 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 
 def _double_large(
-    rows: DataFrame, key: str, ts_us: str, seq: str, island: str, max_us: int, bucket: Column | None
+    rows: DataFrame, key: str, ts_us: str, seq: str, island: str, max_us: int, bucket: Column | None,
+    lists: bool = True,
 ) -> DataFrame:
     # The rows of large islands are read four times below: materialise them
     # once in the shared checkpoint folder instead of recomputing the islands.
@@ -170,6 +175,6 @@ def _double_large(
     return labelled.groupBy(key, "start_us").agg(
         F.max(ts_us).alias("last_us"),
         F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_list(ts_us)).alias("ts_list"),
+        (F.array_sort(F.collect_list(ts_us)) if lists else F.lit(None).cast("array<bigint>")).alias("ts_list"),
         F.max_by("next_us", order).alias("next_us"),
     ).select(key, "start_us", "last_us", "n", "ts_list", "next_us")

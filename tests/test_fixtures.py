@@ -142,3 +142,16 @@ def test_capped_message(spark):
     cs = S.user_events(spark, S.CAPPED_SESSION_SAMPLE)
     msgs = sorted(r.message for r in render(capped_sessions(cs), "capped_sessions", key="user_id").collect())
     assert "Window([1000, 2000, 3000, 5000, 6000]) // closed by Max (start=1000, end=8000)" in msgs
+
+
+def test_without_lists(spark):
+    te = S.user_events(spark, S.TERMINATED_SESSION_SAMPLE)
+    out = terminated_sessions(te, lists=False).orderBy("user_id", "session_start").collect()
+    assert [(r.user_id, r.n, r.closed_by) for r in out] == [
+        ("user_1", 4, "terminator"), ("user_1", 3, "timeout"), ("user_2", 3, "terminator")
+    ]
+    cs = S.user_events(spark, S.CAPPED_SESSION_SAMPLE)
+    for fold_limit in (None, 0):
+        got = capped_sessions(cs, lists=False, fold_limit=fold_limit).orderBy("session_start")
+        assert "timestamps" not in got.columns
+        assert [(r.n, r.reason) for r in got.collect()] == [(5, "Max"), (1, "Inactivity"), (3, "Max")]
