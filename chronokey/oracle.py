@@ -141,8 +141,8 @@ _SESSIONS = f"""
 WITH e AS ({_E}),
 a AS (
   SELECT *, lag(t) OVER w AS p,
-         coalesce(sum(CASE WHEN event_type IN ('purchase', 'error') THEN 1 ELSE 0 END)
-                  OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tb
+         CAST(coalesce(sum(CASE WHEN event_type IN ('purchase', 'error') THEN 1 ELSE 0 END)
+                       OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS tb
   FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t, event_id)
 ),
 b AS (
