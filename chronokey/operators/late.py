@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us, window_floor
 from chronokey.operators._common import as_list, order_value
-from chronokey.plans.scan import DEFAULT_TARGET_ROWS, ordered_scan, resolve_bucket
+from chronokey.plans.scan import ordered_scan, resolve_bucket
 
 # ---- fixed values: watermark delay and window of the original windowed jobs ----
 DEFAULT_DELAY = "5 seconds"

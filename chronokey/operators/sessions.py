@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
 from chronokey.operators._common import sorted_by
 from chronokey.plans.chain import chain_starts
-from chronokey.plans.scan import DEFAULT_TARGET_ROWS, key_stats, resolve_width, session_summary, sessionize
+from chronokey.plans.scan import key_stats, resolve_width, session_summary, sessionize
 
 # ---- fixed values: defaults of the original session jobs ----
 TERMINATORS = ("LOGOUT", "CHECKOUT_COMPLETE")

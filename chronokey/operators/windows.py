@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us, window_floor
 from chronokey.operators._common import as_list, order_value
-from chronokey.plans.scan import DEFAULT_TARGET_ROWS, ordered_scan, resolve_bucket
+from chronokey.plans.scan import ordered_scan, resolve_bucket
 
 # Defaults are the constants of the original sensor job: 1-minute windows.
 DEFAULT_WIDTH = "60 seconds"
