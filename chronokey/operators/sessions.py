@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
 from chronokey.operators._common import sorted_by
 from chronokey.plans.chain import chain_starts
-from chronokey.plans.scan import key_stats, resolve_width, session_summary, sessionize
+from chronokey.plans.scan import key_stats, resolve_width, session_summary, sessionize, target_rows_for
 
 # ---- fixed values: defaults of the original session jobs ----
 TERMINATORS = ("LOGOUT", "CHECKOUT_COMPLETE")
@@ -163,7 +163,7 @@ def capped_sessions(
     gap_us, max_us = duration_us(gap), duration_us(max_len)
     # One stats job sizes the buckets and bounds the largest island (an
     # island never has more rows than its key).
-    stats = key_stats(df.select(key, epoch_us(ts).alias(_US)), [key], F.col(_US))
+    stats = key_stats(df.select(key, epoch_us(ts).alias(_US)), [key], F.col(_US), target_rows_for(df, target_rows))
     d, width = _prepare(df, key, ts, seq, [], bucket, target_rows, stats)
     # Islands: the gap test only looks at the previous row, so cap splits
     # never change them. next_us feeds the arrival-mode reason.

@@ -57,16 +57,20 @@ def target_rows_for(df: DataFrame, target_rows: int | None) -> int:
     return int(conf) if conf else DEFAULT_TARGET_ROWS
 
 
-def key_stats(df: DataFrame, keys: list[str], value) -> dict | None:
-    """Rows of the largest key, highest rows-per-unit density of any key and
-    the widest key span of ``value``. One aggregation job, partially
-    aggregated map-side; the result is a single row."""
+def key_stats(df: DataFrame, keys: list[str], value, min_rows: int = 0) -> dict | None:
+    """Rows of the largest key, the widest key span of ``value`` and the
+    highest rows-per-unit density among keys with more than ``min_rows``
+    rows (only those need splitting; a tiny key's burst must not shrink
+    everyone's buckets). One aggregation job, partially aggregated map-side;
+    the result is a single row."""
     v = _as_col(value)
     per_key = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), (F.max(v) - F.min(v) + F.lit(1)).alias("span")
     )
     top = per_key.agg(
-        F.max("n").alias("n"), F.max(F.col("n") / F.col("span")).alias("density"), F.max("span").alias("span")
+        F.max("n").alias("n"),
+        F.max(F.when(F.col("n") > F.lit(min_rows), F.col("n") / F.col("span"))).alias("density"),
+        F.max("span").alias("span"),
     ).first()
     return None if top is None or top["n"] is None else top.asDict()
 
@@ -90,7 +94,7 @@ def auto_bucket(
     window).
     """
     target_rows = target_rows_for(df, target_rows)
-    top = stats if stats is not None else key_stats(df, keys, value)
+    top = stats if stats is not None else key_stats(df, keys, value, 0 if min_buckets > 1 else target_rows)
     if top is None:
         return None
     if min_buckets <= 1 and top["n"] <= target_rows:
@@ -107,7 +111,7 @@ def auto_width(
     """Bucket width (in units of ``value``) giving the densest key about
     ``target_rows`` rows per bucket; None when no key has that many rows."""
     target_rows = target_rows_for(df, target_rows)
-    top = stats if stats is not None else key_stats(df, keys, value)
+    top = stats if stats is not None else key_stats(df, keys, value, target_rows)
     if top is None or top["n"] <= target_rows:
         return None
     return max(1, math.floor(target_rows / top["density"]))

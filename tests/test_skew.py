@@ -72,3 +72,14 @@ def test_capped_hot_island_by_doubling(skewed):
         capped_sessions(skewed, *args, bucket="auto", target_rows=TARGET, fold_limit=200),
         capped_sessions(skewed, *args, bucket=None),
     )
+
+
+def test_bucket_width_ignores_small_bursty_keys(spark):
+    # a small key with two rows in the same microsecond must not shrink the
+    # buckets sized for the one large key
+    big = spark.range(0, 5000).select(F.lit("big").alias("k"), (F.col("id") * 1000).alias("v"))
+    burst = spark.createDataFrame([("tiny", 7), ("tiny", 7)], "k string, v long")
+    df = big.unionByName(burst)
+    b = auto_bucket(df, ["k"], F.col("v"), target_rows=1000)
+    per = df.filter("k = 'big'").groupBy(b.alias("b")).count()
+    assert per.count() <= 6 and per.agg(F.max("count")).first()[0] <= 1000
