@@ -75,6 +75,31 @@ def key_stats(df: DataFrame, keys: list[str], value, min_rows: int = 0) -> dict
     return None if top is None or top["n"] is None else top.asDict()
 
 
+REFINE_PASSES = 4
+
+
+def _refine_width(df: DataFrame, keys: list[str], value, width: float, target_rows: int) -> int:
+    """Shrink ``width`` while the densest ``(key, bucket)`` exceeds twice the
+    target: the first width assumes rows spread evenly over a key's span, a
+    burst does not. Each pass is one aggregation (run only when buckets are
+    needed) and shrinks by four times the overshoot; at most
+    ``REFINE_PASSES`` passes. Rows sharing one timestamp cannot be split by
+    time; pass an explicit ``bucket`` width for data beyond that."""
+    w = max(1, math.floor(width))
+    v = _as_col(value)
+    for _ in range(REFINE_PASSES):
+        densest = (
+            df.groupBy(*keys, F.floor(v / F.lit(w)).alias("__b"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.max("n"))
+            .first()[0]
+        )
+        if not densest or densest <= 2 * target_rows or w == 1:
+            break
+        w = max(1, math.floor(w * target_rows / (4 * densest)))
+    return w
+
+
 def auto_bucket(
     df: DataFrame,
     keys: list[str],
@@ -102,6 +127,8 @@ def auto_bucket(
     width = target_rows / top["density"]
     if min_buckets > 1:
         width = min(width, top["span"] / min_buckets)
+    if top["n"] > target_rows:
+        width = _refine_width(df, keys, value, width, target_rows)
     return F.floor(_as_col(value) / F.lit(max(1, math.floor(width)))).cast("long")
 
 
@@ -114,7 +141,7 @@ def auto_width(
     top = stats if stats is not None else key_stats(df, keys, value, target_rows)
     if top is None or top["n"] <= target_rows:
         return None
-    return max(1, math.floor(target_rows / top["density"]))
+    return _refine_width(df, keys, value, target_rows / top["density"], target_rows)
 
 
 def resolve_width(

@@ -83,3 +83,13 @@ def test_bucket_width_ignores_small_bursty_keys(spark):
     b = auto_bucket(df, ["k"], F.col("v"), target_rows=1000)
     per = df.filter("k = 'big'").groupBy(b.alias("b")).count()
     assert per.count() <= 6 and per.agg(F.max("count")).first()[0] <= 1000
+
+
+def test_bucket_width_splits_a_burst(spark):
+    # one key: 4,000 rows spread over a long span plus 4,000 rows in a burst
+    # a thousand times denser
+    spread = spark.range(0, 4000).select(F.lit("k").alias("k"), (F.col("id") * 1_000_000).alias("v"))
+    burst = spark.range(0, 4000).select(F.lit("k").alias("k"), (F.lit(2_000_000_000) + F.col("id") * 1000).alias("v"))
+    df = spread.unionByName(burst)
+    b = auto_bucket(df, ["k"], F.col("v"), target_rows=1000)
+    assert df.groupBy(b.alias("b")).count().agg(F.max("count")).first()[0] <= 2000
