@@ -190,3 +190,13 @@ def test_restart_from_checkpoint(spark, which):
         batch = early_count(batch_in)
         cols = ["user_id", "window_start", "count", "pane"]
     assert _rows(result, cols) == _rows(batch, cols)
+
+
+def test_early_count_once_replay(spark):
+    src = _stream(spark, _files(spark, S.EARLY_COUNT_SAMPLE, 3))
+    out = _run(spark, SO.stream_early_count(src, include_final=False, once=True, delay="5 seconds"))
+    batch = early_count(S.user_events(spark, S.EARLY_COUNT_SAMPLE), include_final=False, once=True)
+    cols = ["user_id", "window_start", "count", "pane"]
+    assert _rows(out, cols) == _rows(batch, cols) == sorted(
+        (u, r[1], 5, "early") for u, r in zip(["user_1", "user_2"], _rows(batch, cols))
+    )
