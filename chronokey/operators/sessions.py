@@ -174,6 +174,7 @@ def capped_sessions(
     sessions = chain_starts(
         d, key, _US, seq, "island_us", max_us, bucket=b, fold_limit=fold_limit,
         max_island_rows=stats["n"] if stats else 0, lists=lists,
+        max_steps=stats["span"] // max_us + 1 if stats else None,
     )
     return _close(sessions, key, gap_us, max_us, mode, lists)
 

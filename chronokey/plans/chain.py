@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from chronokey.plans.scan import ordered_scan
 from chronokey.session import checkpoint_dir
 
-DEFAULT_FOLD_LIMIT = 5_000
+DEFAULT_FOLD_LIMIT = 100_000  # rows per island folded in one group (at most ~0.8 MB of longs)
 MAX_LEVELS = 62
 
 
@@ -45,12 +45,15 @@ def chain_starts(
     fold_limit: int | None = None,
     max_island_rows: int | None = None,
     lists: bool = True,
+    max_steps: int | None = None,
 ) -> DataFrame:
     """``d`` has one row per event with ``key, seq, ts_us, island, is_start,
     next_us``; returns one row per capped session (see module doc).
     ``max_island_rows`` is an upper bound on island size if known (rows of
     the largest key): when it is within ``fold_limit`` the plan stays a
-    single lazy fold with no sizing join and no extra job."""
+    single lazy fold with no sizing join and no extra job. ``max_steps``
+    bounds the sessions per island (span / max length); with it the number
+    of doubling levels is known up front."""
     limit = DEFAULT_FOLD_LIMIT if fold_limit is None else fold_limit
     rows = d.select(key, seq, ts_us, island, "is_start", "next_us")
     if max_island_rows is not None and 0 < max_island_rows <= limit:
@@ -61,7 +64,8 @@ def chain_starts(
     if limit > 0 and sizes.filter(F.col("__island_n") > limit).isEmpty():
         return small
     big = _double_large(
-        sized.filter(F.col("__island_n") > limit).drop("__island_n"), key, ts_us, seq, island, max_us, bucket, lists
+        sized.filter(F.col("__island_n") > limit).drop("__island_n"), key, ts_us, seq, island, max_us, bucket, lists,
+        max_steps,
     )
     return small.unionByName(big)
 
@@ -113,7 +117,7 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def _double_large(
     rows: DataFrame, key: str, ts_us: str, seq: str, island: str, max_us: int, bucket: Column | None,
-    lists: bool = True,
+    lists: bool = True, max_steps: int | None = None,
 ) -> DataFrame:
     # The rows of large islands are read four times below: materialise them
     # once in the shared checkpoint folder instead of recomputing the islands.
@@ -143,22 +147,30 @@ def _double_large(
         F.when(F.col("__m.i") == F.col(island), F.col("__m.s")).alias("dst"),
     )
 
-    levels = [_checkpointed(jump)]
-    while not levels[-1].filter(F.col("dst").isNotNull()).isEmpty():
-        if len(levels) >= MAX_LEVELS:
-            raise RuntimeError("cap chain longer than 2^62 steps")
-        a, b = levels[-1].alias("a"), levels[-1].alias("b")
-        nxt = a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.dst") == F.col("b.src")), "left").select(
+    def square(lvl: DataFrame) -> DataFrame:
+        a, b = lvl.alias("a"), lvl.alias("b")
+        return a.join(b, (F.col(f"a.{key}") == F.col(f"b.{key}")) & (F.col("a.dst") == F.col("b.src")), "left").select(
             F.col(f"a.{key}").alias(key), F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
         )
-        levels.append(_checkpointed(nxt))
+
+    levels = [_checkpointed(jump)]
+    if max_steps is not None:
+        # 2^len(levels) > max_steps: enough levels for every chain, no probing job
+        while 2 ** len(levels) <= max_steps:
+            levels.append(_checkpointed(square(levels[-1])))
+    else:
+        while not levels[-1].filter(F.col("dst").isNotNull()).isEmpty():
+            if len(levels) >= MAX_LEVELS:
+                raise RuntimeError("cap chain longer than 2^62 steps")
+            levels.append(_checkpointed(square(levels[-1])))
+        levels = levels[:-1] or levels
 
     # Expand the orbit of every island head: after level k the set holds
     # nxt^j(head) for all j < 2^(levels-k).
     # Heads: every row at the island's first time (equal times share nxt, so
     # their orbits coincide after one step; duplicates are dropped).
     starts = rows.filter("is_start").select(key, F.col(seq).alias("src"))
-    for lvl in reversed(levels[:-1]):
+    for lvl in reversed(levels):
         hop = starts.join(lvl, [key, "src"]).filter(F.col("dst").isNotNull()).select(key, F.col("dst").alias("src"))
         starts = _checkpointed(starts.unionByName(hop).dropDuplicates([key, "src"]))
 
