@@ -1 +1,23 @@
 """Structured Streaming forms of the operators and the bounded replay helper."""
+
+from chronokey.streaming.operators import (
+    stream_arrival_window_mean,
+    stream_capped_sessions,
+    stream_early_count,
+    stream_gap_sessions,
+    stream_inactivity_alerts,
+    stream_sensor_monitor,
+    stream_terminated_sessions,
+    stream_tumbling_mean,
+)
+
+__all__ = [
+    "stream_arrival_window_mean",
+    "stream_capped_sessions",
+    "stream_early_count",
+    "stream_gap_sessions",
+    "stream_inactivity_alerts",
+    "stream_sensor_monitor",
+    "stream_terminated_sessions",
+    "stream_tumbling_mean",
+]
