@@ -200,3 +200,14 @@ def test_early_count_once_replay(spark):
     assert _rows(out, cols) == _rows(batch, cols) == sorted(
         (u, r[1], 5, "early") for u, r in zip(["user_1", "user_2"], _rows(batch, cols))
     )
+
+
+def test_render_stream_output(spark):
+    """J10 messages on a stream's output equal the batch messages."""
+    from chronokey import render
+
+    src = _stream(spark, _files(spark, S.TERMINATED_SESSION_SAMPLE, 2))
+    sdf = render(SO.stream_terminated_sessions(src, delay="5 seconds"), "terminated_sessions", key="user_id")
+    out = _run(spark, sdf)
+    batch = render(terminated_sessions(S.user_events(spark, S.TERMINATED_SESSION_SAMPLE)), "terminated_sessions", "user_id")
+    assert sorted(r.message for r in out.collect()) == sorted(r.message for r in batch.collect())
