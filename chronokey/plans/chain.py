@@ -5,9 +5,10 @@ session starts are a chain: the first row, then repeatedly the first row with
 ``ts > start + max``. This is a sequential rule, so it cannot be one window
 expression. Two exact ways, picked per island by its row count:
 
-* small islands (``<= fold_limit`` rows): collect the island's sorted times,
-  fold them once with ``aggregate`` into the list of starts, and cut the list
-  into sessions with ``slice``. One group is at most ``fold_limit`` rows.
+* small islands (``<= fold_limit`` rows, and rows x sessions within
+  ``FOLD_BUDGET``): collect the island's sorted times, fold them once with
+  ``aggregate`` into the list of starts, and cut the list into sessions with
+  ``slice``. One group is at most ``fold_limit`` rows.
 * large islands: pointer doubling over DataFrame joins. Every row gets a
   pointer ``nxt`` to the row that would start the next session if it were a
   start (an as-of lookup done with the bucketed scan). Jump tables
@@ -24,6 +25,8 @@ null for the key's last session).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,9 @@ from chronokey.plans.scan import ordered_scan
 from chronokey.session import checkpoint_dir
 
 DEFAULT_FOLD_LIMIT = 100_000  # rows per island folded in one group (at most ~0.8 MB of longs)
+# The fold costs about rows x sessions per island (each session start is
+# located in the sorted times). Islands over this budget go to doubling.
+FOLD_BUDGET = 50_000_000
 MAX_LEVELS = 62
 
 
@@ -55,6 +61,9 @@ def chain_starts(
     bounds the sessions per island (span / max length); with it the number
     of doubling levels is known up front."""
     limit = DEFAULT_FOLD_LIMIT if fold_limit is None else fold_limit
+    if fold_limit is None and max_steps:
+        # sessions per island <= min(rows, max_steps): keep rows * sessions within budget
+        limit = min(limit, max(FOLD_BUDGET // max_steps, math.isqrt(FOLD_BUDGET)))
     rows = d.select(key, seq, ts_us, island, "is_start", "next_us")
     if max_island_rows is not None and 0 < max_island_rows <= limit:
         return _fold_small(rows, key, ts_us, seq, island, max_us)
