@@ -15,7 +15,12 @@ BROADCAST_ROWS = 500_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole ``documents`` table."""
+    """The whole ``documents`` table.
+
+    Arrow batches are kept small for this session, since texts can be long.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

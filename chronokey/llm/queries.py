@@ -5,8 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, licenses, mixing, secrets
-from .common import documents
+from . import bpe_chunks, exact_dedup, licenses, mixing, secrets, token_store
+from .common import documents, scratch
+
+
+def byte_vocabulary() -> str:
+    """Path of the byte-level vocabulary file that the token queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe_chunks.bpe_encode(documents(spark, sf_dir), byte_vocabulary())
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"), "n_reused")
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "tokens")
+    token_store.write_tokens(documents(spark, sf_dir), path, byte_vocabulary())
+    tokens = token_store.read_tokens(spark, path)
+    return tokens.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,4 +48,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op6_exact_dedup, op7_secret_scan, op8_license_scan, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_bpe_chunks, op4_token_store, op6_exact_dedup, op7_secret_scan, op8_license_scan, op10_source_mixing)}
