@@ -99,7 +99,7 @@ def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
 
 
 def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, sizes of the documents); raises ValueError on a wrong magic number or checksum."""
+    """(ids, sizes of the documents); raises ValueError on a wrong magic number, state or checksum."""
     magic, bits, n, blocks, table_size, n_words = HEADER.unpack_from(data)
     if magic != MAGIC:
         raise ValueError("not a token segment")
@@ -135,6 +135,8 @@ def decode_segment(data: bytes) -> tuple[np.ndarray, np.ndarray]:
             place = np.cumsum(low, axis=1)
             x = np.where(low, (x << np.uint64(32)) | words[np.where(low, at + place - 1, 0)], x)
             at = at + place[:, -1:]
+        if (x != LOW).any():
+            raise ValueError("a lane does not end in the state it began with")
         return out.transpose(1, 0, 2).reshape(last - first, rows * LANES)
 
     whole = n // BLOCK
