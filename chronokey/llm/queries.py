@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, exact_dedup, licenses, mixing, secrets, token_store
+from . import bpe_chunks, exact_dedup, fingerprints, licenses, mixing, ngram_join, secrets, token_store
 from .common import documents, scratch
 
 
@@ -29,6 +29,10 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_classes(documents(spark, sf_dir))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.duplicate_groups(documents(spark, sf_dir))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -42,10 +46,21 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(documents(spark, sf_dir)).drop("matches")
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    marks = fingerprints.fingerprints(docs).select(
+        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("sig")).alias("fingerprint"),
+        F.lower(F.hex("edited_sig")).alias("edited_fingerprint"), "near_edited", "near_next")
+    # Groups by id: rows that repeat an id have the same class only if their texts do, so the smallest stands.
+    groups = fingerprints.fingerprint_groups(docs).groupBy(F.col("doc_id").alias("id")).agg(
+        F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
+    return marks.join(groups, F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies",
                         F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_chunks, op4_token_store, op6_exact_dedup, op7_secret_scan, op8_license_scan, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_bpe_chunks, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing)}
