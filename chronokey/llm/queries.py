@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, exact_dedup, fingerprints, licenses, mixing, ngram_join, secrets, token_store
+from . import bpe_chunks, exact_dedup, fingerprints, licenses, mixing, ngram_join, secrets, token_store, toxicity
 from .common import documents, scratch
 
 
@@ -22,6 +22,11 @@ def op2_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"), "n_reused")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    return toxicity.toxicity(documents(spark, sf_dir), labels)
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     token_store.write_tokens(documents(spark, sf_dir), path, byte_vocabulary())
@@ -63,4 +68,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_chunks, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op2_bpe_chunks, op3_toxicity, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing)}
