@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, exact_dedup, fingerprints, licenses, mixing, ngram_join, secrets, token_store, toxicity
+from . import bpe_chunks, chaining, exact_dedup, fingerprints, licenses, mixing, ngram_join, secrets, token_store, toxicity
 from .common import documents, scratch
 
 
@@ -16,6 +16,10 @@ def byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(documents(spark, sf_dir))
+
+
 def op2_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe_chunks.bpe_encode(documents(spark, sf_dir), byte_vocabulary())
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
@@ -68,4 +72,4 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_chunks, op3_toxicity, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing)}
+QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_bpe_chunks, op3_toxicity, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing)}
