@@ -27,7 +27,6 @@ from .common import saved, text_or_empty
 
 #: Code points of the rolling hash's window, mean and least size of a chunk.
 WINDOW, MEAN, LEAST = 16, 256, 64
-CHUNKS = "array<struct<off:int,len:int,h:long>>"
 
 
 def chunks_of(text: str, window: int = WINDOW, mean: int = MEAN, least: int = LEAST):
@@ -50,12 +49,6 @@ def chunks_of(text: str, window: int = WINDOW, mean: int = MEAN, least: int = LE
     return start, end, sums.of(start, end).view(np.int64)
 
 
-def _key(data: bytes) -> bytes:
-    import xxhash
-
-    return xxhash.xxh3_128_digest(data)
-
-
 def chunk_rows(texts: DataFrame) -> DataFrame:
     """(th, off, len, h): the chunks of every text."""
 
@@ -65,19 +58,22 @@ def chunk_rows(texts: DataFrame) -> DataFrame:
 
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
-                part = batch.column(0).slice(a, 256).to_pylist()
-                cut = [chunks_of(t) for t in part]
-                keys = np.repeat(np.array([_key(t.encode()) for t in part], dtype="V16"), [len(c[0]) for c in cut])
+                cut = [chunks_of(t) for t in batch.column(1).slice(a, 256).to_pylist()]
+                keys = np.repeat(batch.column(0).slice(a, 256).to_numpy(), [len(c[0]) for c in cut])
                 start, end, h = (np.concatenate([c[i] for c in cut]) for i in range(3))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.tolist(), pa.binary()), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), pa.array(h)],
+                    [pa.array(keys), pa.array(start.astype(np.int32)), pa.array((end - start).astype(np.int32)), pa.array(h)],
                     ["th", "off", "len", "h"])
 
-    return texts.select("t").mapInArrow(run, "th binary, off int, len int, h long")
+    return texts.select("th", "t").mapInArrow(run, "th long not null, off int, len int, h long not null")
 
 
 def keyed_texts(texts: DataFrame) -> DataFrame:
-    """(doc_id, th, z): texts compressed, with their 128-bit hash."""
+    """(doc_id, th, z): texts compressed, with their key.
+
+    The key is declared not null, so that no filter is put below one of the two joins
+    that use this table, and both read one exchange.
+    """
     kind = dict(texts.dtypes)["doc_id"]
 
     def run(batches: Iterator) -> Iterator:
@@ -86,12 +82,11 @@ def keyed_texts(texts: DataFrame) -> DataFrame:
 
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            raw = [t.encode() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(map(_key, raw), pa.binary()), pa.array(map(press.compress, raw), pa.binary())],
+                [*batch.columns[:2], pa.array([press.compress(t.encode()) for t in batch.column(2).to_pylist()], pa.binary())],
                 ["doc_id", "th", "z"])
 
-    return texts.select("doc_id", "t").mapInArrow(run, f"doc_id {kind}, th binary, z binary")
+    return texts.select("doc_id", "th", "t").mapInArrow(run, f"doc_id {kind}, th long not null, z binary")
 
 
 def _text(z: bytes) -> str:
@@ -101,7 +96,8 @@ def _text(z: bytes) -> str:
 
 
 def encode_owned(rows: DataFrame, vocabulary: str) -> DataFrame:
-    """(h, len, ids) of the chunks that a text owns; rows have z and own."""
+    """(h, ids) of the chunks that a text owns; rows have doc_id, z and own (the id only keeps the columns
+    of the exchange that the other join reads too)."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -112,14 +108,13 @@ def encode_owned(rows: DataFrame, vocabulary: str) -> DataFrame:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 b = batch.slice(a, 256)
-                found = [(c["h"], c["len"], t[c["off"]:c["off"] + c["len"]]) for t, own in
-                         zip(map(_text, b.column(0).to_pylist()), b.column(1).to_pylist(), strict=True) for c in own]
-                ids = enc.encode([f[2] for f in found])
+                found = [(c["h"], t[c["off"]:c["off"] + c["len"]]) for t, own in
+                         zip(map(_text, b.column(1).to_pylist()), b.column(2).to_pylist(), strict=True) for c in own]
+                ids = enc.encode([f[1] for f in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()),
-                     pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["h", "len", "ids"])
+                    [pa.array([f[0] for f in found], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["h", "ids"])
 
-    return rows.select("z", "own").mapInArrow(run, "h long, len int, ids binary")
+    return rows.select("doc_id", "z", "own").mapInArrow(run, "h long not null, ids binary")
 
 
 class Pieces:
@@ -217,20 +212,22 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), text (the ids decoded), n_reused (chunks)."""
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
+    # Keys of texts and chunks have 64 bits: should two collide, the last comparison finds the wrong ids.
+    texts = texts.select("doc_id", F.xxhash64("t").alias("th"), "t")
     chunks = saved(chunk_rows(texts), "chunks")
-    shared = (chunks.groupBy("h", "len").agg(F.count("*").alias("n"), F.min(F.struct("th", "off")).alias("first"))
-              .filter("n > 1").select("h", "len", "first"))
+    shared = (chunks.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("th", "off", "len")).alias("first"))
+              .filter("n > 1").select("h", "first"))
     shared = saved(shared, "shared")
     keyed = keyed_texts(texts)
     own = (shared.groupBy(F.col("first.th").alias("th"))
-           .agg(F.collect_list(F.struct(F.col("first.off").alias("off"), "len", "h")).alias("own")))
+           .agg(F.collect_list(F.struct(F.col("first.off").alias("off"), F.col("first.len").alias("len"), "h")).alias("own")))
     # Repeated texts: one row of each owns the chunks.
-    first = keyed.join(own, "th").select("th", "z", "own").dropDuplicates(["th"])
+    first = keyed.join(own.hint("merge"), "th").select("doc_id", "th", "z", "own").dropDuplicates(["th"])
     book = encode_owned(first, vocabulary)
-    places = chunks.join(shared.select("h", "len"), ["h", "len"]).select("th", "off", "len", "h").distinct()
-    refs = (places.join(book, ["h", "len"]).groupBy("th")
+    places = chunks.join(shared.select("h"), "h").select("th", "off", "len", "h").distinct()
+    refs = (places.join(book, "h").groupBy("th")
             .agg(F.collect_list(F.struct("off", "len", "ids")).alias("refs")))
-    rows = keyed.join(refs, "th", "left").select("doc_id", "z", "refs")
+    rows = keyed.join(refs.hint("merge"), "th", "left").select("doc_id", "z", "refs")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -14,13 +14,15 @@ from chronokey.session import checkpoint_dir
 BROADCAST_ROWS = 500_000
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole ``documents`` table.
-
-    Arrow batches are kept small for this session, since texts can be long.
-    """
+def small_batches(spark: SparkSession) -> None:
+    """Keep this session's Arrow batches small, since texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ``documents`` table."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
