@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
+from chronokey.functions.time import duration_us, from_epoch_us
+from chronokey.operators._common import order_value
 from chronokey.operators.windows import DEFAULT_WIDTH, arrival_window_mean
 from chronokey.plans.scan import ordered_scan
 
@@ -27,7 +28,7 @@ def inactivity_alerts(
     """One alert per silence of at least ``threshold`` after a row of a key.
 
     ``time_col`` plays the role of processing time (e.g. an ingest time
-    column). Rows are taken in ``(time, seq)`` order; a row raises an alert at
+    column, as a timestamp or as epoch microseconds). Rows are taken in ``(time, seq)`` order; a row raises an alert at
     ``time + threshold`` when the key's next row is that late or later. The
     key's last row raises one only with ``include_open`` (a live stream would
     fire it; a finished bounded run does not).
@@ -39,7 +40,7 @@ def inactivity_alerts(
     Output: key, last_seen, alert_time, idle_seconds, next_seen.
     """
     thr = duration_us(threshold)
-    d = df.select(key, seq, epoch_us(time_col).alias("__t")).filter(F.col("__t").isNotNull())
+    d = df.select(key, seq, order_value(df, time_col).alias("__t")).filter(F.col("__t").isNotNull())
     if bucket is None:
         d = ordered_scan(d, [key], ["__t", seq], {"__next": ("next", "__t")})
     else:

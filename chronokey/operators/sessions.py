@@ -3,7 +3,7 @@ events (J8) and sessions with a maximum length and a close reason (J5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
@@ -112,20 +112,22 @@ def terminated_sessions(
     )
     # Rows with the same count of earlier terminators inside a session form
     # one segment; its number is that count minus the count at the session
-    # start (a window over the segment table, one row per segment).
-    segments = d.groupBy(key, "session_start_us", "__terms_before").agg(
+    # start, joined back by key and session (a session may have any number of
+    # segments, so they never form one window).
+    d = d.withColumn("__session", F.struct(key, "session_start_us"))
+    segments = d.groupBy("__session", "__terms_before").agg(
         F.max(_US).alias("__last"),
         F.max_by(is_term, F.struct(F.col(_US), F.col(seq))).alias("__closed"),
         (sorted_by(F.col(event_type), F.col(_US), F.col(seq)) if lists else F.count(F.lit(1))).alias(
             "event_types" if lists else "n"
         ),
     )
-    first = F.min("__terms_before").over(Window.partitionBy(key, "session_start_us"))
-    return segments.select(
-        key,
-        from_epoch_us("session_start_us").alias("session_start"),
+    first = d.groupBy("__session").agg(F.min("__terms_before").alias("__first"))
+    return segments.join(first, "__session").select(
+        F.col(f"__session.{key}").alias(key),
+        from_epoch_us("__session.session_start_us").alias("session_start"),
         from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
-        (F.col("__terms_before") - first).alias("segment"),
+        (F.col("__terms_before") - F.col("__first")).alias("segment"),
         "event_types" if lists else "n",
         F.when(F.col("__closed"), F.lit("terminator")).otherwise(F.lit("timeout")).alias("closed_by"),
     )

@@ -34,6 +34,7 @@ _B = "__ck_bucket"
 _K = "__ck_key"
 _FIRST = "__ck_first"
 _LAST = "__ck_last"
+_LOWEST = -(2**63)  # bucket of rows whose order is null: nulls sort first
 
 # kind -> frame of the in-bucket running aggregate
 _RUNNING = {"max": "run", "max_before": "before", "sum": "run", "sum_before": "before"}
@@ -75,19 +76,16 @@ def key_stats(df: DataFrame, keys: list[str], value, min_rows: int = 0) -> dict
     return None if top is None or top["n"] is None else top.asDict()
 
 
-REFINE_PASSES = 4
-
-
 def _refine_width(df: DataFrame, keys: list[str], value, width: float, target_rows: int) -> int:
     """Shrink ``width`` while the densest ``(key, bucket)`` exceeds twice the
     target: the first width assumes rows spread evenly over a key's span, a
     burst does not. Each pass is one aggregation (run only when buckets are
-    needed) and shrinks by four times the overshoot; at most
-    ``REFINE_PASSES`` passes. Rows sharing one timestamp cannot be split by
+    needed) and shrinks by four times the overshoot, so the loop ends below
+    the target or at width 1. Rows sharing one timestamp cannot be split by
     time; pass an explicit ``bucket`` width for data beyond that."""
     w = max(1, math.floor(width))
     v = _as_col(value)
-    for _ in range(REFINE_PASSES):
+    while True:
         densest = (
             df.groupBy(*keys, F.floor(v / F.lit(w)).alias("__b"))
             .agg(F.count(F.lit(1)).alias("n"))
@@ -95,9 +93,8 @@ def _refine_width(df: DataFrame, keys: list[str], value, width: float, target_ro
             .first()[0]
         )
         if not densest or densest <= 2 * target_rows or w == 1:
-            break
+            return w
         w = max(1, math.floor(w * target_rows / (4 * densest)))
-    return w
 
 
 def auto_bucket(
@@ -186,7 +183,8 @@ def ordered_scan(
     kinds: ``prev`` / ``next`` (value of the previous / next row of the key),
     ``max`` / ``sum`` (running, including the row), ``max_before`` /
     ``sum_before`` (over strictly earlier rows). ``order`` must be a total
-    order within a key; ``bucket`` must be non-decreasing along it.
+    order within a key; ``bucket`` must be non-decreasing along it (rows with
+    a null order come first, in a bucket of their own).
 
     The bucketed form also returns its helper columns ``__ck_key`` (the keys
     as one struct, so null keys join exactly with a plain equi-join) and
@@ -209,9 +207,7 @@ def ordered_scan(
             ],
         )
 
-    d = df if _B in df.columns else df.withColumn(_B, bucket)
-    if keys and _K not in d.columns:
-        d = d.withColumn(_K, F.struct(*keys))
+    d = _with_bucket(df, keys, bucket)
     pk = [_K, _B] if keys else [_B]
     w = Window.partitionBy(*pk).orderBy(*order)
     kinds = {k for k, _ in specs.values()}
@@ -278,7 +274,7 @@ def _in_partition(kind: str, c: Column, w) -> Column:
 
 
 def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
-    d = df if _B in df.columns else df.withColumn(_B, bucket)
+    d = df if _B in df.columns else df.withColumn(_B, F.coalesce(bucket, F.lit(_LOWEST)))
     return d if not keys or _K in d.columns else d.withColumn(_K, F.struct(*keys))
 
 
