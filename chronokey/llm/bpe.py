@@ -125,6 +125,7 @@ class Encoder:
         self.token_start = np.cumsum(self.token_size) - self.token_size
         self.kind = _classes()
         self.size = size
+        self.narrow = "<u2" if size <= 1 << 16 else "<u4"  # how the ids of shared chunks travel
         self.clear()
 
     def clear(self) -> None:

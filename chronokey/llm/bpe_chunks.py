@@ -112,7 +112,7 @@ def encode_owned(rows: DataFrame, vocabulary: str) -> DataFrame:
                          zip(map(_text, b.column(1).to_pylist()), b.column(2).to_pylist(), strict=True) for c in own]
                 ids = enc.encode([f[1] for f in found])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([f[0] for f in found], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())], ["h", "ids"])
+                    [pa.array([f[0] for f in found], pa.int64()), pa.array([x.astype(enc.narrow).tobytes() for x in ids], pa.binary())], ["h", "ids"])
 
     return rows.select("doc_id", "z", "own").mapInArrow(run, "h long not null, ids binary")
 
@@ -120,7 +120,7 @@ def encode_owned(rows: DataFrame, vocabulary: str) -> DataFrame:
 class Pieces:
     """Ids of a text in pieces, repaired at their joins."""
 
-    def __init__(self, text: str, refs: list[dict]):
+    def __init__(self, text: str, refs: list[dict], kind: str = "<u4"):
         """``refs``: encoded chunks (off, len, ids) of the text; the stretches between them are still to encode."""
         import numpy as np
 
@@ -137,7 +137,7 @@ class Pieces:
                 self.ids.append(None)
             if r is not None:
                 self.bounds.append((off, off + r["len"]))
-                self.ids.append(np.frombuffer(r["ids"], "<u4").astype(np.int32))
+                self.ids.append(np.frombuffer(r["ids"], kind).astype(np.int32))
                 at = off + r["len"]
 
     def windows(self) -> list[tuple[int, int]]:
@@ -192,7 +192,7 @@ class Pieces:
 
 def encode_with_chunks(texts: list[str], refs: list[list[dict]], enc) -> list:
     """Ids of each text, equal to those of the whole text."""
-    made = [Pieces(t, r or []) for t, r in zip(texts, refs, strict=True)]
+    made = [Pieces(t, r or [], enc.narrow) for t, r in zip(texts, refs, strict=True)]
     ids = iter(enc.encode([p.text[slice(*p.bounds[k])] for p in made for k in p.todo]))
     for p in made:
         for k in p.todo:
@@ -215,17 +215,15 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
     # Keys of texts and chunks have 64 bits: should two collide, the last comparison finds the wrong ids.
     texts = texts.select("doc_id", F.xxhash64("t").alias("th"), "t")
     chunks = saved(chunk_rows(texts), "chunks")
-    shared = (chunks.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("th", "off", "len")).alias("first"))
-              .filter("n > 1").select("h", "first"))
-    shared = saved(shared, "shared")
+    shared = chunks.groupBy("h").agg(F.count("*").alias("n"), F.min("th").alias("owner")).filter("n > 1").select("h", "owner")
+    places = saved(chunks.join(shared, "h").select("th", "off", "len", "h", (F.col("th") == F.col("owner")).alias("own")).distinct(), "places")
     keyed = keyed_texts(texts)
-    own = (shared.groupBy(F.col("first.th").alias("th"))
-           .agg(F.collect_list(F.struct(F.col("first.off").alias("off"), F.col("first.len").alias("len"), "h")).alias("own")))
+    own = places.filter("own").groupBy("th").agg(F.collect_list(F.struct("off", "len", "h")).alias("own"))
     # Repeated texts: one row of each owns the chunks.
     first = keyed.join(own.hint("merge"), "th").select("doc_id", "th", "z", "own").dropDuplicates(["th"])
-    book = encode_owned(first, vocabulary)
-    places = chunks.join(shared.select("h"), "h").select("th", "off", "len", "h").distinct()
-    refs = (places.join(book, "h").groupBy("th")
+    # A chunk that its owner repeats is encoded at each of its places there; one stays.
+    book = encode_owned(first, vocabulary).dropDuplicates(["h"])
+    refs = (places.select("th", "off", "len", "h").join(book, "h").groupBy("th")
             .agg(F.collect_list(F.struct("off", "len", "ids")).alias("refs")))
     rows = keyed.join(refs.hint("merge"), "th", "left").select("doc_id", "z", "refs")
 

@@ -73,13 +73,13 @@ def test_chunk_joins_are_repaired(library):
     for t in texts:
         cuts = sorted(rng.sample(range(len(t) + 1), min(len(t), rng.randint(0, 12))))
         own = [(a, b) for a, b in zip(cuts, cuts[1:]) if rng.random() < 0.6]
-        refs.append([{"off": a, "len": b - a, "ids": enc.encode([t[a:b]])[0].astype("<u4").tobytes()} for a, b in own])
+        refs.append([{"off": a, "len": b - a, "ids": enc.encode([t[a:b]])[0].astype(enc.narrow).tobytes()} for a, b in own])
     want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
     assert [x.tolist() for x in B.encode_with_chunks(texts, refs, enc)] == want
     # Wrong ids in the store are found by the final agreement.
     for r in refs:
         for c in r:
-            c["ids"] = np.array([5], "<u4").tobytes()
+            c["ids"] = np.array([5], enc.narrow).tobytes()
     assert [x.tolist() for x in B.encode_with_chunks(texts, refs, enc)] == want
 
 
