@@ -108,7 +108,7 @@ def stream_inactivity_alerts(
     """``domain="event"``: event-time silence, equal to the batch operator with
     ``include_open=True`` once the stream is flushed. ``domain="processing"``:
     wall-clock timeouts, as in a live monitor (not reproducible)."""
-    d = sdf.select(key, ts, F.col(seq).alias("__seq"), epoch_us(ts).alias("__us"))
+    d = sdf.select(key, ts, F.col(seq).cast("long").alias("__seq"), epoch_us(ts).alias("__us"))
     timeout = GroupStateTimeout.EventTimeTimeout
     if domain == "event":
         d = d.withWatermark(ts, delay)
@@ -124,34 +124,38 @@ def stream_inactivity_alerts(
 
 def stream_terminated_sessions(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", event_type="event_type", gap=TERMINATED_GAP,
-    terminators=TERMINATORS, delay=DEFAULT_DELAY,
+    terminators=TERMINATORS, delay=DEFAULT_DELAY, lists=True,
 ):
+    """J8; a segment is emitted once the watermark has passed its last row (rows
+    within the delay may still come before it). ``lists=False``: ``n`` only."""
     d = sdf.withWatermark(ts, delay).select(
-        key, ts, F.col(seq).alias("__seq"), F.col(event_type).alias("__type"), epoch_us(ts).alias("__us")
+        key, ts, F.col(seq).cast("long").alias("__seq"), F.col(event_type).alias("__type"), epoch_us(ts).alias("__us")
     )
     out = _stateful(
-        d, key, ST.terminated_session_fn(duration_us(gap), tuple(terminators)), sdf.schema[key].dataType,
+        d, key, ST.terminated_session_fn(duration_us(gap), tuple(terminators), lists), sdf.schema[key].dataType,
         ST.TERMINATED_COLUMNS,
         [("session_start_us", _L), ("session_end_us", _L), ("segment", _L), ("event_types", T.ArrayType(T.StringType())),
-         ("closed_by", T.StringType())],
+         ("n", _L), ("closed_by", T.StringType())],
         ST.TERMINATED_STATE, GroupStateTimeout.EventTimeTimeout,
     )
-    return _times(out, key, [])
+    return _times(out, key, []).drop("n" if lists else "event_types")
 
 
 def stream_capped_sessions(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", gap=CAPPED_GAP, max_len=CAPPED_MAX, mode="event_time",
-    delay="0 seconds",
+    delay="0 seconds", lists=True,
 ):
-    d = sdf.withWatermark(ts, delay).select(key, ts, F.col(seq).alias("__seq"), epoch_us(ts).alias("__us"))
+    """J5; ``lists=False`` leaves out ``timestamps`` and keeps the state row small."""
+    d = sdf.withWatermark(ts, delay).select(key, ts, F.col(seq).cast("long").alias("__seq"), epoch_us(ts).alias("__us"))
     out = _stateful(
-        d, key, ST.capped_session_fn(duration_us(gap), duration_us(max_len), mode), sdf.schema[key].dataType,
+        d, key, ST.capped_session_fn(duration_us(gap), duration_us(max_len), mode, lists), sdf.schema[key].dataType,
         ST.CAPPED_COLUMNS,
         [("session_start_us", _L), ("session_end_us", _L), ("n", _L), ("timestamps", T.ArrayType(_L)), ("reason", T.StringType())],
         ST.CAPPED_STATE, GroupStateTimeout.EventTimeTimeout,
     )
     out = out.withColumn("timestamps", F.transform("timestamps", lambda x: from_epoch_us(x)))
-    return _times(out, key, [])
+    out = _times(out, key, [])
+    return out if lists else out.drop("timestamps")
 
 
 def stream_sensor_monitor(
@@ -164,7 +168,7 @@ def stream_sensor_monitor(
     reports each key's final silence."""
     order = as_list(seq)
     d = sdf.withWatermark(ts, delay).select(
-        key, *[c for c in order if c != key], ts, F.col(order[-1]).alias("__seq"), epoch_us(ts).alias("__us"),
+        key, *[c for c in order if c != key], ts, F.col(order[-1]).cast("long").alias("__seq"), epoch_us(ts).alias("__us"),
         F.col(value).cast("double").alias("__value"),
     )
     out = _stateful(

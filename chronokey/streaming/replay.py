@@ -1,16 +1,18 @@
 """Replay the events table through the streaming operators.
 
-A bounded replay reads ``events.parquet`` as a file stream
-(``trigger(availableNow=True)``). An ``availableNow`` run never moves the
-watermark past ``max(ts) - delay``, so open windows and sessions would never
-close; a one-row *flush* file under a reserved key with a far-future time is
-read alongside, which moves the watermark past every timer in the final
-no-data batch. The reserved key's own output is dropped.
-
-Results go to a parquet sink in the shared checkpoint folder
-(``spark.checkpoint.dir``), with the stream checkpoint next to it, and are
-read back as a batch DataFrame, so nothing passes through the driver and a
-restarted replay resumes from its checkpoint.
+A bounded replay reads ``events.parquet`` (a file, or a folder of part files) as
+a file stream. An ``availableNow`` run never moves the watermark past
+``max(ts) - delay``, so open windows and sessions would never close. The data
+is therefore run to its end first, in as many micro-batches as it takes; then a
+one-row *flush* file under a reserved key with a far-future time is added and
+the query is restarted on the same checkpoint, which moves the watermark past
+every timer. (Read earlier, the flush row would make all later rows late.) The
+reserved key's own output is dropped.
+
+Results go to a parquet sink with the stream checkpoint next to it, in a folder
+of the caller's choice or a new one in the shared checkpoint folder, and are
+read back as a batch DataFrame, so nothing passes through the driver. A replay
+that is called again with its folder resumes from its checkpoint.
 """
 
 from __future__ import annotations
@@ -35,6 +37,18 @@ REPLAY_DELAY = "1 hour"
 MAX_FILES_PER_TRIGGER = None
 
 
+def _flush_folder(spark: SparkSession, path: str) -> None:
+    """An empty table that the flush row is added to later."""
+    spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(path)
+
+
+def add_flush(spark: SparkSession, path: str) -> None:
+    """Add the flush row, once."""
+    if spark.read.schema(EVENT_SCHEMA).parquet(path).isEmpty():
+        row = spark.createDataFrame([(-1, FLUSH_TS, FLUSH_KEY, None, None, None)], EVENT_SCHEMA)
+        row.coalesce(1).write.mode("append").parquet(path)
+
+
 def events_stream(
     spark: SparkSession,
     sf_dir: str,
@@ -42,18 +56,16 @@ def events_stream(
     flush_dir: str | None = None,
     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> DataFrame:
-    """``events`` as a streaming DataFrame (``ts`` as UTC TIMESTAMP), plus the
-    flush row when ``flush_dir`` is given. ``max_files_per_trigger`` bounds
-    each micro-batch, so a large table replays as many bounded batches."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
+    """``events`` as a streaming DataFrame (``ts`` as UTC TIMESTAMP), plus what
+    is in ``flush_dir`` when given. ``max_files_per_trigger`` bounds each
+    micro-batch, so a large table replays as many bounded batches."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = (
-        reader
-        .parquet(sf_dir.rstrip("/"))
-    )
+    # A glob matches a file and a folder of part files alike.
+    src = reader.parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     if flush_dir is not None:
-        spark.createDataFrame([(-1, FLUSH_TS, FLUSH_KEY, None, None, None)], EVENT_SCHEMA).coalesce(1).write.parquet(flush_dir)
+        _flush_folder(spark, flush_dir)
         src = src.unionByName(spark.readStream.schema(EVENT_SCHEMA).parquet(flush_dir))
     return src.select(*columns).withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -85,11 +97,15 @@ def dropped_by_watermark(query) -> int:
 
 
 def replay(
-    spark: SparkSession, sf_dir: str, name: str, columns: list[str], build: Callable[[DataFrame], DataFrame]
+    spark: SparkSession, sf_dir: str, name: str, columns: list[str], build: Callable[[DataFrame], DataFrame],
+    folder: str | None = None, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER, progress: list | None = None,
 ) -> DataFrame:
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/replays/{name}-{uuid.uuid4().hex}"
-    sdf = build(events_stream(spark, sf_dir, columns, flush_dir=f"{folder}/flush"))
-    out = run_to_completion(spark, sdf, folder)
+    """Run the table to its end, then the flush, and return the output."""
+    folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/replays/{name}-{uuid.uuid4().hex}"
+    flush = f"{folder}/flush"
+    run_to_completion(spark, build(events_stream(spark, sf_dir, columns, flush, max_files_per_trigger)), folder, progress)
+    add_flush(spark, flush)
+    out = run_to_completion(spark, build(events_stream(spark, sf_dir, columns, flush, max_files_per_trigger)), folder, progress)
     return out.filter(F.col(Q.KEY) != F.lit(FLUSH_KEY))
 
 

@@ -8,9 +8,12 @@ fold over a key's rows with one state row and one timeout:
   (window end, session end), or a processing-time timeout for live alerts.
 
 Rows of a key inside one micro-batch come in no fixed order, so every
-function sorts them first (by arrival order or by ``(ts, seq)``). Times are
-epoch microseconds; timeouts are epoch milliseconds and fire once the
-watermark passes them.
+function sorts them first (by arrival order or by ``(ts, seq)``). The rules that
+depend on event-time order (silences, sessions) hold rows at or above the
+watermark in the state and fold them once it has passed them: Spark accepts no
+row below it any more, so the result does not depend on how rows within the
+delay were cut into batches. Times are epoch microseconds; timeouts are epoch
+milliseconds and fire once the watermark passes them.
 """
 
 from __future__ import annotations
@@ -47,6 +50,29 @@ def _arm(state, deadline_us: int, strictly_after: bool = False) -> None:
     state.setTimeoutTimestamp(max(fire_ms - 1, state.getCurrentWatermarkMs() + 1))
 
 
+def _settle(pdfs, state, held: list, columns: list[str]):
+    """Add a call's rows to the held columns (time, seq, ...); split them at the watermark.
+
+    Returns (settled, held) as lists of arrays in (time, seq) order, and the
+    watermark. Rows below the watermark are settled: none can come before them."""
+    wm_us = state.getCurrentWatermarkMs() * 1000
+    new = pd.DataFrame(columns=columns) if state.hasTimedOut else _rows(pdfs, columns[:2])
+    cols = [np.concatenate([np.asarray(h, dtype=object), new[c].to_numpy(dtype=object)]) for h, c in zip(held, columns)]
+    us, seq = cols[0].astype("int64"), cols[1].astype("int64")
+    cols = [us, seq, *cols[2:]]
+    order = np.lexsort((seq, us))
+    cols = [c[order] for c in cols]
+    cut = int(np.searchsorted(cols[0], wm_us, side="left"))
+    return [c[:cut] for c in cols], [c[cut:] for c in cols], wm_us
+
+
+def _arm_first(state, held_us, *deadlines) -> None:
+    """Time out at the first of: the first held row settles, (time, strictly_after) deadlines."""
+    if len(held_us):
+        deadlines = (*deadlines, (int(held_us[0]), True))
+    _arm(state, *min(deadlines, key=lambda d: (d[0], d[1])))
+
+
 def _out(records: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
     if records:
         yield pd.DataFrame.from_records(records, columns=columns)
@@ -94,34 +120,38 @@ def early_count_fn(width_us: int, n: int, include_final: bool, once: bool, order
 
 
 MEAN_COLUMNS = ["key", "window_start_us", "window_end_us", "n", "mean"]
-MEAN_STATE = "end_us long, total double, n long"
+MEAN_STATE = "end_us long, total double, n long, values long"
 
 
-def _mean_fold(ts, values, end, total, cnt, width_us):
+def _mean_fold(ts, values, end, total, cnt, vals, width_us):
     """Arrival-order window rule; returns closed windows (end, n, mean) and the open one.
 
     The window end of each row is the running maximum of the natural window
     ends, starting from the open window's end; each change of it closes a
-    window."""
+    window. ``n`` counts rows; the mean is over the values that are not null
+    (null if there are none), as ``avg`` does."""
     ts = np.asarray(ts, dtype="int64")
     if not len(ts):
-        return [], end, total, cnt
+        return [], end, total, cnt, vals
     values = np.asarray(values, dtype="float64")
+    known = (~np.isnan(values)).astype("int64")
+    values = np.nan_to_num(values)
     natural = ts - np.mod(ts, width_us) + width_us
     if end is not None:
         natural = np.concatenate([[end], natural])
         values = np.concatenate([[total], values])
+        known = np.concatenate([[vals], known])
         counts = np.concatenate([[cnt], np.ones(len(ts), dtype="int64")])
     else:
         counts = np.ones(len(ts), dtype="int64")
     ends = np.maximum.accumulate(natural)
     bounds = np.flatnonzero(np.diff(ends)) + 1
     starts = np.concatenate([[0], bounds])
-    sums, ns = np.add.reduceat(values, starts), np.add.reduceat(counts, starts)
-    groups = [(int(ends[i]), int(k), float(v)) for i, k, v in zip(starts, ns, sums)]
-    closed = [(e, k, v / k) for e, k, v in groups[:-1]]
-    e, k, v = groups[-1]
-    return closed, e, v, k
+    groups = [(int(e), int(n), float(v), int(k)) for e, n, v, k in zip(
+        ends[starts], np.add.reduceat(counts, starts), np.add.reduceat(values, starts), np.add.reduceat(known, starts))]
+    closed = [(e, n, v / k if k else None) for e, n, v, k in groups[:-1]]
+    e, n, v, k = groups[-1]
+    return closed, e, v, n, k
 
 
 def _alert_fold(ts_sorted, last, threshold_us):
@@ -144,14 +174,14 @@ def arrival_mean_fn(width_us: int, order: list[str]):
 
     def fn(key, pdfs, state):
         if state.hasTimedOut:
-            end, total, cnt = state.get
+            end, total, cnt, vals = state.get
             state.remove()
-            yield from _out([(key[0], end - width_us, end, cnt, total / cnt)] if cnt else [], MEAN_COLUMNS)
+            yield from _out([(key[0], end - width_us, end, cnt, total / vals if vals else None)], MEAN_COLUMNS)
             return
-        end, total, cnt = state.get if state.exists else (None, 0.0, 0)
+        end, total, cnt, vals = state.get if state.exists else (None, 0.0, 0, 0)
         rows = _rows(pdfs, order)
-        closed, end, total, cnt = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, width_us)
-        state.update((end, total, cnt))
+        closed, end, total, cnt, vals = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, vals, width_us)
+        state.update((end, total, cnt, vals))
         _arm(state, end)
         yield from _out([(key[0], e - width_us, e, c, m) for e, c, m in closed], MEAN_COLUMNS)
 
@@ -159,167 +189,179 @@ def arrival_mean_fn(width_us: int, order: list[str]):
 
 
 ALERT_COLUMNS = ["key", "last_seen_us", "alert_time_us", "idle_seconds", "next_seen_us"]
-ALERT_STATE = "last_us long"
+ALERT_STATE = "last_us long, held_us array<long>, held_seq array<long>"
 
 
 def inactivity_fn(threshold_us: int, domain: str = "event"):
-    """``domain="event"``: silence in event time; a row that comes at least
-    ``threshold`` after the previous one raises the alert for it, the timeout
-    at last + threshold raises the key's open one. ``domain="processing"``:
-    wall-clock timeout re-armed by every batch with rows (live monitor)."""
+    """``domain="event"``: silence in event time, over settled rows; the
+    timeout at last + threshold raises the alert of a silence whose end is not
+    known yet (its ``next_seen`` is null). ``domain="processing"``: wall-clock
+    timeout re-armed by every batch with rows (live monitor)."""
     idle_s = threshold_us // 1_000_000
 
-    def fn(key, pdfs, state):
+    def live(key, pdfs, state):
         if state.hasTimedOut:
-            (last,) = state.get
+            last = state.get[0]
             state.remove()
-            alert = last + threshold_us if domain == "event" else state.getCurrentProcessingTimeMs() * 1000
-            yield from _out([(key[0], last, alert, idle_s, None)], ALERT_COLUMNS)
+            yield from _out([(key[0], last, state.getCurrentProcessingTimeMs() * 1000, idle_s, None)], ALERT_COLUMNS)
             return
-        last = state.get[0] if state.exists else None
         ts = _rows(pdfs, ["__us", "__seq"])["__us"].to_numpy(dtype="int64")
-        if domain == "event":
-            alerts, last = _alert_fold(ts, last, threshold_us)
-        else:
-            alerts, last = [], int(max(ts.max(), last if last is not None else ts.max()))
-        state.update((last,))
-        if domain == "event":
-            _arm(state, last + threshold_us)
+        last = int(max(ts.max(), state.get[0] if state.exists else ts.max()))
+        state.update((last, [], []))
+        state.setTimeoutDuration(threshold_us // 1000)
+
+    def fn(key, pdfs, state):
+        last, *held = state.get if state.exists else (None, [], [])
+        settled, held, wm_us = _settle(pdfs, state, held, ["__us", "__seq"])
+        alerts, last = _alert_fold(settled[0], last, threshold_us)
+        out = [(key[0], a, a + threshold_us, idle_s, b) for a, b in alerts]
+        if last is not None and last + threshold_us <= wm_us:
+            out.append((key[0], last, last + threshold_us, idle_s, None))
+            last = None
+        if last is None and not len(held[0]):
+            state.remove()
         else:
-            state.setTimeoutDuration(threshold_us // 1000)
-        yield from _out([(key[0], a, a + threshold_us, idle_s, b) for a, b in alerts], ALERT_COLUMNS)
+            state.update((last, held[0].tolist(), held[1].tolist()))
+            _arm_first(state, held[0], *([(last + threshold_us, False)] if last is not None else []))
+        yield from _out(out, ALERT_COLUMNS)
 
-    return fn
+    return fn if domain == "event" else live
 
 
 MONITOR_COLUMNS = ["key", "kind", "at_us", "value", "n"]
-MONITOR_STATE = "end_us long, total double, n long, last_us long"
+MONITOR_STATE = "end_us long, total double, n long, values long, last_us long, held_us array<long>, held_seq array<long>"
 
 
 def sensor_monitor_fn(width_us: int, threshold_us: int, order: list[str]):
     """Both outputs of the sensor job from one state row per key: the
     arrival-order window (as :func:`arrival_mean_fn`) and the event-time
-    silence (as :func:`inactivity_fn`). One timeout at the earlier deadline;
+    silence (as :func:`inactivity_fn`). One timeout at the earliest deadline;
     when it fires, every deadline the watermark has reached is handled."""
 
     def fn(key, pdfs, state):
-        end, total, cnt, last = state.get if state.exists else (None, 0.0, 0, None)
+        end, total, cnt, vals, last, *held = state.get if state.exists else (None, 0.0, 0, 0, None, [], [])
+        frames = [] if state.hasTimedOut else list(pdfs)
         out = []
+        settled, held, wm_us = _settle(frames, state, held, ["__us", "__seq"])
         if state.hasTimedOut:
-            wm_us = state.getCurrentWatermarkMs() * 1000
             if end is not None and end <= wm_us:
-                if cnt:
-                    out.append((key[0], "mean", end, total / cnt, cnt))
-                end, total, cnt = None, 0.0, 0
-            if last is not None and last + threshold_us <= wm_us:
-                out.append((key[0], "alert", last + threshold_us, None, None))
-                last = None
+                out.append((key[0], "mean", end, total / vals if vals else None, cnt))
+                end, total, cnt, vals = None, 0.0, 0, 0
         else:
-            rows = _rows(pdfs, order)
-            closed, end, total, cnt = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, width_us)
+            rows = _rows(frames, order)
+            closed, end, total, cnt, vals = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, vals, width_us)
             out += [(key[0], "mean", e, m, c) for e, c, m in closed]
-            by_time = rows.sort_values(["__us", "__seq"], kind="stable")["__us"].to_numpy(dtype="int64")
-            alerts, last = _alert_fold(by_time, last, threshold_us)
-            out += [(key[0], "alert", a + threshold_us, None, None) for a, _ in alerts]
-        if end is None and last is None:
+        alerts, last = _alert_fold(settled[0], last, threshold_us)
+        out += [(key[0], "alert", a + threshold_us, None, None) for a, _ in alerts]
+        if last is not None and last + threshold_us <= wm_us:
+            out.append((key[0], "alert", last + threshold_us, None, None))
+            last = None
+        if end is None and last is None and not len(held[0]):
             state.remove()
         else:
-            state.update((end, total, cnt, last))
-            big = 2**62
-            _arm(state, min(end if end is not None else big, last + threshold_us if last is not None else big))
+            state.update((end, total, cnt, vals, last, held[0].tolist(), held[1].tolist()))
+            _arm_first(state, held[0], *([(end, False)] if end is not None else []),
+                       *([(last + threshold_us, False)] if last is not None else []))
         yield from _out(out, MONITOR_COLUMNS)
 
     return fn
 
 
-TERMINATED_COLUMNS = ["key", "session_start_us", "session_end_us", "segment", "event_types", "closed_by"]
-TERMINATED_STATE = "start_us long, last_us long, segment long, types array<string>"
+TERMINATED_COLUMNS = ["key", "session_start_us", "session_end_us", "segment", "event_types", "n", "closed_by"]
+TERMINATED_STATE = ("start_us long, last_us long, segment long, n long, types array<string>, "
+                    "held_us array<long>, held_seq array<long>, held_type array<string>")
 
 
-def terminated_session_fn(gap_us: int, terminators):
-    """Gap sessions that emit at once on a terminating event. The state row
-    holds the session bounds, the segment number and the open segment's event
-    types. A terminator emits the segment (itself included) and empties it
-    without ending the session; a gap larger than ``gap`` or the timeout at
-    ``last + gap`` ends the session and emits a non-empty open segment."""
-    terms = set(terminators)
+def terminated_session_fn(gap_us: int, terminators, lists: bool = True):
+    """Gap sessions with a segment per terminating event, over settled rows.
+    The state row holds the session bounds, the segment number and the open
+    segment (its event types, or with ``lists=False`` only their number). A
+    terminator emits the segment (itself included) without ending the session; a
+    gap larger than ``gap`` or the timeout at ``last + gap`` ends the session
+    and emits a non-empty open segment."""
+    terms = list(terminators)
 
     def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            start, last, seg, types = state.get
+        start, last, seg, n, types, *held = state.get if state.exists else (None, None, 0, 0, [], [], [], [])
+        (us, _, typ), held, wm_us = _settle(pdfs, state, held, ["__us", "__seq", "__type"])
+        types, out = list(types), []
+
+        def emit(closed_by: str, end: int) -> None:
+            out.append((key[0], start, end + gap_us, seg, types if lists else None, n, closed_by))
+
+        if len(us):
+            ends = np.isin(typ.astype(str), terms) & (typ != None)  # noqa: E711
+            gap = np.diff(us, prepend=us[0] if last is None else last) > gap_us
+            # Rows between cuts belong to one segment: after a terminator, and before a gap.
+            cuts = np.flatnonzero(gap | np.concatenate([[False], ends[:-1]]))
+            for a, b in zip([0, *cuts[cuts > 0]], [*cuts[cuts > 0], len(us)]):
+                if gap[a]:
+                    if n:
+                        emit("timeout", last)
+                    start = None
+                if start is None:
+                    start, seg, n, types = int(us[a]), 0, 0, []
+                n += b - a
+                types = types + typ[a:b].tolist() if lists else []
+                last = int(us[b - 1])
+                if ends[b - 1]:
+                    emit("terminator", last)
+                    seg, n, types = seg + 1, 0, []
+        if last is not None and last + gap_us < wm_us:  # a row at exactly last + gap still joins
+            if n:
+                emit("timeout", last)
+            start, last, seg, n, types = None, None, 0, 0, []
+        if start is None and not len(held[0]):
             state.remove()
-            yield from _out([(key[0], start, last + gap_us, seg, list(types), "timeout")] if len(types) else [],
-                            TERMINATED_COLUMNS)
-            return
-        if state.exists:
-            start, last, seg, types = state.get
-            types = list(types)
         else:
-            start, last, seg, types = None, None, 0, []
-        out = []
-        rows = _rows(pdfs, ["__us", "__seq"])
-        for t, typ in zip(rows["__us"].tolist(), rows["__type"].tolist()):
-            if start is not None and t - last > gap_us:
-                if types:
-                    out.append((key[0], start, last + gap_us, seg, types, "timeout"))
-                start = None
-            if start is None:
-                start, last, seg, types = t, t, 0, []
-            types = types + [typ]
-            last = max(last, t)
-            if typ in terms:
-                out.append((key[0], start, t + gap_us, seg, types, "terminator"))
-                seg, types = seg + 1, []
-        state.update((start, last, seg, types))
-        _arm(state, last + gap_us, strictly_after=True)  # a row at exactly last + gap still joins
+            state.update((start, last, seg, n, types, *(h.tolist() for h in held)))
+            _arm_first(state, held[0], *([(last + gap_us, True)] if last is not None else []))
         yield from _out(out, TERMINATED_COLUMNS)
 
     return fn
 
 
 CAPPED_COLUMNS = ["key", "session_start_us", "session_end_us", "n", "timestamps", "reason"]
-CAPPED_STATE = "start_us long, last_us long, ts array<long>"
-
+CAPPED_STATE = "start_us long, last_us long, n long, ts array<long>, held_us array<long>, held_seq array<long>"
 
-def capped_session_fn(gap_us: int, max_us: int, mode: str = "event_time"):
-    """Sessions closed by inactivity or maximum length; the timeout is at the
-    earlier deadline. ``mode="event_time"`` attributes every close to the
-    earlier deadline (what the timeouts decide when the watermark moves on);
-    ``mode="arrival"`` lets the breaking row decide, like the batch mode."""
 
-    def close(key, start, last, ts, inactivity):
-        end = last + gap_us if inactivity else start + max_us
-        return (key[0], start, end, len(ts), sorted(ts), "Inactivity" if inactivity else "Max")
+def capped_session_fn(gap_us: int, max_us: int, mode: str = "event_time", lists: bool = True):
+    """Sessions closed by inactivity or maximum length, over settled rows; the
+    timeout is at the earlier deadline. ``mode="event_time"`` attributes every
+    close to the earlier deadline (what the timeouts decide when the watermark
+    moves on); ``mode="arrival"`` lets the breaking row decide, like the batch
+    mode. ``lists=False`` keeps the number of rows only."""
 
     def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            start, last, ts = state.get
-            state.remove()
-            yield from _out([close(key, start, last, list(ts), last + gap_us <= start + max_us)], CAPPED_COLUMNS)
-            return
-        if state.exists:
-            start, last, ts = state.get
-            ts = list(ts)
-        else:
-            start, last, ts = None, None, []
-        out = []
-        for t in _rows(pdfs, ["__us", "__seq"])["__us"].tolist():
-            if start is not None:
-                gap_break = t >= last + gap_us
-                if gap_break or t > start + max_us:
-                    inactivity = gap_break if mode == "arrival" else last + gap_us <= start + max_us
-                    out.append(close(key, start, last, ts, inactivity))
-                    start = None
+        start, last, n, ts, *held = state.get if state.exists else (None, None, 0, [], [], [])
+        (us, _), held, wm_us = _settle(pdfs, state, held, ["__us", "__seq"])
+        ts, out, at = list(ts), [], 0
+
+        def close(inactivity: bool) -> None:
+            end = last + gap_us if inactivity else start + max_us
+            out.append((key[0], start, end, n, ts if lists else None, "Inactivity" if inactivity else "Max"))
+
+        # Ends of the runs without a gap; a session ends there or at its cap.
+        gaps = np.append(np.flatnonzero(np.diff(us) >= gap_us) + 1, len(us))
+        while at < len(us):
+            if start is not None and (us[at] >= last + gap_us or us[at] > start + max_us):
+                close(us[at] >= last + gap_us if mode == "arrival" else last + gap_us <= start + max_us)
+                start = None
             if start is None:
-                start, last, ts = t, t, []
-            ts.append(t)
-            last = max(last, t)
-        state.update((start, last, ts))
+                start, n, ts = int(us[at]), 0, []
+            upto = min(int(gaps[np.searchsorted(gaps, at, side="right")]), int(np.searchsorted(us, start + max_us, side="right")))
+            n, last = n + upto - at, int(us[upto - 1])
+            ts = ts + us[at:upto].tolist() if lists else []
+            at = upto
         # inactivity: a row at last + gap breaks; cap: a row at start + max still joins
-        if last + gap_us <= start + max_us:
-            _arm(state, last + gap_us)
+        if start is not None and (last + gap_us <= wm_us or start + max_us < wm_us):
+            close(last + gap_us <= start + max_us)
+            start, last, n, ts = None, None, 0, []
+        if start is None and not len(held[0]):
+            state.remove()
         else:
-            _arm(state, start + max_us, strictly_after=True)
+            state.update((start, last, n, ts, *(h.tolist() for h in held)))
+            _arm_first(state, held[0], *([(last + gap_us, False), (start + max_us, True)] if start is not None else []))
         yield from _out(out, CAPPED_COLUMNS)
 
     return fn
