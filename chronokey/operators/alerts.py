@@ -83,13 +83,13 @@ def sensor_monitor(
     """Both outputs of the sensor job in one table.
 
     kind='mean': at = window end, value = mean, n = count (arrival-order
-    windows). kind='alert': at = alert time, value and n null.
+    windows). kind='alert': at = alert time and idle_seconds, value and n null.
     """
     means = arrival_window_mean(df, key, ts, value, seq, width, bucket=bucket).select(
         key, F.lit("mean").alias("kind"), F.col("window_end").alias("at"), F.col("mean").alias("value"), "n"
     )
     seq_col = seq if isinstance(seq, str) else seq[-1]
     alerts = inactivity_alerts(df, key, time_col or ts, seq_col, threshold, include_open, bucket=bucket).select(
-        key, F.lit("alert").alias("kind"), F.col("alert_time").alias("at")
+        key, F.lit("alert").alias("kind"), F.col("alert_time").alias("at"), "idle_seconds"
     )
     return means.unionByName(alerts, allowMissingColumns=True)

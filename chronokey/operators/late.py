@@ -38,19 +38,31 @@ def late_audit(
     (small) bucket summary and joined back. Output: key, seq columns, ts,
     watermark_before, is_late.
     """
-    delay_us, width_us = duration_us(delay), duration_us(width)
     order = as_list(seq)
-    us = epoch_us(ts)
-    d = df.select(key, *[c for c in order if c != key], ts, us.alias("__us"))
+    columns = [key, *[c for c in order if c != key], ts]
+    d = _judged(df.select(*columns), ts, order, delay, width, bucket, target_rows)
+    return d.select(*columns, from_epoch_us("__wm").alias("watermark_before"), F.col("__late").alias("is_late"))
+
+
+def drop_late(
+    df: DataFrame,
+    ts: str = "ts",
+    seq="seq",
+    delay=DEFAULT_DELAY,
+    width=DEFAULT_WIDTH,
+    bucket="auto",
+    target_rows: int | None = None,
+) -> DataFrame:
+    """``df`` without the rows that :func:`late_audit` flags."""
+    return _judged(df, ts, as_list(seq), delay, width, bucket, target_rows).filter(~F.col("__late")).select(*df.columns)
+
+
+def _judged(df: DataFrame, ts: str, order: list[str], delay, width, bucket, target_rows: int | None) -> DataFrame:
+    delay_us, width_us = duration_us(delay), duration_us(width)
+    d = df.withColumn("__us", epoch_us(ts))
     # No key: always split into buckets, even for small inputs.
     b = resolve_bucket(d, [], order_value(d, order[0]), bucket, target_rows, min_buckets=MIN_BUCKETS)
     d = ordered_scan(d, [], order, {"__max_before": ("max_before", "__us")}, b)
-    wm = F.col("__max_before") - F.lit(delay_us)
     end = window_floor(F.col("__us"), width_us) + F.lit(width_us)
-    return d.select(
-        key,
-        *[c for c in order if c != key],
-        ts,
-        from_epoch_us(wm).alias("watermark_before"),
-        F.coalesce(end <= wm, F.lit(False)).alias("is_late"),
-    )
+    d = d.withColumn("__wm", F.col("__max_before") - F.lit(delay_us))
+    return d.withColumn("__late", F.coalesce(end <= F.col("__wm"), F.lit(False)))

@@ -51,14 +51,13 @@ def _message(kind: str, key: str) -> Column:
     raise ValueError(f"unknown message kind {kind!r}")
 
 
-def render(df: DataFrame, kind: str, key: str = "key", idle_seconds: int | None = None) -> DataFrame:
+def render(df: DataFrame, kind: str, key: str = "key") -> DataFrame:
     """Add a ``message`` column. ``kind``: mean, alert, monitor, early_count,
-    terminated_sessions, capped_sessions. For ``monitor`` pass the alert's
-    ``idle_seconds`` (the combined table does not carry it)."""
+    terminated_sessions, capped_sessions."""
     if kind == "monitor":
         msg = F.when(
             F.col("kind") == "mean",
             F.format_string(MEAN_MESSAGE, F.col(key).cast("string"), F.unix_millis("at"), F.col("value").cast("string")),
-        ).otherwise(F.format_string(ALERT_MESSAGE, F.col(key).cast("string"), F.lit(idle_seconds)))
+        ).otherwise(F.format_string(ALERT_MESSAGE, F.col(key).cast("string"), F.col("idle_seconds")))
         return df.withColumn("message", msg)
     return df.withColumn("message", _message(kind, key))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us, window_floor
 from chronokey.operators._common import as_list, order_value
+from chronokey.operators.late import drop_late
 from chronokey.plans.scan import ordered_scan, resolve_bucket
 
 # ---- fixed values: defaults of the original early-count job ----
@@ -26,6 +27,7 @@ def early_count(
     once: bool = False,
     bucket="auto",
     target_rows: int | None = None,
+    delay=None,
 ) -> DataFrame:
     """Per-key tumbling windows that fire early.
 
@@ -34,12 +36,18 @@ def early_count(
     so far (``once=True``: only the ``n``-th). With ``include_final`` every
     window also emits a ``final`` pane with its full count at window end.
 
+    ``delay``: leave out the rows that arrive after the watermark (this much
+    behind the latest time seen before) has passed their window, as a live
+    windowed job drops them; None takes every row.
+
     Output: key, window_start, window_end, count, pane.
     The running count is a bucketed scan over ``(key, window)`` split by the
     first ``seq`` column; the final panes are a plain partial aggregate.
     """
     width_us = duration_us(width)
     order = as_list(seq)
+    if delay is not None:
+        df = drop_late(df.select(*dict.fromkeys([key, *order, ts])), ts, order, delay, width, target_rows=target_rows)
     d = df.select(key, *order, window_floor(epoch_us(ts), width_us).alias("__ws"))
     b = resolve_bucket(d, [key, "__ws"], order_value(d, order[0]), bucket, target_rows)
     counted = ordered_scan(d, [key, "__ws"], order, {"count": ("sum", F.lit(1).cast("long"))}, b)

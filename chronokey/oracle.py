@@ -210,6 +210,40 @@ FROM c JOIN m ON m.user_id = c.user_id AND m.start = c.start
 """
 )
 
+def _mean_text(mean: str, end: str) -> str:
+    return (f"'Average temperature for sensor ' || CAST(user_id AS VARCHAR) || ' for window ending at ' || CAST({end} // 1000 AS VARCHAR)"
+            f" || ' = ' || CAST({mean} AS VARCHAR)")
+
+
+_ALERT_TEXT = f"'ALERT: Sensor ' || CAST(user_id AS VARCHAR) || ' has been inactive for {IDLE // 1_000_000} seconds'"
+
+MEAN_MESSAGES = f"SELECT user_id, window_end_us, {_mean_text('mean', 'window_end_us')} AS message FROM ({TUMBLING_MEAN})"
+
+ALERT_MESSAGES = f"SELECT user_id, last_seen_us, {_ALERT_TEXT} AS message FROM ({INACTIVITY_ALERTS})"
+
+EARLY_COUNT_MESSAGES = f"""SELECT user_id, window_start_us, pane, "count",
+       'User ' || CAST(user_id AS VARCHAR) || ' had ' || CAST("count" AS VARCHAR) || ' events in window ['
+       || {_ts_text("window_start_us")} || ',' || {_ts_text("window_end_us")} || ')' AS message
+FROM ({EARLY_COUNT_FINAL})
+"""
+
+MONITOR_MESSAGES = f"""SELECT user_id, kind, at_us,
+       CASE WHEN kind = 'mean' THEN {_mean_text('value', 'at_us')} ELSE {_ALERT_TEXT} END AS message
+FROM ({SENSOR_MONITOR})
+"""
+
+# Rows whose day has been passed by the watermark of all earlier arrivals are left out, then counted by arrival.
+EARLY_COUNT_LATE_DROPPED = f"""
+WITH e AS ({_EA}),
+w AS (SELECT *, t - t % {DAY} AS ws, max(t) OVER (ORDER BY arr, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                - {LATE_DELAY} AS wm FROM e),
+k AS (SELECT *, row_number() OVER (PARTITION BY user_id, ws ORDER BY arr, event_id) AS k
+      FROM w WHERE wm IS NULL OR ws + {DAY} > wm)
+SELECT user_id, ws AS window_start_us, ws + {DAY} AS window_end_us, k AS "count", 'early' AS pane FROM k WHERE k >= 2
+UNION ALL
+SELECT user_id, ws, ws + {DAY}, count(*), 'final' FROM k GROUP BY ALL
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "tumbling_mean": TUMBLING_MEAN,
     "arrival_window_mean": ARRIVAL_WINDOW_MEAN,
@@ -225,5 +259,10 @@ ORACLE_SQL: dict[str, str] = {
     "gap_sessions": GAP_SESSIONS,
     "terminated_session_messages": TERMINATED_SESSION_MESSAGES,
     "capped_session_messages": CAPPED_SESSION_MESSAGES,
+    "mean_messages": MEAN_MESSAGES,
+    "alert_messages": ALERT_MESSAGES,
+    "early_count_messages": EARLY_COUNT_MESSAGES,
+    "monitor_messages": MONITOR_MESSAGES,
+    "early_count_late_dropped": EARLY_COUNT_LATE_DROPPED,
     "stream_sensor_monitor": STREAM_SENSOR_MONITOR,
 }

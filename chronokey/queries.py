@@ -30,6 +30,7 @@ MAX_LEN = "36 hours"
 IDLE = "24 hours"
 LATE_DELAY = "5 hours"
 EARLY_N = 5
+LATE_DROPPED_N = 2
 EVENT_TERMINATORS = ("purchase", "error")
 ARRIVAL_SHIFT_MULT = 7919  # arrival = ts + pmod(event_id * 7919, 13) hours
 ARRIVAL_SHIFT_MOD = 13
@@ -192,6 +193,35 @@ def q_capped_session_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select(KEY, _us("session_start").alias("session_start_us"), "message")
 
 
+def q_mean_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_events(spark, sf_dir, [KEY, "ts", "value"])
+    means = tumbling_mean(ev, KEY, "ts", "value", DAY).withColumn("mean", F.round("mean", 6))
+    return render(means, "mean", KEY).select(KEY, _us("window_end").alias("window_end_us"), "message")
+
+
+def q_alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
+    r = render(inactivity_alerts(ev, KEY, "ts", SEQ, IDLE, False), "alert", KEY)
+    return r.select(KEY, _us("last_seen").alias("last_seen_us"), "message")
+
+
+def q_early_count_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
+    r = render(early_count(ev, KEY, "ts", SEQ, WEEK, EARLY_N, True), "early_count", KEY)
+    return r.select(KEY, _us("window_start").alias("window_start_us"), "pane", "count", "message")
+
+
+def q_monitor_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts", "value"]))
+    r = sensor_monitor(ev, KEY, "ts", "value", ARRIVAL, DAY, IDLE).withColumn("value", F.round("value", 6))
+    return render(r, "monitor", KEY).select(KEY, "kind", _us("at").alias("at_us"), "message")
+
+
+def q_early_count_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts"]))
+    return project_early(early_count(ev, KEY, "ts", ARRIVAL, DAY, LATE_DROPPED_N, True, delay=LATE_DELAY))
+
+
 BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tumbling_mean": q_tumbling_mean,
     "arrival_window_mean": q_arrival_window_mean,
@@ -207,4 +237,9 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gap_sessions": q_gap_sessions,
     "terminated_session_messages": q_terminated_session_messages,
     "capped_session_messages": q_capped_session_messages,
+    "mean_messages": q_mean_messages,
+    "alert_messages": q_alert_messages,
+    "early_count_messages": q_early_count_messages,
+    "monitor_messages": q_monitor_messages,
+    "early_count_late_dropped": q_early_count_late_dropped,
 }

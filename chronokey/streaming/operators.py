@@ -163,7 +163,7 @@ def stream_sensor_monitor(
     threshold="10 seconds", delay=DEFAULT_DELAY,
 ):
     """J4 as one streaming query: one state function per key computes both the
-    arrival-order means and the event-time silences (kind, at, value, n), as
+    arrival-order means and the event-time silences (kind, at, value, n, idle_seconds), as
     the original job did in a single keyed function. A flushed replay also
     reports each key's final silence."""
     order = as_list(seq)
@@ -177,4 +177,5 @@ def stream_sensor_monitor(
         [("kind", T.StringType()), ("at_us", _L), ("value", T.DoubleType()), ("n", _L)], ST.MONITOR_STATE,
         GroupStateTimeout.EventTimeTimeout,
     )
-    return _times(out, key, [])
+    idle = F.when(F.col("kind") == "alert", F.lit(duration_us(threshold) // 1_000_000))
+    return _times(out, key, []).withColumn("idle_seconds", idle)

@@ -50,7 +50,7 @@ def test_sensor_alerts(spark):
 
 def test_sensor_monitor_and_messages(spark):
     sr = S.sensor_readings(spark)
-    out = render(sensor_monitor(sr), "monitor", key="sensor_id", idle_seconds=10)
+    out = render(sensor_monitor(sr), "monitor", key="sensor_id")
     msgs = sorted(r.message for r in out.collect())
     assert msgs == [
         "ALERT: Sensor sensor_2 has been inactive for 10 seconds",
