@@ -145,8 +145,9 @@ def block_pairs(members: DataFrame, n: int, keep: Callable, ratio: float) -> Dat
 
 
 def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable, numerator: int = 4,
-               denominator: int = 5) -> tuple[DataFrame, DataFrame]:
-    """(classes, links): classes (skey, cid, copies) and links (a, b, jaccard) of class ids.
+               denominator: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(classes, links, groups): classes (skey, cid, copies), links (a, b, jaccard) of class ids, and the
+    component (cid, component) of each class that has links.
 
     ``keep(left, right)`` gets signatures (one row, or as many as right) and returns the
     mask of pairs that may reach the threshold.
@@ -188,13 +189,23 @@ def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable,
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep(x, y))) for c in b.columns[:2]], ["a", "b"])
 
     links = saved(verified(compared.mapInArrow(prune, "a long, b long"), bodies, numerator, denominator), "links")
-    found = components(links)
-    placed = (members.filter("size > 2").join(found.withColumnRenamed("id", "cid"), "cid", "left")
+    found = components(links).withColumnRenamed("id", "cid")
+    placed = (members.filter("size > 2").join(found, "cid", "left")
               .withColumn("comp", F.coalesce("component", "cid")).select("bh", "size", "cid", "comp"))
     mixed = placed.groupBy("bh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bh")
     rest = placed.join(mixed, "bh").join(involved.select("cid", "n_sh", "sig"), "cid")
     more = saved(verified(block_pairs(rest, n, keep, ratio), bodies, numerator, denominator), "more")
-    return classes.select("skey", "cid", "copies"), links.unionByName(more).dropDuplicates(["a", "b"])
+    classes = classes.select("skey", "cid", "copies")
+    if more.isEmpty():
+        return classes, links, found
+    # The new links join components: only their contracted graph is walked.
+    at = lambda c: found.select(F.col("cid").alias(c), F.col("component").alias(f"{c}_comp"))
+    joined = more.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
+        F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
+    merged = saved(components(joined).select(F.col("id").alias("component"), F.col("component").alias("top")), "merged")
+    alone = merged.select(F.col("component").alias("cid"), "component").join(found, "cid", "left_anti")
+    groups = found.unionByName(alone).join(merged, "component", "left").select("cid", F.coalesce("top", "component").alias("component"))
+    return classes, links.unionByName(more).dropDuplicates(["a", "b"]), groups
 
 
 def near_classes(docs: DataFrame, rows_per_band: int, bands: int, keep: Callable, id_col: str = "doc_id",
@@ -206,10 +217,8 @@ def near_classes(docs: DataFrame, rows_per_band: int, bands: int, keep: Callable
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
     keys = saved(shingle_keys(texts), "keys")
-    classes, links = near_links(texts, rows_per_band, bands, keep, numerator, denominator)
-    links = saved(links, "links")
+    classes, links, found = near_links(texts, rows_per_band, bands, keep, numerator, denominator)
     ends = links.select(F.col("a").alias("cid")).unionByName(links.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count("*").alias("n_links"))
-    found = components(links).withColumnRenamed("id", "cid")
     plan = (classes.join(found, "cid", "left").join(ends, "cid", "left")
             .select("skey", F.coalesce("component", "cid").alias("component"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     # Texts without shingles have no class row: all of them are copies of each other.

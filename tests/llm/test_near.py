@@ -84,8 +84,9 @@ def test_blocks_find_links_between_members(spark, monkeypatch):
         return out.filter("false") if len(calls) == 1 else out
 
     monkeypatch.setattr(near, "verified", without_stars)
-    _, links = near.near_links(texts, N.ROWS, N.BANDS, N.bayes)
+    _, links, groups = near.near_links(texts, N.ROWS, N.BANDS, N.bayes)
     assert len(calls) == 2 and links.count() > 20 and len(rows) == 60
+    assert {r["id"]: r["component"] for r in components(links).collect()} == {r["cid"]: r["component"] for r in groups.collect()}
 
 
 def test_bayes_keeps_alike_pairs():
