@@ -8,8 +8,8 @@ signatures are joined in Spark:
 2. Pairs that survive ``prune`` (signatures only) are verified on the exact sets.
 3. Links found give components. Buckets that still hold several components are
    compared by blocks of members inside tasks, so that a link between members that
-   both differ from the hub isn't lost; only pairs across components that survive the
-   signatures leave the task, and are verified too.
+   both differ from the hub isn't lost. Pairs across components that survive the
+   signatures are verified there; the links that join components leave the task.
 
 What is lost is what no band or the pruning finds; see the callers for figures.
 """
@@ -108,40 +108,73 @@ def verified(pairs: DataFrame, bodies: DataFrame, numerator: int, denominator: i
     return rows.mapInArrow(run, "a long, b long, jaccard double")
 
 
-def block_pairs(members: DataFrame, n: int, keep: Callable, ratio: float) -> DataFrame:
-    """(a, b) of members (bh, size, cid, comp, n_sh, sig) that share a bucket and no component, and pass ``keep``."""
+def block_links(members: DataFrame, n: int, rows_per_band: int, keep: Callable, numerator: int, denominator: int) -> DataFrame:
+    """(a, b, jaccard): verified links between members (bh, size, cid, comp, n_sh, sig, z) of a bucket that have
+    no component in common, as many as it takes to join them (fewer than there are members).
+
+    A pair is looked at once, in the first band that it shares.
+    """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = (members.withColumn("nb", blocks).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
             .select(F.xxhash64("bh", F.least("own", "other"), F.greatest("own", "other")).alias("cell"),
                     (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("same"),
-                    "cid", "comp", "n_sh", "sig"))
+                    "cid", "comp", "n_sh", "sig", "z"))
     rows = rows.repartition(F.col("cell")).sortWithinPartitions("cell")
 
-    def run(batches: Iterator) -> Iterator:
+    def links_of(table) -> list[tuple[int, int, float]]:
         import numpy as np
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        cid, comp, size, second, same = (table.column(c).to_numpy() for c in ("cid", "comp", "n_sh", "second", "same"))
+        inside, z = bool(same.all()), table.column("z")
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(len(cid), n)
+        bands = sig.reshape(len(cid), -1, rows_per_band)
+        # The bucket's band is the first that all members share.
+        band = int(np.argmax((bands == bands[:1]).all(axis=(0, 2))))
+        root: dict[int, int] = {}
+        sets: dict[int, np.ndarray] = {}
+
+        def top(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        def shingle_set(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles.shingle_sets([unpack(z[i].as_py()).decode()])[0]
+            return sets[i]
+
+        out = []
+        later = np.flatnonzero(second)
+        for i in (range(len(cid)) if inside else np.flatnonzero(~second).tolist()):
+            js = np.arange(i + 1, len(cid)) if inside else later
+            js = js[(comp[js] != comp[i]) & (np.minimum(size[js], size[i]) * denominator >= numerator * np.maximum(size[js], size[i]))]
+            js = js[keep(sig[i][None, :], sig[js])] if len(js) else js
+            if len(js):
+                js = js[np.argmax((bands[js] == bands[i]).all(axis=2), axis=1) == band]
+            for j in js.tolist():
+                a, b = top(int(comp[i])), top(int(comp[j]))
+                if a != b:
+                    common, union, ok = shingles.alike(shingle_set(i), shingle_set(j), numerator, denominator)
+                    if ok:
+                        root[max(a, b)] = min(a, b)
+                        out.append((int(min(cid[i], cid[j])), int(max(cid[i], cid[j])), common / union))
+        return out
+
+    def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         from .common import runs
 
         for _, table in runs(batches, "cell"):
-            cid, comp, size = (table.column(c).to_numpy() for c in ("cid", "comp", "n_sh"))
-            second = table.column("second").to_numpy()
-            inside = table.column("same").to_numpy().all()
-            sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, n)
-            found_a, found_b = [], []
-            rows = np.arange(len(cid)) if inside else np.flatnonzero(~second)
-            for i in rows.tolist():
-                js = np.arange(i + 1, len(cid)) if inside else np.flatnonzero(second)
-                js = js[(comp[js] != comp[i]) & (np.minimum(size[js], size[i]) >= ratio * np.maximum(size[js], size[i]))]
-                js = js[keep(sig[i][None, :], sig[js])] if len(js) else js
-                found_a += [cid[i]] * len(js)
-                found_b += cid[js].tolist()
-            if found_a:
-                a, b = np.array(found_a, np.int64), np.array(found_b, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
+            out = links_of(table)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
+                                                  pa.array([r[2] for r in out], pa.float64())], ["a", "b", "jaccard"])
+
+    return rows.mapInArrow(run, "a long, b long, jaccard double")
 
 
 def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable, numerator: int = 4,
@@ -193,8 +226,8 @@ def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable,
     placed = (members.filter("size > 2").join(found, "cid", "left")
               .withColumn("comp", F.coalesce("component", "cid")).select("bh", "size", "cid", "comp"))
     mixed = placed.groupBy("bh").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bh")
-    rest = placed.join(mixed, "bh").join(involved.select("cid", "n_sh", "sig"), "cid")
-    more = saved(verified(block_pairs(rest, n, keep, ratio), bodies, numerator, denominator), "more")
+    rest = placed.join(mixed, "bh").join(involved.select("cid", "n_sh", "sig"), "cid").join(bodies, "cid")
+    more = saved(block_links(rest, n, rows_per_band, keep, numerator, denominator).dropDuplicates(["a", "b"]), "more")
     classes = classes.select("skey", "cid", "copies")
     if more.isEmpty():
         return classes, links, found

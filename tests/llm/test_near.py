@@ -68,7 +68,7 @@ def test_classes_equal_all_pairs(spark, table):
 
 
 def test_blocks_find_links_between_members(spark, monkeypatch):
-    """Without any star found, the comparison inside buckets finds the links."""
+    """Without any star found, the comparison inside buckets finds enough links."""
     from chronokey.llm import near
 
     monkeypatch.setattr(near, "BLOCK", 4)
@@ -85,8 +85,14 @@ def test_blocks_find_links_between_members(spark, monkeypatch):
 
     monkeypatch.setattr(near, "verified", without_stars)
     _, links, groups = near.near_links(texts, N.ROWS, N.BANDS, N.bayes)
-    assert len(calls) == 2 and links.count() > 20 and len(rows) == 60
-    assert {r["id"]: r["component"] for r in components(links).collect()} == {r["cid"]: r["component"] for r in groups.collect()}
+    assert len(calls) == 1 and links.count() > 20 and len(rows) == 60
+    got = {r["cid"]: r["component"] for r in groups.collect()}
+    assert {r["id"]: r["component"] for r in components(links).collect()} == got
+    # Buckets of two aren't compared again (their one pair is a star), so classes may only be finer than all pairs'.
+    by_text = {}
+    for r, c in zip(rows, brute_classes(rows)):
+        by_text.setdefault(r["text"], c)
+    assert len(set(got.values())) >= 4 and len(rows) == 60 and len(by_text) >= len(got)
 
 
 def test_bayes_keeps_alike_pairs():
