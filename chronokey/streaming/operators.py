@@ -59,18 +59,18 @@ def stream_gap_sessions(sdf: DataFrame, key="user_id", ts="ts", gap=TERMINATED_G
     )
 
 
-def _stateful(d: DataFrame, key: str, fn, key_type: T.DataType, columns, out_fields, state_schema: str, timeout: str):
+def _stateful(d: DataFrame, key, fn, key_type: T.DataType, columns, out_fields, state_schema: str, timeout: str):
     schema = _schema(key_type, out_fields)
     assert [f.name for f in schema.fields] == columns
-    return d.groupBy(key).applyInPandasWithState(fn, schema, state_schema, "append", timeout)
+    return d.groupBy(*as_list(key)).applyInPandasWithState(fn, schema, state_schema, "append", timeout)
 
 
 def stream_early_count(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", width=EARLY_WIDTH, n=EARLY_N, include_final=True, once=False,
     delay=DEFAULT_DELAY,
 ):
-    """The input carries the ``window`` struct, which holds the watermark, so
-    a row is late only once its window end is behind the watermark (as with a
+    """Grouped by key and window, so a hot key's windows are apart. The input
+    carries the ``window`` struct, which holds the watermark, so a row is late only once its window end is behind the watermark (as with a
     windowed aggregate), not as soon as its own time is."""
     width_us = duration_us(width)
     order = as_list(seq)
@@ -79,7 +79,7 @@ def stream_early_count(
         key, *order, w.alias("__w"), window_floor(epoch_us(ts), width_us).alias("__ws")
     )
     out = _stateful(
-        d, key, ST.early_count_fn(width_us, n, include_final, once, order), sdf.schema[key].dataType, ST.EARLY_COLUMNS,
+        d, [key, "__ws"], ST.early_count_fn(width_us, n, include_final, once), sdf.schema[key].dataType, ST.EARLY_COLUMNS,
         [("window_start_us", _L), ("window_end_us", _L), ("count", _L), ("pane", T.StringType())], ST.EARLY_STATE,
         GroupStateTimeout.EventTimeTimeout,
     )

@@ -79,42 +79,27 @@ def _out(records: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
 
 
 EARLY_COLUMNS = ["key", "window_start_us", "window_end_us", "count", "pane"]
-EARLY_STATE = "starts array<long>, counts array<long>"
+EARLY_STATE = "count long"
 
 
-def early_count_fn(width_us: int, n: int, include_final: bool, once: bool, order: list[str]):
-    """Open windows of a key (start, count) in the state row. Rows are counted
-    per window in arrival order and fire an ``early`` pane from the n-th on;
-    the timeout at the earliest open window end emits the ``final`` pane of
-    every window the watermark has passed."""
+def early_count_fn(width_us: int, n: int, include_final: bool, once: bool):
+    """Grouped by key and window start: the state row is the window's count.
+    From the n-th row on every row fires an ``early`` pane; the timeout at the
+    window end emits the ``final`` pane. Rows of a window only need counting,
+    so their order inside a batch plays no part."""
 
     def fn(key, pdfs, state):
-        counts = dict(zip(state.get[0], state.get[1])) if state.exists else {}
-        out = []
+        k, ws = key[0], int(key[1])
+        before = state.get[0] if state.exists else 0
         if state.hasTimedOut:
-            wm_us = state.getCurrentWatermarkMs() * 1000
-            for ws in sorted(counts):
-                if ws + width_us <= wm_us:
-                    if include_final:
-                        out.append((key[0], ws, ws + width_us, counts[ws], "final"))
-                    del counts[ws]
-        else:
-            rows = _rows(pdfs, order)
-            ws = rows["__ws"].to_numpy(dtype="int64")
-            # running count per window in arrival order, on top of earlier batches
-            c = rows.groupby("__ws", sort=False).cumcount().to_numpy() + 1
-            c = c + rows["__ws"].map(counts).fillna(0).to_numpy(dtype="int64")
-            fire = (c == n) if once else (c >= n)
-            out = [(key[0], int(w), int(w) + width_us, int(k), "early") for w, k in zip(ws[fire], c[fire])]
-            for w, k in zip(ws, c):
-                counts[int(w)] = max(counts.get(int(w), 0), int(k))
-        if counts:
-            starts = sorted(counts)
-            state.update((starts, [counts[w] for w in starts]))
-            _arm(state, starts[0] + width_us)
-        else:
             state.remove()
-        yield from _out(out, EARLY_COLUMNS)
+            yield from _out([(k, ws, ws + width_us, before, "final")] if include_final else [], EARLY_COLUMNS)
+            return
+        count = before + sum(len(p) for p in pdfs)
+        state.update((count,))
+        _arm(state, ws + width_us)
+        fire = range(max(before + 1, n), min(count, n if once else count) + 1)
+        yield from _out([(k, ws, ws + width_us, c, "early") for c in fire], EARLY_COLUMNS)
 
     return fn
 
