@@ -258,7 +258,9 @@ def near_classes(docs: DataFrame, rows_per_band: int, bands: int, keep: Callable
     rows = keys.join(plan, "skey", "left").select(
         "doc_id", "th", F.coalesce("component", F.lit(-1)).alias("component"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th")).alias("best")
-    groups = rows.groupBy("component").agg(best, F.count("*").alias("class_size"))
+    rows = saved(rows, "rows")
+    # A written table, so that the join has two plain exchanges and the rows of a very large class can be split.
+    groups = saved(rows.groupBy("component").agg(best, F.count("*").alias("class_size")), "groups")
     return rows.join(groups, "component").select(
         "doc_id", "th", F.col("best.doc_id").alias("class_id"), "class_size",
         F.coalesce("copies", "class_size").alias("n_copies"), "n_links",
