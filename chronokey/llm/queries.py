@@ -57,13 +57,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    marks = fingerprints.fingerprints(docs).select(
-        "doc_id", "n_chars", "edited_sha256", F.lower(F.hex("sig")).alias("fingerprint"),
-        F.lower(F.hex("edited_sig")).alias("edited_fingerprint"), "near_edited", "near_next")
+    # Marks meet the groups as bytes; text forms are made after the join.
+    marks = fingerprints.fingerprints(docs).withColumn("edited_sha256", F.unhex("edited_sha256")).drop("th")
     # Groups by id: rows that repeat an id have the same class only if their texts do, so the smallest stands.
     groups = fingerprints.fingerprint_groups(docs).groupBy(F.col("doc_id").alias("id")).agg(
         F.min("class_id").alias("class_id"), F.max("n_links").alias("n_links"))
-    return marks.join(groups, F.col("doc_id").eqNullSafe(F.col("id")), "left").drop("id")
+    text = lambda c: F.lower(F.hex(c))
+    return marks.join(groups, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(
+        "doc_id", "n_chars", text("edited_sha256").alias("edited_sha256"), text("sig").alias("fingerprint"),
+        text("edited_sig").alias("edited_fingerprint"), "near_edited", "near_next", "class_id", "n_links")
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
