@@ -1,10 +1,11 @@
 """License scans with a positional rare-token index.
 
 The words of short licence templates are indexed with their places. For each
-template, the words that are rarest in the corpus (highest IDF, counted over all
-documents) and present in a file are looked up; their postings are intersected by
-relative position, and a place where they agree is verified: the template's
-mandatory key phrases must stand at their places, and enough of its words.
+template, the words of its mandatory key phrases that are rarest in the corpus (highest
+IDF, counted over all documents) are looked up; their postings are intersected by
+relative position, and a place where all agree is verified: the key phrases must stand
+at their places, and enough of the template's words. Key phrases can't be altered, so
+no occurrence lacks a vote.
 
 Cases: a null text is empty and has no words, labels "" and score 0. Repeated
 rows give repeated results. An empty table gives an empty result. Nothing but the
@@ -33,7 +34,7 @@ PHRASES = {"mit license": "mit", "apache license": "apache", "general public lic
 TEMPLATES = {
     "mit-notice": "[released under the mit license]",
     "mit-grant": "[permission is hereby granted free of charge to any person] obtaining a copy of this software and "
-                 "associated documentation files to deal in the software [without restriction]",
+                 "associated documentation files the software to deal in the software [without restriction]",
     "apache-2.0-notice": "[licensed under the apache license version 2 0]",
     "gpl-3-notice": "this work is [licensed under the gnu general public license version 3]",
     "gpl-grant": "this program is [free software you can redistribute it and or modify it] under the terms of the gnu "
@@ -48,8 +49,8 @@ TEMPLATES = {
     "mpl-2.0-notice": "this source code form is [subject to the terms of the mozilla public license v 2 0]",
     "all-rights-reserved": "[all rights reserved]",
 }
-#: Rare words of a template that are looked up in a file, those that must agree, and the words that must be in place.
-ANCHORS, AGREE, COVERAGE = 4, 2, 0.8
+#: Rare words of a template's key phrases that are looked up in a file, and the words that must be in place.
+ANCHORS, COVERAGE = 4, 0.8
 
 
 def words_of(text: str) -> list[bytes]:
@@ -100,12 +101,13 @@ class Index:
     def __init__(self, templates: dict[str, str], found: dict[bytes, int], n: int):
         self.templates = {k: parse(t) for k, t in templates.items()}
         idf = {w: math.log((n + 1) / (found.get(w, 0) + 1)) for w in vocabulary(templates)}
-        # Places of each template's words, rarest first.
+        # Places of the words of each template's key phrases, rarest first.
         self.rare = {}
-        for label, (words, _) in self.templates.items():
+        for label, (words, keys) in self.templates.items():
             places = defaultdict(list)
-            for q, w in enumerate(words):
-                places[w].append(q)
+            for a, b in keys:
+                for q in range(a, b):
+                    places[words[q]].append(q)
             self.rare[label] = [(w, places[w]) for w in sorted(places, key=lambda w: (-idf[w], w))]
         self.words = set(idf)
 
@@ -113,8 +115,8 @@ class Index:
         """Label to (best share of words in place, starts); ``at`` has the places of the template words in the file."""
         out = {}
         for label, (template, keys) in self.templates.items():
-            anchors = [(w, q) for w, q in self.rare[label] if w in at][:ANCHORS]
-            if len(anchors) < min(AGREE, len(self.rare[label])):
+            anchors = self.rare[label][:ANCHORS]
+            if any(w not in at for w, _ in anchors):
                 continue
             # Intersect by relative position, from the anchor with the fewest places on.
             votes: dict[int, int] = defaultdict(int)
@@ -123,7 +125,7 @@ class Index:
                     votes[start] += 1
             starts, best = [], 0.0
             for start, n in votes.items():
-                if n < min(AGREE, len(self.rare[label])):
+                if n < len(anchors):
                     continue
                 if any(start + a < 0 or words[start + a:start + b] != template[a:b] for a, b in keys):
                     continue

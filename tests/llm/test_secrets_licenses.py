@@ -74,3 +74,34 @@ def test_license_templates(spark):
     assert got[4]["labels"] == "gpl,gpl-3-notice,mit,mit-notice"
     assert got[5]["n_words"] == 0
     assert L.license_scan(empty_documents(spark)).count() == 0
+
+
+GENUINE = {
+    "mit-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files '
+                 '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify',
+    "apache-2.0-notice": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance',
+    "gpl-grant": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+                 "published by the Free Software Foundation, either version 3 of the License",
+    "bsd-conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+                      "conditions are met:",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided",
+    "mpl-2.0-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not",
+    "all-rights-reserved": "Copyright 2001 A. N. Other. All rights reserved.",
+}
+
+
+def test_genuine_licences(spark):
+    rows = [(k, f"Some words before. {t} and after") for k, t in GENUINE.items()]
+    got = {r["doc_id"]: r for r in L.license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for k in GENUINE:
+        assert [(m["label"], m["coverage"]) for m in got[k]["matches"]] == [(k, 1.0)]
+
+
+def test_altered_rare_words(spark):
+    """The rarest words are altered in the licence but stand elsewhere in the file."""
+    text = GENUINE["mit-grant"].replace("obtaining", "getting").replace("documentation", "manual").replace("deal", "act").replace("associated", "related")
+    rows = [(1, f"obtaining a b documentation c d e f deal g h i associated {text}")] + [(i, GENUINE["mit-grant"].replace(w, "x")) for i, w in
+            enumerate(["obtaining", "documentation", "deal", "associated"] * 3, 2)]
+    got = {r["doc_id"]: r for r in L.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("mit-grant" in r["labels"] for r in got.values())
+    assert [m["start"] for m in got[1]["matches"]] == [13]
