@@ -10,6 +10,9 @@ signatures are joined in Spark:
    compared by blocks of members inside tasks, so that a link between members that
    both differ from the hub isn't lost. Pairs across components that survive the
    signatures are verified there; the links that join components leave the task.
+4. Two classes that are alike are in one component. All pairs inside a component are
+   counted on the exact sets, by blocks of members inside tasks; what leaves a task is
+   a number of links per member, so rows grow with the members, not with the pairs.
 
 What is lost is what no band or the pruning finds; see the callers for figures.
 """
@@ -25,8 +28,9 @@ from . import shingles
 from .common import saved, small, text_or_empty
 from .components import components
 
-#: Members of a block of the comparison inside buckets.
+#: Members of a block of the comparison inside buckets, and of the count of links inside components.
 BLOCK = 1024
+COUNT_BLOCK = 256
 
 
 def shingle_keys(texts: DataFrame) -> DataFrame:
@@ -177,10 +181,76 @@ def block_links(members: DataFrame, n: int, rows_per_band: int, keep: Callable,
     return rows.mapInArrow(run, "a long, b long, jaccard double")
 
 
+def link_counts(groups: DataFrame, bodies: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """(cid, n_links): to how many other classes of its component each class of ``groups`` (cid, component) is alike."""
+    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
+    rows = (groups.join(sizes, "component").join(bodies, "cid")
+            .withColumn("nb", F.ceil(F.col("size") / COUNT_BLOCK).cast("int"))
+            .withColumn("own", F.pmod(F.xxhash64("cid"), F.col("nb")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+            .select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"),
+                    (F.col("own") > F.col("other")).alias("second"), "cid", "z"))
+    cell = F.xxhash64("component", "lo", "hi")
+    rows = rows.withColumn("cell", cell).repartition(F.col("cell")).sortWithinPartitions("cell", "component", "lo", "hi")
+
+    def counts(table) -> tuple:
+        import numpy as np
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        second = table.column("second").to_numpy()
+        sets = shingles.shingle_sets([unpack(z).decode() for z in table.column("z").to_pylist()])
+        inside = table.column("lo")[0] == table.column("hi")[0]
+        here = np.arange(len(sets)) if inside else np.flatnonzero(~second)
+        there = here if inside else np.flatnonzero(second)
+        found = np.zeros(len(sets), np.int64)
+        if len(here) and len(there):
+            size = np.array([len(s) for s in sets])
+            known, flat = np.unique(np.concatenate([sets[j] for j in there]), return_inverse=True)
+            first = np.cumsum(size[there]) - size[there]
+            mark = np.zeros(len(known), np.int32)
+            for n, i in enumerate(here.tolist()):
+                at = np.searchsorted(known, sets[i])
+                at = at[at < len(known)] if inside else at[(at < len(known)) & (known[np.minimum(at, len(known) - 1)] == sets[i])]
+                mark[at] = 1
+                common = np.add.reduceat(mark[flat], first)
+                mark[at] = 0
+                alike = common * denominator >= numerator * (size[i] + size[there] - common)
+                if inside:
+                    alike[n] = False
+                    found[i] = alike.sum()
+                else:
+                    found[i] += alike.sum()
+                    found[there] += alike
+        return table.column("cid").to_numpy(), found
+
+    def run(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        from .common import runs
+
+        for _, table in runs(batches, "cell"):
+            component, lo, hi = (table.column(c).to_numpy() for c in ("component", "lo", "hi"))
+            cuts = np.flatnonzero((component[1:] != component[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+            for s, e in zip([0, *cuts], [*cuts, len(lo)], strict=True):
+                cid, n = counts(table.slice(s, e - s))
+                yield pa.RecordBatch.from_arrays([pa.array(cid), pa.array(n)], ["cid", "n"])
+
+    return rows.mapInArrow(run, "cid long, n long").groupBy("cid").agg(F.sum("n").alias("n_links"))
+
+
 def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable, numerator: int = 4,
                denominator: int = 5) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(classes, links, groups): classes (skey, cid, copies), links (a, b, jaccard) of class ids, and the
-    component (cid, component) of each class that has links.
+    """(classes, links, groups): classes (skey, cid, copies), links (a, b, jaccard) of class ids that join the
+    components, and the component (cid, component) of each class that has links.
+    """
+    return joined_classes(texts, rows_per_band, bands, keep, numerator, denominator)[:3]
+
+
+def joined_classes(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable, numerator: int,
+                   denominator: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``near_links``, and the bodies (cid, z) of the classes in shared buckets.
 
     ``keep(left, right)`` gets signatures (one row, or as many as right) and returns the
     mask of pairs that may reach the threshold.
@@ -230,7 +300,7 @@ def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable,
     more = saved(block_links(rest, n, rows_per_band, keep, numerator, denominator).dropDuplicates(["a", "b"]), "more")
     classes = classes.select("skey", "cid", "copies")
     if more.isEmpty():
-        return classes, links, found
+        return classes, links, found, bodies
     # The new links join components: only their contracted graph is walked.
     at = lambda c: found.select(F.col("cid").alias(c), F.col("component").alias(f"{c}_comp"))
     joined = more.join(at("a"), "a", "left").join(at("b"), "b", "left").select(
@@ -238,20 +308,22 @@ def near_links(texts: DataFrame, rows_per_band: int, bands: int, keep: Callable,
     merged = saved(components(joined).select(F.col("id").alias("component"), F.col("component").alias("top")), "merged")
     alone = merged.select(F.col("component").alias("cid"), "component").join(found, "cid", "left_anti")
     groups = found.unionByName(alone).join(merged, "component", "left").select("cid", F.coalesce("top", "component").alias("component"))
-    return classes, links.unionByName(more).dropDuplicates(["a", "b"]), groups
+    return classes, links.unionByName(more).dropDuplicates(["a", "b"]), groups, bodies
 
 
 def near_classes(docs: DataFrame, rows_per_band: int, bands: int, keep: Callable, id_col: str = "doc_id",
                  text_col: str = "text", numerator: int = 4, denominator: int = 5) -> DataFrame:
     """One row per document: doc_id, th, class_id, class_size, n_copies, n_links, first.
 
+    ``n_links`` is the number of other shingle sets of the class that are alike to the document's own.
     ``class_id`` is the smallest id of the class (nulls last), ``first`` marks its row (with
     several of that id, the smallest text hash; repeated rows are marked together).
     """
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
     keys = saved(shingle_keys(texts), "keys")
-    classes, links, found = near_links(texts, rows_per_band, bands, keep, numerator, denominator)
-    ends = links.select(F.col("a").alias("cid")).unionByName(links.select(F.col("b").alias("cid"))).groupBy("cid").agg(F.count("*").alias("n_links"))
+    classes, _, found, bodies = joined_classes(texts, rows_per_band, bands, keep, numerator, denominator)
+    found = saved(found, "components")
+    ends = link_counts(found, bodies, numerator, denominator)
     plan = (classes.join(found, "cid", "left").join(ends, "cid", "left")
             .select("skey", F.coalesce("component", "cid").alias("component"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links")))
     # Texts without shingles have no class row: all of them are copies of each other.

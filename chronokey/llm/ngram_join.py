@@ -63,7 +63,7 @@ def bayes(left: np.ndarray, right: np.ndarray, step: int = STEP, tolerance: floa
 
 
 def ngram_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, n_copies, n_links (verified links that its class keeps)."""
+    """One row per document: doc_id, class_id, class_size, n_copies, n_links (other shingle sets that are alike to its own)."""
     return near_classes(docs, ROWS, BANDS, bayes, id_col, text_col, *THRESHOLD).drop("th", "first")
 
 

@@ -67,6 +67,20 @@ def test_classes_equal_all_pairs(spark, table):
     assert {r["doc_id"] for r in kept.collect()} >= {c for _, c in want if c is not None}
 
 
+@pytest.mark.parametrize("block", [256, 7])
+def test_links_equal_all_pairs(spark, monkeypatch, block):
+    from chronokey.llm import near
+
+    monkeypatch.setattr(near, "COUNT_BLOCK", block)
+    docs = noisy(spark).union(edge_documents(spark).select("doc_id", "text"))
+    rows = docs.collect()
+    sets = {s for r in rows if (s := shingle_set(r["text"] or ""))}
+    alike = lambda a, b: len(a & b) * 5 >= 4 * len(a | b)
+    want = [(r["doc_id"], sum(alike(s, o) for o in sets if o != s) if (s := shingle_set(r["text"] or "")) else 0) for r in rows]
+    got = [(r["doc_id"], r["n_links"]) for r in N.ngram_classes(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and max(n for _, n in want) > 2
+
+
 def test_blocks_find_links_between_members(spark, monkeypatch):
     """Without any star found, the comparison inside buckets finds enough links."""
     from chronokey.llm import near
