@@ -100,6 +100,7 @@ def terminated_sessions(
     gap_us = duration_us(gap)
     d, width = _prepare(df, key, ts, seq, [event_type], bucket, target_rows)
     is_term = F.col(event_type).isin(*terminators)
+    term = F.coalesce(is_term, F.lit(False)).cast("long")
     d = sessionize(
         d,
         [key],
@@ -108,28 +109,31 @@ def terminated_sessions(
         gap_us,
         inclusive_break=False,
         width_us=width,
-        extra={"__terms_before": ("sum_before", is_term.cast("long"))},
+        extra={"__terms_before": ("sum_before", term)},
+        sums={"__terms_at_start": term},
     )
     # Rows with the same count of earlier terminators inside a session form
-    # one segment; its number is that count minus the count at the session
-    # start, joined back by key and session (a session may have any number of
-    # segments, so they never form one window).
+    # one segment; its number is that count less the count before the session,
+    # which comes with the session's start.
+    d = d.withColumn("segment", F.col("__terms_before") - F.col("__terms_at_start"))
     d = d.withColumn("__session", F.struct(key, "session_start_us"))
-    segments = d.groupBy("__session", "__terms_before").agg(
-        F.max(_US).alias("__last"),
-        F.max_by(is_term, F.struct(F.col(_US), F.col(seq))).alias("__closed"),
-        (sorted_by(F.col(event_type), F.col(_US), F.col(seq)) if lists else F.count(F.lit(1))).alias(
-            "event_types" if lists else "n"
-        ),
-    )
-    first = d.groupBy("__session").agg(F.min("__terms_before").alias("__first"))
-    return segments.join(first, "__session").select(
-        F.col(f"__session.{key}").alias(key),
-        from_epoch_us("__session.session_start_us").alias("session_start"),
-        from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
-        (F.col("__terms_before") - F.col("__first")).alias("segment"),
-        "event_types" if lists else "n",
-        F.when(F.col("__closed"), F.lit("terminator")).otherwise(F.lit("timeout")).alias("closed_by"),
+    return (
+        d.groupBy("__session", "segment")
+        .agg(
+            F.max(_US).alias("__last"),
+            F.max_by(is_term, F.struct(F.col(_US), F.col(seq))).alias("__closed"),
+            (sorted_by(F.col(event_type), F.col(_US), F.col(seq)) if lists else F.count(F.lit(1))).alias(
+                "event_types" if lists else "n"
+            ),
+        )
+        .select(
+            F.col(f"__session.{key}").alias(key),
+            from_epoch_us("__session.session_start_us").alias("session_start"),
+            from_epoch_us(F.col("__last") + F.lit(gap_us)).alias("session_end"),
+            "segment",
+            "event_types" if lists else "n",
+            F.when(F.col("__closed"), F.lit("terminator")).otherwise(F.lit("timeout")).alias("closed_by"),
+        )
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us, window_floor
@@ -50,20 +50,29 @@ def early_count(
         df = drop_late(df.select(*dict.fromkeys([key, *order, ts])), ts, order, delay, width, target_rows=target_rows)
     d = df.select(key, *order, window_floor(epoch_us(ts), width_us).alias("__ws"))
     b = resolve_bucket(d, [key, "__ws"], order_value(d, order[0]), bucket, target_rows)
-    counted = ordered_scan(d, [key, "__ws"], order, {"count": ("sum", F.lit(1).cast("long"))}, b)
+    specs = {"count": ("sum", F.lit(1).cast("long"))}
+    if include_final and delay is not None:
+        specs["__next"] = ("next", F.lit(1))
+    counted = ordered_scan(d, [key, "__ws"], order, specs, b)
     fire = F.col("count") == F.lit(n) if once else F.col("count") >= F.lit(n)
 
-    def shape(x: DataFrame, pane: str) -> DataFrame:
+    def shape(x: DataFrame, pane: Column) -> DataFrame:
         return x.select(
             key,
             from_epoch_us("__ws").alias("window_start"),
             from_epoch_us(F.col("__ws") + F.lit(width_us)).alias("window_end"),
             "count",
-            F.lit(pane).alias("pane"),
+            pane.alias("pane"),
         )
 
-    out = shape(counted.filter(fire), "early")
+    early, final = F.lit("early"), F.lit("final")
+    if "__next" in specs:
+        # Judging lateness shuffles the rows once already, so both panes come from the one counted
+        # pass: a window's last row carries its final count.
+        panes = F.array(F.when(fire, early), F.when(F.col("__next").isNull(), final))
+        return shape(counted.withColumn("__pane", F.explode(F.array_compact(panes))), F.col("__pane"))
+    out = shape(counted.filter(fire), early)
     if include_final:
-        final = d.groupBy(key, "__ws").agg(F.count(F.lit(1)).alias("count"))
-        out = out.unionByName(shape(final, "final"))
+        totals = d.groupBy(key, "__ws").agg(F.count(F.lit(1)).alias("count"))
+        out = out.unionByName(shape(totals, final))
     return out

@@ -65,6 +65,9 @@ SELECT user_id, 'alert', t + {IDLE}, CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)
 """
 )
 
+# A live alert can't know the row that ends its silence.
+STREAM_INACTIVITY_ALERTS_OPEN = f"SELECT user_id, last_seen_us, alert_time_us, idle_seconds FROM ({INACTIVITY_ALERTS_OPEN})"
+
 # A flushed stream also fires each key's final silence (open alert).
 STREAM_SENSOR_MONITOR = SENSOR_MONITOR + " OR nxt IS NULL\n"
 
@@ -265,4 +268,5 @@ ORACLE_SQL: dict[str, str] = {
     "monitor_messages": MONITOR_MESSAGES,
     "early_count_late_dropped": EARLY_COUNT_LATE_DROPPED,
     "stream_sensor_monitor": STREAM_SENSOR_MONITOR,
+    "stream_inactivity_alerts_open": STREAM_INACTIVITY_ALERTS_OPEN,
 }

@@ -279,7 +279,13 @@ def _with_bucket(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
 
 
 def session_summary(
-    df: DataFrame, keys: list[str], ts_us: str, gap_us: int, inclusive_break: bool, width_us: int
+    df: DataFrame,
+    keys: list[str],
+    ts_us: str,
+    gap_us: int,
+    inclusive_break: bool,
+    width_us: int,
+    sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Gap sessions at bucket level, from a map-side partial aggregate.
 
@@ -288,22 +294,32 @@ def session_summary(
     at a bucket's first row: it does when the previous non-empty bucket of
     the key ended more than ``gap`` earlier (``>=`` if ``inclusive_break``).
     Returns one row per ``(__ck_key, __ck_bucket)`` with ``__first``,
-    ``__last``, ``__n`` and ``session_start_us``. The window over buckets
-    holds at most ``span / width`` rows per key, however hot the key.
+    ``__last``, ``__n`` and ``session_start_us``, and per entry of ``sums``
+    the sum of that (non-negative) column over the key's rows before the
+    session. The window over buckets holds at most ``span / width`` rows per
+    key, however hot the key.
     """
     if width_us > gap_us:
         raise ValueError("session buckets must not be wider than the gap")
     d = _with_bucket(df, keys, F.floor(F.col(ts_us) / F.lit(width_us)).cast("long"))
     pk = [_K, _B] if keys else [_B]
+    sums = sums or {}
     s = d.groupBy(*pk).agg(
-        F.min(ts_us).alias("__first"), F.max(ts_us).alias("__last"), F.count(F.lit(1)).alias("__n")
+        F.min(ts_us).alias("__first"), F.max(ts_us).alias("__last"), F.count(F.lit(1)).alias("__n"),
+        *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()],
     )
     w = (Window.partitionBy(_K) if keys else Window.partitionBy()).orderBy(_B)
     diff = F.col("__first") - F.lag("__last").over(w)
     brk = diff >= F.lit(gap_us) if inclusive_break else diff > F.lit(gap_us)
     s = s.withColumn("__starts", F.coalesce(brk, F.lit(True)))
-    start = F.max(F.when(F.col("__starts"), F.col("__first"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return s.withColumn("session_start_us", start).drop("__starts")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    for n in sums:
+        s = s.withColumn(f"__s_{n}", F.coalesce(F.sum(f"__s_{n}").over(earlier), F.lit(0)))
+    # Starts and prefix sums never fall along a key, so the latest one is the largest.
+    at_start = {"session_start_us": F.col("__first"), **{n: F.col(f"__s_{n}") for n in sums}}
+    s = s.select("*", *[F.max(F.when(F.col("__starts"), c)).over(upto).alias(n) for n, c in at_start.items()])
+    return s.drop("__starts", *[f"__s_{n}" for n in sums])
 
 
 def sessionize(
@@ -315,13 +331,16 @@ def sessionize(
     inclusive_break: bool,
     width_us: int | None = None,
     extra: dict[str, tuple[str, object]] | None = None,
+    sums: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Gap sessions per key in ``(ts, seq)`` order.
 
     Adds ``session_start_us`` and ``is_start`` (the row's time is its
     session's start). A row starts a session when it is the key's first row
     or when ``ts - prev > gap`` (``>=`` if ``inclusive_break``). ``extra``
-    are further :func:`ordered_scan` specs over the same order.
+    are further :func:`ordered_scan` specs over the same order. ``sums`` adds,
+    per entry, the sum of a non-negative column over the key's rows before the
+    row's session.
 
     ``width_us=None``: plain windows over the key. Otherwise buckets of
     ``min(width_us, gap)``: sessions come from :func:`session_summary` and
@@ -330,16 +349,18 @@ def sessionize(
     """
     order = [ts_us, seq]
     if width_us is None:
-        d = ordered_scan(df, keys, order, {"__prev": ("prev", ts_us), **(extra or {})})
+        before = {f"__before_{n}": ("sum_before", c) for n, c in (sums or {}).items()}
+        d = ordered_scan(df, keys, order, {"__prev": ("prev", ts_us), **(extra or {}), **before})
         diff = F.col(ts_us) - F.col("__prev")
         brk = diff >= F.lit(gap_us) if inclusive_break else diff > F.lit(gap_us)
-        marker = F.when(F.col("__prev").isNull() | brk, F.col(ts_us))
-        d = ordered_scan(d, keys, order, {"session_start_us": ("max", marker)}).drop("__prev")
+        starts = F.col("__prev").isNull() | brk
+        at_start = {"session_start_us": F.col(ts_us), **{n: F.col(f"__before_{n}") for n in sums or {}}}
+        d = ordered_scan(d, keys, order, {n: ("max", F.when(starts, c)) for n, c in at_start.items()}).drop("__prev", *before)
     else:
         width = min(width_us, gap_us)
         bucket = F.floor(F.col(ts_us) / F.lit(width)).cast("long")
         d = ordered_scan(df, keys, order, extra, bucket) if extra else _with_bucket(df, keys, bucket)
-        summary = session_summary(df, keys, ts_us, gap_us, inclusive_break, width)
+        summary = session_summary(df, keys, ts_us, gap_us, inclusive_break, width, sums)
         pk = [_K, _B] if keys else [_B]
-        d = d.join(summary.select(*pk, "session_start_us"), pk, "inner")
+        d = d.join(summary.select(*pk, "session_start_us", *(sums or {})), pk, "inner")
     return d.withColumn("is_start", F.col(ts_us) == F.col("session_start_us"))

@@ -105,7 +105,8 @@ def stream_arrival_window_mean(
 def stream_inactivity_alerts(
     sdf: DataFrame, key="sensor_id", ts="ts", seq="seq", threshold="10 seconds", domain="event", delay=DEFAULT_DELAY
 ):
-    """``domain="event"``: event-time silence, equal to the batch operator with
+    """Columns key, last_seen, alert_time, idle_seconds (the batch operator adds ``next_seen``, which a
+    live alert can't know). ``domain="event"``: event-time silence, equal to the batch operator with
     ``include_open=True`` once the stream is flushed. ``domain="processing"``:
     wall-clock timeouts, as in a live monitor (not reproducible)."""
     d = sdf.select(key, ts, F.col(seq).cast("long").alias("__seq"), epoch_us(ts).alias("__us"))
@@ -116,7 +117,7 @@ def stream_inactivity_alerts(
         timeout = GroupStateTimeout.ProcessingTimeTimeout
     out = _stateful(
         d, key, ST.inactivity_fn(duration_us(threshold), domain), sdf.schema[key].dataType, ST.ALERT_COLUMNS,
-        [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L), ("next_seen_us", _L)], ST.ALERT_STATE,
+        [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L)], ST.ALERT_STATE,
         timeout,
     )
     return _times(out, key, ["idle_seconds"])

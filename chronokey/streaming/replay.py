@@ -125,7 +125,7 @@ def q_stream_arrival_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = replay(spark, sf_dir, "inactivity_alerts", [Q.KEY, Q.SEQ, "ts"],
                lambda s: S.stream_inactivity_alerts(s, Q.KEY, "ts", Q.SEQ, Q.IDLE, "event", REPLAY_DELAY))
-    return Q.project_alerts(r)
+    return r.select(Q.KEY, *[F.unix_micros(c).alias(f"{c}_us") for c in ("last_seen", "alert_time")], "idle_seconds")
 
 
 def q_stream_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:

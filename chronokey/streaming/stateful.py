@@ -140,7 +140,7 @@ def _mean_fold(ts, values, end, total, cnt, vals, width_us):
 
 
 def _alert_fold(ts_sorted, last, threshold_us):
-    """Silences of at least ``threshold`` between consecutive rows: (last, next)."""
+    """Times of the rows that a silence of at least ``threshold`` follows, and the latest time."""
     ts = np.asarray(ts_sorted, dtype="int64")
     if not len(ts):
         return [], last
@@ -148,8 +148,7 @@ def _alert_fold(ts_sorted, last, threshold_us):
     if last is not None:
         prev = np.maximum.accumulate(prev)
     hit = ts - prev >= threshold_us
-    alerts = [(int(a), int(b)) for a, b in zip(prev[hit], ts[hit])]
-    return alerts, int(ts[-1]) if last is None else max(last, int(ts[-1]))
+    return prev[hit].tolist(), int(ts[-1]) if last is None else max(last, int(ts[-1]))
 
 
 def arrival_mean_fn(width_us: int, order: list[str]):
@@ -173,14 +172,15 @@ def arrival_mean_fn(width_us: int, order: list[str]):
     return fn
 
 
-ALERT_COLUMNS = ["key", "last_seen_us", "alert_time_us", "idle_seconds", "next_seen_us"]
+ALERT_COLUMNS = ["key", "last_seen_us", "alert_time_us", "idle_seconds"]
 ALERT_STATE = "last_us long, held_us array<long>, held_seq array<long>"
 
 
 def inactivity_fn(threshold_us: int, domain: str = "event"):
     """``domain="event"``: silence in event time, over settled rows; the
-    timeout at last + threshold raises the alert of a silence whose end is not
-    known yet (its ``next_seen`` is null). ``domain="processing"``: wall-clock
+    timeout at last + threshold raises the alert. What ends the silence is not
+    known then (rows within the delay may still come before a row that is
+    held), so an alert does not name it. ``domain="processing"``: wall-clock
     timeout re-armed by every batch with rows (live monitor)."""
     idle_s = threshold_us // 1_000_000
 
@@ -188,7 +188,7 @@ def inactivity_fn(threshold_us: int, domain: str = "event"):
         if state.hasTimedOut:
             last = state.get[0]
             state.remove()
-            yield from _out([(key[0], last, state.getCurrentProcessingTimeMs() * 1000, idle_s, None)], ALERT_COLUMNS)
+            yield from _out([(key[0], last, state.getCurrentProcessingTimeMs() * 1000, idle_s)], ALERT_COLUMNS)
             return
         ts = _rows(pdfs, ["__us", "__seq"])["__us"].to_numpy(dtype="int64")
         last = int(max(ts.max(), state.get[0] if state.exists else ts.max()))
@@ -199,9 +199,9 @@ def inactivity_fn(threshold_us: int, domain: str = "event"):
         last, *held = state.get if state.exists else (None, [], [])
         settled, held, wm_us = _settle(pdfs, state, held, ["__us", "__seq"])
         alerts, last = _alert_fold(settled[0], last, threshold_us)
-        out = [(key[0], a, a + threshold_us, idle_s, b) for a, b in alerts]
+        out = [(key[0], a, a + threshold_us, idle_s) for a in alerts]
         if last is not None and last + threshold_us <= wm_us:
-            out.append((key[0], last, last + threshold_us, idle_s, None))
+            out.append((key[0], last, last + threshold_us, idle_s))
             last = None
         if last is None and not len(held[0]):
             state.remove()
@@ -237,7 +237,7 @@ def sensor_monitor_fn(width_us: int, threshold_us: int, order: list[str]):
             closed, end, total, cnt, vals = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, vals, width_us)
             out += [(key[0], "mean", e, m, c) for e, c, m in closed]
         alerts, last = _alert_fold(settled[0], last, threshold_us)
-        out += [(key[0], "alert", a + threshold_us, None, None) for a, _ in alerts]
+        out += [(key[0], "alert", a + threshold_us, None, None) for a in alerts]
         if last is not None and last + threshold_us <= wm_us:
             out.append((key[0], "alert", last + threshold_us, None, None))
             last = None
