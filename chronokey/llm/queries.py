@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_chunks, chaining, exact_dedup, fingerprints, licenses, mixing, ngram_join, secrets, token_store, toxicity
+from . import bpe_chunks, chaining, decontamination, exact_dedup, fingerprints, licenses, merkle, mixing, ngram_join, ranking, secrets, token_store, toxicity
 from .common import documents, scratch
 
 
@@ -74,4 +74,21 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.get("positions", F.lit(0)).alias("position")).orderBy("position", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_bpe_chunks, op3_toxicity, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing)}
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+
+
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir)).drop("item_ids")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_repeated_passages, op2_bpe_chunks, op3_toxicity, op4_token_store, op5_ngram_join, op6_exact_dedup, op7_secret_scan, op8_license_scan, op9_fingerprints, op10_source_mixing,
+                                      op11_decontamination, op12_merkle_manifest, op13_ranked_search)}
