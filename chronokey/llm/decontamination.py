@@ -16,8 +16,8 @@ words; all words of a shorter window).
    words before and behind it in the document.
 5. Verification: the words of the document at that place equal the window's words.
 
-Documents are never shuffled; what moves is their matches, at most one row of ``2 * WINDOW``
-words for each place, and the verified places. A row never carries its document's whole word array
+Texts are read once and never shuffled; what moves is their matches, at most one row of
+``2 * WINDOW`` words for each place, the verified places and a row of counts for each document. A row never carries its document's whole word array
 past the explode. Shingles and prefixes whose rows are counted to be few enough are
 broadcast, else the joins are ordinary shuffled ones on the shingle's hash. An item that
 repeats an id belongs to that id; a window of several items is joined once and belongs to
@@ -71,9 +71,13 @@ def _lowered(ws: Column) -> Column:
     return F.transform(ws, lambda w: F.translate(w, UPPER, LOWER))
 
 
-def _hash(ws: Column, at: Column, n: int) -> Column:
-    """Hash of the ``n`` words from place ``at`` (from 0); words beyond the end count as null."""
-    return F.xxhash64(F.lit(n), *[F.get(ws, at + F.lit(i)) for i in range(n)])
+def _word_hashes(ws: Column) -> Column:
+    return F.transform(ws, lambda w: F.xxhash64(F.lower(w)))
+
+
+def _hash(hashes: Column, at: Column, n: int) -> Column:
+    """Hash of the ``n`` words from place ``at`` (from 0), given the words' hashes; words beyond the end count as null."""
+    return F.xxhash64(F.lit(n), *[F.get(hashes, at + F.lit(i)) for i in range(n)])
 
 
 def windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
@@ -95,56 +99,65 @@ def shingles(wins: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(wid, len, ws, at, k, sh): the placed shingles of each window; ``sh`` is the hash that documents are joined by."""
     k = F.least(F.col("len"), F.lit(size))
     placed = wins.withColumn("k", k).select("*", F.explode(F.sequence(F.lit(0), F.col("len") - F.col("k"))).alias("at"))
-    low = F.transform("ws", F.lower)
-    hashes = F.lit(None).cast("long")
+    sh = F.lit(None).cast("long")
     for n in range(size, 0, -1):
-        hashes = F.when(F.col("k") == n, _hash(F.col("low"), F.col("at"), n)).otherwise(hashes)
-    return placed.withColumn("low", low).withColumn("sh", hashes).drop("low")
+        sh = F.when(F.col("k") == n, _hash(F.col("hashes"), F.col("at"), n)).otherwise(sh)
+    return placed.withColumn("hashes", _word_hashes(F.col("ws"))).withColumn("sh", sh).drop("hashes")
 
 
 def _bitmap(placed: DataFrame) -> list[int]:
     """Bits of the shingles' hashes, as 64-bit words; at most ``MAX_BITS`` bits whatever the number of shingles."""
-    bits = min(MAX_BITS, max(64, 1 << (16 * placed.count()).bit_length()))
-    at = F.pmod("sh", F.lit(bits))
-    words_of = placed.select((at / 64).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (at % 64).cast("int")).alias("b"))
-    held = dict(words_of.groupBy("w").agg(F.bit_or("b")).collect())
-    return [held.get(i, 0) for i in range(bits // 64)]
+    n = min(MAX_BITS, max(64, 1 << (16 * placed.count()).bit_length())) // 64
+    bits = placed.select(_slot(F.col("sh"), n).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col("sh"))).alias("b"))
+    held = dict(bits.groupBy("w").agg(F.bit_or("b")).collect())
+    return [held.get(i, 0) for i in range(n)]
+
+
+def _bit(sh: Column) -> Column:
+    return sh.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _slot(sh: Column, n: int) -> Column:
+    """``n`` is a power of two."""
+    return F.shiftright(sh, 6).bitwiseAND(F.lit(n - 1)).cast("int")
 
 
 def _matches(docs: DataFrame, placed: DataFrame, lengths: list[int], window: int) -> DataFrame:
     """doc_id, mark, n, at, sh, from, around: each place of the documents where a shingle of ``placed`` stands by its hash.
 
-    ``around`` has the words from place ``from`` on as they are written.
+    ``around`` has the words from place ``from`` on as they are written. Each document has a
+    further row with its number of words ``n`` and null ``at``.
     """
     bitmap = _bitmap(placed)
     held = F.array(*[F.lit(x).cast("long") for x in bitmap])
     back, reach = F.lit(window), F.lit(2 * window)
-
-    def marked(h: Column) -> Column:
-        at = F.pmod(h, F.lit(64 * len(bitmap)))
-        return F.getbit(F.get(held, F.floor(at / 64).cast("int")), F.pmod(at, F.lit(64)).cast("int")) == 1
-
     split = docs.select("doc_id", F.md5("text").alias("mark"), _as_written(F.col("text")).alias("written"))
-    split = split.withColumn("low", F.transform("written", F.lower)).filter(F.size("low") > 0)
-    places = F.sequence(F.lit(0), F.size("low") - 1)
+    split = split.withColumn("hashes", _word_hashes(F.col("written")))
 
     def found(n: int) -> Column:
-        seen = F.filter(places, lambda i: marked(_hash(F.col("low"), i, n)))
-        return F.transform(seen, lambda i: F.struct(
-            i.alias("at"), _hash(F.col("low"), i, n).alias("sh"), F.greatest(i - back, F.lit(0)).alias("from"),
-            F.slice(F.col("written"), F.greatest(i - back, F.lit(0)) + 1, reach).alias("around")))
+        every = F.transform("hashes", lambda h, i: F.struct(i.alias("at"), _hash(F.col("hashes"), i, n).alias("sh")))
+        seen = F.filter(every, lambda x: F.getbit(F.get(held, _slot(x["sh"], len(bitmap))), _bit(x["sh"])) == 1)
+        return F.transform(seen, lambda x: F.struct(
+            x["at"].alias("at"), x["sh"].alias("sh"), F.greatest(x["at"] - back, F.lit(0)).alias("from"),
+            F.slice(F.col("written"), F.greatest(x["at"] - back, F.lit(0)) + 1, reach).alias("around")))
 
-    each = split.select("doc_id", "mark", F.size("written").alias("n"), F.explode(F.concat(*[found(n) for n in lengths])).alias("x"))
-    return each.select("doc_id", "mark", "n", "x.*").join(small(placed.select("sh").distinct()), "sh")
+    own = F.array(F.struct(F.lit(None).cast("int").alias("at"), F.lit(None).cast("long").alias("sh"), F.lit(None).cast("int").alias("from"),
+                           F.lit(None).cast("array<string>").alias("around")))
+    each = split.select("doc_id", "mark", F.size("written").alias("n"), F.explode(F.concat(own, *[found(n) for n in lengths])).alias("x"))
+    known = small(placed.select("sh", F.lit(True).alias("known")).distinct())
+    return each.select("doc_id", "mark", "n", "x.*").join(known, "sh", "left").filter("at is null or known").drop("known")
 
 
-def occurrences(docs: DataFrame, wins: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, mark, wid, start, len): every place of ``docs`` (doc_id, text) where a window's words stand."""
+def occurrences(docs: DataFrame, wins: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """(rows, places) of ``docs`` (doc_id, text).
+
+    rows: doc_id, mark, n (words) of every row. places: doc_id, mark, wid, start, len of every
+    place where a window's words stand; rows alike in id and text repeat them.
+    """
     placed = saved(shingles(wins), "shingles")
     lengths = sorted(r[0] for r in placed.select("k").distinct().collect())  # at most SHINGLE numbers
-    if not lengths:
-        return docs.select("doc_id", F.md5("text").alias("mark"), F.lit("").alias("wid"), F.lit(0).alias("start"), F.lit(0).alias("len")).limit(0)
-    matches = saved(_matches(docs.filter(F.col("text") != ""), placed, lengths, window), "matches")
+    matches = saved(_matches(docs, placed, lengths, window), "matches")
+    rows, matches = matches.filter("at is null").select("doc_id", "mark", "n"), matches.filter("at is not null")
     # The rarest shingle of each window, if all of them occur; ties by place.
     counts = matches.groupBy("sh").agg(F.count(F.lit(1)).alias("df"))
     ranked = placed.join(counts, "sh", "left").groupBy("wid", "len", "ws").agg(
@@ -154,7 +167,7 @@ def occurrences(docs: DataFrame, wins: DataFrame, window: int = WINDOW) -> DataF
     start = F.col("at") - F.col("off")
     found = matches.join(small(prefix, PREFIX_ROWS), "sh").filter((start >= 0) & (start + F.col("len") <= F.col("n")))
     found = found.filter(_lowered(F.slice("around", start - F.col("from") + 1, F.col("len"))) == F.col("ws"))
-    return found.select("doc_id", "mark", "wid", start.alias("start"), "len")
+    return rows, found.select("doc_id", "mark", "wid", start.alias("start"), "len")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -164,10 +177,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     windows that occur, ``item_ids`` lists them, sorted as strings. A document is known by its
     id and the 128-bit digest of its text; rows equal in both have equal results.
     """
-    texts = docs.select("doc_id", text_or_empty("text").alias("text"))
     wins, owners = windows(items, window)
-    hits = saved(occurrences(texts, wins, window).distinct(), "hits")
+    rows, places = occurrences(docs.select("doc_id", text_or_empty("text").alias("text")), wins, window)
     key = F.struct("doc_id", "mark").alias("key")
+    hits = saved(places.select(key, "wid", "start", "len").distinct(), "hits")
     # Words covered by the union of the places, taken in order: each adds what lies beyond those before it.
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("start", "len"))),
@@ -176,13 +189,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
             F.greatest(acc["end"], p["start"] + p["len"]).alias("end"),
             (acc["n"] + F.greatest(F.lit(0), p["start"] + p["len"] - F.greatest(acc["end"], p["start"])).cast("long")).alias("n")),
         lambda acc: acc["n"])
-    spans = hits.select(key, "start", "len").groupBy("key").agg(covered.alias("n_hit"))
-    named = hits.select(key, "wid").distinct().join(small(owners), "wid").groupBy("key").agg(
+    spans = hits.groupBy("key").agg(covered.alias("n_hit"))
+    named = hits.select("key", "wid").distinct().join(small(owners), "wid").groupBy("key").agg(
         F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     found = spans.join(named, "key")
-    rows = texts.select(F.struct("doc_id", F.md5("text").alias("mark")).alias("key"), F.size(_as_written(F.col("text"))).cast("long").alias("n_words"))
     ids = F.coalesce("item_ids", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return rows.join(found, "key", "left").select(
+    return rows.select(key, F.col("n").cast("long").alias("n_words")).join(found, "key", "left").select(
         F.col("key.doc_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"), ids.alias("item_ids"))
