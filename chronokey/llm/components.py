@@ -30,7 +30,9 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
     now, seen = saved(pairs, "edges"), None
     while True:
-        state = now.agg(F.count("*"), F.sum("u"), F.sum("v"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        # Ids take all 64 bits, so they are not summed as longs.
+        mark = F.xxhash64("u", "v")
+        state = now.agg(F.count("*"), F.bit_xor(mark), F.sum(mark.cast("decimal(38,0)"))).first()
         if state == seen:
             break
         seen = state

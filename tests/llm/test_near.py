@@ -183,3 +183,21 @@ def test_empty_tables(spark):
     docs = empty_documents(spark)
     assert N.ngram_classes(docs).count() == 0 and N.drop_near_copies(docs).count() == 0
     assert P.fingerprints(docs).count() == 0 and P.fingerprint_groups(docs).count() == 0
+
+
+def test_components_of_large_ids(spark):
+    """Ids take all 64 bits, as those of late partitions of a wide table do: nothing overflows."""
+    top, n = 2**62, 3000
+    edges = [(top + i, top + i + 1) for i in range(0, n, 2)] + [(top + i, top + i + 2) for i in range(0, n // 2, 2)] + [(-top, top)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    assert got == {x: find(x) for x in list(root)}
