@@ -12,7 +12,11 @@ signatures are joined in Spark:
    signatures are verified there; the links that join components leave the task.
 4. Two classes that are alike are in one component. All pairs inside a component are
    counted on the exact sets, by blocks of members inside tasks; what leaves a task is
-   a number of links per member, so rows grow with the members, not with the pairs.
+   a number of links per member.
+
+A block meets every other block of its bucket or component, so a member's compressed text
+is moved once for each of them: what moves in 3 and 4 grows with the square of a very large
+group, by a factor of its members / 1,024 and members / 256.
 
 What is lost is what no band or the pruning finds; see the callers for figures.
 """
