@@ -36,24 +36,45 @@ SAMPLE_DOCS = 1000
 #: Log-likelihood ratio a candidate needs, per transition and in all.
 PER_CHAR, IN_ALL = 0.5, 10.0
 SMOOTH = 0.1
+#: Elements of a block of running sums, and characters of a page of the overlap test.
+BLOCK, PAGE = 256, 4096
+
+
+def offsets(lengths: Column) -> Column:
+    """Sum of the lengths before each, in blocks: an array that grows by one element at a time
+    costs the square of its size, so it grows to ``BLOCK`` only."""
+    def running(xs: Column, first: Column) -> Column:
+        zero = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(xs, zero, lambda acc, x: F.struct(
+            (acc["at"] + x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    count = F.floor((F.size(lengths) + F.lit(BLOCK - 1)) / F.lit(BLOCK)).cast("int")
+    blocks = F.filter(F.transform(F.sequence(F.lit(0), count), lambda b: F.slice(lengths, b * BLOCK + 1, BLOCK)), lambda x: F.size(x) > 0)
+    firsts = running(F.transform(blocks, lambda x: F.aggregate(x, F.lit(0), lambda acc, y: acc + y)), F.lit(0))
+    return F.flatten(F.zip_with(blocks, firsts, running))
 
 
 def spans_of(text: Column, pattern: str, kind: str) -> Column:
     """Array of (start, end, kind order, text) of all leftmost, non-overlapping matches."""
     order = KINDS.index(kind)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
     empty = F.array().cast("array<struct<start:int,end:int,kind:int,value:string>>")
 
-    def step(acc: Column, both: Column) -> Column:
-        start = acc["at"] + F.length(both["gap"])
-        end = start + F.length(both["found"])
-        one = F.struct(start.alias("start"), end.alias("end"), F.lit(order).alias("kind"), both["found"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+    def placed(pairs: Column) -> Column:
+        """``pairs``: each match with the text between it and the one before."""
+        before = offsets(F.transform(pairs, lambda p: F.length(p["gap"]) + F.length(p["found"])))
+        return F.zip_with(pairs, before, lambda p, at: F.struct(
+            (at + F.length(p["gap"])).alias("start"), (at + F.length(p["gap"]) + F.length(p["found"])).alias("end"),
+            F.lit(order).alias("kind"), p["found"].alias("value")))
 
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    gaps = F.split(text, pattern, -1)
     pairs = F.zip_with(found, F.slice(gaps, 1, F.size(found)), lambda m, g: F.struct(m.alias("found"), g.alias("gap")))
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step)["out"]
-    return F.when(F.rlike(text, F.lit(pattern)), walked).otherwise(empty)
+    return F.when(F.rlike(text, F.lit(pattern)), _once(pairs, placed)).otherwise(empty)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def base_spans(text: Column) -> Column:
@@ -70,11 +91,15 @@ def joined(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def steps(s: Column) -> Column:
+    """128 x (character) + (next character) along an ASCII string, of which it splits the characters once."""
+    codes = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), lambda c: F.ascii(c))
+    return _once(codes, lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c)), lambda x, y: x * 128 + y))
+
+
 def transitions(strings: DataFrame) -> dict[tuple[int, int], int]:
     """Counts of (character, next character) over the column ``s``; at most 128 x 128 rows reach the driver."""
-    steps = F.transform(F.sequence(F.lit(1), F.length("s") - 1),
-                        lambda i: F.ascii(F.substr("s", i, F.lit(1))) * 128 + F.ascii(F.substr("s", i + 1, F.lit(1))))
-    rows = (strings.filter(F.length("s") > 1).select(F.explode(steps).alias("step"))
+    rows = (strings.filter(F.length("s") > 1).select(F.explode(steps(F.col("s"))).alias("step"))
             .filter("step between 0 and 16383").groupBy("step").count().collect())
     return {divmod(r["step"], 128): r["count"] for r in rows}
 
@@ -102,17 +127,35 @@ def train(docs: DataFrame, base: DataFrame, sample_docs: int = SAMPLE_DOCS) -> l
     return log_ratios(transitions(random), transitions(plain))
 
 
+def clear_of(spans: Column, others: Column) -> Column:
+    """The ``spans`` that overlap none of ``others``. Others are dealt to pages of ``PAGE`` characters first,
+    so that a span looks at those of its own pages only."""
+    page = lambda at: F.floor(at / F.lit(PAGE)).cast("int")
+    last = F.aggregate(others, F.lit(0), lambda acc, o: F.greatest(acc, page(o["end"])))
+    pages = F.transform(F.sequence(F.lit(0), last), lambda p: F.filter(
+        others, lambda o: (o["start"] < (p + 1) * PAGE) & (o["end"] > p * PAGE)))
+
+    def apart(pg: Column) -> Column:
+        def hit(c: Column, p: Column) -> Column:
+            return F.coalesce(F.exists(F.get(pg, p), lambda o: (o["start"] < c["end"]) & (o["end"] > c["start"])), F.lit(False))
+
+        def between(c: Column) -> Column:
+            inner = F.slice(pg, page(c["start"]) + 2, F.greatest(page(c["end"] - 1) - page(c["start"]) - 1, F.lit(0)))
+            return F.exists(inner, lambda x: F.size(x) > 0)
+
+        return F.filter(spans, lambda c: ~(hit(c, page(c["start"])) | hit(c, page(c["end"] - 1)) | between(c)))
+
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), _once(pages, apart)).otherwise(spans)
+
+
 def markov_spans(text: Column, base: Column, ratios: list[float]) -> Column:
     table = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
-    code = lambda s, i: F.ascii(F.substr(s, i, F.lit(1)))
 
     def score(s: Column) -> Column:
-        return F.aggregate(F.sequence(F.lit(1), F.length(s) - 1), F.lit(0.0),
-                           lambda acc, i: acc + F.get(table, code(s, i) * 128 + code(s, i + 1)))
+        return F.aggregate(steps(s), F.lit(0.0), lambda acc, x: acc + F.get(table, x))
 
-    free = F.filter(spans_of(text, TOKEN, "markov"), lambda c: ~F.exists(
-        base, lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"])))
-    return F.filter(free, lambda c: score(c["value"]) >= F.greatest(
+    found = _once(spans_of(text, TOKEN, "markov"), lambda c: clear_of(c, base))
+    return F.filter(found, lambda c: score(c["value"]) >= F.greatest(
         F.lit(IN_ALL), F.lit(PER_CHAR) * (F.length(c["value"]) - 1)))
 
 

@@ -1,5 +1,9 @@
 import hashlib
+import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from chronokey.llm import licenses as L
 from chronokey.llm import secrets as S
@@ -105,3 +109,43 @@ def test_altered_rare_words(spark):
     got = {r["doc_id"]: r for r in L.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all("mit-grant" in r["labels"] for r in got.values())
     assert [m["start"] for m in got[1]["matches"]] == [13]
+
+
+def test_secret_scan_long_texts(spark):
+    """A token of a megabyte and 50,000 spans in a text: time grows with the text, not with its square."""
+    rng = random.Random(8)
+    hexes = ["".join(rng.choices("0123456789abcdef", k=20)) for _ in range(50_000)]
+    mixed = " ".join(f"token={h}" if i % 2 else h for i, h in enumerate(hexes))
+    token = "_".join("".join(rng.choices("0123456789abcdef", k=12)) for _ in range(77_000))  # no run of 16 digits
+    rows = [(1, " ".join(hexes)), (2, mixed), (3, f"see {token}\n"), (4, "x" * 1_000_000), (5, "few words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "doc_id")
+    began = time.time()
+    got = {r["doc_id"]: r for r in S.secret_report(docs).collect()}
+    assert time.time() - began < 150  # 30 s each
+    for i, text in rows:
+        spans = brute_base(text)
+        order = {"assign": 0, "access": 1, "hex": 2}
+        said = ",".join(f"{k}:{a}:{b}" for a, k, b in sorted(spans, key=lambda s: (s[0], order[s[1]])))
+        assert got[i]["base_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert [got[i]["n_hex"] for i in (1, 2)] == [50_000, 50_000] and got[2]["n_assign"] == 25_000
+    assert got[3]["spans"] == f"markov:4:{4 + len(token)}" and [got[i]["n_markov"] for i in (1, 2, 4, 5)] == [0, 0, 0, 0]
+
+
+def test_clear_of_pages(spark):
+    """Overlaps found by pages are those found by comparing all pairs."""
+    rng = random.Random(9)
+    span = "array<struct<start:int,end:int>>"
+
+    def some(n, width):
+        at, out = 0, []
+        for _ in range(n):
+            at += rng.randrange(1, 2000)
+            out.append((at, at + rng.randrange(1, width)))
+            at = out[-1][1]
+        return out
+
+    rows = [(i, some(rng.randrange(12), 20_000), some(rng.randrange(12), 3000)) for i in range(60)]
+    got = spark.createDataFrame(rows, f"i int, a {span}, b {span}").select("i", S.clear_of(F.col("a"), F.col("b")).alias("c")).collect()
+    for r in got:
+        _, a, b = rows[r["i"]]
+        assert [tuple(x) for x in r["c"]] == [x for x in a if not any(y[0] < x[1] and y[1] > x[0] for y in b)]
