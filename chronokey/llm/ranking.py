@@ -8,11 +8,11 @@ in the stratum.
 1. Forward index: one pass over the texts (byte translation, split) keeps of each document
    its length and the (term, tf) pairs of terms that items ask for. It is written to the
    shared folder; counts of documents, words and df come from it.
-2. Strata: the index is range-partitioned by (m, hash of the document), so that equal m meet
-   and a stratum of very many documents is cut over several tasks.
-3. Search: a task holds the strata of its range as postings by term. For each item it visits
-   them by falling bound and stops at the first whose bound is below the tenth score it has.
-   What leaves a task is at most ten rows for each item; the ranks are taken over those.
+2. Strata: documents are dealt by m, neighbouring small strata together and a stratum of very many
+   postings cut by hash, into groups of about ``GROUP_POSTINGS``. A task takes one group at a time.
+3. Search: a group's strata are held as postings by term. For each item they are visited
+   by falling bound, up to the first whose bound is below the tenth score found.
+   What leaves a group is at most ten rows for each item; the ranks are taken over those.
 
 Items are a query set that is held against all documents in blocks: a block's terms (at most
 ``BLOCK_TERMS`` with repeats, or one longer item) go to the tasks, further items form
@@ -36,7 +36,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, text_or_empty
+from .common import runs, saved, small, text_or_empty
 
 # ---- fixed values: the formula of the task ----
 TOP = 10
@@ -46,8 +46,8 @@ SCALE, TF, NORM, FLOOR, SLOPE = 1_000_000_000, 1000, 8, 100 - 75, 75
 #: Term occurrences of the items of one block.
 BLOCK_TERMS = 200_000
 
-#: Documents of one search task.
-TASK_DOCS = 20_000
+#: Postings of one group of strata (about 100 bytes each while it is searched).
+GROUP_POSTINGS = 2_000_000
 
 #: Items longer than this are summed in integers.
 EXACT_WORDS = 300_000
@@ -211,15 +211,30 @@ class _DocIds:
         return iter((self.ids, self.null))
 
 
-def _searched(index: DataFrame, items: list, weights: list[int], documents: int, words: int, tasks: int, top: int) -> DataFrame:
+def _dealt(index: DataFrame, documents: int, words: int, group_postings: int) -> DataFrame:
+    """``index`` with ``cell``, the group of each document: of bounded postings, and whole strata where they fit."""
+    held = index.withColumn("m", F.expr(f"{FLOOR} + ({SLOPE} * n * {documents}L) div {words}L"))
+    # One row for each m that occurs, so at most as many as there are lengths of texts.
+    sizes = held.groupBy("m").agg(F.sum(F.size("ids") + 1).alias("held"))
+    before = F.sum("held").over(Window.orderBy("m")) - F.col("held")
+    parts = sizes.select("m", F.floor(before / F.lit(group_postings)).alias("part"), F.ceil(F.col("held") / F.lit(group_postings)).alias("cuts"))
+    cut = F.pmod(F.xxhash64("doc_id", "n", "ids"), F.col("cuts"))
+    # A stratum that is cut has its groups to itself.
+    whole = F.col("cuts") == 1
+    cell = F.when(whole, F.xxhash64(F.lit(0), "part")).otherwise(F.xxhash64(F.lit(1), "m", cut))
+    dealt = held.join(small(parts), "m").select(cell.alias("cell"), *index.columns)
+    return dealt.repartition("cell").sortWithinPartitions("cell")
+
+
+def _searched(index: DataFrame, items: list, weights: list[int], documents: int, words: int, group_postings: int, top: int) -> DataFrame:
     def search(batches: Iterator) -> Iterator:
+        for _, table in runs(batches, "cell"):
+            yield of_group(table.combine_chunks())
+
+    def of_group(held):
         import numpy as np
         import pyarrow as pa
 
-        held = pa.Table.from_batches([b for b in batches if b.num_rows] or [pa.RecordBatch.from_pylist([], schema=pa.schema(
-            [("doc_id", pa.int64()), ("n", pa.int64()), ("ids", pa.list_(pa.int32())), ("tfs", pa.list_(pa.int32()))]))]).combine_chunks()
-        if not held.num_rows:
-            return
         column = lambda c: held.column(c).combine_chunks()
         doc_id = column("doc_id")
         null, ids = np.asarray(doc_id.is_null()), np.asarray(doc_id.fill_null(0))
@@ -241,15 +256,12 @@ def _searched(index: DataFrame, items: list, weights: list[int], documents: int,
                 strata.append(Stratum(value, _DocIds(ids[rows], null[rows]), term[post], tf[post], place[owner[post]], w))
         asked = [(key, np.array(t, dtype="int64"), np.array(q, dtype="int64")) for key, t, q in items]
         out = list(search_strata(strata, asked, top))
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=pa.int64()) for i in range(3)], ["key", "score", "doc_id"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], type=pa.int64()) for i in range(3)], ["key", "score", "doc_id"])
 
-    # ids are dealt within a stratum by hash, so one of very many documents is cut over tasks
-    m = F.expr(f"{FLOOR} + ({SLOPE} * n * {documents}L) div {words}L")
-    dealt = index.withColumn("m", m).repartitionByRange(tasks, "m", F.xxhash64("doc_id", "n", "ids")).drop("m")
-    return dealt.mapInArrow(search, "key long, score long, doc_id long")
+    return _dealt(index, documents, words, group_postings).mapInArrow(search, "key long, score long, doc_id long")
 
 
-def search(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS, task_docs: int = TASK_DOCS) -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int = BLOCK_TERMS, group_postings: int = GROUP_POSTINGS) -> DataFrame:
     """item_id, rank, doc_id, score: the ``top`` documents of each row of ``items`` (item_id, text)."""
     spark, out = docs.sparkSession, None
     for block in _item_blocks(items, block_terms):
@@ -268,7 +280,7 @@ def search(docs: DataFrame, items: DataFrame, top: int = TOP, block_terms: int =
         df = dict(index.select(F.explode("ids").alias("t")).groupBy("t").count().collect())  # at most the block's terms
         weights = [weight(documents, df.get(t, 0)) for t in range(len(vocabulary))]
         asked = [(key, ts, qs) for key, _, ts, qs in counted if ts]
-        found = _searched(index, asked, weights, documents, words, max(1, -(-documents // task_docs)), top)
+        found = _searched(index, asked, weights, documents, words, group_postings, top)
         ranked = found.withColumn("rank", F.row_number().over(
             Window.partitionBy("key").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last()))).filter(F.col("rank") <= top)
         names = spark.createDataFrame([(key, item_id) for key, item_id, _, _ in counted], f"key long, item_id {items.schema['item_id'].dataType.simpleString()}")

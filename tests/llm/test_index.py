@@ -174,12 +174,12 @@ def ranking_of(docs, items, top=10):
 RANKED = ("item_id", "rank", "doc_id", "score")
 
 
-@pytest.mark.parametrize("block_terms, task_docs, words", [(200_000, 20_000, 300_000), (40, 3, 5)])
-def test_search_edges(spark, monkeypatch, block_terms, task_docs, words):
-    """Also with many blocks of items and tasks of few documents, and with sums in integers."""
+@pytest.mark.parametrize("block_terms, group_postings, words", [(200_000, 2_000_000, 300_000), (40, 3, 5)])
+def test_search_edges(spark, monkeypatch, block_terms, group_postings, words):
+    """Also with many blocks of items and groups of few postings, and with sums in integers."""
     monkeypatch.setattr(ranking, "EXACT_WORDS", words)
     docs, items = edge_documents(spark), edge_items(spark)
-    got = ranking.search(docs, items, block_terms=block_terms, task_docs=task_docs)
+    got = ranking.search(docs, items, block_terms=block_terms, group_postings=group_postings)
     small = [(r["item_id"], r["text"]) for r in items.collect()]
     assert rows_of(got, *RANKED) == ranking_of([(r["doc_id"], r["text"]) for r in docs.collect()], small)
     assert got.schema["rank"].dataType.simpleString() == "int"
