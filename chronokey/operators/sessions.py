@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronokey.functions.time import duration_us, epoch_us, from_epoch_us
-from chronokey.operators._common import sorted_by
+from chronokey.operators._common import as_list, order_value, sorted_by
+from chronokey.plans.arrival_chain import arrival_sessions
 from chronokey.plans.chain import chain_starts
-from chronokey.plans.scan import key_stats, resolve_width, session_summary, sessionize, target_rows_for
+from chronokey.plans.scan import key_stats, ordered_scan, resolve_bucket, resolve_width, session_summary, sessionize, target_rows_for
 
 # ---- fixed values: defaults of the original session jobs ----
 TERMINATORS = ("LOGOUT", "CHECKOUT_COMPLETE")
@@ -137,6 +138,53 @@ def terminated_sessions(
     )
 
 
+def terminated_session_rows(
+    df: DataFrame,
+    key: str = "user_id",
+    ts: str = "ts",
+    seq: str = "seq",
+    event_type: str = "event_type",
+    gap=TERMINATED_GAP,
+    terminators=TERMINATORS,
+    bucket="auto",
+    target_rows: int | None = None,
+) -> DataFrame:
+    """The contents of :func:`terminated_sessions` as labelled rows.
+
+    One row for each row with a time: key, seq, ts, event_type, session_start, segment (0-based in
+    the session), position (0-based in the segment, in (ts, seq) order). The labels are running
+    columns of the bucketed scan, so a session without end, or a segment of any number of rows, is
+    spread over tasks like any other rows; no list of a segment's rows is ever built.
+    """
+    gap_us = duration_us(gap)
+    d, width = _prepare(df, key, ts, seq, [event_type], bucket, target_rows)
+    one = F.lit(1).cast("long")
+    term = F.coalesce(F.col(event_type).isin(*terminators), F.lit(False))
+    d = sessionize(
+        d,
+        [key],
+        _US,
+        seq,
+        gap_us,
+        inclusive_break=False,
+        width_us=width,
+        extra={"__terms_before": ("sum_before", term.cast("long")), "__rows_before": ("sum_before", one)},
+        sums={"__terms_at_start": term.cast("long"), "__rows_at_start": one},
+    )
+    # A segment starts with its session or after the latest terminator, whichever is later.
+    b = None if width is None else F.col("__ck_bucket")
+    d = ordered_scan(d, [key], [_US, seq], {"__after": ("max_before", F.when(term, F.col("__rows_before") + one))}, b)
+    return d.select(
+        key,
+        seq,
+        from_epoch_us(_US).alias("ts"),
+        event_type,
+        from_epoch_us("session_start_us").alias("session_start"),
+        (F.col("__terms_before") - F.col("__terms_at_start")).alias("segment"),
+        (F.col("__rows_before") - F.greatest("__rows_at_start", "__after")).alias("position"),
+    )
+
+
 def capped_sessions(
     df: DataFrame,
     key: str = "user_id",
@@ -149,6 +197,7 @@ def capped_sessions(
     target_rows: int | None = None,
     fold_limit: int | None = None,
     lists: bool = True,
+    order: str = "time",
 ) -> DataFrame:
     """Sessions closed by inactivity (``ts >= last + gap``) or by length
     (``ts > start + max_len``), with the reason.
@@ -160,6 +209,11 @@ def capped_sessions(
     session closes at its earlier deadline, as event-time timers would fire.
     Membership is the same in both modes.
 
+    ``order="arrival"`` takes the rows of a key as they arrived (``seq``, a column or a list) in place
+    of ``(ts, seq)`` order, as the original process function does: the start is the first *arrived* time, the
+    inactivity deadline follows the last arrived row, also backwards, and the gap and the cap are judged against
+    those. ``session_end`` is still ``start + max_len`` or the largest time + gap. It has ``mode="arrival"`` only.
+
     Output: key, session_start, session_end, n, timestamps (sorted), reason.
     ``lists=False`` leaves out ``timestamps`` (a session of a busy key can
     hold up to ``max_len`` worth of rows).
@@ -167,6 +221,13 @@ def capped_sessions(
     if mode not in ("arrival", "event_time"):
         raise ValueError("mode must be 'arrival' or 'event_time'")
     gap_us, max_us = duration_us(gap), duration_us(max_len)
+    if order == "arrival":
+        if mode != "arrival":
+            raise ValueError("order='arrival' has mode 'arrival' only")
+        by = as_list(seq)
+        d = df.select(*dict.fromkeys([key, *by]), epoch_us(ts).alias(_US)).filter(F.col(_US).isNotNull())
+        b = resolve_bucket(d, [key], order_value(d, by[0]), bucket, target_rows)
+        return _close_arrival(arrival_sessions(d, key, _US, by, gap_us, max_us, b, fold_limit, lists), key, gap_us, max_us, lists)
     # One stats job sizes the buckets and bounds the largest island (an
     # island never has more rows than its key).
     stats = key_stats(df.select(key, epoch_us(ts).alias(_US)), [key], F.col(_US), target_rows_for(df, target_rows))
@@ -185,6 +246,20 @@ def capped_sessions(
     return _close(sessions, key, gap_us, max_us, mode, lists)
 
 
+def _close_arrival(s: DataFrame, key: str, gap_us: int, max_us: int, lists: bool) -> DataFrame:
+    """Sessions in arrival order -> typed output. The last one closes at the earlier deadline (tie: Inactivity)."""
+    start = F.col("start_us")
+    inactivity = F.when(F.col("close") == "end", F.col("last_us") + F.lit(gap_us) <= start + F.lit(max_us)).otherwise(F.col("close") == "gap")
+    return s.select(
+        key,
+        from_epoch_us(start).alias("session_start"),
+        from_epoch_us(F.when(inactivity, F.col("max_us") + F.lit(gap_us)).otherwise(start + F.lit(max_us))).alias("session_end"),
+        "n",
+        *([F.transform("ts_list", lambda x: from_epoch_us(x)).alias("timestamps")] if lists else []),
+        F.when(inactivity, F.lit("Inactivity")).otherwise(F.lit("Max")).alias("reason"),
+    )
+
+
 def _close(s: DataFrame, key: str, gap_us: int, max_us: int, mode: str, lists: bool = True) -> DataFrame:
     """sessions(key, start_us, last_us, n, ts_list, next_us) -> typed output."""
     start, last, nxt = F.col("start_us"), F.col("last_us"), F.col("next_us")

@@ -65,6 +65,16 @@ SELECT user_id, 'alert', t + {IDLE}, CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT)
 """
 )
 
+# The same means; silences between arrivals, in arrival time.
+SENSOR_MONITOR_ARRIVAL = (
+    _ARRIVAL_WINDOWS
+    + f""", a AS (SELECT user_id, arr, lead(arr) OVER (PARTITION BY user_id ORDER BY arr, event_id) AS nxt FROM ({_EA}))
+SELECT user_id, 'mean' AS kind, window_end_us AS at_us, mean AS value, n FROM m
+UNION ALL
+SELECT user_id, 'alert', arr + {IDLE}, CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT) FROM a WHERE nxt - arr >= {IDLE}
+"""
+)
+
 # A live alert can't know the row that ends its silence.
 STREAM_INACTIVITY_ALERTS_OPEN = f"SELECT user_id, last_seen_us, alert_time_us, idle_seconds FROM ({INACTIVITY_ALERTS_OPEN})"
 
@@ -115,6 +125,31 @@ FROM c
 """
 )
 
+# Rows one by one as they arrived: the deadline follows the last arrived row, the start is the first arrived time.
+CAPPED_SESSIONS_DISORDERED = f"""
+WITH RECURSIVE e AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY arr, event_id) AS rn FROM ({_EA})
+), s(user_id, rn, t, start, id, broke) AS (
+  SELECT user_id, rn, t, t, rn, CAST(NULL AS VARCHAR) FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn, e.t,
+         CASE WHEN e.t >= s.t + {GAP} OR e.t > s.start + {MAX_LEN} THEN e.t ELSE s.start END,
+         CASE WHEN e.t >= s.t + {GAP} OR e.t > s.start + {MAX_LEN} THEN e.rn ELSE s.id END,
+         CASE WHEN e.t >= s.t + {GAP} THEN 'Inactivity' WHEN e.t > s.start + {MAX_LEN} THEN 'Max' END
+  FROM s JOIN e ON e.user_id = s.user_id AND e.rn = s.rn + 1
+), g AS (
+  SELECT user_id, id, start, arg_max(t, rn) AS last, max(t) AS top, max(rn) AS last_rn, count(*) AS n,
+         string_agg(CAST(t AS VARCHAR), ',' ORDER BY t) AS timestamps_us
+  FROM s GROUP BY user_id, id, start
+), c AS (
+  SELECT g.*, coalesce(nx.broke, CASE WHEN g.last + {GAP} <= g.start + {MAX_LEN} THEN 'Inactivity' ELSE 'Max' END) AS reason
+  FROM g LEFT JOIN s nx ON nx.user_id = g.user_id AND nx.rn = g.last_rn + 1
+)
+SELECT user_id, start AS session_start_us, CASE WHEN reason = 'Max' THEN start + {MAX_LEN} ELSE top + {GAP} END AS session_end_us,
+       n, timestamps_us, reason
+FROM c
+"""
+
 _EARLY = f"""
 WITH e AS ({_E}),
 w AS (SELECT user_id, t - t % {WEEK} AS ws,
@@ -169,6 +204,14 @@ FROM c GROUP BY user_id, ss, seg
 """
 )
 
+TERMINATED_SESSION_ROWS = (
+    _SESSIONS
+    + """SELECT user_id, event_id, t AS ts_us, event_type, ss AS session_start_us, seg AS segment,
+       row_number() OVER (PARTITION BY user_id, ss, seg ORDER BY t, event_id) - 1 AS position
+FROM c
+"""
+)
+
 GAP_SESSIONS = (
     _SESSIONS
     + f"""SELECT user_id, ss AS session_start_us, max(t) + {GAP} AS session_end_us, count(*) AS n
@@ -255,11 +298,14 @@ ORACLE_SQL: dict[str, str] = {
     "sensor_monitor": SENSOR_MONITOR,
     "capped_sessions_arrival": CAPPED_SESSIONS_ARRIVAL,
     "capped_sessions_event_time": CAPPED_SESSIONS_EVENT_TIME,
+    "capped_sessions_disordered": CAPPED_SESSIONS_DISORDERED,
     "early_count": EARLY_COUNT,
     "early_count_final": EARLY_COUNT_FINAL,
     "late_audit": LATE_AUDIT,
     "terminated_sessions": TERMINATED_SESSIONS,
     "gap_sessions": GAP_SESSIONS,
+    "sensor_monitor_arrival": SENSOR_MONITOR_ARRIVAL,
+    "terminated_session_rows": TERMINATED_SESSION_ROWS,
     "terminated_session_messages": TERMINATED_SESSION_MESSAGES,
     "capped_session_messages": CAPPED_SESSION_MESSAGES,
     "mean_messages": MEAN_MESSAGES,
@@ -269,4 +315,10 @@ ORACLE_SQL: dict[str, str] = {
     "early_count_late_dropped": EARLY_COUNT_LATE_DROPPED,
     "stream_sensor_monitor": STREAM_SENSOR_MONITOR,
     "stream_inactivity_alerts_open": STREAM_INACTIVITY_ALERTS_OPEN,
+    # With every row kept, the last revisions are the batch operator's rows.
+    "stream_arrival_window_mean_late": ARRIVAL_WINDOW_MEAN,
+    "stream_gap_sessions_late": GAP_SESSIONS,
+    "stream_inactivity_alerts_late": STREAM_INACTIVITY_ALERTS_OPEN,
+    "stream_capped_sessions_late": CAPPED_SESSIONS_EVENT_TIME,
+    "stream_terminated_sessions_revised": TERMINATED_SESSIONS,
 }

@@ -138,6 +138,28 @@ def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
 
+def orbit(jump: DataFrame, heads: DataFrame, folder: str) -> DataFrame:
+    """All that is reached from ``heads`` (key, src) by any number of jumps (key, src, dst; one for each src)."""
+
+    def square(lvl: DataFrame) -> DataFrame:
+        a, b = lvl.alias("a"), lvl.alias("b")
+        return a.join(b, (F.col(f"a.{_KEY}") == F.col(f"b.{_KEY}")) & (F.col("a.dst") == F.col("b.src"))).select(
+            F.col(f"a.{_KEY}").alias(_KEY), F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
+        )
+
+    # Jumps of 1, 2, 4, ... steps; a level is empty once no chain is that long.
+    levels = [_written(jump, folder, "level-0")]
+    while not levels[-1].isEmpty():
+        levels.append(_written(square(levels[-1]), folder, f"level-{len(levels)}"))
+
+    # After a level of 2^k steps the set holds nxt^j(head) for all multiples j of 2^k in the chain.
+    starts = heads
+    for k, lvl in reversed(list(enumerate(levels[:-1]))):
+        hop = starts.join(lvl, [_KEY, "src"]).select(_KEY, F.col("dst").alias("src"))
+        starts = _written(starts.unionByName(hop).distinct(), folder, f"starts-{k}")
+    return starts
+
+
 def _double_large(
     rows: DataFrame, ts_us: str, island: str, max_us: int, bucket: Column | None, lists: bool = True
 ) -> DataFrame:
@@ -168,24 +190,7 @@ def _double_large(
         F.when(F.col("__m.i") == F.col(island), -F.col("__m.nt")).alias("dst"),
     ).filter(F.col("dst").isNotNull())
 
-    def square(lvl: DataFrame) -> DataFrame:
-        a, b = lvl.alias("a"), lvl.alias("b")
-        return a.join(b, (F.col(f"a.{_KEY}") == F.col(f"b.{_KEY}")) & (F.col("a.dst") == F.col("b.src"))).select(
-            F.col(f"a.{_KEY}").alias(_KEY), F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
-        )
-
-    # Jumps of 1, 2, 4, ... steps; a level is empty once no chain is that long.
-    levels = [_written(jump, folder, "level-0")]
-    while not levels[-1].isEmpty():
-        levels.append(_written(square(levels[-1]), folder, f"level-{len(levels)}"))
-
-    # Expand the orbit of every island's first time: after a level of 2^k
-    # steps the set holds nxt^j(head) for all multiples j of 2^k in the chain.
-    starts = times.select(_KEY, F.col(island).alias("src")).distinct()
-    for k, lvl in reversed(list(enumerate(levels[:-1]))):
-        hop = starts.join(lvl, [_KEY, "src"]).select(_KEY, F.col("dst").alias("src"))
-        starts = _written(starts.unionByName(hop).distinct(), folder, f"starts-{k}")
-
+    starts = orbit(jump, times.select(_KEY, F.col(island).alias("src")).distinct(), folder)
     marked = times.join(
         starts.select(F.col(_KEY).alias("__sk"), F.col("src"), F.lit(True).alias("__start")),
         (F.col(_KEY) == F.col("__sk")) & (F.col(ts_us) == F.col("src")), "left",

@@ -17,7 +17,7 @@ from chronokey.functions.time import epoch_us
 from chronokey.operators.alerts import inactivity_alerts, sensor_monitor
 from chronokey.operators.late import late_audit
 from chronokey.operators.render import render
-from chronokey.operators.sessions import capped_sessions, gap_sessions, terminated_sessions
+from chronokey.operators.sessions import capped_sessions, gap_sessions, terminated_session_rows, terminated_sessions
 from chronokey.operators.triggers import early_count
 from chronokey.operators.windows import arrival_window_mean, tumbling_mean
 from chronokey.sources.tables import read_events
@@ -103,6 +103,12 @@ def q_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_monitor(sensor_monitor(ev, KEY, "ts", "value", ARRIVAL, DAY, IDLE))
 
 
+def q_sensor_monitor_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silences in arrival time, which stands for processing time; means as above."""
+    ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts", "value"]))
+    return project_monitor(sensor_monitor(ev, KEY, "ts", "value", ARRIVAL, DAY, IDLE, time_col="arrival_us"))
+
+
 def project_monitor(r: DataFrame) -> DataFrame:
     return r.select(KEY, "kind", _us("at").alias("at_us"), F.round("value", 6).alias("value"), "n")
 
@@ -131,6 +137,12 @@ def q_capped_sessions_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _capped(spark, sf_dir, "event_time")
 
 
+def q_capped_sessions_disordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows taken in their disordered arrival."""
+    ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts"]))
+    return project_capped(capped_sessions(ev, KEY, "ts", ARRIVAL, GAP, MAX_LEN, order="arrival"))
+
+
 def _early(spark: SparkSession, sf_dir: str, include_final: bool) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
     return project_early(early_count(ev, KEY, "ts", SEQ, WEEK, EARLY_N, include_final))
@@ -150,7 +162,10 @@ def q_early_count_final(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_late_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = with_arrival(read_events(spark, sf_dir, [KEY, SEQ, "ts"]))
-    r = late_audit(ev, KEY, "ts", ARRIVAL, LATE_DELAY, DAY)
+    return project_late(late_audit(ev, KEY, "ts", ARRIVAL, LATE_DELAY, DAY))
+
+
+def project_late(r: DataFrame) -> DataFrame:
     return r.select(
         KEY, SEQ, _us("ts").alias("ts_us"), _us("watermark_before").alias("watermark_before_us"), "is_late"
     )
@@ -172,6 +187,12 @@ def project_terminated(r: DataFrame) -> DataFrame:
     )
 
 
+def q_terminated_session_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_events(spark, sf_dir, [KEY, SEQ, "ts", "event_type"])
+    r = terminated_session_rows(ev, KEY, "ts", SEQ, "event_type", GAP, EVENT_TERMINATORS)
+    return r.select(KEY, SEQ, _us("ts").alias("ts_us"), "event_type", _us("session_start").alias("session_start_us"), "segment", "position")
+
+
 def q_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_events(spark, sf_dir, [KEY, SEQ, "ts"])
     return project_gap(gap_sessions(ev, KEY, "ts", SEQ, GAP))
@@ -228,12 +249,15 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inactivity_alerts": q_inactivity_alerts,
     "inactivity_alerts_open": q_inactivity_alerts_open,
     "sensor_monitor": q_sensor_monitor,
+    "sensor_monitor_arrival": q_sensor_monitor_arrival,
     "capped_sessions_arrival": q_capped_sessions_arrival,
     "capped_sessions_event_time": q_capped_sessions_event_time,
+    "capped_sessions_disordered": q_capped_sessions_disordered,
     "early_count": q_early_count,
     "early_count_final": q_early_count_final,
     "late_audit": q_late_audit,
     "terminated_sessions": q_terminated_sessions,
+    "terminated_session_rows": q_terminated_session_rows,
     "gap_sessions": q_gap_sessions,
     "terminated_session_messages": q_terminated_session_messages,
     "capped_session_messages": q_capped_session_messages,

@@ -180,3 +180,24 @@ def stream_sensor_monitor(
     )
     idle = F.when(F.col("kind") == "alert", F.lit(duration_us(threshold) // 1_000_000))
     return _times(out, key, []).withColumn("idle_seconds", idle)
+
+
+def stream_live_monitor(
+    sdf: DataFrame, key="sensor_id", ts="ts", value="temperature", seq="seq", width=DEFAULT_WIDTH,
+    threshold="10 seconds", delay=DEFAULT_DELAY,
+):
+    """J4 in both time domains, as the original job has it: means in event time and wall-clock
+    alerts, from one source in one query. Each domain has its own stateful operator (a Spark timer
+    has one domain); their outputs are united. A source that pauses raises alerts while
+    the means wait for the watermark. Columns as :func:`stream_sensor_monitor`; append mode, with a
+    processing-time trigger. Needs the RocksDB state store, which ``get_spark`` sets."""
+    means = stream_arrival_window_mean(sdf, key, ts, value, seq, width, delay)
+    out = _schema(sdf.schema[key].dataType, [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L)])
+    rows = sdf.select(key, epoch_us(ts).alias("__us")).filter(F.col("__us").isNotNull())
+    alerts = rows.groupBy(key).transformWithState(ST.IdleTimer(duration_us(threshold)), out, "Append", "ProcessingTime")
+    alerts = _times(alerts, key, ["idle_seconds"])
+    null = lambda t: F.lit(None).cast(t)
+    return means.select(
+        key, F.lit("mean").alias("kind"), F.col("window_end").alias("at"), F.col("mean").alias("value"), "n", null("long").alias("idle_seconds")
+    ).unionByName(alerts.select(
+        key, F.lit("alert").alias("kind"), F.col("alert_time").alias("at"), null("double").alias("value"), null("long").alias("n"), "idle_seconds"))

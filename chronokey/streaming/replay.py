@@ -26,8 +26,11 @@ from pyspark.sql import functions as F
 
 from chronokey import queries as Q
 from chronokey.session import checkpoint_dir
-from chronokey.sources.tables import EVENT_SCHEMA
+from chronokey.sources.tables import EVENT_SCHEMA, read_events
 from chronokey.streaming import operators as S
+from chronokey.streaming.revised import (
+    ArrivalMeanStream, CappedSessionStream, GapSessionStream, InactivityAlertStream, LateAuditStream, TerminatedSessionStream, _Revised,
+)
 
 FLUSH_KEY = -(2**63)  # reserved user_id of the flush row
 FLUSH_TS = dt.datetime(2200, 1, 1)
@@ -122,10 +125,15 @@ def q_stream_arrival_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.project_means(replay(spark, sf_dir, "arrival_window_mean", [Q.KEY, Q.SEQ, "ts", "value"], build))
 
 
+def _project_alerts(r: DataFrame) -> DataFrame:
+    """A live alert can't know the row that ends its silence."""
+    return r.select(Q.KEY, *[F.unix_micros(c).alias(f"{c}_us") for c in ("last_seen", "alert_time")], "idle_seconds")
+
+
 def q_stream_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = replay(spark, sf_dir, "inactivity_alerts", [Q.KEY, Q.SEQ, "ts"],
                lambda s: S.stream_inactivity_alerts(s, Q.KEY, "ts", Q.SEQ, Q.IDLE, "event", REPLAY_DELAY))
-    return r.select(Q.KEY, *[F.unix_micros(c).alias(f"{c}_us") for c in ("last_seen", "alert_time")], "idle_seconds")
+    return _project_alerts(r)
 
 
 def q_stream_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +169,80 @@ def q_stream_gap_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.project_gap(r)
 
 
+# ---- streams that keep every row: the table is fed in the order of its disordered arrival ----
+
+FEED_PARTS = 3
+
+
+def fed_by_arrival(spark: SparkSession, sf_dir: str, name: str, columns: list[str], build: Callable[[SparkSession, str], _Revised],
+                   folder: str | None = None, parts: int = FEED_PARTS) -> _Revised:
+    """Feed ``events`` to a stream that keeps every row: in ``parts`` steps of arrival time, each a run of the
+    query that resumes from its checkpoint, then the end of the input. The parts' rows overlap in event time by far
+    more than the delay."""
+    folder = folder or f"{checkpoint_dir(spark).rstrip('/')}/replays/{name}-{uuid.uuid4().hex}"
+    ev = Q.with_arrival(read_events(spark, sf_dir, columns))
+    cuts = ev.agg(F.percentile_approx("arrival_us", [k / parts for k in range(1, parts)])).first()[0] or []
+    op = build(spark, folder)
+    # One part is there at a time, as a stream's source would fill up.
+    bounds = [None, *sorted(set(cuts)), None]
+    for k, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+        part = ev
+        if lo is not None:
+            part = part.filter(F.col("arrival_us") > lo)
+        if hi is not None:
+            part = part.filter(F.col("arrival_us") <= hi)
+        part.write.mode("overwrite").parquet(f"{folder}/feed/part={k}")
+        op.run(spark.readStream.schema(ev.schema).option("basePath", f"{folder}/feed").parquet(f"{folder}/feed/part=*"))
+    op.flush()
+    return op
+
+
+def _key_type(spark: SparkSession, sf_dir: str):
+    return read_events(spark, sf_dir, [Q.KEY, "ts"]).schema[Q.KEY].dataType
+
+
+def q_stream_arrival_window_mean_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key_type = _key_type(spark, sf_dir)
+    op = fed_by_arrival(spark, sf_dir, "arrival_mean_late", [Q.KEY, Q.SEQ, "ts", "value"], lambda s, folder: ArrivalMeanStream(
+        s, folder, key_type, Q.KEY, "ts", "value", Q.ARRIVAL, Q.DAY))
+    return Q.project_means(op.output())
+
+
+def q_stream_late_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = Q.with_arrival(read_events(spark, sf_dir, [Q.KEY, Q.SEQ, "ts"])).schema
+    op = fed_by_arrival(spark, sf_dir, "late_audit", [Q.KEY, Q.SEQ, "ts"], lambda s, folder: LateAuditStream(
+        s, folder, schema, Q.KEY, "ts", Q.ARRIVAL, Q.LATE_DELAY, Q.DAY))
+    return Q.project_late(op.output())
+
+
+def q_stream_capped_sessions_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key_type = _key_type(spark, sf_dir)
+    op = fed_by_arrival(spark, sf_dir, "capped_late", [Q.KEY, Q.SEQ, "ts"], lambda s, folder: CappedSessionStream(
+        s, folder, key_type, Q.KEY, "ts", Q.SEQ, Q.GAP, Q.MAX_LEN, REPLAY_DELAY))
+    return Q.project_capped(op.latest())
+
+
+def q_stream_gap_sessions_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key_type = _key_type(spark, sf_dir)
+    op = fed_by_arrival(spark, sf_dir, "gap_late", [Q.KEY, Q.SEQ, "ts"], lambda s, folder: GapSessionStream(
+        s, folder, key_type, Q.KEY, "ts", Q.SEQ, Q.GAP, REPLAY_DELAY))
+    return Q.project_gap(op.latest())
+
+
+def q_stream_inactivity_alerts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key_type = _key_type(spark, sf_dir)
+    op = fed_by_arrival(spark, sf_dir, "alerts_late", [Q.KEY, Q.SEQ, "ts"], lambda s, folder: InactivityAlertStream(
+        s, folder, key_type, Q.KEY, "ts", Q.SEQ, Q.IDLE, REPLAY_DELAY))
+    return _project_alerts(op.latest())
+
+
+def q_stream_terminated_sessions_revised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key_type = _key_type(spark, sf_dir)
+    op = fed_by_arrival(spark, sf_dir, "terminated_revised", [Q.KEY, Q.SEQ, "ts", "event_type"], lambda s, folder: TerminatedSessionStream(
+        s, folder, key_type, Q.KEY, "ts", Q.SEQ, "event_type", Q.GAP, Q.EVENT_TERMINATORS, REPLAY_DELAY))
+    return Q.project_terminated(op.latest())
+
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_tumbling_mean": q_stream_tumbling_mean,
     "stream_arrival_window_mean": q_stream_arrival_window_mean,
@@ -170,4 +252,10 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_early_count_final": q_stream_early_count_final,
     "stream_terminated_sessions": q_stream_terminated_sessions,
     "stream_gap_sessions": q_stream_gap_sessions,
+    "stream_arrival_window_mean_late": q_stream_arrival_window_mean_late,
+    "stream_late_audit": q_stream_late_audit,
+    "stream_capped_sessions_late": q_stream_capped_sessions_late,
+    "stream_gap_sessions_late": q_stream_gap_sessions_late,
+    "stream_inactivity_alerts_late": q_stream_inactivity_alerts_late,
+    "stream_terminated_sessions_revised": q_stream_terminated_sessions_revised,
 }

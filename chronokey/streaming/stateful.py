@@ -24,6 +24,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Row
+from pyspark.sql.streaming import StatefulProcessor
 
 # Ship these functions inside the pickled task: executors need no install of
 # this package (nothing else of it runs in Python workers).
@@ -213,6 +215,39 @@ def inactivity_fn(threshold_us: int, domain: str = "event"):
     return fn if domain == "event" else live
 
 
+class IdleTimer(StatefulProcessor):
+    """Wall-clock silence with a processing-time timer per key: every call with rows deletes the key's timer and
+    registers a new one; a timer that fires raises the alert and clears the key. For ``transformWithState`` with
+    ``timeMode="ProcessingTime"``, which unlike the function above can stand beside another stateful operator."""
+
+    def __init__(self, threshold_us: int):
+        self.threshold_us = threshold_us
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("idle", "last_us long, timer_ms long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        last = max(r["__us"] for r in rows)
+        if self.state.exists():
+            before, timer = self.state.get()
+            self.handle.deleteTimer(timer)
+            last = max(last, before)
+        timer = timerValues.getCurrentProcessingTimeInMs() + self.threshold_us // 1000
+        self.handle.registerTimer(timer)
+        self.state.update((last, timer))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        last, _ = self.state.get()
+        self.state.clear()
+        yield Row(key=key[0], last_seen_us=last, alert_time_us=timerValues.getCurrentProcessingTimeInMs() * 1000,
+                  idle_seconds=self.threshold_us // 1_000_000)
+
+    def close(self) -> None:
+        pass
+
+
 MONITOR_COLUMNS = ["key", "kind", "at_us", "value", "n"]
 MONITOR_STATE = "end_us long, total double, n long, values long, last_us long, held_us array<long>, held_seq array<long>"
 

@@ -1,6 +1,7 @@
 """Streaming forms: multi-batch replays equal the batch operators after a flush."""
 
 import os
+import datetime as dt
 import time
 import uuid
 
@@ -124,6 +125,42 @@ def test_processing_time_alerts(spark):
     assert got == ["sensor_1", "sensor_2"]
 
 
+def test_live_monitor_in_both_domains(spark):
+    """One query: means close as event time moves on, and a source that pauses raises wall-clock alerts."""
+    folder = f"{checkpoint_dir(spark).removeprefix('file:')}/both-{uuid.uuid4().hex}"
+    schema = "sensor_id string, seq long, temperature double, ts timestamp"
+    t0 = dt.datetime(2024, 1, 1)
+
+    def feed(rows):
+        spark.createDataFrame([(k, i, float(v), t0 + dt.timedelta(seconds=s)) for i, (k, s, v) in enumerate(rows)], schema).coalesce(1).write.mode(
+            "append").parquet(folder)
+
+    feed([("a", 0, 1), ("a", 30, 3), ("b", 10, 5)])
+    src = spark.readStream.schema(schema).parquet(folder)
+    q = (SO.stream_live_monitor(src, "sensor_id", "ts", "temperature", "seq", "1 minute", "3 seconds", "5 seconds")
+         .writeStream.format("memory").queryName(f"both_{uuid.uuid4().hex[:8]}").outputMode("append").trigger(processingTime="500 milliseconds").start())
+
+    def wait(done):
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            got = spark.table(q.name).collect()
+            if done(got):
+                return got
+            time.sleep(0.5)
+        raise AssertionError(got)
+
+    kinds = lambda got: sorted((r.sensor_id, r.kind, r.value, r.n, r.idle_seconds) for r in got)
+    try:
+        got = wait(lambda g: len(g) >= 2)  # the source pauses
+        assert [x[:2] for x in kinds(got)] == [("a", "alert"), ("b", "alert")] and {r.idle_seconds for r in got} == {3}
+        feed([("c", 200, 7)])  # event time moves on: the windows of the first minute end
+        got = wait(lambda g: sum(r.kind == "mean" for r in g) >= 2)
+        assert {(r.sensor_id, r.value, r.n) for r in got if r.kind == "mean"} == {("a", 2.0, 2), ("b", 5.0, 1)}
+        wait(lambda g: any(r.kind == "alert" and r.sensor_id == "c" for r in g))  # and it pauses again
+    finally:
+        q.stop()
+
+
 def test_stateful_stream_runs_outside_repo(tmp_path):
     """Python workers must not need this package importable (cwd elsewhere)."""
     import subprocess
