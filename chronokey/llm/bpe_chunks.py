@@ -5,9 +5,9 @@ give equal chunks wherever they stand. Chunks that occur more than once in the
 corpus are encoded once, at their first place, and their ids are joined to all
 their places. What is left of each text is encoded in place. Each join between
 pieces is then repaired: a window around it, from a place before it to one behind
-it that no pre-token spans, is encoded anew; it must agree with both pieces at its
-ends, else it grows. The whole text's ids must decode to the text, else the text is
-encoded as a whole.
+it that no pre-token spans (a space between ASCII letters), is encoded anew; it must
+agree with both pieces at its ends and the whole text's ids must decode to the text, else
+the text is encoded as a whole. So is a text without such places.
 
 Only hashes, shared chunks and one copy of each text (compressed) move; the
 number of places of a chunk is not limited.
