@@ -243,6 +243,16 @@ def q_stream_terminated_sessions_revised(spark: SparkSession, sf_dir: str) -> Da
     return Q.project_terminated(op.latest())
 
 
+#: Streams that keep every row, fed in several steps.
+FED_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_arrival_window_mean_late": q_stream_arrival_window_mean_late,
+    "stream_late_audit": q_stream_late_audit,
+    "stream_capped_sessions_late": q_stream_capped_sessions_late,
+    "stream_gap_sessions_late": q_stream_gap_sessions_late,
+    "stream_inactivity_alerts_late": q_stream_inactivity_alerts_late,
+    "stream_terminated_sessions_revised": q_stream_terminated_sessions_revised,
+}
+
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_tumbling_mean": q_stream_tumbling_mean,
     "stream_arrival_window_mean": q_stream_arrival_window_mean,
@@ -252,10 +262,5 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_early_count_final": q_stream_early_count_final,
     "stream_terminated_sessions": q_stream_terminated_sessions,
     "stream_gap_sessions": q_stream_gap_sessions,
-    "stream_arrival_window_mean_late": q_stream_arrival_window_mean_late,
-    "stream_late_audit": q_stream_late_audit,
-    "stream_capped_sessions_late": q_stream_capped_sessions_late,
-    "stream_gap_sessions_late": q_stream_gap_sessions_late,
-    "stream_inactivity_alerts_late": q_stream_inactivity_alerts_late,
-    "stream_terminated_sessions_revised": q_stream_terminated_sessions_revised,
+    **FED_QUERIES,
 }

@@ -7,8 +7,9 @@ from chronokey.queries import BATCH_QUERIES
 from conftest import SF001
 from tools.plan_report import summarize
 
-# Rows are judged in arrival order, then counted by key and window.
-RAW_SHUFFLES = {"early_count_late_dropped": 2}
+# Rows are judged in arrival order, then counted by key and window; positions are counted from the last terminator,
+# whose own count the buckets after it need first.
+RAW_SHUFFLES = {"early_count_late_dropped": 2, "terminated_session_rows": 2}
 NO_RAW_SHUFFLE = {"tumbling_mean", "gap_sessions", "inactivity_alerts", "inactivity_alerts_open"}
 
 
