@@ -4,10 +4,11 @@ A rolling hash over a window of code points cuts texts into chunks, so equal pas
 give equal chunks wherever they stand. Chunks that occur more than once in the
 corpus are encoded once, at their first place, and their ids are joined to all
 their places. What is left of each text is encoded in place. Each join between
-pieces is then repaired: a window around it, from a place before it to one behind
-it that no pre-token spans (a space between ASCII letters), is encoded anew; it must
-agree with both pieces at its ends and the whole text's ids must decode to the text, else
-the text is encoded as a whole. So is a text without such places.
+pieces is then repaired: a window around it is encoded anew, from and to places that no
+pre-token spans in any script (SAFE). Its first and last ids must be those of the pieces there;
+a window that disagrees grows and is encoded again until all agree. At last the
+ids must decode to the text: a text with special tokens' strings, or with ids that a collision
+of keys brought in, is encoded whole. A text without safe places is one window.
 
 Only hashes, shared chunks and one copy of each text (compressed) move; the
 number of places of a chunk is not limited.
@@ -18,6 +19,8 @@ ids are ordinary. An empty table gives an empty result. Other columns are ignore
 
 from __future__ import annotations
 
+import bisect
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -27,6 +30,9 @@ from .common import saved, text_or_empty
 
 #: Code points of the rolling hash's window, mean and least size of a chunk.
 WINDOW, MEAN, LEAST = 16, 256, 64
+#: Places that every pre-tokenisation cuts: a space between letters or digits of any script, the end of a
+#: line after one, CJK punctuation after a kana, ideograph or Hangul syllable.
+SAFE = re.compile(r"(?<=[^\W_]) (?=[^\W_])|(?<=[^\W_])(?=\n)|(?<=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3])(?=[\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])")
 
 
 def chunks_of(text: str, window: int = WINDOW, mean: int = MEAN, least: int = LEAST):
@@ -118,16 +124,19 @@ def encode_owned(rows: DataFrame, vocabulary: str) -> DataFrame:
 
 
 class Pieces:
-    """Ids of a text in pieces, repaired at their joins."""
+    """Ids of a text in pieces, and the windows that repair their joins."""
 
-    def __init__(self, text: str, refs: list[dict], kind: str = "<u4"):
-        """``refs``: encoded chunks (off, len, ids) of the text; the stretches between them are still to encode."""
+    def __init__(self, text: str, refs: list[dict], sizes, kind: str = "<u4"):
+        """``refs``: encoded chunks (off, len, ids) of the text; the stretches between them are still to encode.
+        ``sizes``: bytes of each token."""
         import numpy as np
 
-        self.text = text
+        self.text, self.sizes = text, sizes
         self.bounds: list[tuple[int, int]] = []
         self.ids: list = []
         self.todo: list[int] = []
+        self.ends: dict = {}
+        self.made: dict = {}  # ids of the windows encoded so far
         at = 0
         for r in [*sorted(refs, key=lambda r: r["off"]), None]:
             off = len(text) if r is None else r["off"]
@@ -139,77 +148,125 @@ class Pieces:
                 self.bounds.append((off, off + r["len"]))
                 self.ids.append(np.frombuffer(r["ids"], kind).astype(np.int32))
                 at = off + r["len"]
+        self.starts = [s for s, _ in self.bounds]
+        self.spans = self.windows()
+
+    def before(self, at: int, low: int = 0) -> int:
+        """The last safe place before ``at`` and not before ``low``; ``low`` if there is none."""
+        reach = 64
+        while at > low:
+            left = max(low, at - reach)
+            found = [m.start() for m in SAFE.finditer(self.text, left, at)]
+            if found:
+                return found[-1]
+            if left == low:
+                break
+            reach *= 4
+        return low
+
+    def after(self, at: int) -> int:
+        """The first safe place from ``at`` on, else the end of the text."""
+        found = SAFE.search(self.text, at)
+        return found.start() if found else len(self.text)
 
     def windows(self) -> list[tuple[int, int]]:
-        """For each group of joins a (start, end) of the text that no pre-token spans, in order and apart."""
-        from .bpe import HARD
-
+        """A (start, end) around each join, in order and apart: from the second safe place before it to the second
+        behind it, so that a pre-token on either side lies in the window and in the piece, and can be compared."""
         out: list[tuple[int, int]] = []
-        text = self.text
-        for (_, join), _ in zip(self.bounds, self.bounds[1:]):
-            if out and join < out[-1][1]:
-                continue
-            reach, start = 64, 0
+        for _, join in self.bounds[:-1]:
             low = out[-1][1] if out else 0
-            while True:  # the last safe place before the join, in windows that grow
-                left = max(low, join - reach)
-                found = [m.start() for m in HARD.finditer(text, max(0, left - 1), join)]
-                found = [p for p in found if left <= p < join]
-                if found or left == low:
-                    start = found[-1] if found else low
-                    break
-                reach *= 4
-            after = HARD.search(text, join + 1)
-            out.append((start, after.start() if after else len(text)))
+            if join < low:
+                continue
+            start = self.before(self.before(join, low), low)
+            end = self.after(self.after(join + 1) + 1)
+            if out and start <= low:
+                start = out.pop()[0]
+            out.append((start, end))
         return out
 
-    def assemble(self, encoded: list, sizes):
-        """Ids of the text, given the ids of ``windows()``; None if a window does not agree with its neighbours."""
+    def cut(self, k: int, at: int) -> int | None:
+        """Tokens of piece k before place ``at`` of the text; None if a token spans it."""
+        import numpy as np
+
+        if k not in self.ends:
+            self.ends[k] = np.concatenate([[0], np.cumsum(self.sizes[self.ids[k]])])
+        size = len(self.text[self.bounds[k][0]:at].encode())
+        i = int(np.searchsorted(self.ends[k], size))
+        return i if i < len(self.ends[k]) and self.ends[k][i] == size else None
+
+    def differs(self, span: tuple[int, int]) -> tuple[bool, bool]:
+        """Whether the first and the last id of a window differ from the pieces' ids there."""
+        (a, b), ids = span, self.made[span]
+        left = right = False
+        if a > 0:
+            k = bisect.bisect_right(self.starts, a) - 1
+            i = self.cut(k, a)
+            left = i is None or i >= len(self.ids[k]) or self.ids[k][i] != ids[0]
+        if b < len(self.text):
+            k = bisect.bisect_right(self.starts, b) - 1
+            j = self.cut(k, b)
+            right = not j or self.ids[k][j - 1] != ids[-1]
+        return left, right
+
+    def widen(self) -> list[tuple[int, int]]:
+        """Grow the windows that disagree with a piece to about three times their length, join those that then
+        touch, and give those still to encode. None is left once all agree; the whole text always does."""
+        out: list[tuple[int, int]] = []
+        for a, b in self.spans:
+            left, right = self.differs((a, b))
+            width = b - a
+            if left:
+                a = self.before(a - width)
+            if right:
+                b = self.after(b + width)
+            while out and a <= out[-1][1]:
+                c, d = out.pop()
+                a, b = min(a, c), max(b, d)
+            out.append((a, b))
+        self.spans = out
+        return [s for s in out if s not in self.made]
+
+    def assemble(self) -> tuple:
+        """Ids of the text, chunks of which ids were used, and code points encoded anew in windows."""
         import numpy as np
 
-        spans = self.windows()
-        if not spans:
-            return self.ids[0] if self.ids else np.zeros(0, np.int32)
-        ends = [np.cumsum(sizes[x]) for x in self.ids]  # byte offsets of token ends inside each piece
-        out, w, at = [], 0, 0
-        for k, (a, b) in enumerate(self.bounds):
-            while a <= at < b:
-                if w < len(spans) and spans[w][0] == at:
-                    out.append(encoded[w])
-                    at, w = spans[w][1], w + 1
-                    continue
-                upto = min(b, spans[w][0]) if w < len(spans) else b
-                lo = len(self.text[a:at].encode())
-                hi = len(self.text[a:upto].encode())
-                i = 0 if lo == 0 else int(np.searchsorted(ends[k], lo)) + 1
-                j = int(np.searchsorted(ends[k], hi)) + 1
-                if (lo and (i > len(ends[k]) or ends[k][i - 1] != lo)) or j > len(ends[k]) or ends[k][j - 1] != hi:
-                    return None
-                out.append(self.ids[k][i:j])
-                at = upto
-        return np.concatenate(out) if out else np.zeros(0, np.int32)
-
-
-def encode_with_chunks(texts: list[str], refs: list[list[dict]], enc) -> list:
-    """Ids of each text, equal to those of the whole text."""
-    made = [Pieces(t, r or [], enc.narrow) for t, r in zip(texts, refs, strict=True)]
+        edges = [0, *(x for s in self.spans for x in s), len(self.text)]
+        out, reused = [], set()
+        for n, (a, b) in enumerate(zip(edges[::2], edges[1::2], strict=True)):
+            if a < b:  # between two windows lies a part of one piece
+                k = bisect.bisect_right(self.starts, a) - 1
+                out.append(self.ids[k][self.cut(k, a):self.cut(k, b)])
+                reused.add(k)
+            if n < len(self.spans):
+                out.append(self.made[self.spans[n]])
+        ids = np.concatenate(out) if out else np.zeros(0, np.int32)
+        return ids, len(reused.difference(self.todo)), sum(b - a for a, b in self.spans)
+
+
+def encode_with_chunks(texts: list[str], refs: list[list[dict]], enc) -> list[tuple]:
+    """(ids, chunks reused, code points encoded anew) of each text; the ids are those of the whole text."""
+    made = [Pieces(t, r or [], enc.token_size, enc.narrow) for t, r in zip(texts, refs, strict=True)]
     ids = iter(enc.encode([p.text[slice(*p.bounds[k])] for p in made for k in p.todo]))
     for p in made:
         for k in p.todo:
             p.ids[k] = next(ids)
-    spans = [p.windows() for p in made]
-    repaired = iter(enc.encode([p.text[a:b] for p, s in zip(made, spans, strict=True) for a, b in s]))
-    out = [p.assemble([next(repaired) for _ in s], enc.token_size) for p, s in zip(made, spans, strict=True)]
+    todo = [(p, s) for p in made for s in p.spans]
+    while todo:  # until every window agrees with the pieces beside it
+        for (p, s), x in zip(todo, enc.encode([p.text[slice(*s)] for p, s in todo]), strict=True):
+            p.made[s] = x
+        todo = [(p, s) for p in {id(p): p for p, _ in todo}.values() for s in p.widen()]
+    out = [p.assemble() for p in made]
     special = [any(s in t for s in enc.special) for t in texts]
+    # Special tokens' strings are cut out before anything else; ids of other texts (equal keys) don't decode to this one.
     wrong = [i for i, (t, x) in enumerate(zip(texts, out, strict=True))
-             if x is None or special[i] or refs[i] and enc.decode_bytes(x).tobytes() != t.encode()]
+             if special[i] or refs[i] and enc.decode_bytes(x[0]).tobytes() != t.encode()]
     for i, x in zip(wrong, enc.encode([texts[i] for i in wrong]), strict=True):
-        out[i] = x
+        out[i] = (x, 0, len(texts[i]))
     return out
 
 
 def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), text (the ids decoded), n_reused (chunks)."""
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), text (the ids decoded), n_reused (chunks of which ids were used)."""
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
     # Keys of texts and chunks have 64 bits: should two collide, the last comparison finds the wrong ids.
@@ -238,10 +295,11 @@ def bpe_encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_co
                 b = batch.slice(a, 128)
                 texts = [_text(z) for z in b.column(1).to_pylist()]
                 refs = b.column(2).to_pylist()
-                ids = encode_with_chunks(texts, refs, enc)
+                done = encode_with_chunks(texts, refs, enc)
+                ids = [x[0] for x in done]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary()),
-                     pa.array([enc.decode(x) for x in ids], pa.string()), pa.array([len(r or []) for r in refs], pa.int64())],
+                     pa.array([enc.decode(x) for x in ids], pa.string()), pa.array([x[1] for x in done], pa.int64())],
                     ["doc_id", "n_tokens", "ids", "text", "n_reused"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, text string, n_reused long")

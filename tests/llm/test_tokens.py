@@ -75,12 +75,12 @@ def test_chunk_joins_are_repaired(library):
         own = [(a, b) for a, b in zip(cuts, cuts[1:]) if rng.random() < 0.6]
         refs.append([{"off": a, "len": b - a, "ids": enc.encode([t[a:b]])[0].astype(enc.narrow).tobytes()} for a, b in own])
     want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
-    assert [x.tolist() for x in B.encode_with_chunks(texts, refs, enc)] == want
+    assert [x.tolist() for x, _, _ in B.encode_with_chunks(texts, refs, enc)] == want
     # Wrong ids in the store are found by the final agreement.
     for r in refs:
         for c in r:
             c["ids"] = np.array([5], enc.narrow).tobytes()
-    assert [x.tolist() for x in B.encode_with_chunks(texts, refs, enc)] == want
+    assert [x.tolist() for x, _, _ in B.encode_with_chunks(texts, refs, enc)] == want
 
 
 def test_repairs_alone_are_exact(library):
@@ -90,13 +90,69 @@ def test_repairs_alone_are_exact(library):
     for _ in range(200):
         t = " ".join("".join(rng.choices("abcé'", k=rng.randint(1, 8))) for _ in range(120))
         start, end, _ = B.chunks_of(t, 8, 32, 8)
-        p = B.Pieces(t, [{"off": int(a), "len": int(b - a), "ids": enc.encode([t[a:b]])[0].astype("<u4").tobytes()} for a, b in zip(start, end)])
-        got = p.assemble(enc.encode([t[a:b] for a, b in p.windows()]), enc.token_size)
-        assert got is not None and got.tolist() == library.encode(t, add_special_tokens=False).ids
+        refs = [{"off": int(a), "len": int(b - a), "ids": enc.encode([t[a:b]])[0].astype(enc.narrow).tobytes()} for a, b in zip(start, end)]
+        p = B.Pieces(t, refs, enc.token_size, enc.narrow)
+        todo = p.spans
+        while todo:
+            for (x, y), ids in zip(todo, enc.encode([t[x:y] for x, y in todo])):
+                p.made[x, y] = ids
+            todo = p.widen()
+        assert p.assemble()[0].tolist() == library.encode(t, add_special_tokens=False).ids
         done += len(start) > 3
     assert done > 100
 
 
+def chunk_refs(enc, text):
+    start, end, _ = B.chunks_of(text)
+    return [{"off": int(a), "len": int(b - a), "ids": enc.encode([text[a:b]])[0].astype(enc.narrow).tobytes()} for a, b in zip(start, end)]
+
+
+@pytest.mark.parametrize("letters", ["abcdefgh", "абвгдежз", "αβγδεζηθ", "0123456789"])
+def test_few_characters_are_encoded_anew(library, letters):
+    """In any script a join costs a few words, and all chunks are reused."""
+    enc, rng = encoder(byte_vocabulary()), random.Random(12)
+    text = " ".join("".join(rng.choices(letters, k=6)) for _ in range(3000))
+    refs = chunk_refs(enc, text)
+    [(ids, reused, redone)] = B.encode_with_chunks([text], [refs], enc)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(refs) > 30 and reused == len(refs) and redone < len(text) / 10
+
+
+def test_text_without_spaces(library):
+    """Ideographs are cut before punctuation; without a safe place a text is one window and reuses nothing."""
+    enc, rng = encoder(byte_vocabulary()), random.Random(13)
+    text = "".join("".join(rng.choices("中文的一是在不了有和人", k=rng.randint(4, 12))) + rng.choice("。，") for _ in range(600))
+    refs = chunk_refs(enc, text)
+    [(ids, reused, redone)] = B.encode_with_chunks([text], [refs], enc)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and reused > len(refs) / 2 and redone < len(text) / 4
+    text = "".join(rng.choices("abc-_=", k=5000))
+    refs = chunk_refs(enc, text)
+    [(ids, reused, redone)] = B.encode_with_chunks([text], [refs], enc)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids and (reused, redone) == (0, len(text))
+
+
+def test_windows_grow_past_wrong_ids(library):
+    """Wrong ids beside a join make its window grow, over the wrong chunk only."""
+    enc, rng = encoder(byte_vocabulary()), random.Random(14)
+    text = " ".join("".join(rng.choices("abcdefgh", k=6)) for _ in range(3000))
+    refs = chunk_refs(enc, text)
+    refs[9]["ids"] = enc.encode(["x"])[0].astype(enc.narrow).tobytes()
+    [(ids, reused, redone)] = B.encode_with_chunks([text], [refs], enc)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(refs) - 6 <= reused < len(refs) and redone < len(text) / 4
+
+
+def test_safe_places_are_cut_by_the_library(library):
+    """Ids of the parts between safe places are the ids of the text."""
+    rng = random.Random(15)
+    pool = ["a", "é", "ж", "中", "か", "한", "7", "²", "'s", "'", " ", "  ", "\n", "\u3000", "。", "，", "_", "!", "\u0301", "\x1c", "\u00a0"]
+    for _ in range(3000):
+        t = "".join(rng.choices(pool, k=rng.randint(1, 30)))
+        cuts = [0, *(m.start() for m in B.SAFE.finditer(t)), len(t)]
+        parts = [library.encode(t[a:b], add_special_tokens=False).ids for a, b in zip(cuts, cuts[1:])]
+        assert [i for x in parts for i in x] == library.encode(t, add_special_tokens=False).ids
+
+
 def test_chunks_follow_content():
     rng = random.Random(4)
     text = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(3000))
