@@ -1,11 +1,11 @@
 """License scans with a positional rare-token index.
 
-The words of short licence templates are indexed with their places. For each
-template, the words of its mandatory key phrases that are rarest in the corpus (highest
-IDF, counted over all documents) are looked up; their postings are intersected by
-relative position, and a place where all agree is verified: the key phrases must stand
-at their places, and enough of the template's words. Key phrases can't be altered, so
-no occurrence lacks a vote.
+Licence templates are indexed by the places of the rarest words of their mandatory key phrases
+(highest IDF, counted over all documents). Each file looks up its own licence words, highest IDF first;
+the postings found are intersected by relative position, and a place where all agree is verified: the
+key phrases must stand at their places, and enough of the template's words. Key phrases can't be
+altered, so no occurrence is lost. A file's cost depends on the templates whose rarest word it has, not on
+how many templates there are.
 
 Cases: a null text is empty and has no words, labels "" and score 0. Repeated
 rows give repeated results. An empty table gives an empty result. Nothing but the
@@ -48,8 +48,28 @@ TEMPLATES = {
                  "[is hereby granted]",
     "mpl-2.0-notice": "this source code form is [subject to the terms of the mozilla public license v 2 0]",
     "all-rights-reserved": "[all rights reserved]",
+    "mit-text": "[permission is hereby granted free of charge to any person] obtaining a copy of this software and associated "
+                "documentation files the software to deal in the software [without restriction] including without limitation the "
+                "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+                "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+                "and this permission notice shall be included in all copies or substantial portions of the software [the software is "
+                "provided as is without warranty of any kind] express or implied including but not limited to the warranties of "
+                "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+                "holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+                "arising from out of or in connection with the software or the use or other dealings in the software",
+    "isc-text": "[permission to use copy modify and or distribute this software] for any purpose with or without fee [is hereby "
+                "granted] provided that the above copyright notice and this permission notice appear in all copies [the software is "
+                "provided as is and the author disclaims all warranties] with regard to this software including all implied "
+                "warranties of merchantability and fitness in no event shall the author be liable for any special direct indirect or "
+                "consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of "
+                "contract negligence or other tortious action arising out of or in connection with the use or performance of this software",
+    "apache-2.0-header": "[licensed under the apache license version 2 0] the license you may not use this file except in compliance "
+                         "with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless "
+                         "required by applicable law or agreed to in writing software distributed under the license is distributed on "
+                         "an as is basis [without warranties or conditions of any kind] either express or implied see the license for "
+                         "the specific language governing permissions and limitations under the license",
 }
-#: Rare words of a template's key phrases that are looked up in a file, and the words that must be in place.
+#: Rare places in a template's key phrases that are indexed, and the share of its words that must be in place.
 ANCHORS, COVERAGE = 4, 0.8
 
 
@@ -96,37 +116,46 @@ def document_frequency(docs: DataFrame, text_col: str, words: set[bytes]) -> tup
 
 
 class Index:
-    """Postings of the template words, with their IDF."""
+    """Positional postings of the rarest words of the templates' key phrases.
+
+    A template is held by its ANCHORS rarest places in key phrases; key phrases can't be altered, so each occurrence
+    has all of them. A file looks up its own words, highest IDF first: the rarest anchor of a template opens it with
+    the starts it could have, the others narrow these. A template that shares no anchor with the file costs nothing.
+    """
 
     def __init__(self, templates: dict[str, str], found: dict[bytes, int], n: int):
         self.templates = {k: parse(t) for k, t in templates.items()}
         idf = {w: math.log((n + 1) / (found.get(w, 0) + 1)) for w in vocabulary(templates)}
-        # Places of the words of each template's key phrases, rarest first.
-        self.rare = {}
+        self.rank = {w: i for i, w in enumerate(sorted(idf, key=lambda w: (-idf[w], w)))}
+        self.anchors = {}
+        self.postings: dict[bytes, list[tuple[str, int, int]]] = defaultdict(list)
         for label, (words, keys) in self.templates.items():
-            places = defaultdict(list)
-            for a, b in keys:
-                for q in range(a, b):
-                    places[words[q]].append(q)
-            self.rare[label] = [(w, places[w]) for w in sorted(places, key=lambda w: (-idf[w], w))]
-        self.words = set(idf)
+            places = sorted((q for a, b in keys for q in range(a, b)), key=lambda q: (self.rank[words[q]], q))[:ANCHORS]
+            self.anchors[label] = len(places)
+            for nth, q in enumerate(places):
+                self.postings[words[q]].append((label, q, nth))
+        self.words = set(self.postings)
+
+    def candidates(self, at: dict[bytes, list[int]]) -> dict[str, set[int]]:
+        """Label to the starts at which all its anchors stand; ``at`` has the places of the file's words."""
+        starts: dict[str, set[int]] = {}
+        met: dict[str, int] = defaultdict(int)
+        for w in sorted((w for w in at if w in self.postings), key=self.rank.__getitem__):
+            for label, q, nth in self.postings[w]:
+                if nth == 0:
+                    starts[label] = {p - q for p in at[w]}
+                elif label in starts:
+                    starts[label].intersection_update([p - q for p in at[w]])
+                met[label] += 1
+        return {label: s for label, s in starts.items() if s and met[label] == self.anchors[label]}
 
     def match(self, words: list[bytes], at: dict[bytes, list[int]]) -> dict[str, tuple[float, list[int]]]:
-        """Label to (best share of words in place, starts); ``at`` has the places of the template words in the file."""
+        """Label to (best share of words in place, starts), verified on the words."""
         out = {}
-        for label, (template, keys) in self.templates.items():
-            anchors = self.rare[label][:ANCHORS]
-            if any(w not in at for w, _ in anchors):
-                continue
-            # Intersect by relative position, from the anchor with the fewest places on.
-            votes: dict[int, int] = defaultdict(int)
-            for w, places in anchors:
-                for start in {p - q for p in at[w] for q in places}:
-                    votes[start] += 1
+        for label, places in self.candidates(at).items():
+            template, keys = self.templates[label]
             starts, best = [], 0.0
-            for start, n in votes.items():
-                if n < len(anchors):
-                    continue
+            for start in places:
                 if any(start + a < 0 or words[start + a:start + b] != template[a:b] for a, b in keys):
                     continue
                 same = sum(0 <= start + q < len(words) and words[start + q] == w for q, w in enumerate(template)) / len(template)
@@ -146,12 +175,12 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = [(words_of(p), label) for p, label in phrases.items()]
     schema = ("doc_id {}, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
               "score double, matches array<struct<label:string,start:long,coverage:double>>")
+    wanted = index.words | {phrase[0] for phrase, _ in base}
     schema = schema.format(dict(docs.dtypes)[id_col])
 
     def scan_one(text: str) -> tuple:
         words = words_of(text)
         at: dict[bytes, list[int]] = defaultdict(list)
-        wanted = index.words
         if not wanted.isdisjoint(words):
             for p, w in enumerate(words):
                 if w in wanted:
@@ -179,6 +208,4 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), *cols], names)
 
     names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "matches"]
-    for phrase, _ in base:
-        index.words.update(phrase)
     return docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t")).mapInArrow(scan, schema)

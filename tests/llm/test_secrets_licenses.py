@@ -101,6 +101,76 @@ def test_genuine_licences(spark):
         assert [(m["label"], m["coverage"]) for m in got[k]["matches"]] == [(k, 1.0)]
 
 
+MIT_REST = (' to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the '
+            'Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice '
+            'shall be included in all copies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY '
+            'KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND '
+            'NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN '
+            'AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN '
+            'THE SOFTWARE.')
+
+
+def test_whole_licence_text(spark):
+    text = GENUINE["mit-grant"].split(" to use,")[0] + MIT_REST
+    rows = [(1, f"a b {text} c", "x"), (2, f"a {text.replace('SHALL', 'WILL')}", "x"), (3, text.replace("AS IS", "as it is"), "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, labels string").withColumnRenamed("labels", "score")
+    got = {r["doc_id"]: [(m["label"], m["start"], m["coverage"]) for m in r["matches"]] for r in L.license_scan(docs).collect()}
+    assert got[1] == [("mit-grant", 2, 1.0), ("mit-text", 2, 1.0)]
+    assert [m[:2] for m in got[2]] == [("mit-grant", 1), ("mit-text", 1)] and 0.98 < got[2][1][2] < 1
+    assert got[3] == [("mit-grant", 0, 1.0)]  # a key phrase is altered
+
+
+def brute_matches(words, templates):
+    out = set()
+    for label, t in templates.items():
+        template, keys = L.parse(t)
+        for start in range(-len(template), len(words)):
+            if all(start + a >= 0 and words[start + a:start + b] == template[a:b] for a, b in keys):
+                same = sum(0 <= start + q < len(words) and words[start + q] == w for q, w in enumerate(template))
+                if same / len(template) >= L.COVERAGE:
+                    out.add((label, start))
+    return out
+
+
+def test_index_equals_brute_force():
+    """Random templates and files over few words: every place that verifies is found, whatever the IDF."""
+    rng = random.Random(21)
+    hits = 0
+    for _ in range(300):
+        templates = {}
+        for i in range(6):
+            parts = [" ".join(rng.choices("abcde", k=rng.randint(1, 3))) for _ in range(rng.randint(1, 4))]
+            key = rng.randrange(len(parts))
+            templates[str(i)] = " ".join(f"[{p}]" if j == key or rng.random() < 0.3 else p for j, p in enumerate(parts))
+        index = L.Index(templates, {w: rng.randint(0, 9) for w in L.vocabulary(templates)}, 10)
+        words = [w.encode() for w in rng.choices("abcdef", k=rng.randint(0, 60))]
+        at = {w: [p for p, x in enumerate(words) if x == w] for w in index.words if w in words}
+        got = {(label, s) for label, (_, starts) in index.match(words, at).items() for s in starts}
+        assert got == brute_matches(words, templates)
+        hits += len(got)
+    assert hits > 300
+
+
+def test_cost_is_free_of_templates_without_a_shared_word():
+    """Postings that a file looks up don't grow with templates it shares no rare word with."""
+    class Counted(dict):
+        looked = 0
+
+        def __getitem__(self, w):
+            Counted.looked += len(super().__getitem__(w))
+            return super().__getitem__(w)
+
+    words = L.words_of(GENUINE["mit-grant"])
+    seen = []
+    for more in (0, 2000):
+        index = L.Index(L.TEMPLATES | {f"t{i}": f"[alpha{i} beta{i} gamma{i} delta{i}] the software" for i in range(more)}, {}, 10)
+        index.postings, Counted.looked = Counted(index.postings), 0
+        at = {w: [p for p, x in enumerate(words) if x == w] for w in index.words if w in words}
+        assert "mit-grant" in index.match(words, at)
+        seen.append(Counted.looked)
+    assert seen[0] == seen[1]
+
+
 def test_altered_rare_words(spark):
     """The rarest words are altered in the licence but stand elsewhere in the file."""
     text = GENUINE["mit-grant"].replace("obtaining", "getting").replace("documentation", "manual").replace("deal", "act").replace("associated", "related")
