@@ -1,14 +1,16 @@
 """Secret scans: fixed patterns, and strings that look random to character Markov models.
 
 Two first-order character models are trained from labelled samples: random strings
-(the values that the fixed patterns find, in all documents) and ordinary
-identifiers (alphabetic words of SAMPLE_DOCS documents). A run of token characters
+(the values that the fixed patterns find) and ordinary identifiers (other runs of letters, digits,
+``_`` and ``-`` that are too short to be judged or occur more than once), both over all documents. Digits count as one character, so that a
+number is judged by its length and surroundings. A run of token characters
 whose log-likelihood ratio per character passes a threshold is a span of kind
 ``markov``, unless it overlaps a span of the fixed patterns. All of it is
-built-in column functions: one projection per document, no shuffle of texts.
+built-in column functions: one projection per document, and for the identifiers a count of distinct
+words, aggregated before it is shuffled. Texts aren't shuffled.
 
-Cases: a null text is empty. Without any labelled random string (also: an empty
-table) only the smoothing counts speak and no span passes. Repeated rows give repeated
+Cases: a null text is empty. A character that no labelled random string has is no evidence, so without
+any such string (also: an empty table) no span passes. Repeated rows give repeated
 results. Only the id and the text are read, so other columns never clash.
 Positions are code points, end exclusive.
 """
@@ -28,14 +30,14 @@ ASSIGN = (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["'
 ACCESS = r"AKIA[A-Z0-9]{14,}"
 HEX = r"[0-9a-f]{16,}"
 KINDS = ("assign", "access", "hex", "markov")
-#: Candidates of the Markov models, and identifiers of the training sample.
-TOKEN = r"[A-Za-z0-9+/_=-]{16,}"
-WORD = r"[A-Za-z_][A-Za-z_]{3,}"
-#: Documents whose words train the model of identifiers (those with the smallest hash of their id).
-SAMPLE_DOCS = 1000
+#: Candidates of the Markov models, and identifiers that train one of them.
+SHORTEST = 16
+TOKEN = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
+WORD = r"[A-Za-z0-9_-]{4,}"
 #: Log-likelihood ratio a candidate needs, per transition and in all.
 PER_CHAR, IN_ALL = 0.5, 10.0
-SMOOTH = 0.1
+#: Smoothing count, and the most that one transition says, so that a rare one does not decide alone.
+SMOOTH, MOST = 0.1, 3.0
 #: Elements of a block of running sums, and characters of a page of the overlap test.
 BLOCK, PAGE = 256, 4096
 
@@ -92,38 +94,39 @@ def joined(spans: Column) -> Column:
 
 
 def steps(s: Column) -> Column:
-    """128 x (character) + (next character) along an ASCII string, of which it splits the characters once."""
-    codes = F.transform(F.filter(F.split(s, ""), lambda c: c != ""), lambda c: F.ascii(c))
+    """128 x (character) + (next character) along an ASCII string, of which it splits the characters once; all digits are 0."""
+    plain = F.translate(s, "123456789", "000000000")
+    codes = F.transform(F.filter(F.split(plain, ""), lambda c: c != ""), lambda c: F.ascii(c))
     return _once(codes, lambda c: F.zip_with(F.slice(c, 1, F.size(c) - 1), F.slice(c, 2, F.size(c)), lambda x, y: x * 128 + y))
 
 
 def transitions(strings: DataFrame) -> dict[tuple[int, int], int]:
-    """Counts of (character, next character) over the column ``s``; at most 128 x 128 rows reach the driver."""
-    rows = (strings.filter(F.length("s") > 1).select(F.explode(steps(F.col("s"))).alias("step"))
-            .filter("step between 0 and 16383").groupBy("step").count().collect())
-    return {divmod(r["step"], 128): r["count"] for r in rows}
+    """Counts of (character, next character) over the column ``s``, each ``n`` times; at most 128 x 128 rows reach the driver."""
+    rows = (strings.filter(F.length("s") > 1).select(F.explode(steps(F.col("s"))).alias("step"), "n")
+            .filter("step between 0 and 16383").groupBy("step").agg(F.sum("n").alias("n")).collect())
+    return {divmod(r["step"], 128): r["n"] for r in rows}
 
 
 def log_ratios(random: dict[tuple[int, int], int], plain: dict[tuple[int, int], int]) -> list[float]:
-    """128 x 128 log-likelihood ratios of a transition, random against plain, smoothed."""
+    """128 x 128 log-likelihood ratios of a transition, random against plain, smoothed; 0 after a character
+    that no random string has."""
     out = []
     sums = [[sum(m.get((a, b), 0) for b in range(128)) for a in range(128)] for m in (random, plain)]
     for a in range(128):
         for b in range(128):
             p, q = ((m.get((a, b), 0) + SMOOTH) / (s[a] + SMOOTH * 128) for m, s in zip((random, plain), sums, strict=True))
-            out.append(round(math.log(p / q), 4))
+            out.append(round(max(-MOST, min(MOST, math.log(p / q))), 4) if sums[0][a] else 0.0)
     return out
 
 
-def train(docs: DataFrame, base: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[float]:
+def train(docs: DataFrame, base: DataFrame) -> list[float]:
     """Fit both models. ``docs`` has doc_id and t, ``base`` the column ``spans`` of all documents."""
     value = F.when(F.col("x.kind") == 0, F.regexp_extract(F.col("x.value"), ASSIGN, 2)).otherwise(F.col("x.value"))
-    random = base.filter(F.size("spans") > 0).select(F.explode("spans").alias("x")).select(value.alias("s"))
-    chosen = (docs.select(F.xxhash64("doc_id").alias("h")).distinct().orderBy("h").limit(sample_docs)
-              .select(F.col("h").alias("chosen")))
-    words = F.filter(F.regexp_extract_all(F.col("t"), F.lit(WORD), F.lit(0)), lambda w: ~F.rlike(w, F.lit(ACCESS)))
-    plain = (docs.join(F.broadcast(chosen), F.xxhash64("doc_id") == F.col("chosen"), "left_semi")
-             .select(F.explode(words).alias("s")))
+    random = base.filter(F.size("spans") > 0).select(F.explode("spans").alias("x")).select(value.alias("s"), F.lit(1).alias("n"))
+    rest = F.regexp_replace("t", F.lit(f"{ASSIGN}|{ACCESS}|{HEX}"), F.lit(" "))
+    # Equal words are counted before anything moves; the rows that move are distinct words of a task.
+    plain = (docs.select(F.explode(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))).alias("s"))
+             .groupBy("s").agg(F.count("*").alias("n")).filter((F.length("s") < SHORTEST) | (F.col("n") > 1)))
     return log_ratios(transitions(random), transitions(plain))
 
 
@@ -159,11 +162,11 @@ def markov_spans(text: Column, base: Column, ratios: list[float]) -> Column:
         F.lit(IN_ALL), F.lit(PER_CHAR) * (F.length(c["value"]) - 1)))
 
 
-def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, base (spans of the fixed patterns), markov (spans of the models)."""
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
     base = texts.select("doc_id", "t", base_spans(F.col("t")).alias("spans"))
-    ratios = train(texts, base, sample_docs)
+    ratios = train(texts, base)
     return base.select("doc_id", F.col("spans").alias("base"), markov_spans(F.col("t"), F.col("spans"), ratios).alias("markov"))
 
 

@@ -50,6 +50,36 @@ def test_markov_finds_random_strings_only(spark):
     assert "markov:" not in got[901] and f":{11}:" in got[900] and len(got) == 202
 
 
+def labelled_strings():
+    """100 ordinary identifiers and 100 random strings that no fixed pattern finds."""
+    rng = random.Random(77)
+    words = "user order session backup customer report daily index cache value handler request event stream table region label".split()
+    pick = lambda n: rng.sample(words, n)
+    plain = [f"{'_'.join(pick(2))}_id_{rng.randrange(10**9)}" for _ in range(25)]
+    plain += [f"{'-'.join(pick(2))}-20{rng.randrange(10, 30)}-{rng.randrange(1, 13):02}-{rng.randrange(1, 29):02}-{i:04}" for i in range(25)]
+    plain += ["".join(w.title() for w in pick(4)) for _ in range(25)] + ["_".join(pick(4)) + str(i) for i in range(25)]
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = ["".join(rng.choices(letters, k=rng.randint(28, 40))) for _ in range(100)]
+    return plain, secret
+
+
+def test_markov_labelled(spark):
+    """Held-out strings: few identifiers with numbers are reported, few random strings missed."""
+    plain, secret = labelled_strings()
+    rng = random.Random(78)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = "user order session backup customer report daily index cache value handler request event stream table region label".split()
+    train = [f"the {'_'.join(rng.sample(words, 2))}_{rng.randrange(100)} of 20{rng.randrange(10, 30)}-0{rng.randrange(1, 10)}-11 and "
+             f"{''.join(w.title() for w in rng.sample(words, 2))} with token={''.join(rng.choices(letters, k=32))} stood in the file {i}" for i in range(600)]
+    texts = train + [f"some {s} here" for s in plain + secret]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], "doc_id long, t string, spans string, base int").withColumnRenamed("doc_id", "id")
+    got = {r["doc_id"]: r["n_markov"] for r in S.secret_report(docs.withColumn("s", F.lit(1)), "id", "t").collect()}
+    first = len(train)
+    assert sum(got[first + i] > 0 for i in range(100)) <= 2
+    assert sum(got[first + 100 + i] > 0 for i in range(100)) >= 95
+    assert sum(got[i] for i in range(first)) <= 5
+
+
 def test_secret_scan_empty(spark):
     assert S.secret_report(empty_documents(spark)).count() == 0
 
