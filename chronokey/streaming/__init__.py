@@ -1,6 +1,7 @@
 """Structured Streaming forms of the operators and the bounded replay helper."""
 
 from chronokey.streaming.operators import (
+    revised_alerts,
     stream_arrival_window_mean,
     stream_capped_sessions,
     stream_early_count,
@@ -29,6 +30,7 @@ __all__ = [
     "LateAuditStream",
     "TerminatedSessionStream",
     "latest",
+    "revised_alerts",
     "stream_arrival_window_mean",
     "stream_capped_sessions",
     "stream_early_count",

@@ -103,12 +103,15 @@ def stream_arrival_window_mean(
 
 
 def stream_inactivity_alerts(
-    sdf: DataFrame, key="sensor_id", ts="ts", seq="seq", threshold="10 seconds", domain="event", delay=DEFAULT_DELAY
+    sdf: DataFrame, key="sensor_id", ts="ts", seq="seq", threshold="10 seconds", domain="event", delay=DEFAULT_DELAY,
+    revise=False,
 ):
-    """Columns key, last_seen, alert_time, idle_seconds (the batch operator adds ``next_seen``, which a
-    live alert can't know). ``domain="event"``: event-time silence, equal to the batch operator with
-    ``include_open=True`` once the stream is flushed. ``domain="processing"``:
-    wall-clock timeouts, as in a live monitor (not reproducible)."""
+    """Columns key, last_seen, alert_time, idle_seconds, next_seen. ``domain="event"``: event-time
+    silence, equal to the batch operator with ``include_open=True`` once the stream is flushed, but
+    ``next_seen`` is null where the alert fired before the row that ends the silence had settled.
+    ``revise=True`` puts such an alert out again, with ``next_seen``, once that row has settled
+    (:func:`revised_alerts` reads the last word of each); a key that has fallen silent for good then keeps its
+    state row. ``domain="processing"``: wall-clock timeouts, as in a live monitor (not reproducible)."""
     d = sdf.select(key, ts, F.col(seq).cast("long").alias("__seq"), epoch_us(ts).alias("__us"))
     timeout = GroupStateTimeout.EventTimeTimeout
     if domain == "event":
@@ -116,13 +119,18 @@ def stream_inactivity_alerts(
     else:
         timeout = GroupStateTimeout.ProcessingTimeTimeout
     out = _stateful(
-        d, key, ST.inactivity_fn(duration_us(threshold), domain), sdf.schema[key].dataType, ST.ALERT_COLUMNS,
-        [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L)], ST.ALERT_STATE,
+        d, key, ST.inactivity_fn(duration_us(threshold), domain, revise), sdf.schema[key].dataType, ST.ALERT_COLUMNS,
+        [("last_seen_us", _L), ("alert_time_us", _L), ("idle_seconds", _L), ("next_seen_us", _L)], ST.ALERT_STATE,
         timeout,
     )
     return _times(out, key, ["idle_seconds"])
 
 
+def revised_alerts(alerts: DataFrame, key="sensor_id") -> DataFrame:
+    """One row for each silence from the output of ``stream_inactivity_alerts(revise=True)``: with ``next_seen`` if it has ended."""
+    return alerts.groupBy(key, "last_seen", "alert_time", "idle_seconds").agg(F.max("next_seen").alias("next_seen"))
+
+
 def stream_terminated_sessions(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", event_type="event_type", gap=TERMINATED_GAP,
     terminators=TERMINATORS, delay=DEFAULT_DELAY, lists=True,

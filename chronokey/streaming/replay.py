@@ -125,15 +125,10 @@ def q_stream_arrival_window_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.project_means(replay(spark, sf_dir, "arrival_window_mean", [Q.KEY, Q.SEQ, "ts", "value"], build))
 
 
-def _project_alerts(r: DataFrame) -> DataFrame:
-    """A live alert can't know the row that ends its silence."""
-    return r.select(Q.KEY, *[F.unix_micros(c).alias(f"{c}_us") for c in ("last_seen", "alert_time")], "idle_seconds")
-
-
 def q_stream_inactivity_alerts_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = replay(spark, sf_dir, "inactivity_alerts", [Q.KEY, Q.SEQ, "ts"],
-               lambda s: S.stream_inactivity_alerts(s, Q.KEY, "ts", Q.SEQ, Q.IDLE, "event", REPLAY_DELAY))
-    return _project_alerts(r)
+               lambda s: S.stream_inactivity_alerts(s, Q.KEY, "ts", Q.SEQ, Q.IDLE, "event", REPLAY_DELAY, revise=True))
+    return Q.project_alerts(S.revised_alerts(r, Q.KEY))
 
 
 def q_stream_sensor_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -229,6 +224,11 @@ def q_stream_gap_sessions_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.project_gap(op.latest())
 
 
+def _project_alerts(r: DataFrame) -> DataFrame:
+    """Of these alerts the row that ends the silence isn't kept."""
+    return r.select(Q.KEY, *[F.unix_micros(c).alias(f"{c}_us") for c in ("last_seen", "alert_time")], "idle_seconds")
+
+
 def q_stream_inactivity_alerts_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     key_type = _key_type(spark, sf_dir)
     op = fed_by_arrival(spark, sf_dir, "alerts_late", [Q.KEY, Q.SEQ, "ts"], lambda s, folder: InactivityAlertStream(

@@ -142,7 +142,7 @@ def _mean_fold(ts, values, end, total, cnt, vals, width_us):
 
 
 def _alert_fold(ts_sorted, last, threshold_us):
-    """Times of the rows that a silence of at least ``threshold`` follows, and the latest time."""
+    """Silences of at least ``threshold`` between rows, (last, next), and the latest time."""
     ts = np.asarray(ts_sorted, dtype="int64")
     if not len(ts):
         return [], last
@@ -150,7 +150,7 @@ def _alert_fold(ts_sorted, last, threshold_us):
     if last is not None:
         prev = np.maximum.accumulate(prev)
     hit = ts - prev >= threshold_us
-    return prev[hit].tolist(), int(ts[-1]) if last is None else max(last, int(ts[-1]))
+    return list(zip(prev[hit].tolist(), ts[hit].tolist())), int(ts[-1]) if last is None else max(last, int(ts[-1]))
 
 
 def arrival_mean_fn(width_us: int, order: list[str]):
@@ -174,43 +174,54 @@ def arrival_mean_fn(width_us: int, order: list[str]):
     return fn
 
 
-ALERT_COLUMNS = ["key", "last_seen_us", "alert_time_us", "idle_seconds"]
-ALERT_STATE = "last_us long, held_us array<long>, held_seq array<long>"
+ALERT_COLUMNS = ["key", "last_seen_us", "alert_time_us", "idle_seconds", "next_seen_us"]
+ALERT_STATE = "last_us long, said boolean, held_us array<long>, held_seq array<long>"
 
 
-def inactivity_fn(threshold_us: int, domain: str = "event"):
+def _alerts_out(records: list[tuple]) -> Iterator[pd.DataFrame]:
+    for frame in _out(records, ALERT_COLUMNS):
+        # Times stay whole numbers beside a null one, where pandas would make doubles.
+        yield frame.assign(next_seen_us=pd.array([r[4] for r in records], dtype="Int64"))
+
+
+def inactivity_fn(threshold_us: int, domain: str = "event", revise: bool = False):
     """``domain="event"``: silence in event time, over settled rows; the
-    timeout at last + threshold raises the alert. What ends the silence is not
+    timeout at last + threshold raises the alert. What ends the silence may not be
     known then (rows within the delay may still come before a row that is
-    held), so an alert does not name it. ``domain="processing"``: wall-clock
-    timeout re-armed by every batch with rows (live monitor)."""
+    held): such an alert's ``next_seen`` is null. With ``revise`` the key's last
+    time stays in the state, and the alert goes out once more, with
+    ``next_seen``, when the row that ends its silence has settled.
+    ``domain="processing"``: wall-clock timeout re-armed by every batch with
+    rows (live monitor)."""
     idle_s = threshold_us // 1_000_000
 
     def live(key, pdfs, state):
         if state.hasTimedOut:
             last = state.get[0]
             state.remove()
-            yield from _out([(key[0], last, state.getCurrentProcessingTimeMs() * 1000, idle_s)], ALERT_COLUMNS)
+            yield from _alerts_out([(key[0], last, state.getCurrentProcessingTimeMs() * 1000, idle_s, None)])
             return
         ts = _rows(pdfs, ["__us", "__seq"])["__us"].to_numpy(dtype="int64")
         last = int(max(ts.max(), state.get[0] if state.exists else ts.max()))
-        state.update((last, [], []))
+        state.update((last, False, [], []))
         state.setTimeoutDuration(threshold_us // 1000)
 
     def fn(key, pdfs, state):
-        last, *held = state.get if state.exists else (None, [], [])
+        last, said, *held = state.get if state.exists else (None, False, [], [])
         settled, held, wm_us = _settle(pdfs, state, held, ["__us", "__seq"])
         alerts, last = _alert_fold(settled[0], last, threshold_us)
-        out = [(key[0], a, a + threshold_us, idle_s) for a in alerts]
-        if last is not None and last + threshold_us <= wm_us:
-            out.append((key[0], last, last + threshold_us, idle_s))
-            last = None
+        said = said and not len(settled[0])
+        out = [(key[0], a, a + threshold_us, idle_s, b) for a, b in alerts]
+        if last is not None and not said and last + threshold_us <= wm_us:
+            out.append((key[0], last, last + threshold_us, idle_s, None))
+            last, said = (last, True) if revise else (None, False)
         if last is None and not len(held[0]):
             state.remove()
         else:
-            state.update((last, held[0].tolist(), held[1].tolist()))
-            _arm_first(state, held[0], *([(last + threshold_us, False)] if last is not None else []))
-        yield from _out(out, ALERT_COLUMNS)
+            state.update((last, said, held[0].tolist(), held[1].tolist()))
+            if len(held[0]) or not said:
+                _arm_first(state, held[0], *([(last + threshold_us, False)] if last is not None and not said else []))
+        yield from _alerts_out(out)
 
     return fn if domain == "event" else live
 
@@ -272,7 +283,7 @@ def sensor_monitor_fn(width_us: int, threshold_us: int, order: list[str]):
             closed, end, total, cnt, vals = _mean_fold(rows["__us"].tolist(), rows["__value"].tolist(), end, total, cnt, vals, width_us)
             out += [(key[0], "mean", e, m, c) for e, c, m in closed]
         alerts, last = _alert_fold(settled[0], last, threshold_us)
-        out += [(key[0], "alert", a + threshold_us, None, None) for a in alerts]
+        out += [(key[0], "alert", a + threshold_us, None, None) for a, _ in alerts]
         if last is not None and last + threshold_us <= wm_us:
             out.append((key[0], "alert", last + threshold_us, None, None))
             last = None

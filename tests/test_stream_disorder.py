@@ -130,6 +130,31 @@ def test_folds_equal_batch_operators(spark, seed):
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize("seed", range(10))
+def test_revised_alerts_name_the_next_row(seed):
+    """However the rows are cut, the last word on each silence is the row that ends it."""
+    rng = random.Random(300 + seed)
+    rows = disordered(rng, 60, 6)
+    times = sorted(r["__us"] for r in rows)
+    want = {a: b for a, b in zip(times, [*times[1:], None]) if b is None or b - a >= 5 * US}
+    for k in (1, 5, 20):
+        got = {}
+        for r in drive(ST.inactivity_fn(5 * US, revise=True), [rows] if k == 1 else cut(rng, rows, k), 6 * US):
+            assert r[2:4] == (r[1] + 5 * US, 5) and got.get(r[1]) is None  # none is revised twice
+            got[r[1]] = None if pd.isna(r[4]) else r[4]
+        assert got == want
+
+
+def test_replayed_alerts_in_batches_name_the_next_row(spark, many_files, tmp_path):
+    out = R.replay(spark, many_files, "alerts", [KEY, Q.SEQ, "ts"],
+                   lambda s: S.stream_inactivity_alerts(s, KEY, "ts", Q.SEQ, Q.IDLE, "event", "1 hour", revise=True),
+                   folder=f"{tmp_path}/a", max_files_per_trigger=1)
+    got = Q.project_alerts(S.revised_alerts(out, KEY)).collect()
+    want = Q.q_inactivity_alerts_open(spark, "/root/testdata/sf0.001").collect()
+    assert out.filter("next_seen is null").count() > sum(r["next_seen_us"] is None for r in want)  # some are revised
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_null_values_in_means():
     rows = [{"__us": BASE + i * US, "__seq": i, "__value": None if i % 3 else 1.0} for i in range(12)]
     got = drive(ST.arrival_mean_fn(100 * US, ["__seq"]), [rows[:5], rows[5:]], 0)
