@@ -65,25 +65,43 @@ def _stateful(d: DataFrame, key, fn, key_type: T.DataType, columns, out_fields,
     return d.groupBy(*as_list(key)).applyInPandasWithState(fn, schema, state_schema, "append", timeout)
 
 
+#: Buckets of keys of the early counts. Fixed for the life of a checkpoint.
+EARLY_BUCKETS = 1024
+
+
+def _plain_key(key: str, kind: T.DataType):
+    """A key column as long or text, which Python workers hand on unchanged, its type there, and the way back."""
+    if isinstance(kind, T.IntegralType):
+        return F.col(key).cast("long"), _L, lambda c: F.col(c).cast(kind)
+    if isinstance(kind, T.BinaryType):
+        return F.base64(key), T.StringType(), lambda c: F.unbase64(c)
+    plain = F.col(key) + F.lit(0) if isinstance(kind, (T.FloatType, T.DoubleType)) else F.col(key)  # -0.0 is 0.0
+    return plain.cast("string"), T.StringType(), lambda c: F.col(c).cast(kind)
+
+
 def stream_early_count(
     sdf: DataFrame, key="user_id", ts="ts", seq="seq", width=EARLY_WIDTH, n=EARLY_N, include_final=True, once=False,
-    delay=DEFAULT_DELAY,
+    delay=DEFAULT_DELAY, buckets=EARLY_BUCKETS,
 ):
-    """Grouped by key and window, so a hot key's windows are apart. The input
-    carries the ``window`` struct, which holds the watermark, so a row is late only once its window end is behind the watermark (as with a
-    windowed aggregate), not as soon as its own time is."""
+    """Grouped by window and bucket of keys (by hash), so that the number of calls does not grow
+    with the keys and a key's windows are apart. The input
+    carries the time of the window, which holds the watermark, so a row is late only once its window end is behind the watermark (as with a
+    windowed aggregate), not as soon as its own time is. Workers put out runs of counts, which become rows in Spark."""
     width_us = duration_us(width)
-    order = as_list(seq)
+    plain, kind, back = _plain_key(key, sdf.schema[key].dataType)
     w = F.window(F.col(ts), f"{width_us} microseconds")
-    d = sdf.withWatermark(ts, delay).select(
-        key, *order, w.alias("__w"), window_floor(epoch_us(ts), width_us).alias("__ws")
-    )
+    bucket = F.when(F.col(key).isNull(), -1).otherwise(F.pmod(F.xxhash64("__key"), F.lit(buckets)).cast("int"))
+    d = sdf.withWatermark(ts, delay).select(key, plain.alias("__key"), w.alias("__w"), window_floor(epoch_us(ts), width_us).alias("__ws"))
+    d = d.select("__key", F.window_time("__w").alias("__wt"), "__ws", bucket.alias("__b"))
     out = _stateful(
-        d, [key, "__ws"], ST.early_count_fn(width_us, n, include_final, once), sdf.schema[key].dataType, ST.EARLY_COLUMNS,
-        [("window_start_us", _L), ("window_end_us", _L), ("count", _L), ("pane", T.StringType())], ST.EARLY_STATE,
+        d, ["__b", "__ws"], ST.early_count_fn(width_us, n, include_final, once), kind, ST.EARLY_COLUMNS,
+        [("window_start_us", _L), ("first", _L), ("last", _L), ("pane", T.StringType())], ST.EARLY_STATE.format(kind.simpleString()),
         GroupStateTimeout.EventTimeTimeout,
     )
-    return _times(out, key, [])
+    return out.select(
+        back("key").alias(key), from_epoch_us("window_start_us").alias("window_start"),
+        from_epoch_us(F.col("window_start_us") + F.lit(width_us)).alias("window_end"),
+        F.explode(F.sequence("first", "last")).alias("count"), "pane")
 
 
 def stream_arrival_window_mean(

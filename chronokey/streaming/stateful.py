@@ -80,28 +80,50 @@ def _out(records: list[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame.from_records(records, columns=columns)
 
 
-EARLY_COLUMNS = ["key", "window_start_us", "window_end_us", "count", "pane"]
-EARLY_STATE = "count long"
+EARLY_COLUMNS = ["key", "window_start_us", "first", "last", "pane"]
+EARLY_STATE = "keys array<{}>, counts array<long>"
+#: Counts that a row of the output stands for at most, so that none grows with a hot key.
+EARLY_SPAN = 10_000
 
 
 def early_count_fn(width_us: int, n: int, include_final: bool, once: bool):
-    """Grouped by key and window start: the state row is the window's count.
-    From the n-th row on every row fires an ``early`` pane; the timeout at the
-    window end emits the ``final`` pane. Rows of a window only need counting,
-    so their order inside a batch plays no part."""
+    """Grouped by a bucket of keys and window start: the state row holds the
+    window's count of each key of the bucket, so a call is made for thousands of rows.
+    From the n-th row on every row of a key fires an ``early`` pane, put out as runs of counts
+    (first, last); the timeout at the window end emits the ``final`` panes. Rows of a
+    window only need counting, so their order inside a batch plays no part. The
+    null key has a bucket (-1) of its own, so other keys' columns have no nulls."""
+
+    def out(keys, ws, first, last, pane):
+        first, last = np.asarray(first, dtype="int64"), np.asarray(last, dtype="int64")
+        pieces = np.maximum(-(-(last - first + 1) // EARLY_SPAN), 0)
+        if not pieces.sum():
+            return
+        row = np.repeat(np.arange(len(pieces)), pieces)
+        first = first[row] + EARLY_SPAN * (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        yield pd.DataFrame({"key": keys[row], "window_start_us": ws, "first": first, "last": np.minimum(last[row], first + EARLY_SPAN - 1), "pane": pane})
 
     def fn(key, pdfs, state):
-        k, ws = key[0], int(key[1])
-        before = state.get[0] if state.exists else 0
+        bucket, ws = int(key[0]), int(key[1])
+        keys, before = state.get if state.exists else ([], [])
         if state.hasTimedOut:
             state.remove()
-            yield from _out([(k, ws, ws + width_us, before, "final")] if include_final else [], EARLY_COLUMNS)
+            if include_final:
+                yield from out(pd.Series(keys, dtype=object if bucket < 0 else None).to_numpy(), ws, before, before, "final")
             return
-        count = before + sum(len(p) for p in pdfs)
-        state.update((count,))
+        known = len(keys)
+        if bucket < 0:
+            keys, count = np.array([None], dtype=object), np.array([sum(before) + sum(len(p) for p in pdfs)], dtype="int64")
+        else:
+            held = pd.Series(before, index=keys, dtype="int64") if known else None
+            # Keys of the state come first and in its order.
+            parts = [p.groupby("__key", sort=False).size() for p in pdfs if len(p)]
+            total = pd.concat([held, *parts] if known else parts).groupby(level=0, sort=False).sum()
+            keys, count = total.index.to_numpy(), total.to_numpy(dtype="int64")
+        before = np.concatenate([np.asarray(before, dtype="int64"), np.zeros(len(keys) - known, dtype="int64")])
+        state.update((keys.tolist(), count.tolist()))
         _arm(state, ws + width_us)
-        fire = range(max(before + 1, n), min(count, n if once else count) + 1)
-        yield from _out([(k, ws, ws + width_us, c, "early") for c in fire], EARLY_COLUMNS)
+        yield from out(keys, ws, np.maximum(before + 1, n), np.minimum(count, n) if once else count, "early")
 
     return fn
 

@@ -248,3 +248,43 @@ def test_render_stream_output(spark):
     out = _run(spark, sdf)
     batch = render(terminated_sessions(S.user_events(spark, S.TERMINATED_SESSION_SAMPLE)), "terminated_sessions", "user_id")
     assert sorted(r.message for r in out.collect()) == sorted(r.message for r in batch.collect())
+
+
+@pytest.mark.parametrize("kind", ["long", "string", "double", "timestamp", "binary"])
+def test_early_count_state_does_not_grow_with_keys(spark, kind):
+    """A state row for each bucket of keys and window, not for each key; null keys and keys of any type in three batches."""
+    rows = [(i, "x", f"{i * i % 60}" if i % 9 else None, 1738362000000 + i * 1000) for i in range(400)]
+    folder = f"{checkpoint_dir(spark).removeprefix('file:')}/src-{uuid.uuid4().hex}"
+    _write(folder, [[(i, k, e, t) for i, e, k, t in rows[a:a + 150]] for a in (0, 150, 300)])
+    value = {"long": F.col("user_id").cast("long") + F.lit(2**60), "timestamp": F.timestamp_seconds(F.col("user_id").cast("long"))}.get(
+        kind, F.col("user_id").cast("double" if kind == "double" else "string").cast(kind))
+    queries = []
+    sdf = _stream(spark, folder).withColumn("user_id", value)
+    out = run_to_completion(spark, SO.stream_early_count(sdf, width="5 minutes", n=2, delay="5 seconds", buckets=4),
+                            f"{checkpoint_dir(spark).rstrip('/')}/out-{uuid.uuid4().hex}", queries)
+    batch = early_count(spark.read.parquet(folder).withColumn("ts", F.timestamp_millis("ts_ms")).withColumn("user_id", value), width="5 minutes", n=2)
+    cols = ["user_id", "window_start", "window_end", "count", "pane"]
+    got, want = (sorted(map(str, d.filter("pane = 'early'").select(*cols).collect())) for d in (out, batch))
+    assert got == want and any("None" in r for r in got)
+    first = spark.createDataFrame([(1738362000000,)], "t long").select(F.window(F.timestamp_millis("t"), "5 minutes").start).first()[0]
+    finals = [sorted(map(str, d.filter((F.col("pane") == "final") & (F.col("window_start") == F.lit(first))).select(*cols).collect())) for d in (out, batch)]
+    assert finals[0] == finals[1] and finals[0]
+    assert max(o["numRowsTotal"] for p in queries[0].recentProgress for o in p["stateOperators"]) <= 5 * 2
+
+
+def test_early_count_splits_long_runs():
+    import pandas as pd
+
+    from chronokey.streaming import stateful as ST
+
+    class State:
+        exists = hasTimedOut = False
+        update = setTimeoutTimestamp = lambda self, x: None
+        getCurrentWatermarkMs = lambda self: 0
+
+    n = 3 * ST.EARLY_SPAN
+    frames = [pd.DataFrame({"__key": [7] * n}), pd.DataFrame({"__key": [7, 8, 8, 7]})]
+    runs = pd.concat(ST.early_count_fn(1000, 2, True, False)((0, 0), iter(frames), State()))
+    counts = sorted((k, c) for k, a, b in zip(runs["key"], runs["first"], runs["last"]) for c in range(a, b + 1))
+    assert counts == [(7, c) for c in range(2, n + 3)] + [(8, 2)]
+    assert (runs["last"] - runs["first"]).max() < ST.EARLY_SPAN
