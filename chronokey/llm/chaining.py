@@ -35,6 +35,10 @@ K, WINDOW = 6, 6
 MIN_WORDS, LEAST_CHAIN, MAX_GAP, GAP_COST = 45, 20, 40, 0.1
 #: Alignment: words looked ahead after a difference, words that must agree to go on, and the loss that ends it.
 AHEAD, AGREE, DROP = 8, 3, 12
+#: Comparisons of places: rows of a block, pairs compared at once, the byte that stands for no word.
+BLOCK, PAIRS, PAD = 2048, 100_000, 255
+#: Labels of the first and of the second of two seeds.
+TAGS = ["l1", "m1", "l2", "m2"]
 
 
 def sliding(h: np.ndarray, w: int, best) -> np.ndarray:
@@ -198,15 +202,265 @@ def align(a: np.ndarray, b: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray
     return out
 
 
-def seed_links(texts: DataFrame) -> DataFrame:
-    """(a, b, x, y): place x of holder a, the text with the smallest id (nulls last), shares a seed with place y of text b."""
+def shared_seeds(texts: DataFrame) -> DataFrame:
+    """(h, key, pos, a, x, two): places of seeds that stand in several texts; a holds the seed at x; two: it has two places in all."""
     found = seeds(texts)
     holders = (found.groupBy("h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "pos")).alias("first"),
-                                      F.min("key").alias("lo"), F.max("key").alias("hi"))
-               .filter("lo != hi").select("h", F.col("first.key").alias("a"), F.col("first.pos").alias("x")))
-    # A written table, so that the join has two plain exchanges and the places of a very common seed can be split.
+                                      F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").alias("n"))
+               .filter("lo != hi").select("h", F.col("first.key").alias("a"), F.col("first.pos").alias("x"), (F.col("n") == 2).alias("two")))
+    # Written tables, so that the join has two plain exchanges and the places of a very common seed can be split.
     holders = saved(holders, "holders")
-    return (found.join(holders, "h").filter("key != a").select("a", F.col("key").alias("b"), "x", F.col("pos").alias("y")).distinct())
+    return saved(found.select("h", "key", "pos").join(holders, "h"), "shared")
+
+
+def seed_links(shared: DataFrame) -> DataFrame:
+    """(a, b, x, y): place x of holder a, the text with the smallest id (nulls last), shares a seed with place y of text b.
+
+    This links texts in stars; what the stars leave out is found by ``open_seeds`` and ``rest_links``.
+    """
+    return shared.filter("key != a").select("a", F.col("key").alias("b"), "x", F.col("pos").alias("y")).distinct()
+
+
+def repeats(what: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each place, sorted by (what, at), goes on the row of places in equal steps of up to K words before it, and whether the next one does."""
+    step = np.where(what[1:] == what[:-1], at[1:] - at[:-1], K + 1)
+    # A step belongs to a row if it is short and like the one before or behind it.
+    like = (step[1:] == step[:-1]) & (step[1:] <= K)
+    inside = np.zeros(len(step), bool)
+    inside[1:] |= like
+    inside[:-1] |= like
+    first = np.zeros(min(len(at), 1), bool)
+    return np.concatenate([first, inside]), np.concatenate([inside, first])
+
+
+def open_seeds(shared: DataFrame, names: DataFrame, *rounds: DataFrame) -> DataFrame:
+    """(h, key, pos, two, l, m): places of the seeds whose places have several labels, both by l and by m.
+
+    A place inside a passage of the first (l) or second (m) of the ``rounds`` has the holder of such a passage as
+    label, the seed's own one if it can be, else that of the smallest id (``names``: key, other_id); any other place its own text. Where words repeat
+    (places of a seed in equal steps of up to K words) the places have one label. Texts whose places
+    of a seed have equal labels are linked already, by passages with that holder.
+    """
+    fields = ("round", "label", "s", "e")
+    spans = None
+    order = ("round", "no_id", "other_id", "label", "s", "e")
+    for i, passages in enumerate(rounds):
+        for key, s, e in (("a", "other_start_word", "other_end_word"), ("b", "start_word", "end_word")):
+            side = passages.select(F.col(key).alias("key"), F.lit(i).alias("round"), F.col("a").alias("label"), F.col(s).alias("s"), F.col(e).alias("e"))
+            spans = side if spans is None else spans.unionByName(side)
+    spans = (spans.groupBy("key", "round", "label", "s").agg(F.max("e").alias("e"))
+             .join(names.select(F.col("key").alias("label"), "other_id", F.col("other_id").isNull().alias("no_id")), "label")
+             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("spans"))
+             .select("key", F.transform("spans", lambda v: F.struct(*[v[c].alias(c) for c in fields])).alias("spans")))
+    rows = shared.groupBy("key").agg(F.collect_set(F.struct("h", "pos", "two", "a")).alias("seeds")).join(spans, "key", "left")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        none = 1 << 40
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = batch.column(0)[i].as_py()
+                h, pos, two, holder = batch.column(1).slice(i, 1).flatten().flatten()
+                at, holder = pos.to_numpy(), holder.to_numpy()
+                rank, labels = np.full((2, len(at)), none), [key]
+                if batch.column(2)[i].is_valid:
+                    spans = list(zip(*(c.to_numpy().tolist() for c in batch.column(2).slice(i, 1).flatten().flatten()), strict=True))
+                    labels = [*(a for _, a, _, _ in spans), key]
+                    for j, (k, a, s, e) in enumerate(spans):
+                        rank[k] = np.where((s <= at) & (at + K <= e), np.minimum(rank[k], np.where(holder == a, j - none, j)), rank[k])
+                order = np.lexsort((at, h.to_numpy()))
+                begin = np.flatnonzero(~repeats(h.to_numpy()[order], at[order])[0])
+                if len(begin) < len(order):
+                    rank[:, order] = np.repeat(np.minimum.reduceat(rank[:, order], begin, axis=1), np.diff(np.append(begin, len(order))), axis=1)
+                labels = np.array(labels)[np.where(rank == none, len(labels) - 1, rank % none)]
+                yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(at), key)), pos, two, *(pa.array(v) for v in labels)], ["h", "key", "pos", "two", "l", "m"])
+
+    places = saved(rows.select("key", "seeds", "spans").mapInArrow(run, "h long, key long, pos int, two boolean, l long, m long"), "places")
+    return places.join(several(places, "h", ["l", "m"]), "h", "left_semi")
+
+
+def several(rows: DataFrame, by: str, labels: list[str]) -> DataFrame:
+    """The values of ``by`` whose rows have more than one value of each label."""
+    ends = rows.groupBy(by).agg(*[f(c).alias(f"{f.__name__}_{c}") for c in labels for f in (F.min, F.max)])
+    return ends.filter(" and ".join(f"min_{c} != max_{c}" for c in labels)).select(by)
+
+
+def seed_pairs(places: DataFrame) -> DataFrame:
+    """(g, key, x, gap, l1, m1, l2, m2, row): each open seed with each other one that can make a chain with it; g stands for both seeds.
+
+    A chain has two links LEAST_CHAIN - K to LEAST_CHAIN + MAX_GAP words apart. Each of both is x once, the other one is gap words behind.
+    Two seeds with two places each were chained with their holder. Of equal pairs at places in equal steps of up to
+    K words (so the words repeat there) the first and the last are kept: repeats agree best from their starts or from their ends. ``row``: MIN_WORDS words or more repeat there.
+    """
+    rows = places.groupBy("key").agg(F.collect_list(F.struct("pos", "h", "two", "l", "m")).alias("seeds"))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                pos, h, two, *labels = batch.column(1).slice(i, 1).flatten().flatten()
+                at, two = pos.to_numpy().astype(np.int64), two.to_numpy(zero_copy_only=False)
+                order = np.argsort(at, kind="stable")
+                at, two, h, labels = at[order], two[order], h.to_numpy()[order].view(np.uint64), np.array([v.to_numpy()[order] for v in labels])
+                low, high = np.searchsorted(at, at + LEAST_CHAIN - K), np.searchsorted(at, at + LEAST_CHAIN + MAX_GAP, "right")
+                n = high - low
+                one = np.repeat(np.arange(len(at)), n)
+                other = np.arange(len(one)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+                keep = ~(two[one] & two[other])
+                one, other = one[keep], other[keep]
+                if not len(one):
+                    continue
+                g = shingles.mix(h[one] * np.uint64(0x9E3779B97F4A7C15) + h[other])
+                g = np.concatenate([g, ~g]).view(np.int64)
+                one, other = np.concatenate([one, other]), np.concatenate([other, one])
+                x, gap = at[one], at[other] - at[one]
+                order = np.lexsort((np.abs(gap), x, g))
+                g, x, gap, one, other = (v[order] for v in (g, x, gap, one, other))
+                first = np.concatenate([[True], (g[1:] != g[:-1]) | (x[1:] != x[:-1])])
+                g, x, gap, one, other = (v[first] for v in (g, x, gap, one, other))
+                tags = np.concatenate([labels[:, one], labels[:, other]])
+                back, ahead = repeats(g, x)
+                begin = np.flatnonzero(~back)
+                row = np.repeat(np.maximum.reduceat(x + np.abs(gap), begin) - x[begin] + K >= MIN_WORDS, np.diff(np.append(begin, len(x)))) & (back | ahead)
+                same = (tags[:, 1:] == tags[:, :-1]).all(axis=0)
+                back[1:] &= same
+                ahead[:-1] &= same
+                end = ~(back & ahead)
+                g, x, gap, tags, row = g[end], x[end], gap[end], tags[:, end], row[end]
+                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.full(len(g), batch.column(0)[i].as_py())), pa.array(x.astype(np.int32)), pa.array(gap.astype(np.int32)),
+                                                  *(pa.array(v) for v in tags), pa.array(row)], ["g", "key", "x", "gap", *TAGS, "row"])
+
+    pairs = saved(rows.mapInArrow(run, "g long, key long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", row boolean"), "seed-pairs")
+    return saved(pairs.join(several(pairs, "g", TAGS), "g", "left_semi"), "open-pairs")
+
+
+def both_links(pairs: DataFrame) -> DataFrame:
+    """(a, b, x, y) of both seeds of (a, b, x, gap, y, other_gap)."""
+    return pairs.select("a", "b", F.inline(F.array(F.struct("x", "y"), F.struct((F.col("x") + F.col("gap")).alias("x"), (F.col("y") + F.col("other_gap")).alias("y"))))).distinct()
+
+
+def pair_links(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """Stars of seed pairs: links of the text with the smallest id that has the pair to all others. ``names``: (key, other_id).
+
+    Rows of repeated words that are passages by themselves have a star of their own, since all of them agree.
+    """
+    rows = pairs.join(names, "key")
+    first = rows.groupBy("g", "row").agg(F.min(F.struct(F.col("other_id").isNull().alias("no_id"), "other_id", "key", "x", "gap", *TAGS)).alias("first"))
+    first = first.select("g", "row", F.col("first.key").alias("a"), *[F.col(f"first.{c}").alias(f"a_{c}") for c in ("x", "gap", *TAGS)])
+    met = pairs.join(first, ["g", "row"]).filter(" and ".join(["key != a", *(f"{c} != a_{c}" for c in TAGS)]))
+    return both_links(met.select("a", F.col("key").alias("b"), F.col("a_x").alias("x"), F.col("a_gap").alias("gap"), F.col("x").alias("y"), F.col("gap").alias("other_gap")))
+
+
+def may_step(a: np.ndarray, b: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether ``walk`` may go on behind a difference at ``at``: three words agree a few words behind it, or can't be seen."""
+    reach = DROP // 2
+    cols = np.minimum(at[:, None] + np.arange(reach + AGREE), a.shape[1] - 1)
+    out = at + reach + AGREE > a.shape[1]
+    x, y = np.take_along_axis(a, cols, 1).astype(np.uint32), np.take_along_axis(b, cols, 1).astype(np.uint32)
+    grams = [v[:, :-2] << 16 | v[:, 1:-1] << 8 | v[:, 2:] for v in (x, y)]
+    seen = (x[:, :-2] != PAD) & (x[:, 1:-1] != PAD) & (x[:, 2:] != PAD)
+    for d in range(reach + 1):
+        out |= ((grams[0] == grams[1][:, d, None]) & seen).any(axis=1)
+    return out
+
+
+def may_pass(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the alignments from rows a and b may be passages: equal words enough, or a step over the first difference of a side."""
+    ends, sides = [], []
+    for words in (left, right):
+        x, y = words[a], words[b]
+        differ = np.ones((len(a), MIN_WORDS + 1), bool)
+        differ[:, :-1] = (x != y) | (x == PAD)
+        ends.append(differ.argmax(axis=1))
+        sides.append((x, y))
+    out = ends[0] + ends[1] >= MIN_WORDS
+    for (x, y), end in zip(sides, ends, strict=True):
+        rest = np.flatnonzero(~out)
+        out[rest] = may_step(x[rest], y[rest], end[rest])
+    return out
+
+
+def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(a, b, x, y): links of all pairs of texts that share two seeds, have other labels at both and may have a passage there.
+
+    The places of a pair of seeds are compared in blocks by their MIN_WORDS words to both sides, a byte for each.
+    """
+    listed = pairs.groupBy("key").agg(F.collect_list(F.struct("g", "x", "gap", *TAGS)).alias("places")).join(bodies, "key").select("key", "places", "z")
+    fields = ("g", "x", "gap", *TAGS)
+
+    def around(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        pad = np.full(MIN_WORDS, PAD, np.uint8)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cols = batch.column(1).slice(i, 1).flatten().flatten()
+                words = shingles.word_hashes([unpack(batch.column(2)[i].as_py()).decode()])[0]
+                near = np.concatenate([pad, (words % np.uint64(PAD)).astype(np.uint8), pad])
+                at = cols[1].to_numpy().astype(np.int64)[:, None] + MIN_WORDS
+                key = np.full(len(at), batch.column(0)[i].as_py())
+                for s in range(0, len(at), 5000):
+                    part = at[s:s + 5000]
+                    flat = np.concatenate([near[part - 1 - np.arange(MIN_WORDS)], near[part + np.arange(MIN_WORDS)]], axis=1)
+                    kept = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * MIN_WORDS), len(part), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+                    yield pa.RecordBatch.from_arrays([*(c.slice(s, 5000) for c in cols), pa.array(key[s:s + 5000]), kept], [*fields, "key", "near"])
+
+    rows = listed.mapInArrow(around, "g long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", key long, near binary")
+    blocks = pairs.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    many = small(blocks.filter("blocks > 1"))
+    own = F.pmod(F.xxhash64("key", "x"), F.coalesce("blocks", F.lit(1))).cast("int")
+    dealt = (rows.join(many, "g", "left").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+             .withColumn("side", F.when(F.col("own") == F.col("other"), 0).otherwise(F.when(F.col("own") < F.col("other"), 1).otherwise(2)))
+             .withColumn("cell", F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")))
+             .select("cell", "side", "key", *fields, "near"))
+    dealt = dealt.repartition(F.col("cell")).sortWithinPartitions("cell")
+
+    def compare(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def met(tables: list) -> Iterator:
+            table = pa.concat_tables(tables).combine_chunks()
+            cell, side, key, g, x, gap, *tags = (table.column(c).to_numpy() for c in ("cell", "side", "key", *fields))
+            near = np.frombuffer(b"".join(table.column("near").to_pylist()), np.uint8).reshape(-1, 2 * MIN_WORDS)
+            left, right = near[:, :MIN_WORDS], near[:, MIN_WORDS:]
+            start = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
+            begin = np.repeat(start, np.diff(np.append(start, len(cell))))
+            before = np.arange(len(cell)) - begin  # each row meets the rows of its cell before it
+            upto = np.cumsum(before)
+            s = 0
+            while s < len(cell):
+                e = max(s + 1, int(np.searchsorted(upto, upto[s] + PAIRS, "right")))
+                n = before[s:e]
+                b = np.repeat(np.arange(s, e), n)
+                a = np.arange(len(b)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[s:e], n)
+                keep = (key[a] != key[b]) & (g[a] == g[b]) & ((side[a] == 0) | (side[a] != side[b]))
+                for tag in tags:
+                    keep &= tag[a] != tag[b]
+                a, b = a[keep], b[keep]
+                if len(a):
+                    keep = may_pass(left, right, a, b)
+                    a, b = a[keep], b[keep]
+                    a, b = np.where(key[a] < key[b], a, b), np.where(key[a] < key[b], b, a)
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key[a], key[b], x[a], gap[a], x[b], gap[b])], ["a", "b", "x", "gap", "y", "other_gap"])
+                s = e
+
+        held, size = [], 0
+        for _, table in runs(batches, "cell"):
+            if table.num_rows > 1:
+                held.append(table)
+                size += table.num_rows
+            if size >= 4 * BLOCK:
+                yield from met(held)
+                held, size = [], 0
+        if held:
+            yield from met(held)
+
+    return both_links(dealt.mapInArrow(compare, "a long, b long, x int, gap int, y int, other_gap int"))
 
 
 def chained(links: DataFrame) -> DataFrame:
@@ -280,8 +534,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("t"))
     texts = texts.select("doc_id", F.xxhash64("t", F.lit(7)).alias("key"), "t")
-    chains = saved(chained(seed_links(texts)), "chains")
-    keys = small(chains.select(F.col("a").alias("key")).union(chains.select("b")).distinct())
+    shared = shared_seeds(texts)
 
     def press(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -291,9 +544,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c.compress(t.encode()) for t in b.column(1).to_pylist()], pa.binary())], ["key", "z"])
 
-    bodies = saved(texts.join(keys, "key", "left_semi").select("key", "t").mapInArrow(press, "key long, z binary")
-                   .groupBy("key").agg(F.first("z").alias("z")), "bodies")
-    found = saved(aligned(chains, bodies), "passages")
+    def bodies(keys: DataFrame) -> DataFrame:
+        return saved(texts.join(small(keys.distinct()), "key", "left_semi").select("key", "t").mapInArrow(press, "key long, z binary")
+                     .groupBy("key").agg(F.first("z").alias("z")), "bodies")
+
+    def passages_of(links: DataFrame, held: DataFrame | None = None) -> DataFrame:
+        chains = saved(chained(links), "chains")
+        return saved(aligned(chains, bodies(chains.select(F.col("a").alias("key")).union(chains.select("b"))) if held is None else held), "passages")
+
+    found = passages_of(seed_links(shared))
+    smallest = saved(texts.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first"))
+                     .select("key", F.col("first.doc_id").alias("other_id")), "ids")
+    pairs = seed_pairs(open_seeds(shared, smallest, found))
+    held = bodies(pairs.select("key"))
+    again = passages_of(pair_links(pairs, smallest), held)
+    rest = passages_of(rest_links(seed_pairs(open_seeds(shared, smallest, found, again)), held), held)
+    found = found.unionByName(again).unionByName(rest).distinct()
 
     # Equal texts: the smallest id stands for its class, the others repeat it.
     rows = saved(texts.select("doc_id", "key", F.regexp_count("t", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"),
@@ -308,7 +574,10 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     names = classes.join(small(found.select(F.col("a").alias("key")).union(found.select("b")).distinct()), "key", "left_semi").select("key", "other_id")
     named = (found.join(names.select(F.col("key").alias("a"), F.col("other_id").alias("ida")), "a")
              .join(names.select(F.col("key").alias("b"), F.col("other_id").alias("idb")), "b"))
-    # A holder's id is the smallest of its texts', so b has the larger one.
+    # b has the larger id, also where a pair was met in the order of its keys.
+    turn = F.col("ida").isNull() & F.col("idb").isNotNull() | F.coalesce(F.col("ida") > F.col("idb"), F.lit(False))
+    sides = [("ida", "idb"), *((f"other_{c}", c) for c in ("start_word", "end_word", "start", "end"))]
+    named = named.select("same", *[F.when(turn, F.col(v)).otherwise(F.col(u)).alias(c) for u, w in sides for c, u, v in ((u, u, w), (w, w, u))]).distinct()
     n = F.greatest(F.col("end_word") - F.col("start_word"), F.col("other_end_word") - F.col("other_start_word"))
     passages = named.select(F.col("idb").alias("doc_id"), "start_word", "end_word", "start", "end", F.col("ida").alias("other_id"),
                             "other_start_word", "other_end_word", "other_start", "other_end", n.alias("n_words"), (F.col("same") / n).alias("identity"))

@@ -179,3 +179,84 @@ def test_recall_of_edited_passages():
             a, b = (shingles.word_hashes([t])[0] for t in texts)
             hit += any(min(e, 80 + words) - max(s, 80) >= 0.8 * words for s, e, _, _, _ in H.align(a, b, H.stretches(x, y)))
         assert hit >= 90, (words, every, hit)
+
+
+@pytest.mark.parametrize("block", [H.BLOCK, 8])
+def test_passage_whose_halves_other_texts_hold(spark, monkeypatch, block):
+    """Texts 4 to 7 share 64 words, of which 0 and 2 hold the first half, 1 and 3 the second one."""
+    monkeypatch.setattr(H, "BLOCK", block)
+    rng = random.Random(12)
+    rows = []
+    for i in range(20):
+        words = words_by(rng, 64)
+        parts = [words[:32], words[32:]] * 2 + [words] * 4
+        rows += [(8 * i + j, " ".join([*words_by(rng, 40), *p, *words_by(rng, 40)])) for j, p in enumerate(parts)]
+    got = H.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["doc_id"] > r["other_id"] for r in got)
+    for i in range(20):
+        linked, more = {8 * i + 4}, True
+        while more:
+            more = {r[b] for r in got for a, b in (("doc_id", "other_id"), ("other_id", "doc_id")) if r[a] in linked} - linked
+            linked |= more
+        assert linked >= {8 * i + j for j in range(4, 8)}
+        for j in range(5, 8):
+            assert set(range(40, 104)) <= set().union(*(covered(got, 8 * i + j, 8 * i + k) for k in range(4, 8)))
+
+
+def test_each_pair_without_a_common_partner(spark):
+    """Six texts share 28 words; each two of them share 24 other words behind these, too, that no third one has."""
+    rng = random.Random(13)
+    rows, want = [], set()
+    for i in range(6):
+        common = words_by(rng, 28)
+        ids = list(range(10 * i, 10 * i + 6))
+        texts = {j: words_by(rng, 30) for j in ids}
+        for a in ids:
+            for b in ids:
+                if a < b:
+                    own = words_by(rng, 24)
+                    want.add((b, a))
+                    for j in (a, b):
+                        texts[j] += [*common, *own, *words_by(rng, 50)]
+        rows += [(j, " ".join(w)) for j, w in texts.items()]
+    got = H.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["other_id"]) for r in got} == want
+    assert all(r["n_words"] >= 52 for r in got)
+
+
+def test_passage_behind_an_earlier_place_of_its_words(spark):
+    """The text with the smaller id has part of the passage twice, the whole one later."""
+    rng = random.Random(14)
+    rows = []
+    for i in range(12):
+        words = words_by(rng, 60)
+        rows += [(2 * i, " ".join([*words[:30], *words_by(rng, 20), *words[30:], *words_by(rng, 50), *words])), (2 * i + 1, " ".join([*words_by(rng, 40), *words, *words_by(rng, 40)]))]
+    got = H.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for i in range(12):
+        assert set(range(40, 100)) <= covered(got, 2 * i + 1, 2 * i)
+
+
+def test_comparison_loses_no_passage():
+    """Wherever the alignment from a place finds a passage, the comparison of the words around it lets it through."""
+    rng = random.Random(15)
+    own, other, long = [], [], []
+    for _ in range(400):
+        a = [rng.randrange(250) for _ in range(120)]
+        b = list(a)
+        for _ in range(rng.choice([0, 4, 8, 16])):
+            k = rng.randrange(len(b))
+            b[k:k + rng.randrange(4)] = [rng.randrange(250) for _ in range(rng.randrange(4))]
+        a, b = np.array(a), np.array(b)
+        for x in range(0, 115, 5):
+            y = next((y for y in range(max(0, x - 9), min(len(b) - H.K, x + 9) + 1) if (a[x:x + H.K] == b[y:y + H.K]).all()), None)
+            if y is not None:
+                left, right = H.walk(a[:x][::-1], b[:y][::-1]), H.walk(a[x:], b[y:])
+                long.append(min(left[0] + right[0], left[1] + right[1]) >= H.MIN_WORDS)
+                for out, words, at in ((own, a, x), (other, b, y)):
+                    pad = np.full(H.MIN_WORDS, H.PAD)
+                    out.append(np.concatenate([pad, words, pad])[at:at + 2 * H.MIN_WORDS].astype(np.uint8))
+    near, n = np.array(own + other), len(own)
+    passes = H.may_pass(near[:, :H.MIN_WORDS][:, ::-1], near[:, H.MIN_WORDS:], np.arange(n), n + np.arange(n))
+    assert 100 < sum(long) < n and passes[np.array(long)].all()
+    strangers = H.may_pass(near[:, :H.MIN_WORDS][:, ::-1], near[:, H.MIN_WORDS:], np.arange(n), np.roll(np.arange(n), n // 2))
+    assert strangers.mean() < 0.05
