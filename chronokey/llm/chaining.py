@@ -39,6 +39,8 @@ MIN_WORDS, LEAST_CHAIN, MAX_GAP, GAP_COST = 45, 20, 40, 0.1
 AHEAD, AGREE, DROP = 8, 3, 12
 #: Comparisons of places: rows of a block, pairs compared at once, the byte that stands for no word.
 BLOCK, PAIRS, PAD = 2048, 100_000, 255
+#: Words compared to each side: as many as tell whether an alignment of less than MIN_WORDS equal words goes on.
+NEAR = MIN_WORDS + DROP // 2 + AGREE
 #: Labels of the first and of the second of two seeds.
 TAGS = ["l1", "m1", "l2", "m2"]
 
@@ -373,7 +375,7 @@ def may_pass(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray)
     ends, sides = [], []
     for words in (left, right):
         x, y = words[a], words[b]
-        differ = np.ones((len(a), MIN_WORDS + 1), bool)
+        differ = np.ones((len(a), words.shape[1] + 1), bool)
         differ[:, :-1] = (x != y) | (x == PAD)
         ends.append(differ.argmax(axis=1))
         sides.append((x, y))
@@ -387,7 +389,7 @@ def may_pass(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray)
 def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
     """(a, b, x, y): links of all pairs of texts that share two seeds, have other labels at both and may have a passage there.
 
-    The places of a pair of seeds are compared in blocks by their MIN_WORDS words to both sides, a byte for each.
+    The places of a pair of seeds are compared in blocks by their NEAR words to both sides, a byte for each.
     """
     listed = pairs.groupBy("key").agg(F.collect_list(F.struct("g", "x", "gap", *TAGS)).alias("places")).join(bodies, "key").select("key", "places", "z")
     fields = ("g", "x", "gap", *TAGS)
@@ -397,18 +399,18 @@ def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        pad = np.full(MIN_WORDS, PAD, np.uint8)
+        pad = np.full(NEAR, PAD, np.uint8)
         for batch in batches:
             for i in range(batch.num_rows):
                 cols = batch.column(1).slice(i, 1).flatten().flatten()
                 words = shingles.word_hashes([unpack(batch.column(2)[i].as_py()).decode()])[0]
                 near = np.concatenate([pad, (words % np.uint64(PAD)).astype(np.uint8), pad])
-                at = cols[1].to_numpy().astype(np.int64)[:, None] + MIN_WORDS
+                at = cols[1].to_numpy().astype(np.int64)[:, None] + NEAR
                 key = np.full(len(at), batch.column(0)[i].as_py())
                 for s in range(0, len(at), 5000):
                     part = at[s:s + 5000]
-                    flat = np.concatenate([near[part - 1 - np.arange(MIN_WORDS)], near[part + np.arange(MIN_WORDS)]], axis=1)
-                    kept = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * MIN_WORDS), len(part), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+                    flat = np.concatenate([near[part - 1 - np.arange(NEAR)], near[part + np.arange(NEAR)]], axis=1)
+                    kept = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * NEAR), len(part), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
                     yield pa.RecordBatch.from_arrays([*(c.slice(s, 5000) for c in cols), pa.array(key[s:s + 5000]), kept], [*fields, "key", "near"])
 
     rows = listed.mapInArrow(around, "g long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", key long, near binary")
@@ -428,8 +430,8 @@ def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         def met(tables: list) -> Iterator:
             table = pa.concat_tables(tables).combine_chunks()
             cell, side, key, g, x, gap, *tags = (table.column(c).to_numpy() for c in ("cell", "side", "key", *fields))
-            near = np.frombuffer(b"".join(table.column("near").to_pylist()), np.uint8).reshape(-1, 2 * MIN_WORDS)
-            left, right = near[:, :MIN_WORDS], near[:, MIN_WORDS:]
+            near = np.frombuffer(b"".join(table.column("near").to_pylist()), np.uint8).reshape(-1, 2 * NEAR)
+            left, right = near[:, :NEAR], near[:, NEAR:]
             start = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
             begin = np.repeat(start, np.diff(np.append(start, len(cell))))
             before = np.arange(len(cell)) - begin  # each row meets the rows of its cell before it
