@@ -37,12 +37,12 @@ K, WINDOW = 6, 6
 MIN_WORDS, LEAST_CHAIN, MAX_GAP, GAP_COST = 45, 20, 40, 0.1
 #: Alignment: words looked ahead after a difference, words that must agree to go on, and the loss that ends it.
 AHEAD, AGREE, DROP = 8, 3, 12
-#: Comparisons of places: rows of a block, pairs compared at once, the byte that stands for no word.
-BLOCK, PAIRS, PAD = 2048, 100_000, 255
+#: Comparisons of places: rows of a block, pairs compared at once, the byte and the 16 bits that stand for no word.
+BLOCK, PAIRS, PAD, BLANK = 2048, 100_000, 255, 65535
 #: Words compared to each side: as many as tell whether an alignment of less than MIN_WORDS equal words goes on.
 NEAR = MIN_WORDS + DROP // 2 + AGREE
-#: Labels of the first and of the second of two seeds.
-TAGS = ["l1", "m1", "l2", "m2"]
+#: Labels of the first and of the second of two seeds: by the stars of seeds, then by those of seed pairs.
+TAGS, MORE_TAGS = ["l1", "l2"], ["m1", "m2"]
 
 
 def sliding(h: np.ndarray, w: int, best) -> np.ndarray:
@@ -105,7 +105,16 @@ def chain(x: np.ndarray, y: np.ndarray, k: int = K, cost: float = GAP_COST) -> l
     xs, ys = x.tolist(), y.tolist()
     tree = [(-1e18, -1)] * (len(places) + 1)
     score, back = [0.0] * len(xs), [-1] * len(xs)
-    at = 0
+    # Where both texts have the anchors in one order, the one before is the best to go on from: score + cost * (x + y) only grows.
+    plain = len(xs) > 0 and bool((np.diff(x[order]) > 0).all() and (np.diff(y[order]) > 0).all())
+    for n, i in enumerate(order if plain else ()):
+        score[i] = float(k)
+        if n:
+            j = order[n - 1]
+            gain = score[j] + cost * (xs[j] + ys[j]) - cost * (xs[i] + ys[i]) + min(k, xs[i] - xs[j], ys[i] - ys[j]) - k
+            if gain > 0:
+                score[i], back[i] = k + gain, j
+    at = len(order) if plain else 0
     while at < len(order):
         upto = at
         while upto < len(order) and xs[order[upto]] == xs[order[at]]:
@@ -146,6 +155,8 @@ def chain(x: np.ndarray, y: np.ndarray, k: int = K, cost: float = GAP_COST) -> l
 def stretches(x: np.ndarray, y: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """The anchors (places in x, in y) of the parts of chains without a gap of more than MAX_GAP words that span enough."""
     out = []
+    if min(x.max() - x.min(), y.max() - y.min()) + K < LEAST_CHAIN:
+        return out
     for links in chain(x, y):
         cx, cy = x[links], y[links]
         cut = np.flatnonzero((np.diff(cx) > MAX_GAP + K) | (np.diff(cy) > MAX_GAP + K)) + 1
@@ -155,37 +166,96 @@ def stretches(x: np.ndarray, y: np.ndarray) -> list[tuple[np.ndarray, np.ndarray
     return out
 
 
+def ordered_steps() -> list[tuple[int, int]]:
+    """Words to pass in both texts after a difference, nearest first; a step of more words would end the alignment."""
+    out = []
+    for d in range(1, min(AHEAD, DROP // 2) + 1):
+        out += sorted({(d, d), *((d, e) for e in range(d)), *((e, d) for e in range(d))}, key=lambda s: abs(s[0] - s[1]))
+    return out
+
+
+STEPS = ordered_steps()
+REACH = max(map(max, STEPS))
+RANK = np.full((REACH + 1, REACH + 1), len(STEPS))
+RANK[tuple(zip(*STEPS, strict=True))] = np.arange(len(STEPS))
+
+
 def walk(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
     """Align from the start of both; (words of a, words of b, equal words) at the best end."""
     i = j = same = 0
     score, best = 0, (0, 0, 0, 0)
+    view = 64
     while i < len(a) and j < len(b):
-        n = min(len(a) - i, len(b) - j, 64)
+        n = min(len(a) - i, len(b) - j, view)
         differ = np.flatnonzero(a[i:i + n] != b[j:j + n])
         run = int(differ[0]) if len(differ) else n
         i, j, same, score = i + run, j + run, same + run, score + run
         if score >= best[0]:
             best = (score, i, j, same)
         if not len(differ):
+            view *= 2
             continue
+        view = 64
         # The nearest place from which AGREE words are equal again.
-        step = None
-        for d in range(1, AHEAD + 1):
-            for di, dj in sorted({(d, d), *((d, e) for e in range(d)), *((e, d) for e in range(d))}, key=lambda s: abs(s[0] - s[1])):
-                p, q = i + di, j + dj
-                if p + AGREE <= len(a) and q + AGREE <= len(b) and (a[p:p + AGREE] == b[q:q + AGREE]).all():
-                    step = (di, dj)
-                    break
-            if step:
-                break
-        if not step:
+        equal = a[i:i + REACH + AGREE, None] == b[None, j:j + REACH + AGREE]
+        rows, cols = (max(n - AGREE + 1, 0) for n in equal.shape)
+        agree = equal[:rows, :cols]
+        for d in range(1, AGREE):
+            agree = agree & equal[d:d + rows, d:d + cols]
+        nearest = int(RANK[:rows, :cols][agree].min(initial=len(STEPS)))
+        if nearest == len(STEPS):
             break
+        step = STEPS[nearest]
         i, j, score = i + step[0], j + step[1], score - 2 * max(step)
         if score < best[0] - DROP:
             break
     return best[1:]
 
 
+def walks(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``walk`` from the start of each row of two tables of words (BLANK: none): words of a, words of b, and whether the rows end before it does."""
+    n, w = a.shape
+    wide = w + REACH + AGREE
+    x, y = np.full((2, n, wide), BLANK, np.uint16)
+    x[:, :w], y[:, :w] = a, b
+    none = np.iinfo(np.uint64).max
+    grams = []
+    for i, v in enumerate((x, y)):
+        v = v.astype(np.uint64)
+        gram = v[:, :-2] << np.uint64(32) | v[:, 1:-1] << np.uint64(16) | v[:, 2:]
+        gram[(v[:, :-2] == BLANK) | (v[:, 1:-1] == BLANK) | (v[:, 2:] == BLANK)] = none - np.uint64(i)
+        grams.append(gram.ravel())
+    x, y, gram_wide = x.ravel(), y.ravel(), wide - 2
+    i, j, score, best, words_a, words_b = np.zeros((6, n), np.int64)
+    cut = np.zeros(n, bool)
+    live = np.arange(n)
+    while len(live):
+        p, q = i[live], j[live]
+        cols = np.arange(w)
+        one = x[(live * wide)[:, None] + np.minimum(p[:, None] + cols, wide - 1)]
+        differ = np.ones((len(live), w + 1), bool)
+        differ[:, :w] = (one != y[(live * wide)[:, None] + np.minimum(q[:, None] + cols, wide - 1)]) | (one == BLANK)
+        run = differ.argmax(axis=1)
+        p, q = p + run, q + run
+        s = score[live] + run
+        up = s >= best[live]
+        best[live[up]], words_a[live[up]], words_b[live[up]] = s[up], p[up], q[up]
+        ends = np.maximum(p, q) + REACH + AGREE > w
+        cut[live[ends]] = True
+        live, p, q, s = live[~ends], p[~ends], q[~ends], s[~ends]
+        step = np.full(len(live), -1)
+        for k, (di, dj) in enumerate(STEPS):
+            rest = np.flatnonzero(step < 0)
+            at = live[rest] * gram_wide
+            step[rest[grams[0][at + p[rest] + di] == grams[1][at + q[rest] + dj]]] = k
+        found = step >= 0
+        live, p, q, s = live[found], p[found], q[found], s[found]
+        di, dj = np.array(STEPS)[step[found]].reshape(-1, 2).T
+        i[live], j[live], score[live] = p + di, q + dj, s - 2 * np.maximum(di, dj)
+        live = live[score[live] >= best[live] - DROP]
+    return words_a, words_b, cut
+
+
 def align(a: np.ndarray, b: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int, int, int, int]]:
     """(start, end in a, start, end in b, equal words) of the passages around chained parts, longest part first.
 
@@ -209,12 +279,14 @@ def align(a: np.ndarray, b: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray
 def shared_seeds(texts: DataFrame) -> DataFrame:
     """(h, key, pos, a, x, two): places of seeds that stand in several texts; a holds the seed at x; two: it has two places in all."""
     found = seeds(texts)
-    holders = (found.groupBy("h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "pos")).alias("first"),
-                                      F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").alias("n"))
-               .filter("lo != hi").select("h", F.col("first.key").alias("a"), F.col("first.pos").alias("x"), (F.col("n") == 2).alias("two")))
-    # Written tables, so that the join has two plain exchanges and the places of a very common seed can be split.
-    holders = saved(holders, "holders")
-    return saved(found.select("h", "key", "pos").join(holders, "h"), "shared")
+    # Counts of numbers are kept in hash tables; the holder, a row, is looked for among the seeds that are left.
+    several = (found.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").alias("n"))
+               .filter("lo != hi").select("h", (F.col("n") == 2).alias("two")))
+    # Written tables, so that the joins have two plain exchanges and the places of a very common seed can be split.
+    found = saved(found.join(saved(several, "several"), "h"), "repeated")
+    holders = (found.groupBy("h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "pos")).alias("first"))
+               .select("h", F.col("first.key").alias("a"), F.col("first.pos").alias("x")))
+    return saved(found.select("h", "key", "pos", "two").join(saved(holders, "holders"), "h").select("h", "key", "pos", "a", "x", "two"), "shared")
 
 
 def seed_links(shared: DataFrame) -> DataFrame:
@@ -237,26 +309,27 @@ def repeats(what: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([first, inside]), np.concatenate([inside, first])
 
 
-def open_seeds(shared: DataFrame, names: DataFrame, *rounds: DataFrame) -> DataFrame:
-    """(h, key, pos, two, l, m): places of the seeds whose places have several labels, both by l and by m.
+def label_spans(passages: DataFrame, names: DataFrame) -> DataFrame:
+    """(key, spans): the places (label, s, e) of each text in ``passages``, smallest id of the holder first. ``names``: key, other_id."""
+    fields = ("label", "s", "e")
+    sides = [passages.select(F.col(key).alias("key"), F.col("a").alias("label"), F.col(s).alias("s"), F.col(e).alias("e"))
+             for key, s, e in (("a", "other_start_word", "other_end_word"), ("b", "start_word", "end_word"))]
+    return (sides[0].unionByName(sides[1]).groupBy("key", "label", "s").agg(F.max("e").alias("e"))
+            .join(names.select(F.col("key").alias("label"), "other_id", F.col("other_id").isNull().alias("no_id")), "label")
+            .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("no_id", "other_id", *fields))).alias("spans"))
+            .select("key", F.transform("spans", lambda v: F.struct(*[v[c].alias(c) for c in fields])).alias("spans")))
 
-    A place inside a passage of the first (l) or second (m) of the ``rounds`` has the holder of such a passage as
-    label, the seed's own one if it can be, else that of the smallest id (``names``: key, other_id); any other place its own text. Where words repeat
+
+def open_seeds(shared: DataFrame, names: DataFrame, passages: DataFrame) -> DataFrame:
+    """(h, key, pos, two, l): places of the seeds whose places have several labels.
+
+    A place inside one of the ``passages`` has the holder of such a passage as label, the seed's own one if it
+    can be, else that of the smallest id (``names``: key, other_id); any other place its own text. Where words repeat
     (places of a seed in equal steps of up to K words) the places have one label. Texts whose places
     of a seed have equal labels are linked already, by passages with that holder.
     """
-    fields = ("round", "label", "s", "e")
-    spans = None
-    order = ("round", "no_id", "other_id", "label", "s", "e")
-    for i, passages in enumerate(rounds):
-        for key, s, e in (("a", "other_start_word", "other_end_word"), ("b", "start_word", "end_word")):
-            side = passages.select(F.col(key).alias("key"), F.lit(i).alias("round"), F.col("a").alias("label"), F.col(s).alias("s"), F.col(e).alias("e"))
-            spans = side if spans is None else spans.unionByName(side)
-    spans = (spans.groupBy("key", "round", "label", "s").agg(F.max("e").alias("e"))
-             .join(names.select(F.col("key").alias("label"), "other_id", F.col("other_id").isNull().alias("no_id")), "label")
-             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct(*order))).alias("spans"))
-             .select("key", F.transform("spans", lambda v: F.struct(*[v[c].alias(c) for c in fields])).alias("spans")))
-    rows = shared.groupBy("key").agg(F.collect_set(F.struct("h", "pos", "two", "a")).alias("seeds")).join(spans, "key", "left")
+    rows = (shared.groupBy("key").agg(F.collect_set(F.struct("h", "pos", "two", "a")).alias("seeds"))
+            .join(label_spans(passages, names), "key", "left"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -267,21 +340,21 @@ def open_seeds(shared: DataFrame, names: DataFrame, *rounds: DataFrame) -> DataF
                 key = batch.column(0)[i].as_py()
                 h, pos, two, holder = batch.column(1).slice(i, 1).flatten().flatten()
                 at, holder = pos.to_numpy(), holder.to_numpy()
-                rank, labels = np.full((2, len(at)), none), [key]
+                rank, labels = np.full(len(at), none), [key]
                 if batch.column(2)[i].is_valid:
                     spans = list(zip(*(c.to_numpy().tolist() for c in batch.column(2).slice(i, 1).flatten().flatten()), strict=True))
-                    labels = [*(a for _, a, _, _ in spans), key]
-                    for j, (k, a, s, e) in enumerate(spans):
-                        rank[k] = np.where((s <= at) & (at + K <= e), np.minimum(rank[k], np.where(holder == a, j - none, j)), rank[k])
+                    labels = [*(a for a, _, _ in spans), key]
+                    for j, (a, s, e) in enumerate(spans):
+                        rank = np.where((s <= at) & (at + K <= e), np.minimum(rank, np.where(holder == a, j - none, j)), rank)
                 order = np.lexsort((at, h.to_numpy()))
                 begin = np.flatnonzero(~repeats(h.to_numpy()[order], at[order])[0])
                 if len(begin) < len(order):
-                    rank[:, order] = np.repeat(np.minimum.reduceat(rank[:, order], begin, axis=1), np.diff(np.append(begin, len(order))), axis=1)
-                labels = np.array(labels)[np.where(rank == none, len(labels) - 1, rank % none)]
-                yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(at), key)), pos, two, *(pa.array(v) for v in labels)], ["h", "key", "pos", "two", "l", "m"])
+                    rank[order] = np.repeat(np.minimum.reduceat(rank[order], begin), np.diff(np.append(begin, len(order))))
+                label = np.array(labels)[np.where(rank == none, len(labels) - 1, rank % none)]
+                yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(at), key)), pos, two, pa.array(label)], ["h", "key", "pos", "two", "l"])
 
-    places = saved(rows.select("key", "seeds", "spans").mapInArrow(run, "h long, key long, pos int, two boolean, l long, m long"), "places")
-    return places.join(several(places, "h", ["l", "m"]), "h", "left_semi")
+    places = saved(rows.select("key", "seeds", "spans").mapInArrow(run, "h long, key long, pos int, two boolean, l long"), "places")
+    return places.join(several(places, "h", ["l"]), "h", "left_semi")
 
 
 def several(rows: DataFrame, by: str, labels: list[str]) -> DataFrame:
@@ -291,23 +364,23 @@ def several(rows: DataFrame, by: str, labels: list[str]) -> DataFrame:
 
 
 def seed_pairs(places: DataFrame) -> DataFrame:
-    """(g, key, x, gap, l1, m1, l2, m2, row): each open seed with each other one that can make a chain with it; g stands for both seeds.
+    """(g, key, x, gap, l1, l2, row): each open seed with each other one that can make a chain with it; g stands for both seeds.
 
     A chain has two links LEAST_CHAIN - K to LEAST_CHAIN + MAX_GAP words apart. Each of both is x once, the other one is gap words behind.
     Two seeds with two places each were chained with their holder. Of equal pairs at places in equal steps of up to
     K words (so the words repeat there) the first and the last are kept: repeats agree best from their starts or from their ends. ``row``: MIN_WORDS words or more repeat there.
     """
-    rows = places.groupBy("key").agg(F.collect_list(F.struct("pos", "h", "two", "l", "m")).alias("seeds"))
+    rows = places.groupBy("key").agg(F.collect_list(F.struct("pos", "h", "two", "l")).alias("seeds"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             for i in range(batch.num_rows):
-                pos, h, two, *labels = batch.column(1).slice(i, 1).flatten().flatten()
+                pos, h, two, label = batch.column(1).slice(i, 1).flatten().flatten()
                 at, two = pos.to_numpy().astype(np.int64), two.to_numpy(zero_copy_only=False)
                 order = np.argsort(at, kind="stable")
-                at, two, h, labels = at[order], two[order], h.to_numpy()[order].view(np.uint64), np.array([v.to_numpy()[order] for v in labels])
+                at, two, h, label = at[order], two[order], h.to_numpy()[order].view(np.uint64), label.to_numpy()[order]
                 low, high = np.searchsorted(at, at + LEAST_CHAIN - K), np.searchsorted(at, at + LEAST_CHAIN + MAX_GAP, "right")
                 n = high - low
                 one = np.repeat(np.arange(len(at)), n)
@@ -324,7 +397,7 @@ def seed_pairs(places: DataFrame) -> DataFrame:
                 g, x, gap, one, other = (v[order] for v in (g, x, gap, one, other))
                 first = np.concatenate([[True], (g[1:] != g[:-1]) | (x[1:] != x[:-1])])
                 g, x, gap, one, other = (v[first] for v in (g, x, gap, one, other))
-                tags = np.concatenate([labels[:, one], labels[:, other]])
+                tags = np.array([label[one], label[other]])
                 back, ahead = repeats(g, x)
                 begin = np.flatnonzero(~back)
                 row = np.repeat(np.maximum.reduceat(x + np.abs(gap), begin) - x[begin] + K >= MIN_WORDS, np.diff(np.append(begin, len(x)))) & (back | ahead)
@@ -340,6 +413,32 @@ def seed_pairs(places: DataFrame) -> DataFrame:
     return saved(pairs.join(several(pairs, "g", TAGS), "g", "left_semi"), "open-pairs")
 
 
+def still_open(pairs: DataFrame, names: DataFrame, passages: DataFrame) -> DataFrame:
+    """The pairs of seeds with labels m1 and m2, as l1 and l2 but by the ``passages`` of the stars of pairs; those that have several labels each way."""
+    rows = pairs.groupBy("key").agg(F.collect_list(F.struct("g", "x", "gap", *TAGS)).alias("pairs")).join(label_spans(passages, names), "key", "left")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = batch.column(0)[i].as_py()
+                cols = batch.column(1).slice(i, 1).flatten().flatten()
+                x, gap = (c.to_numpy() for c in cols[1:3])
+                own = np.full(len(x), key)
+                more = [own.copy(), own.copy()]
+                if batch.column(2)[i].is_valid:
+                    spans = list(zip(*(c.to_numpy().tolist() for c in batch.column(2).slice(i, 1).flatten().flatten()), strict=True))
+                    for label, at in zip(more, (x, x + gap), strict=True):
+                        for a, s, e in reversed(spans):
+                            label[(s <= at) & (at + K <= e)] = a
+                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(v) for v in more), pa.array(own)], ["g", "x", "gap", *TAGS, *MORE_TAGS, "key"])
+
+    tags = [*TAGS, *MORE_TAGS]
+    labelled = saved(rows.select("key", "pairs", "spans").mapInArrow(run, "g long, x int, gap int, " + ", ".join(f"{c} long" for c in tags) + ", key long"), "labelled-pairs")
+    return labelled.join(several(labelled, "g", tags), "g", "left_semi")
+
+
 def both_links(pairs: DataFrame) -> DataFrame:
     """(a, b, x, y) of both seeds of (a, b, x, gap, y, other_gap)."""
     return pairs.select("a", "b", F.inline(F.array(F.struct("x", "y"), F.struct((F.col("x") + F.col("gap")).alias("x"), (F.col("y") + F.col("other_gap")).alias("y"))))).distinct()
@@ -386,34 +485,108 @@ def may_pass(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray)
     return out
 
 
-def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(a, b, x, y): links of all pairs of texts that share two seeds, have other labels at both and may have a passage there.
+def roots(cell: np.ndarray, key: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """The text that each row's label leads to: its own label, or the one of that text's rows in the cell, and so on."""
+    values, at = np.unique(np.concatenate([key, label]), return_inverse=True)
+    number = np.concatenate([cell, cell]) * len(values) + at
+    _, node = np.unique(number, return_inverse=True)
+    own, to = node[:len(key)], node[len(key):]
+    low, high = np.full(len(node), len(node)), np.full(len(node), -1)
+    np.minimum.at(low, own, to)
+    np.maximum.at(high, own, to)
+    # A text whose rows have several labels leads nowhere.
+    parent = np.where(low == high, low, np.arange(len(node)))
+    for _ in range(12):
+        parent = parent[parent]
+    return parent[to]
+
+
+def new_links(left: np.ndarray, right: np.ndarray, cell: np.ndarray, allowed, pairs: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (a, b) of one cell whose words have a passage and that no passages found before connect.
+
+    ``cell`` numbers the cells, in ascending order; the rows of one ascend by id, and each is compared with those behind it, in that order,
+    so that of two rows left out the later one has a passage with an earlier one. ``allowed``: whether rows a and b are to be compared.
+    Links are no more than the rows, but for those whose words end before the alignment does.
+    """
+    tiny = [np.where(v == BLANK, PAD, v % PAD).astype(np.uint8) for v in (left, right)]
+    start = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
+    sizes = np.diff(np.append(start, len(cell)))
+    rank = np.arange(len(cell)) - np.repeat(start, sizes)
+    behind = np.repeat(sizes, sizes) - 1 - rank
+    lead = np.lexsort((np.arange(len(cell)), rank))
+    upto = np.cumsum(behind[lead])
+    parent = np.arange(len(cell))
+    s = 0
+    while s < len(lead):
+        e = max(s + 1, int(np.searchsorted(upto, (upto[s - 1] if s else 0) + pairs, "right")))
+        if not rank[lead[s]]:  # the first rows by themselves: groups of like rows are one then
+            e = min(e, len(start))
+        n = behind[lead[s:e]]
+        a = np.repeat(lead[s:e], n)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        s = e
+        keep = parent[a] != parent[b]
+        a, b = a[keep], b[keep]
+        keep = allowed(a, b)
+        a, b = a[keep], b[keep]
+        keep = may_pass(*tiny, a, b)
+        a, b = a[keep], b[keep]
+        if not len(a):
+            continue
+        sides = [walks(v[a], v[b]) for v in (left, right)]
+        long = np.minimum(sides[0][0] + sides[1][0], sides[0][1] + sides[1][1]) >= MIN_WORDS
+        open_end = ~long & (sides[0][2] | sides[1][2])
+        out = []
+        tree = parent.tolist()
+        for p, q, sure in zip(a[long | open_end].tolist(), b[long | open_end].tolist(), long[long | open_end].tolist(), strict=True):
+            if sure:
+                u, v = p, q
+                while tree[u] != u:
+                    tree[u] = u = tree[tree[u]]
+                while tree[v] != v:
+                    tree[v] = v = tree[tree[v]]
+                if u == v:
+                    continue
+                tree[max(u, v)] = min(u, v)
+            out.append((p, q))
+        parent = np.array(tree)
+        while (parent[parent] != parent).any():
+            parent = parent[parent]
+        if out:
+            yield tuple(np.array(v) for v in zip(*out, strict=True))
+
+
+def rest_links(pairs: DataFrame, names: DataFrame, bodies: DataFrame) -> DataFrame:
+    """(a, b, parts): places in pairs of texts that share two seeds, have other labels at both and have a passage there.
 
-    The places of a pair of seeds are compared in blocks by their NEAR words to both sides, a byte for each.
+    The places of a pair of seeds are compared in blocks by their NEAR words to both sides, 16 bits for each. Of places that
+    passages connect (those of the labels, or found in the block) no more are reported than connect them.
     """
-    listed = pairs.groupBy("key").agg(F.collect_list(F.struct("g", "x", "gap", *TAGS)).alias("places")).join(bodies, "key").select("key", "places", "z")
-    fields = ("g", "x", "gap", *TAGS)
+    tags = [*TAGS, *MORE_TAGS]
+    fields = ("g", "x", *tags)
+    listed = (pairs.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("places")).join(bodies, "key")
+              .join(names.select("key", "other_id"), "key").select("key", "other_id", "places", "z"))
 
     def around(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        pad = np.full(NEAR, PAD, np.uint8)
+        pad = np.full(NEAR, BLANK, np.uint16)
         for batch in batches:
             for i in range(batch.num_rows):
-                cols = batch.column(1).slice(i, 1).flatten().flatten()
-                words = shingles.word_hashes([unpack(batch.column(2)[i].as_py()).decode()])[0]
-                near = np.concatenate([pad, (words % np.uint64(PAD)).astype(np.uint8), pad])
+                cols = batch.column(2).slice(i, 1).flatten().flatten()
+                words = shingles.word_hashes([unpack(batch.column(3)[i].as_py()).decode()])[0]
+                near = np.concatenate([pad, (words % np.uint64(BLANK)).astype(np.uint16), pad])
                 at = cols[1].to_numpy().astype(np.int64)[:, None] + NEAR
-                key = np.full(len(at), batch.column(0)[i].as_py())
                 for s in range(0, len(at), 5000):
                     part = at[s:s + 5000]
                     flat = np.concatenate([near[part - 1 - np.arange(NEAR)], near[part + np.arange(NEAR)]], axis=1)
-                    kept = pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * NEAR), len(part), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
-                    yield pa.RecordBatch.from_arrays([*(c.slice(s, 5000) for c in cols), pa.array(key[s:s + 5000]), kept], [*fields, "key", "near"])
+                    kept = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * NEAR), len(part), [None, pa.py_buffer(flat.tobytes())]).cast(pa.binary())
+                    key, name = (batch.column(c).slice(i, 1).take(pa.array(np.zeros(len(part), np.int64))) for c in (0, 1))
+                    yield pa.RecordBatch.from_arrays([*(c.slice(s, 5000) for c in cols), key, name, kept], [*fields, "key", "other_id", "near"])
 
-    rows = listed.mapInArrow(around, "g long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", key long, near binary")
+    rows = listed.mapInArrow(around, "g long, x int, " + ", ".join(f"{c} long" for c in tags) + f", key long, other_id {dict(names.dtypes)['other_id']}, near binary")
     blocks = pairs.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     many = small(blocks.filter("blocks > 1"))
     own = F.pmod(F.xxhash64("key", "x"), F.coalesce("blocks", F.lit(1))).cast("int")
@@ -421,37 +594,28 @@ def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
              .withColumn("side", F.when(F.col("own") == F.col("other"), 0).otherwise(F.when(F.col("own") < F.col("other"), 1).otherwise(2)))
              .withColumn("cell", F.xxhash64("g", F.least("own", "other"), F.greatest("own", "other")))
-             .select("cell", "side", "key", *fields, "near"))
-    dealt = dealt.repartition(F.col("cell")).sortWithinPartitions("cell")
+             .withColumn("no_id", F.col("other_id").isNull()))
+    dealt = dealt.repartition(F.col("cell")).sortWithinPartitions("cell", "no_id", "other_id", "key", "x").select("cell", "side", "key", *fields, "near")
 
     def compare(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         def met(tables: list) -> Iterator:
             table = pa.concat_tables(tables).combine_chunks()
-            cell, side, key, g, x, gap, *tags = (table.column(c).to_numpy() for c in ("cell", "side", "key", *fields))
-            near = np.frombuffer(b"".join(table.column("near").to_pylist()), np.uint8).reshape(-1, 2 * NEAR)
-            left, right = near[:, :NEAR], near[:, NEAR:]
-            start = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
-            begin = np.repeat(start, np.diff(np.append(start, len(cell))))
-            before = np.arange(len(cell)) - begin  # each row meets the rows of its cell before it
-            upto = np.cumsum(before)
-            s = 0
-            while s < len(cell):
-                e = max(s + 1, int(np.searchsorted(upto, upto[s] + PAIRS, "right")))
-                n = before[s:e]
-                b = np.repeat(np.arange(s, e), n)
-                a = np.arange(len(b)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(begin[s:e], n)
+            cell, side, key, g, x, *labels = (table.column(c).to_numpy() for c in ("cell", "side", "key", *fields))
+            near = np.frombuffer(b"".join(table.column("near").to_pylist()), np.uint16).reshape(-1, 2 * NEAR)
+            cell = np.cumsum(np.concatenate([[0], cell[1:] != cell[:-1]]))
+            ends = [roots(cell, key, label) for label in labels]
+
+            def allowed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 keep = (key[a] != key[b]) & (g[a] == g[b]) & ((side[a] == 0) | (side[a] != side[b]))
-                for tag in tags:
-                    keep &= tag[a] != tag[b]
-                a, b = a[keep], b[keep]
-                if len(a):
-                    keep = may_pass(left, right, a, b)
-                    a, b = a[keep], b[keep]
-                    a, b = np.where(key[a] < key[b], a, b), np.where(key[a] < key[b], b, a)
-                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key[a], key[b], x[a], gap[a], x[b], gap[b])], ["a", "b", "x", "gap", "y", "other_gap"])
-                s = e
+                for end in ends:
+                    keep &= end[a] != end[b]
+                return keep
+
+            for a, b in new_links(near[:, :NEAR], near[:, NEAR:], cell, allowed):
+                a, b = np.where(key[a] < key[b], a, b), np.where(key[a] < key[b], b, a)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key[a], key[b], x[a], x[b])], ["a", "b", "x", "y"])
 
         held, size = [], 0
         for _, table in runs(batches, "cell"):
@@ -464,7 +628,9 @@ def rest_links(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
         if held:
             yield from met(held)
 
-    return both_links(dealt.mapInArrow(compare, "a long, b long, x int, gap int, y int, other_gap int"))
+    links = dealt.mapInArrow(compare, "a long, b long, x int, y int")
+    anchors = links.groupBy("a", "b").agg(F.array_sort(F.collect_set(F.struct("x", "y"))).alias("anchors"))
+    return anchors.select("a", "b", F.transform("anchors", lambda v: F.struct(F.array(v["x"]).alias("xs"), F.array(v["y"]).alias("ys"))).alias("parts"))
 
 
 def chained(links: DataFrame) -> DataFrame:
@@ -552,17 +718,17 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         return saved(texts.join(small(keys.distinct()), "key", "left_semi").select("key", "t").mapInArrow(press, "key long, z binary")
                      .groupBy("key").agg(F.first("z").alias("z")), "bodies")
 
-    def passages_of(links: DataFrame, held: DataFrame | None = None) -> DataFrame:
-        chains = saved(chained(links), "chains")
+    def passages_of(parts: DataFrame, held: DataFrame | None = None) -> DataFrame:
+        chains = saved(parts, "chains")
         return saved(aligned(chains, bodies(chains.select(F.col("a").alias("key")).union(chains.select("b"))) if held is None else held), "passages")
 
-    found = passages_of(seed_links(shared))
+    found = passages_of(chained(seed_links(shared)))
     smallest = saved(texts.groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id")).alias("first"))
                      .select("key", F.col("first.doc_id").alias("other_id")), "ids")
     pairs = seed_pairs(open_seeds(shared, smallest, found))
     held = bodies(pairs.select("key"))
-    again = passages_of(pair_links(pairs, smallest), held)
-    rest = passages_of(rest_links(seed_pairs(open_seeds(shared, smallest, found, again)), held), held)
+    again = passages_of(chained(pair_links(pairs, smallest)), held)
+    rest = passages_of(rest_links(still_open(pairs, smallest, again), smallest, held), held)
     found = found.unionByName(again).unionByName(rest).distinct()
 
     # Equal texts: the smallest id stands for its class, the others repeat it.
