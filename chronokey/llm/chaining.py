@@ -283,10 +283,10 @@ def shared_seeds(texts: DataFrame) -> DataFrame:
     several = (found.groupBy("h").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").alias("n"))
                .filter("lo != hi").select("h", (F.col("n") == 2).alias("two")))
     # Written tables, so that the joins have two plain exchanges and the places of a very common seed can be split.
-    found = saved(found.join(saved(several, "several"), "h"), "repeated")
+    found = saved(found.join(saved(several, "several").hint("shuffle_hash"), "h"), "repeated")
     holders = (found.groupBy("h").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "pos")).alias("first"))
                .select("h", F.col("first.key").alias("a"), F.col("first.pos").alias("x")))
-    return saved(found.select("h", "key", "pos", "two").join(saved(holders, "holders"), "h").select("h", "key", "pos", "a", "x", "two"), "shared")
+    return saved(found.select("h", "key", "pos", "two").join(saved(holders, "holders").hint("shuffle_hash"), "h").select("h", "key", "pos", "a", "x", "two"), "shared")
 
 
 def seed_links(shared: DataFrame) -> DataFrame:
@@ -309,6 +309,16 @@ def repeats(what: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([first, inside]), np.concatenate([inside, first])
 
 
+def parts(batch, most: int = 20_000) -> Iterator[list]:
+    """The columns of a batch, the second of which holds lists, in runs of rows that have at most so many elements, or one row."""
+    upto = np.cumsum(batch.column(1).value_lengths().to_numpy())
+    s = 0
+    while s < batch.num_rows:
+        e = max(s + 1, int(np.searchsorted(upto, (upto[s - 1] if s else 0) + most, "right")))
+        yield [c.slice(s, e - s) for c in batch.columns]
+        s = e
+
+
 def label_spans(passages: DataFrame, names: DataFrame) -> DataFrame:
     """(key, spans): the places (label, s, e) of each text in ``passages``, smallest id of the holder first. ``names``: key, other_id."""
     fields = ("label", "s", "e")
@@ -336,25 +346,27 @@ def open_seeds(shared: DataFrame, names: DataFrame, passages: DataFrame) -> Data
 
         none = 1 << 40
         for batch in batches:
-            for i in range(batch.num_rows):
-                key = batch.column(0)[i].as_py()
-                h, pos, two, holder = batch.column(1).slice(i, 1).flatten().flatten()
+            for keys, lists, more in parts(batch):
+                h, pos, two, holder = lists.flatten().flatten()
+                first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
                 at, holder = pos.to_numpy(), holder.to_numpy()
-                rank, labels = np.full(len(at), none), [key]
-                if batch.column(2)[i].is_valid:
-                    spans = list(zip(*(c.to_numpy().tolist() for c in batch.column(2).slice(i, 1).flatten().flatten()), strict=True))
-                    labels = [*(a for a, _, _ in spans), key]
+                label = np.repeat(keys.to_numpy(), np.diff(first))
+                for i in np.flatnonzero(more.is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    spans = list(zip(*(c.to_numpy().tolist() for c in more.slice(i, 1).flatten().flatten()), strict=True))
+                    part = slice(first[i], first[i + 1])
+                    x, own, seed = at[part], holder[part], h.to_numpy()[part]
+                    rank, labels = np.full(len(x), none), np.array([*(a for a, _, _ in spans), keys[i].as_py()])
                     for j, (a, s, e) in enumerate(spans):
-                        rank = np.where((s <= at) & (at + K <= e), np.minimum(rank, np.where(holder == a, j - none, j)), rank)
-                order = np.lexsort((at, h.to_numpy()))
-                begin = np.flatnonzero(~repeats(h.to_numpy()[order], at[order])[0])
-                if len(begin) < len(order):
-                    rank[order] = np.repeat(np.minimum.reduceat(rank[order], begin), np.diff(np.append(begin, len(order))))
-                label = np.array(labels)[np.where(rank == none, len(labels) - 1, rank % none)]
-                yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(at), key)), pos, two, pa.array(label)], ["h", "key", "pos", "two", "l"])
+                        rank = np.where((s <= x) & (x + K <= e), np.minimum(rank, np.where(own == a, j - none, j)), rank)
+                    order = np.lexsort((x, seed))
+                    begin = np.flatnonzero(~repeats(seed[order], x[order])[0])
+                    if len(begin) < len(order):
+                        rank[order] = np.repeat(np.minimum.reduceat(rank[order], begin), np.diff(np.append(begin, len(order))))
+                    label[part] = labels[np.where(rank == none, len(labels) - 1, rank % none)]
+                yield pa.RecordBatch.from_arrays([h, keys.take(pa.array(np.repeat(np.arange(len(keys)), np.diff(first)))), pos, two, pa.array(label)], ["h", "key", "pos", "two", "l"])
 
     places = saved(rows.select("key", "seeds", "spans").mapInArrow(run, "h long, key long, pos int, two boolean, l long"), "places")
-    return places.join(several(places, "h", ["l"]), "h", "left_semi")
+    return places.join(several(places, "h", ["l"]).hint("shuffle_hash"), "h", "left_semi")
 
 
 def several(rows: DataFrame, by: str, labels: list[str]) -> DataFrame:
@@ -376,9 +388,12 @@ def seed_pairs(places: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                pos, h, two, label = batch.column(1).slice(i, 1).flatten().flatten()
-                at, two = pos.to_numpy().astype(np.int64), two.to_numpy(zero_copy_only=False)
+            for keys, lists in parts(batch):
+                pos, h, two, label = lists.flatten().flatten()
+                # Texts stand so far apart that no pair and no row of places mixes two of them.
+                text = np.repeat(np.arange(len(keys)), lists.value_lengths().to_numpy())
+                apart = int(pos.to_numpy().max()) + 2 * (LEAST_CHAIN + MAX_GAP)
+                at, two = pos.to_numpy() + text * apart, two.to_numpy(zero_copy_only=False)
                 order = np.argsort(at, kind="stable")
                 at, two, h, label = at[order], two[order], h.to_numpy()[order].view(np.uint64), label.to_numpy()[order]
                 low, high = np.searchsorted(at, at + LEAST_CHAIN - K), np.searchsorted(at, at + LEAST_CHAIN + MAX_GAP, "right")
@@ -406,11 +421,11 @@ def seed_pairs(places: DataFrame) -> DataFrame:
                 ahead[:-1] &= same
                 end = ~(back & ahead)
                 g, x, gap, tags, row = g[end], x[end], gap[end], tags[:, end], row[end]
-                yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(np.full(len(g), batch.column(0)[i].as_py())), pa.array(x.astype(np.int32)), pa.array(gap.astype(np.int32)),
+                yield pa.RecordBatch.from_arrays([pa.array(g), keys.take(pa.array(x // apart)), pa.array((x % apart).astype(np.int32)), pa.array(gap.astype(np.int32)),
                                                   *(pa.array(v) for v in tags), pa.array(row)], ["g", "key", "x", "gap", *TAGS, "row"])
 
     pairs = saved(rows.mapInArrow(run, "g long, key long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", row boolean"), "seed-pairs")
-    return saved(pairs.join(several(pairs, "g", TAGS), "g", "left_semi"), "open-pairs")
+    return saved(pairs.join(several(pairs, "g", TAGS).hint("shuffle_hash"), "g", "left_semi"), "open-pairs")
 
 
 def still_open(pairs: DataFrame, names: DataFrame, passages: DataFrame) -> DataFrame:
@@ -732,12 +747,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = found.unionByName(again).unionByName(rest).distinct()
 
     # Equal texts: the smallest id stands for its class, the others repeat it.
-    rows = saved(texts.select("doc_id", "key", F.regexp_count("t", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"),
-                              F.length("t").cast("long").alias("chars"), F.monotonically_increasing_id().alias("rid")), "texts")
+    rows = saved(texts.select("doc_id", "key", F.length("t").cast("long").alias("chars"), F.monotonically_increasing_id().alias("rid")), "texts")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "rid")).alias("first")
     classes = rows.groupBy("key").agg(first).select("key", F.col("first.doc_id").alias("other_id"), F.col("first.rid").alias("first_rid"))
+    again_there = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    sizes = (texts.join(small(again_there), "key", "left_semi").select("key", F.regexp_count("t", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"))
+             .groupBy("key").agg(F.max("words").alias("words")))
     zero = F.lit(0).cast("long")
-    copies = rows.join(classes, "key").filter((F.col("rid") != F.col("first_rid")) & (F.col("words") >= MIN_WORDS)).select(
+    copies = rows.join(classes, "key").join(sizes, "key").filter((F.col("rid") != F.col("first_rid")) & (F.col("words") >= MIN_WORDS)).select(
         "doc_id", zero.alias("start_word"), F.col("words").alias("end_word"), zero.alias("start"), F.col("chars").alias("end"), "other_id",
         zero.alias("other_start_word"), F.col("words").alias("other_end_word"), zero.alias("other_start"), F.col("chars").alias("other_end"),
         F.col("words").alias("n_words"), F.lit(1.0).alias("identity"))
