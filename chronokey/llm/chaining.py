@@ -380,7 +380,8 @@ def seed_pairs(places: DataFrame) -> DataFrame:
 
     A chain has two links LEAST_CHAIN - K to LEAST_CHAIN + MAX_GAP words apart. Each of both is x once, the other one is gap words behind.
     Two seeds with two places each were chained with their holder. Of equal pairs at places in equal steps of up to
-    K words (so the words repeat there) the first and the last are kept: repeats agree best from their starts or from their ends. ``row``: MIN_WORDS words or more repeat there.
+    K words (so the words repeat there) the first and the last are kept: repeats agree best from their starts or from their ends. ``row``: where MIN_WORDS
+    words or more repeat, how many, below 0 at the last place; else 0.
     """
     rows = places.groupBy("key").agg(F.collect_list(F.struct("pos", "h", "two", "l")).alias("seeds"))
 
@@ -415,22 +416,24 @@ def seed_pairs(places: DataFrame) -> DataFrame:
                 tags = np.array([label[one], label[other]])
                 back, ahead = repeats(g, x)
                 begin = np.flatnonzero(~back)
-                row = np.repeat(np.maximum.reduceat(x + np.abs(gap), begin) - x[begin] + K >= MIN_WORDS, np.diff(np.append(begin, len(x)))) & (back | ahead)
+                row = np.repeat(np.maximum.reduceat(x + np.abs(gap), begin) - x[begin] + K, np.diff(np.append(begin, len(x))))
+                row[(row < MIN_WORDS) | ~(back | ahead)] = 0
                 same = (tags[:, 1:] == tags[:, :-1]).all(axis=0)
                 back[1:] &= same
                 ahead[:-1] &= same
+                row[back] *= -1
                 end = ~(back & ahead)
                 g, x, gap, tags, row = g[end], x[end], gap[end], tags[:, end], row[end]
                 yield pa.RecordBatch.from_arrays([pa.array(g), keys.take(pa.array(x // apart)), pa.array((x % apart).astype(np.int32)), pa.array(gap.astype(np.int32)),
-                                                  *(pa.array(v) for v in tags), pa.array(row)], ["g", "key", "x", "gap", *TAGS, "row"])
+                                                  *(pa.array(v) for v in tags), pa.array(row.astype(np.int32))], ["g", "key", "x", "gap", *TAGS, "row"])
 
-    pairs = saved(rows.mapInArrow(run, "g long, key long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", row boolean"), "seed-pairs")
+    pairs = saved(rows.mapInArrow(run, "g long, key long, x int, gap int, " + ", ".join(f"{c} long" for c in TAGS) + ", row int"), "seed-pairs")
     return saved(pairs.join(several(pairs, "g", TAGS).hint("shuffle_hash"), "g", "left_semi"), "open-pairs")
 
 
 def still_open(pairs: DataFrame, names: DataFrame, passages: DataFrame) -> DataFrame:
     """The pairs of seeds with labels m1 and m2, as l1 and l2 but by the ``passages`` of the stars of pairs; those that have several labels each way."""
-    rows = pairs.groupBy("key").agg(F.collect_list(F.struct("g", "x", "gap", *TAGS)).alias("pairs")).join(label_spans(passages, names), "key", "left")
+    rows = pairs.groupBy("key").agg(F.collect_list(F.struct("g", "x", "gap", "row", *TAGS)).alias("pairs")).join(label_spans(passages, names), "key", "left")
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -447,10 +450,10 @@ def still_open(pairs: DataFrame, names: DataFrame, passages: DataFrame) -> DataF
                     for label, at in zip(more, (x, x + gap), strict=True):
                         for a, s, e in reversed(spans):
                             label[(s <= at) & (at + K <= e)] = a
-                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(v) for v in more), pa.array(own)], ["g", "x", "gap", *TAGS, *MORE_TAGS, "key"])
+                yield pa.RecordBatch.from_arrays([*cols, *(pa.array(v) for v in more), pa.array(own)], ["g", "x", "gap", "row", *TAGS, *MORE_TAGS, "key"])
 
     tags = [*TAGS, *MORE_TAGS]
-    labelled = saved(rows.select("key", "pairs", "spans").mapInArrow(run, "g long, x int, gap int, " + ", ".join(f"{c} long" for c in tags) + ", key long"), "labelled-pairs")
+    labelled = saved(rows.select("key", "pairs", "spans").mapInArrow(run, "g long, x int, gap int, row int, " + ", ".join(f"{c} long" for c in tags) + ", key long"), "labelled-pairs")
     return labelled.join(several(labelled, "g", tags), "g", "left_semi")
 
 
@@ -464,6 +467,7 @@ def pair_links(pairs: DataFrame, names: DataFrame) -> DataFrame:
 
     Rows of repeated words that are passages by themselves have a star of their own, since all of them agree.
     """
+    pairs = pairs.withColumn("row", F.col("row") != 0)
     rows = pairs.join(names, "key")
     first = rows.groupBy("g", "row").agg(F.min(F.struct(F.col("other_id").isNull().alias("no_id"), "other_id", "key", "x", "gap", *TAGS)).alias("first"))
     first = first.select("g", "row", F.col("first.key").alias("a"), *[F.col(f"first.{c}").alias(f"a_{c}") for c in ("x", "gap", *TAGS)])
@@ -516,13 +520,16 @@ def roots(cell: np.ndarray, key: np.ndarray, label: np.ndarray) -> np.ndarray:
     return parent[to]
 
 
-def new_links(left: np.ndarray, right: np.ndarray, cell: np.ndarray, allowed, pairs: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def new_links(left: np.ndarray, right: np.ndarray, cell: np.ndarray, row: np.ndarray, allowed, pairs: int = PAIRS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows (a, b) of one cell whose words have a passage and that no passages found before connect.
 
     ``cell`` numbers the cells, in ascending order; the rows of one ascend by id, and each is compared with those behind it, in that order,
     so that of two rows left out the later one has a passage with an earlier one. ``allowed``: whether rows a and b are to be compared.
-    Links are no more than the rows, but for those whose words end before the alignment does.
+    Links are no more than the rows, but for those whose words end before the alignment does. Where words repeat in both texts (``row``),
+    places inside are not listed, so such a pair is left out only if an earlier one had as many words of the later row.
     """
+    size, last = np.abs(row), (row < 0).astype(int)
+    had = np.zeros((2, len(cell)), np.int64)
     tiny = [np.where(v == BLANK, PAD, v % PAD).astype(np.uint8) for v in (left, right)]
     start = np.concatenate([[0], np.flatnonzero(cell[1:] != cell[:-1]) + 1])
     sizes = np.diff(np.append(start, len(cell)))
@@ -540,7 +547,8 @@ def new_links(left: np.ndarray, right: np.ndarray, cell: np.ndarray, allowed, pa
         a = np.repeat(lead[s:e], n)
         b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
         s = e
-        keep = parent[a] != parent[b]
+        words = np.minimum(size[a], size[b])
+        keep = np.where(words > 0, words > had[last[a], b], parent[a] != parent[b])
         a, b = a[keep], b[keep]
         keep = allowed(a, b)
         a, b = a[keep], b[keep]
@@ -554,7 +562,12 @@ def new_links(left: np.ndarray, right: np.ndarray, cell: np.ndarray, allowed, pa
         out = []
         tree = parent.tolist()
         for p, q, sure in zip(a[long | open_end].tolist(), b[long | open_end].tolist(), long[long | open_end].tolist(), strict=True):
-            if sure:
+            words = min(size[p], size[q])
+            if sure and words:
+                if words <= had[last[p], q]:
+                    continue
+                had[last[p], q] = words
+            elif sure:
                 u, v = p, q
                 while tree[u] != u:
                     tree[u] = u = tree[tree[u]]
@@ -578,7 +591,7 @@ def rest_links(pairs: DataFrame, names: DataFrame, bodies: DataFrame) -> DataFra
     passages connect (those of the labels, or found in the block) no more are reported than connect them.
     """
     tags = [*TAGS, *MORE_TAGS]
-    fields = ("g", "x", *tags)
+    fields = ("g", "x", "row", *tags)
     listed = (pairs.groupBy("key").agg(F.collect_list(F.struct(*fields)).alias("places")).join(bodies, "key")
               .join(names.select("key", "other_id"), "key").select("key", "other_id", "places", "z"))
 
@@ -601,7 +614,7 @@ def rest_links(pairs: DataFrame, names: DataFrame, bodies: DataFrame) -> DataFra
                     key, name = (batch.column(c).slice(i, 1).take(pa.array(np.zeros(len(part), np.int64))) for c in (0, 1))
                     yield pa.RecordBatch.from_arrays([*(c.slice(s, 5000) for c in cols), key, name, kept], [*fields, "key", "other_id", "near"])
 
-    rows = listed.mapInArrow(around, "g long, x int, " + ", ".join(f"{c} long" for c in tags) + f", key long, other_id {dict(names.dtypes)['other_id']}, near binary")
+    rows = listed.mapInArrow(around, "g long, x int, row int, " + ", ".join(f"{c} long" for c in tags) + f", key long, other_id {dict(names.dtypes)['other_id']}, near binary")
     blocks = pairs.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     many = small(blocks.filter("blocks > 1"))
     own = F.pmod(F.xxhash64("key", "x"), F.coalesce("blocks", F.lit(1))).cast("int")
@@ -617,18 +630,19 @@ def rest_links(pairs: DataFrame, names: DataFrame, bodies: DataFrame) -> DataFra
 
         def met(tables: list) -> Iterator:
             table = pa.concat_tables(tables).combine_chunks()
-            cell, side, key, g, x, *labels = (table.column(c).to_numpy() for c in ("cell", "side", "key", *fields))
+            cell, side, key, g, x, row, *labels = (table.column(c).to_numpy() for c in ("cell", "side", "key", *fields))
             near = np.frombuffer(b"".join(table.column("near").to_pylist()), np.uint16).reshape(-1, 2 * NEAR)
             cell = np.cumsum(np.concatenate([[0], cell[1:] != cell[:-1]]))
             ends = [roots(cell, key, label) for label in labels]
 
             def allowed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
                 keep = (key[a] != key[b]) & (g[a] == g[b]) & ((side[a] == 0) | (side[a] != side[b]))
-                for end in ends:
-                    keep &= end[a] != end[b]
+                repeat = (row[a] != 0) & (row[b] != 0)
+                for label, end in zip(labels, ends, strict=True):
+                    keep &= np.where(repeat, label[a] != label[b], end[a] != end[b])
                 return keep
 
-            for a, b in new_links(near[:, :NEAR], near[:, NEAR:], cell, allowed):
+            for a, b in new_links(near[:, :NEAR], near[:, NEAR:], cell, row, allowed):
                 a, b = np.where(key[a] < key[b], a, b), np.where(key[a] < key[b], b, a)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (key[a], key[b], x[a], x[b])], ["a", "b", "x", "y"])
 

@@ -260,3 +260,67 @@ def test_comparison_loses_no_passage():
     assert 100 < sum(long) < n and passes[np.array(long)].all()
     strangers = H.may_pass(near[:, :H.MIN_WORDS][:, ::-1], near[:, H.MIN_WORDS:], np.arange(n), np.roll(np.arange(n), n // 2))
     assert strangers.mean() < 0.05
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        k = rng.randrange(len(out))
+        out[k:k + rng.randrange(3)] = [rng.randrange(5000) for _ in range(rng.randrange(3))]
+    return out
+
+
+def near_words(texts, at=60):
+    pad = [H.BLANK] * H.NEAR
+    rows = np.array([(pad + list(t) + pad)[at:at + 2 * H.NEAR] for t in texts]).astype(np.uint16)
+    return rows[:, :H.NEAR][:, ::-1], rows[:, H.NEAR:]
+
+
+def test_walks_agree_with_walk():
+    rng = random.Random(16)
+    pairs = []
+    for _ in range(400):
+        a = [rng.randrange(rng.choice([5, 40, 5000])) for _ in range(rng.randrange(80))]
+        pairs.append((a, edited(rng, a, rng.randrange(8)) if a else a))
+    sides = [np.array([(t + [H.BLANK] * H.NEAR)[:H.NEAR] for t in texts]).astype(np.uint16) for texts in zip(*pairs)]
+    got = list(zip(*(v.tolist() for v in H.walks(*sides))))
+    assert 50 < sum(cut for _, _, cut in got) < 350
+    for (a, b), (x, y, cut) in zip(pairs, got):
+        want = H.walk(np.array(a, int), np.array(b, int))[:2]
+        assert (x, y) == want or cut and x <= want[0] and y <= want[1]
+
+
+def test_links_of_a_block_grow_with_its_rows():
+    """Near copies of some texts around one place: fewer links than rows, and of two that have a passage the later one has a link to an earlier one."""
+    rng = random.Random(17)
+    originals = [[rng.randrange(5000) for _ in range(120)] for _ in range(5)]
+    texts = [edited(rng, originals[i % 5], i % 7) for i in range(200)]
+    left, right = near_words(texts)
+    cell = np.repeat([0, 1], 100)
+    links = [(a, b) for s, t in H.new_links(left, right, cell, np.zeros(200, int), lambda a, b: a >= 0, 50) for a, b in zip(s.tolist(), t.tolist())]
+    assert 150 < len(links) < 200
+    linked = {b for _, b in links}
+    for s in (0, 100):
+        for a in range(s, s + 100):
+            for b in range(a + 1, s + 100):
+                sides = [H.walks(v[[a]], v[[b]]) for v in (left, right)]
+                if min(sides[0][i][0] + sides[1][i][0] for i in (0, 1)) >= H.MIN_WORDS:
+                    assert b in linked
+    assert all(a < b and a // 100 == b // 100 for a, b in links)
+
+
+def test_links_of_rows_of_one_word():
+    """Each row of a repeated word is linked to the longest earlier one that no longer one came before, as far as its own words go."""
+    sizes = [60, 500, 80, 400, 45, 450]
+    left, right = near_words([[7] * 200] * len(sizes), 100)
+    links = {(a, b) for s, t in H.new_links(left, right, np.zeros(6, int), np.array(sizes), lambda a, b: a >= 0) for a, b in zip(s.tolist(), t.tolist())}
+    for b in range(1, 6):
+        assert max(min(sizes[a], sizes[b]) for a, c in links if c == b) == max(min(sizes[a], sizes[b]) for a in range(b))
+    assert len(links) < 15
+
+
+def test_roots_follow_labels():
+    cell = np.array([0, 0, 0, 0, 1])
+    key, label = np.array([1, 2, 3, 4, 3]), np.array([1, 1, 2, 4, 2])
+    one, two, three, four, other = H.roots(cell, key, label).tolist()
+    assert one == two == three and four != one and other not in (one, four)
