@@ -5,7 +5,8 @@
 2. Seeds that stand in more than one text link each of those texts to one holder
    (the text with the smallest id), so links grow with the seeds, not with pairs. Pairs of
    seeds that no passage with a common holder covers do the same once more, then all
-   pairs of texts that share such a pair of seeds are compared, in blocks.
+   places of such a pair of seeds are compared and aligned, in blocks, smallest id first;
+   of those that passages connect no more pairs are reported than connect them.
 3. The links of a pair of texts are chained: ordered in both texts, with costs for
    the gaps, by a Fenwick tree over places. Chains shorter than LEAST_CHAIN words go.
 4. Chains are aligned word by word and extended at both ends through substitutions,
